@@ -6,20 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from longtrace.llm import simhash
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+from longtrace.llm import chat, decontam, lines, pieces, quality, rules, shards, simhash, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash}
+    return {
+        "op1_simhash": simhash.op1_simhash,
+        "op2_line_dedup": lines.op2_line_dedup,
+        "op4_sentencepiece": pieces.op4_sentencepiece,
+        "op5_decontamination": decontam.op5_decontamination,
+        "op6_chat_format": chat.op6_chat_format,
+        "op7_sharding": shards.op7_sharding,
+        "op8_url_filter": urls.op8_url_filter,
+        "op9_quality_classifier": quality.op9_quality_classifier,
+        "op10_quality_rules": rules.op10_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_line_dedup": lines.OP2_SQL,
+        "op5_decontamination": decontam.OP5_SQL,
+        "op6_chat_format": chat.OP6_SQL,
+        "op10_quality_rules": rules.OP10_SQL,
+    }

@@ -8,7 +8,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from longtrace.llm.components import components
@@ -215,3 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = written(member.join(smallest, "root").select(F.col("fp").alias("key"), "component_id"), "classes")
     return rows.join(classes, F.col("fp") == F.col("key")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
