@@ -191,19 +191,20 @@ def decode(pieces: DataFrame, model: bytes) -> DataFrame:
     return pieces.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Digests of encoding and decoding, a row for each row of docs.
 
     n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256 (the decoded
     text), span_bytes (source bytes from the first span's start to the last one's
-    end) and spans_sha256 (little-endian 32-bit starts and ends). Null texts count
-    as empty: no pieces.
+    end) and spans_sha256 (little-endian 32-bit starts and ends); with_ids: the ids
+    too. Null texts count as empty: no pieces.
     """
 
     def run(batches):
         encoder = Encoder(model)
         for batch in batches:
             cols = [[] for _ in range(5)]
+            all_ids = []
             for text in batch.column(1):
                 ids, spans = encoder.encode(text.as_py() or "")
                 cols[0].append(len(ids))
@@ -211,10 +212,17 @@ def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
                 cols[2].append(hashlib.sha256(encoder.sp.decode(ids).encode()).hexdigest())
                 cols[3].append(int(spans[-1, 1] - spans[0, 0]) if ids else 0)
                 cols[4].append(hashlib.sha256(spans.astype("<u4").tobytes()).hexdigest())
+                if with_ids:
+                    all_ids.append(np.array(ids, np.int32))
             kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "span_bytes", "spans_sha256"])
-
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, span_bytes long, spans_sha256 string")
+            out = [batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))]
+            if with_ids:
+                out.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *cols[0]]), pa.int32()), pa.array(np.concatenate([*all_ids, np.zeros(0, np.int32)]))))
+            yield pa.RecordBatch.from_arrays(out, names)
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, span_bytes long, spans_sha256 string" + ", ids array<int>" * with_ids
+    names = [x.split()[0] for x in schema.split(", ")]
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, schema)
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from longtrace.llm import chat, decontam, lines, pieces, quality, rules, shards, simhash, urls
+from longtrace.llm import chat, decontam, lines, pieces, quality, rules, shards, simhash, suffixes, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": simhash.op1_simhash,
         "op2_line_dedup": lines.op2_line_dedup,
+        "op3_suffix_array": suffixes.op3_suffix_array,
         "op4_sentencepiece": pieces.op4_sentencepiece,
         "op5_decontamination": decontam.op5_decontamination,
         "op6_chat_format": chat.op6_chat_format,
