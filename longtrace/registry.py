@@ -7,7 +7,9 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: list[str] = []
+MODULES = [
+    "longtrace.operators.scalar",
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
