@@ -46,6 +46,13 @@ def pose(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of cameras (the event types): numbers from 1 with holes, as every seventh event is left out."""
+    order = Window.partitionBy(F.col("user_id") % 8, "event_type").orderBy("t", "event_id")
+    rows = events(spark, sf_dir).select((F.col("user_id") % 8).alias("event"), F.col("event_type").alias("cam"), F.row_number().over(order).cast("long").alias("frame_no"), "t", F.col("event_id").alias("id"), F.col("value").alias("v"))
+    return rows.where("id % 7 <> 0")
+
+
 def electrodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read(spark, sf_dir, "supplier")
     key = F.col("s_suppkey")
@@ -67,6 +74,7 @@ POSE = (
     f"{EV}, pose AS (SELECT user_id % 8 AS event, event_type AS marker, row_number() OVER (PARTITION BY user_id % 8, event_type ORDER BY t, event_id) - 1 AS frame, value AS x, "
     "((t // 1000) % 977) / 8.0 AS y, (event_id % 101) / 4.0 AS z, value AS error, event_id % 5 AS ncams, (event_id * 7 % 100) / 100.0 AS score FROM ev)"
 )
+FRAMES = f"{EV}, frames AS (SELECT * FROM (SELECT user_id % 8 AS event, event_type AS cam, row_number() OVER (PARTITION BY user_id % 8, event_type ORDER BY t, event_id) AS frame_no, t, event_id AS id, value AS v FROM ev) WHERE id % 7 <> 0)"
 ELECTRODES = (
     "electrodes AS (SELECT s_suppkey AS channel, (CASE WHEN s_suppkey % 4 = 0 THEN 'ainp' ELSE 'elec' END) || s_suppkey || '-' || (s_suppkey % 2 + 1) AS label, "
     "CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 0.25::DOUBLE END AS gain, 0.5::DOUBLE AS channel_conversion, s_suppkey % 10 AS ex, s_suppkey // 10 AS ey, s_acctbal AS imp FROM supplier)"

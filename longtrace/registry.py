@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 MODULES = [
     "longtrace.operators.scalar",
+    "longtrace.operators.sequence",
 ]
 
 
