@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from longtrace.session import written
-
 #: A bucket is meant to hold so many bytes of records: it is shuffled in one task's memory.
 BUCKET_BYTES = 8 << 20
 
@@ -20,15 +18,17 @@ def scattered(docs: DataFrame, buckets: int, key: Column, seed: int) -> DataFram
     return docs.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), key), F.lit(buckets)))
 
 
-def two_pass_shuffle(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 20, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(record, size, bucket, place): docs' rows, whole, as `record`, in one random order.
+def sharded(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 20, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """(record, size, shard, slot): docs' rows, whole, as `record`, in one random order dealt over n_shards.
 
     Records are scattered uniformly over buckets by a seeded hash of id and text;
     the number of buckets follows from the table's bytes, so that one fits a task.
     Each bucket is put in hash order and shuffled by Fisher-Yates (Spark's seeded
     `shuffle`). The order over all records is bucket by bucket: shard and slot of a
     record are its place in it modulo and divided by n_shards, so the shards'
-    record counts differ by one at most and slots have no gaps.
+    record counts differ by one at most and slots have no gaps. Where a bucket
+    starts is the running sum of the buckets' row counts, a small table joined to
+    whole buckets; records cross the network once.
 
     Rows that are equal in id and text share a bucket; null ids and texts hash as
     such and stay; an empty table gives no rows; other columns ride along in
@@ -37,20 +37,15 @@ def two_pass_shuffle(docs: DataFrame, n_shards: int, id_col: str = "doc_id", tex
     total = docs.agg(F.sum(record_bytes(F.col(text_col)))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("record"), record_bytes(F.col(text_col)).alias("size"), F.struct(id_col, text_col).alias("_key"))
-    hashed = scattered(rows, buckets, F.col("_key"), seed).select(F.col("_bucket").alias("bucket"), F.xxhash64(F.lit(seed + 1), "_key").alias("_order"), "size", "record")
-    full = hashed.groupBy("bucket").agg(F.collect_list(F.struct("_order", "size", "record")).alias("rows"))
-    order = F.array_sort("rows", lambda a, b: F.when(a["_order"] < b["_order"], -1).when(a["_order"] > b["_order"], 1).otherwise(0))
-    return full.select("bucket", F.posexplode(F.shuffle(order, F.lit(seed))).alias("place", "x")).select("x.record", "x.size", "bucket", F.col("place").cast("long").alias("place"))
-
-
-def sharded(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 20, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(record, size, shard, slot) of two_pass_shuffle. The shuffled records are written to the shared folder once; of them, only a count per bucket is added up."""
-    mixed = written(two_pass_shuffle(docs, n_shards, id_col, text_col, seed, bucket_bytes), "shuffled")
-    counts = mixed.groupBy("bucket").agg(F.count("*").alias("n"))
+    hashed = scattered(rows, buckets, F.col("_key"), seed).withColumnRenamed("_bucket", "bucket")
+    counts = hashed.groupBy("bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.select("bucket", F.coalesce(before, F.lit(0)).alias("start"))
-    placed = mixed.join(starts, "bucket").withColumn("_at", F.col("start") + F.col("place"))
-    return placed.select("record", "size", F.pmod("_at", F.lit(n_shards)).cast("int").alias("shard"), F.floor(F.col("_at") / n_shards).cast("long").alias("slot"))
+    starts = counts.select(F.col("bucket").alias("_b"), F.coalesce(before, F.lit(0)).alias("start"))
+    full = hashed.groupBy("bucket").agg(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 1), "_key").alias("_order"), "size", "record")).alias("rows"))
+    order = F.array_sort("rows", lambda a, b: F.when(a["_order"] < b["_order"], -1).when(a["_order"] > b["_order"], 1).otherwise(0))
+    mixed = full.join(starts, F.col("bucket") == F.col("_b")).select("start", F.posexplode(F.shuffle(order, F.lit(seed))).alias("place", "x"))
+    at = F.col("start") + F.col("place")
+    return mixed.select("x.record", "x.size", F.pmod(at, F.lit(n_shards)).cast("int").alias("shard"), F.floor(at / n_shards).cast("long").alias("slot"))
 
 
 def write_shards(rows: DataFrame, path: str) -> None:
