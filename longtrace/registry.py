@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = [
     "longtrace.operators.scalar",
     "longtrace.operators.sequence",
+    "longtrace.operators.joins",
+    "longtrace.operators.aggregates",
+    "longtrace.operators.grid",
+    "longtrace.operators.identity",
+    "longtrace.operators.signals",
 ]
 
 
