@@ -260,7 +260,7 @@ def snips(spark, sf) -> DataFrame:
     return snippets(minima(spark, sf).withColumnRenamed("i", "at"), signal(spark, sf), ["channel"], "at", "i", "v", 3, 5, 32)
 
 
-@BOOK.add("e16_snippets", f"WITH {SNIP} SELECT channel, "at", round(list_sum(snippet), 4) AS total, snippet[4] AS centre FROM snip")
+@BOOK.add("e16_snippets", f"WITH {SNIP} SELECT channel, snip.at, round(list_sum(snippet), 4) AS total, snippet[4] AS centre FROM snip")
 def _e16(spark, sf):
     return snips(spark, sf).select("channel", "at", F.round(F.aggregate("snippet", F.lit(0.0), lambda a, x: a + x), 4).alias("total"), F.get("snippet", F.lit(3)).alias("centre"))
 

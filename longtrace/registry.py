@@ -15,6 +15,7 @@ MODULES = [
     "longtrace.operators.grid",
     "longtrace.operators.identity",
     "longtrace.operators.signals",
+    "longtrace.operators.trajectories",
 ]
 
 
