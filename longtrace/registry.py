@@ -16,6 +16,8 @@ MODULES = [
     "longtrace.operators.identity",
     "longtrace.operators.signals",
     "longtrace.operators.trajectories",
+    "longtrace.operators.geometry",
+    "longtrace.operators.units",
 ]
 
 
