@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -215,6 +216,7 @@ def repeats(found: DataFrame, width: int, buckets: int) -> DataFrame:
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             meta, raws = [], []
             for key, doc, text, packs in zip(*(batch.column(k) for k in range(4)), strict=True):
@@ -248,12 +250,13 @@ def repeats(found: DataFrame, width: int, buckets: int) -> DataFrame:
             cols = [[], []]
             for part in np.split(use, cut[1:]):
                 cols[0].append(rows[part].tobytes())
-                cols[1].append(b"".join(raws[i] for i in part[rows["bytes"][part] > 0].tolist()))
+                cols[1].append(squeeze.compress(b"".join(raws[i] for i in part[rows["bytes"][part] > 0].tolist())))
             yield pa.RecordBatch.from_arrays([pa.array(to[cut]), *(pa.array(c, pa.binary()) for c in cols)], ["bucket", "meta", "raw"])
 
     def meet(table: pa.Table) -> pa.Table:
         rows = np.concatenate([np.frombuffer(x, _BLOCK) for x in table.column("meta").to_pylist()])
-        raw = b"".join(table.column("raw").to_pylist())
+        loose = zstandard.ZstdDecompressor()
+        raw = b"".join(loose.decompress(x) for x in table.column("raw").to_pylist())
         done = rows["done"] == 1
         keys, spans = [rows["key"][done]], [_gone(rows["start"][done], rows["size"][done])]
         held = rows[~done]
@@ -322,16 +325,18 @@ def without_substrings(docs: DataFrame, width: int = 100, id_col: str = "doc_id"
     sorted by the difference-cover algorithm, groups of minima by groups of minima,
     and neighbours with width equal bytes form a class whose earliest start stays.
 
+    Documents are dealt by a hash of id and text once; both joins read that exchange.
+
     Null and empty texts have no bytes; a null id comes after all others; rows of
     one id are ordered by start only, so equal rows don't remove each other; an
     empty table gives an empty result; other columns aren't read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64("doc_id", "text").alias("key"), "text")
+    rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // bucket_bytes))
     listed = lambda df: df.groupBy("key").agg(F.collect_list("spans").alias("spans")).withColumnRenamed("key", "k")
-    found = rows.join(listed(candidates(rows.select("key", "text"), width, buckets)), F.col("key") == F.col("k")).select("key", "doc", "text", "spans")
+    found = rows.join(listed(candidates(rows.select("key", "text"), width, buckets)), F.col("key") == F.col("k")).select("key", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "text", "spans")
     gone = listed(repeats(found, width, buckets))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
