@@ -54,13 +54,18 @@ def document_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return picked.mapInArrow(run, "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
 
 
+#: A table of so many hosts at most is sent to every task; a larger one is shuffled.
+BROADCAST_HOSTS = 200_000
+
+
 def host_rates(judged: DataFrame) -> DataFrame:
     """(host, rate): failures shrunk to the hosts' mean by a beta prior whose strength matches the spread of host rates (at most 10,000 documents)."""
     hosts = judged.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("f"))
-    mean, spread = hosts.agg(F.avg(F.col("f") / F.col("n")), F.var_pop(F.col("f") / F.col("n"))).first()
+    mean, spread, n_hosts = hosts.agg(F.avg(F.col("f") / F.col("n")), F.var_pop(F.col("f") / F.col("n")), F.count("*")).first()
     mean, spread = mean or 0.0, spread or 0.0
     strength = min(1e4, max(1.0, mean * (1 - mean) / spread - 1)) if spread > 0 else 1e4
-    return hosts.select("host", ((F.col("f") + mean * strength) / (F.col("n") + strength)).alias("rate"))
+    rates = hosts.select("host", ((F.col("f") + mean * strength) / (F.col("n") + strength)).alias("rate"))
+    return F.broadcast(rates) if n_hosts <= BROADCAST_HOSTS else rates
 
 
 def host_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_rate: float = 0.5, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:

@@ -90,9 +90,12 @@ def train(table: DataFrame, reg: float = 1e-4, benign_weight: float = 6.0) -> tu
     weigh benign_weight times as much, as most unknown URLs are such.
     """
     p = places(*host_and_path(F.col("url")))
-    rows = table.select("y", p.alias("p")).withColumn("n", F.sqrt(F.size("p").cast("double"))).withColumn("weight", F.when(F.col("y") == 1, 1.0).otherwise(benign_weight))
-    counted = rows.select("y", "weight", F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda k: F.size(F.filter("p", lambda x: x == k)) / F.greatest("n", F.lit(1.0))).alias("x"))
-    model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="weight", regParam=reg, standardization=False, maxIter=60).fit(counted.select("y", "weight", array_to_vector("x").alias("x")).cache())
+    grams = table.select("url", "y", F.explode(p).alias("place"), F.sqrt(F.size(p).cast("double")).alias("n"))
+    counts = grams.groupBy("url", "y", "place").agg((F.count("*") / F.first("n")).alias("x"))
+    rows = counts.groupBy("url", "y").agg(F.map_from_entries(F.collect_list(F.struct("place", "x"))).alias("c"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda k: F.coalesce(F.try_element_at("c", k), F.lit(0.0)))
+    counted = rows.select("y", F.when(F.col("y") == 1, 1.0).otherwise(benign_weight).alias("weight"), dense.alias("x")).coalesce(1)
+    model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="weight", regParam=reg, standardization=False, maxIter=40).fit(counted.select("y", "weight", array_to_vector("x").alias("x")).cache())
     return [float(w) for w in model.coefficients], float(model.intercept)
 
 
