@@ -18,6 +18,7 @@ MODULES = [
     "longtrace.operators.trajectories",
     "longtrace.operators.geometry",
     "longtrace.operators.units",
+    "longtrace.streaming.streams",
 ]
 
 
