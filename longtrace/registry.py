@@ -19,6 +19,7 @@ MODULES = [
     "longtrace.operators.geometry",
     "longtrace.operators.units",
     "longtrace.streaming.streams",
+    "longtrace.sources.queries",
 ]
 
 
