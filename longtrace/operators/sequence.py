@@ -312,7 +312,7 @@ def stencil(df: DataFrame, keys: list[str], frame: str, value: str, weights: lis
     rows = df.join(ends, keys)
     mirror = F.filter(F.array(F.col(frame), 2 * F.col("_lo") - 1 - F.col(frame), 2 * F.col("_hi") + 1 - F.col(frame)), lambda f: f.between(F.col("_lo") - k, F.col("_hi") + k))
     seen = rows.withColumn("_f", F.explode(F.array_distinct(mirror)))
-    halo = F.filter(F.array_distinct(F.array(F.floor((F.col("_f") - k) / chunk), F.floor(F.col("_f") / chunk), F.floor((F.col("_f") + k) / chunk))), lambda c: F.lit(True))
+    halo = F.sequence(F.floor((F.col("_f") - k) / chunk), F.floor((F.col("_f") + k) / chunk))
     w = Window.partitionBy(*keys, "_chunk").orderBy("_f")
     total = sum((F.coalesce(F.lag(value, k - i).over(w) if i < k else F.lead(value, i - k).over(w), F.lit(0.0)) * x for i, x in enumerate(weights)), F.lit(0.0))
     spread = seen.withColumn("_chunk", F.explode(halo)).withColumn(out, total)

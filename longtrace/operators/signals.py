@@ -143,7 +143,7 @@ def filtered(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 def bandpass(df: DataFrame, keys: list[str], index: str, value: str, b: np.ndarray, a: np.ndarray, chunk: int, halo: int) -> DataFrame:
     """(keys, index, filtered): forward and backward recursion over chunks of a key, each with halo samples from both neighbours; what decays within halo doesn't depend on chunk."""
-    near = F.array_distinct(F.array(*(F.floor((F.col(index) + d) / chunk) for d in (-halo, 0, halo))))
+    near = F.sequence(F.floor((F.col(index) - halo) / chunk), F.floor((F.col(index) + halo) / chunk))
     spread = df.select(*keys, index, F.col(value).alias("v"), F.explode(near).alias("_c"))
     fields = [*(spread.schema[k] for k in keys), T.StructField(index, T.LongType()), T.StructField("filtered", T.DoubleType())]
 
