@@ -43,25 +43,37 @@ def text_key(id_col: str, text_col: str) -> Column:
 
 
 def chunk_rows(docs: DataFrame, id_col: str, text_col: str, divisor: int, min_lines: int, whole: bool) -> DataFrame:
-    """(id, text, place, hash and, if whole, chunk) of every chunk that can be removed; text: the text's digest."""
+    """(id, text, place, hash) of every chunk that can be removed; text: the text's digest.
+
+    whole: and its bytes as `chunk`, and `later`. Of the equal chunks of an Arrow
+    batch only the first in order carries bytes; the others have an earlier one for
+    certain and are marked later, so that a chunk found everywhere is no hot key.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, joined = [], []
+            rows, joined, first, keys = [], [], {}, list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)) if whole else []
             for i, text in enumerate(batch.column(2)):
                 for place, chunk in enumerate(chunks(text.as_py(), divisor)):
                     if multi_line(chunk, min_lines):
                         raw = b"\n".join(chunk)
                         rows.append((i, place, xxhash.xxh64_intdigest(raw) - (1 << 63)))
                         if whole:
-                            joined.append(raw)
+                            order = (keys[i][0] is not None, keys[i][0] or 0, keys[i][1], place)
+                            if raw not in first or order < first[raw]:
+                                first[raw] = order
+                            joined.append((raw, order))
             at = pa.array([r[0] for r in rows], pa.int64())
             cols = [batch.column(0).take(at), batch.column(1).take(at), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols + [pa.array(joined, pa.binary())] * whole, ["id", "text", "place", "hash"] + ["chunk"] * whole)
+            if whole:
+                later = [order > first[raw] for raw, order in joined]
+                cols.append(pa.array([None if x else raw for x, (raw, _) in zip(later, joined, strict=True)], pa.binary()))
+                cols.append(pa.array(later, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(cols, ["id", "text", "place", "hash", "chunk", "later"][: len(cols)])
 
     keyed = docs.select(text_key(id_col, text_col).alias("k"), F.col(f"`{text_col}`").alias("body")).select("k.id", "k.text", "body")
     id_type = keyed.schema["id"].dataType.simpleString()
-    return keyed.mapInArrow(run, f"id {id_type}, text string, place int, hash long" + ", chunk binary" * whole)
+    return keyed.mapInArrow(run, f"id {id_type}, text string, place int, hash long" + ", chunk binary, later boolean" * whole)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
@@ -72,8 +84,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     equal chunks with min_lines or more lines with words, over the whole table, the
     first stays: smallest id, then text digest, then place. Hash counts find the
     candidates; only their bytes are shuffled, grouped as bytes, so a chunk goes
-    only if an earlier one has the same bytes. Groups are reduced to their first
-    place before they meet, and joined back on the bytes' hash.
+    only if an earlier one has the same bytes. Equal chunks of a batch are reduced
+    to their first before they meet, so a chunk that stands everywhere is no hot key.
 
     Null texts stay null and have no lines; null ids come first; rows equal in id
     and text count as one and keep the same lines; an empty table gives an empty
@@ -81,11 +93,13 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     hashes = chunk_rows(docs, id_col, text_col, divisor, min_lines, whole=False)
     twice = hashes.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    repeated = chunk_rows(docs, id_col, text_col, divisor, min_lines, whole=True).join(twice, "hash", "left_semi")
+    rows = chunk_rows(docs, id_col, text_col, divisor, min_lines, whole=True)
+    repeated = rows.where("not later").join(twice, "hash", "left_semi")
     place = F.struct("id", "text", "place")
     first = repeated.groupBy("hash", "chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = repeated.join(first, ["hash", "chunk"]).where(~place.eqNullSafe(F.col("first")))
-    gone = later.groupBy(F.struct("id", "text").alias("_k")).agg(F.collect_set("place").alias("_gone"))
+    known = rows.where("later").select("id", "text", "place")
+    gone = later.select("id", "text", "place").unionByName(known).groupBy(F.struct("id", "text").alias("_k")).agg(F.collect_set("place").alias("_gone"))
     joined = docs.withColumn("_key", text_key(id_col, text_col)).join(gone, F.col("_key").eqNullSafe(F.col("_k")), "left")
 
     @F.pandas_udf("text string, n_lines long, n_removed_lines long, n_removed_chunks long")
