@@ -110,9 +110,9 @@ def demean_channel(df: DataFrame, keys: list[str], index: str, value: str, batch
     return df.withColumn("centred", F.col(value) - F.avg(value).over(w))
 
 
-@BOOK.add("e8_demean_channel", f"WITH {SIGNAL} SELECT channel, i, round(v - avg(v) OVER (PARTITION BY channel, i // 64), 5) AS centred FROM signal")
+@BOOK.add("e8_demean_channel", f"WITH {SIGNAL} SELECT channel, i, round(v - avg(v) OVER (PARTITION BY channel, i // 64), 9) AS centred FROM signal")
 def _e8(spark, sf):
-    return demean_channel(signal(spark, sf), ["channel"], "i", "v", 64).select("channel", "i", F.round("centred", 5).alias("centred"))
+    return demean_channel(signal(spark, sf), ["channel"], "i", "v", 64).select("channel", "i", F.round("centred", 9).alias("centred"))
 
 
 def butterworth(order: int, low: float, high: float, rate: float) -> tuple[np.ndarray, np.ndarray]:
@@ -218,9 +218,9 @@ def channel_covariance(vectors: DataFrame, vector: str, size: int) -> DataFrame:
     return rows.groupBy("i", (F.col("i") + F.col("k")).alias("j")).agg(F.avg("x").alias("c"))
 
 
-@BOOK.add("e14_channel_covariance", "WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS k FROM embeddings) SELECT a.k::INTEGER AS i, b.k::INTEGER AS j, round(avg(a.v * b.v), 5) AS c FROM x a JOIN x b ON a.vec_id = b.vec_id AND a.k <= b.k GROUP BY 1, 2")
+@BOOK.add("e14_channel_covariance", "WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS k FROM embeddings) SELECT a.k::INTEGER AS i, b.k::INTEGER AS j, CASE WHEN abs(avg(a.v * b.v)) < 0.000005 THEN 0 ELSE round(avg(a.v * b.v), 5) END AS c FROM x a JOIN x b ON a.vec_id = b.vec_id AND a.k <= b.k GROUP BY 1, 2")
 def _e14(spark, sf):
-    return channel_covariance(spark.read.parquet(f"{sf}/embeddings.parquet"), "embedding", 64).withColumn("c", F.round("c", 5))
+    return channel_covariance(spark.read.parquet(f"{sf}/embeddings.parquet"), "embedding", 64).withColumn("c", F.when(F.abs("c") < 0.000005, 0.0).otherwise(F.round("c", 5)))
 
 
 def whiten(vectors: DataFrame, key: str, vector: str, size: int, ridge: float = 1e-6) -> DataFrame:
