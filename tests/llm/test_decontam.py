@@ -1,7 +1,6 @@
 import re
 
 import duckdb
-from pyspark.sql import functions as F
 
 from longtrace.llm import decontam
 
