@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from longtrace.operators.joins import spike_pairs
 from longtrace.operators.signals import SNIP, snips
 from longtrace.plans.standins import HOUR, SPIKES, Book, signal, spikes
+from longtrace.session import written
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
@@ -204,20 +206,21 @@ def _k8(spark, sf):
     return found.select("grp", "n", *(F.round(c, 3).alias(c) for c in ("low_mean", "high_mean", "threshold")), "split")
 
 
-def merge_by_agreement(truth: DataFrame, test: DataFrame, key: str, time: str, unit: str, most: int, gain: float, rounds: int = 3) -> DataFrame:
+def merge_by_agreement(truth: DataFrame, test: DataFrame, key: str, time: str, unit: str, most: int, gain: float) -> DataFrame:
     """(key, unit, round, score): per key, test units are added to the union one by one, the best first, while the score 1 - (miss + false positives) grows by more than gain.
 
     Each round scores all open candidates at once: matches are distinct truth events
-    and distinct test events over the pairs found once; the loop runs a few rounds
-    over aggregates and never over events.
+    and distinct test events over the pairs found once. The loop ends when no key
+    improves, after as many rounds as a key has units at most; each round's table of
+    one row per key is written to the shared folder.
     """
-    named = spike_pairs(truth.select(key, time), test.select(key, time), [key], time, most).join(test.select(key, unit, F.col(time).alias("t_b")), [key, "t_b"])
+    named = written(spike_pairs(truth.select(key, time), test.select(key, time), [key], time, most).join(test.select(key, unit, F.col(time).alias("t_b")), [key, "t_b"]), "agreement_pairs")
     sizes = truth.groupBy(key).agg(F.count("*").alias("_nt"))
     tests = test.groupBy(key, unit).agg(F.count("*").alias("_nu"))
     chosen = None
     base = truth.select(key).distinct().withColumn("_best", F.lit(float("-inf")))
     result = None
-    for k in range(1, rounds + 1):
+    for k in count(1):
         open_units = tests if chosen is None else tests.join(chosen.select(key, unit), [key, unit], "left_anti")
         union = open_units.select(key, unit, F.col(unit).alias("_with"))
         if chosen is not None:
@@ -228,15 +231,16 @@ def merge_by_agreement(truth: DataFrame, test: DataFrame, key: str, time: str, u
         score = 1 - ((1 - F.col("_ma") / F.col("_nt")) + (1 - F.col("_mb") / F.col("_n")))
         scored = hit.join(n, [key, unit]).join(sizes, key).select(key, unit, F.round(score, 9).alias("score"))
         best = scored.groupBy(key).agg(F.max(F.struct("score", (-F.col(unit)).alias("_u"), unit)).alias("b")).select(key, F.col(f"b.{unit}").alias(unit), F.col("b.score").alias("score"))
-        better = best.join(base, key).where(F.col("score") > F.col("_best") + gain).select(key, unit, F.lit(k).alias("round"), "score")
+        better = written(best.join(base, key).where(F.col("score") > F.col("_best") + gain).select(key, unit, F.lit(k).alias("round"), "score"), "agreement")
+        if result is not None and better.isEmpty():
+            return result
         result = better if result is None else result.unionByName(better)
         chosen = better.select(key, unit) if chosen is None else chosen.unionByName(better.select(key, unit))
         base = better.select(key, F.col("score").alias("_best"))
-    return result
 
 
 @BOOK.add("f18_merge_by_agreement")
 def _f18(spark, sf):
     rows = spikes(spark, sf).select((F.col("unit") % 5).alias("grp"), "unit", "t")
-    return merge_by_agreement(rows.where("unit % 10 < 5").select("grp", "t"), rows.where("unit % 10 >= 5"), "grp", "t", "unit", 6 * HOUR, 0.01, 2).withColumn("score", F.round("score", 6))
+    return merge_by_agreement(rows.where("unit % 10 < 5").select("grp", "t"), rows.where("unit % 10 >= 5"), "grp", "t", "unit", 6 * HOUR, 0.01).withColumn("score", F.round("score", 6))
 
