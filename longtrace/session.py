@@ -24,9 +24,11 @@ def local_session(cores: str = "8", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a local one only where none is set."""
+    """The folder all executors share, as set in spark.checkpoint.dir; a local one is made only for a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-longtrace-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -37,4 +39,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def remove(table: DataFrame) -> None:
+    """Delete a written table that nothing will read again."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
