@@ -15,7 +15,11 @@ from longtrace.session import written
 #: A shard of the index holds whole documents of about so many words.
 SHARD_WORDS = 2_000_000
 #: Test texts are sent to the tasks in blocks of at most so many bytes.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+#: A test item's text is cut into pieces of so many words (and the next window's overlap).
+PIECE_WORDS = 4096
+#: Distinct test terms of at most so many bytes thin the index; beyond that it holds every word.
+TERM_BYTES = 16 << 20
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -35,73 +39,75 @@ def _unpack(width: int, packed: bytes) -> np.ndarray:
 
 
 class Phrases:
-    """The windows of a block of test items, as term numbers."""
+    """The windows of a block of pieces of test items, as term numbers."""
 
-    def __init__(self, items: list[tuple], window: int):
+    def __init__(self, items: list[tuple[str, bytes]], window: int):
         self.terms: dict[bytes, int] = {}
         found: dict[tuple, set] = {}
-        for item, text in items:
-            ids = tuple(self.terms.setdefault(w, len(self.terms)) for w in words(text))
+        for item, piece in items:
+            ids = tuple(self.terms.setdefault(w, len(self.terms)) for w in piece.split(b" "))
             for i in range(max(1, len(ids) - window + 1) if ids else 0):
                 found.setdefault(ids[i : i + window], set()).add(item)
         self.windows = list(found.items())
-        self.longest = max((len(w) for w in found), default=0)
 
 
-def index(docs: DataFrame, terms: set[bytes], gap: int, id_col: str = "doc_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
-    """The postings of terms: (shard, term, width, postings), and a directory row (term null) for each shard.
+def index(docs: DataFrame, gap: int, terms: list[bytes] | None = None, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """The postings of terms (None: of every word): (shard, term, width, postings), and a directory row (term null) for each shard.
 
-    A shard is a run of whole documents laid end to end with gap empty positions
-    between them. The directory has each document's id, number of words and place.
+    docs: (key, text). A shard is a run of whole documents laid end to end with gap
+    empty positions between them. The directory has each document's key, number of
+    words and place.
     """
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = {t: i for i, t in enumerate(sorted(terms))}
-        names = sorted(terms)
         part, seq = TaskContext.get().partitionId(), 0
-        state: list = [[], [], [], [], 0]  # ids, lengths, places, arrays of (position, term), next place
+        fixed = None if terms is None else {t: i for i, t in enumerate(terms)}
+
+        def fresh() -> tuple[dict[bytes, int], list]:
+            return {} if fixed is None else fixed, [[], [], [], [], 0]  # keys, lengths, places, arrays of (position, term), next place
 
-        def flush():
-            ids, lengths, places, hits, _ = state
+        def flush(number: dict[bytes, int], state: list, key_type: pa.DataType) -> pa.RecordBatch:
+            keys, lengths, places, hits, _ = state
             at = np.concatenate([h[0] for h in hits])
             term = np.concatenate([h[1] for h in hits])
             order = np.argsort(term, kind="stable")
             found, start = np.unique(term[order], return_index=True)
             lists = [_pack(x) for x in np.split(at[order], start[1:])] if len(found) else []
+            names = list(number) if fixed is None else terms
             n = len(found) + 1
-            shard = (part << 32) + seq
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([shard] * n, pa.int64()),
+                    pa.array([(part << 32) + seq] * n, pa.int64()),
                     pa.array([None, *(names[t] for t in found)], pa.binary()),
                     pa.array([None, *(x[0] for x in lists)], pa.int32()),
                     pa.array([None, *(x[1] for x in lists)], pa.binary()),
-                    pa.array([ids] + [None] * (n - 1), pa.list_(pa.int64())),
+                    pa.array([keys] + [None] * (n - 1), pa.list_(key_type)),
                     pa.array([lengths] + [None] * (n - 1), pa.list_(pa.int64())),
                     pa.array([places] + [None] * (n - 1), pa.list_(pa.int64())),
                 ],
-                ["shard", "term", "width", "postings", "ids", "lengths", "places"],
+                ["shard", "term", "width", "postings", "keys", "lengths", "places"],
             )
 
+        number, state = fresh()
         for batch in batches:
-            for i, text in zip(batch.column(0), batch.column(1), strict=True):
+            key_type = batch.column(0).type
+            for key, text in zip(batch.column(0), batch.column(1), strict=True):
                 ws = words(text.as_py())
-                nums = np.fromiter((number.get(w, -1) for w in ws), np.int32, len(ws))
+                nums = np.fromiter((number.setdefault(w, len(number)) for w in ws) if fixed is None else (fixed.get(w, -1) for w in ws), np.int32, len(ws))
                 at = np.flatnonzero(nums >= 0)
-                state[0].append(i.as_py())
+                state[0].append(key.as_py())
                 state[1].append(len(ws))
                 state[2].append(state[4])
                 state[3].append((at + state[4], nums[at]))
                 state[4] += len(ws) + gap
                 if state[4] >= shard_words:
-                    yield flush()
-                    state[:] = [[], [], [], [], 0]
+                    yield flush(number, state, key_type)
+                    number, state = fresh()
                     seq += 1
         if state[0]:
-            yield flush()
+            yield flush(number, state, key_type)
 
-    schema = "shard long, term binary, width int, postings binary, ids array<long>, lengths array<long>, places array<long>"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    schema = f"shard long, term binary, width int, postings binary, keys array<{docs.schema["key"].dataType.simpleString()}>, lengths array<long>, places array<long>"
+    return docs.mapInArrow(run, schema)
 
 
 def _is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -166,22 +172,41 @@ def search(postings: DataFrame, phrases: Phrases, slop: int = 0) -> DataFrame:
             s = np.array(spans) - place[d]
             np.add.at(mark, s[:, 0], 1)
             np.add.at(mark, s[:, 1], -1)
-            for col, x in zip(out, (table.column("shard")[0].as_py(), d, sorted(map(str, items)), np.flatnonzero(np.cumsum(mark) > 0)), strict=True):
+            for col, x in zip(out, (table.column("shard")[0].as_py(), d, sorted(items), np.flatnonzero(np.cumsum(mark) > 0)), strict=True):
                 col.append(x)
         return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.list_(pa.string())), pa.array(out[3], pa.list_(pa.int32()))], ["shard", "doc", "items", "hits"])
 
     return postings.groupBy("shard").applyInArrow(run, "shard long, doc int, items array<string>, hits array<int>")
 
 
-def blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> list[DataFrame]:
-    """The test items in as many blocks as keep each below block_bytes, as measured."""
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    n = 1 + 2 * size // block_bytes if size > block_bytes else 1
-    return [items if n == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) for k in range(n)]
+def pieces_of(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
+    """(item, piece): the words of every test item, blank-joined, in pieces of PIECE_WORDS and window - 1 more; equal rows once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0), batch.column(1), strict=True):
+                ws = words(text.as_py())
+                cut = [b" ".join(ws[k : k + PIECE_WORDS + window - 1]) for k in range(0, max(1, len(ws) - window + 1), PIECE_WORDS)] if ws else []
+                yield pa.RecordBatch.from_arrays([pa.array([item.as_py()] * len(cut), pa.string()), pa.array(cut, pa.binary())], ["item", "piece"])
+
+    picked = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("None")).alias("item"), F.col(f"`{text_col}`").alias("text"))
+    return picked.mapInArrow(run, "item string, piece binary").distinct()
+
+
+def blocks(pieces: DataFrame, block_bytes: int) -> list[DataFrame]:
+    """The pieces in blocks that were each measured to hold at most block_bytes (or one piece)."""
+    size = F.octet_length("piece") + F.octet_length("item") + 16
+    total, largest = pieces.agg(F.sum(size), F.max(size)).first()
+    n = max(1, -(-(total or 0) // block_bytes))
+    while True:
+        number = F.pmod(F.xxhash64("item", "piece"), F.lit(n))
+        sizes = {r.b: r.s for r in pieces.groupBy(number.alias("b")).agg(F.sum(size).alias("s")).collect()}
+        if max(sizes.values(), default=0) <= max(block_bytes, largest or 0):
+            return [pieces.where(number == k) for k in sorted(sizes)] or [pieces]
+        n *= 2
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, slop: int = 0, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, shard_words: int = SHARD_WORDS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, slop: int = 0, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, shard_words: int = SHARD_WORDS, term_bytes: int = TERM_BYTES) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items, hits, contaminated), a row for each row of docs.
 
     A window is `window` consecutive words of a test item (a shorter item is one
@@ -189,25 +214,35 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, slop:
     words in order with up to slop other words between. hits: the word places
     within any occurrence; items: the item ids found, as strings in order.
 
-    The documents' postings of the test terms are written to the shared folder,
-    one index per block of test items (one block unless the test set is beyond
-    block_bytes), and every shard of documents intersects its own lists, so a word
-    or passage that a third of the documents hold stays spread over the shards.
-    Null texts have no words; null ids are kept; a null item id counts as "None";
-    repeated rows are judged one by one; other columns aren't read; without test
-    items nothing is hit.
+    The documents are read once, into one index of the test terms' postings in the
+    shared folder (of every word, where the distinct test terms are beyond
+    term_bytes), with window + slop + 1 empty positions between documents whatever
+    the test items are. The test items are cut into pieces, the pieces into
+    blocks of a measured size, and the index is searched block by block; hits meet
+    by the index's own document places. A shard of documents intersects its own
+    lists, so a word or passage that a third of the documents hold stays spread.
+
+    Null texts have no words; null ids are kept, of any type; a null item id counts
+    as "None"; repeated rows are judged one by one; a very long text is a shard of
+    its own; other columns aren't read, whatever their names; an empty table gives
+    an empty result and without test items nothing is hit.
     """
-    found, directory = [], None
-    for block in blocks(benchmark, item_col, item_text_col, block_bytes):
-        phrases = Phrases([tuple(r) for r in block.collect()], window)
-        stored = written(index(docs, set(phrases.terms), phrases.longest + slop + 1, id_col, text_col, shard_words), "postings")
-        if directory is None:
-            directory = stored.where("term is null").select("shard", F.posexplode(F.arrays_zip("ids", "lengths")).alias("doc", "x")).select("shard", "doc", F.col("x.ids").alias("doc_id"), F.col("x.lengths").alias("n_words"))
-        found.append(search(stored, phrases, slop))
+    tests = written(pieces_of(benchmark, item_col, item_text_col, window), "pieces")
+    terms = tests.select(F.explode(F.split(F.col("piece").cast("string"), " ")).alias("term")).distinct()
+    few = (terms.agg(F.sum(F.octet_length("term"))).first()[0] or 0) <= term_bytes
+    known = sorted(r.term.encode("utf-8", "surrogatepass") for r in terms.collect()) if few else None
+    keyed = docs.select(F.col(f"`{id_col}`").alias("key"), F.col(f"`{text_col}`").alias("text"))
+    stored = written(index(keyed, window + slop + 1, known, shard_words), "postings")
+    parts = blocks(tests, block_bytes)
+    found = []
+    for block in parts:
+        hits = search(stored, Phrases([tuple(r) for r in block.collect()], window), slop)
+        found.append(hits if len(parts) == 1 else written(hits, "hits"))
     hits = found[0]
     for more in found[1:]:
         hits = hits.union(more)
     hits = hits.groupBy("shard", "doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"))
+    directory = stored.where("term is null").select("shard", F.posexplode(F.arrays_zip("keys", "lengths")).alias("doc", "x")).select("shard", "doc", F.col("x.keys").alias("doc_id"), F.col("x.lengths").alias("n_words"))
     empty = lambda c, kind: F.coalesce(c, F.array().cast(kind))
     return directory.join(hits, ["shard", "doc"], "left").select(
         "doc_id",
