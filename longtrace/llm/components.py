@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from longtrace.session import written
+from longtrace.session import remove, written
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -35,8 +35,10 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """(u, v) links of longs -> (node, root): the smallest node reachable, for every node but the roots.
 
     Each round is a least-neighbour aggregate and a join, so no neighbour list is
-    gathered; rounds are written to the shared folder and only a row count and a
-    checksum come to the driver. Null ends and self links are left out; an empty
+    gathered; a node with very many links is split by adaptive execution's skew join.
+    Rounds are written to the shared folder, the one before removed, and only a row
+    count and a checksum come to the driver. Rounds grow with the logarithm of the
+    longest chain; max_rounds of them without an end raise. Null ends and self links are left out; an empty
     table gives an empty table.
     """
     now = written(edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
@@ -46,7 +48,8 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         if mark == seen or mark[0] == 0:
             break
         seen = mark
-        now = written(_small_star(_large_star(now)), "links")
+        last, now = now, written(_small_star(_large_star(now)), "links")
+        remove(last)
     else:
         raise RuntimeError(f"no fixed point after {max_rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 from longtrace.llm.components import components
 from longtrace.session import written
 
-#: Depth of the trie levels whose leaf counts come to the driver: 2 ** TOP numbers at most.
-TOP = 16
-#: A pair of trie nodes with at most so many leaf pairs is one unit of work.
-LEAF_PAIRS = 1 << 23
+#: Leaves are counted at this depth first, and STEP bits further below nodes that are too heavy.
+TOP, STEP = 12, 4
+#: Two trie nodes of at most so many leaves in all meet in one task; more only where the trie would have over 2 ** SHARE nodes.
+UNIT_KEYS, SHARE = 1 << 13, 13
 #: Frontier rows handled at once within a unit of work.
 CHUNK = 1 << 19
 #: Node pairs with at most so many leaf pairs are compared leaf by leaf.
@@ -52,27 +53,66 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def top_pairs(counts: np.ndarray, max_bits: int, leaf_pairs: int = LEAF_PAIRS) -> np.ndarray:
-    """Walk the trie with itself from the root down: rows (depth, node a, node b) that are units of work.
-
-    counts: leaves below each node at depth TOP. A pair is dropped once its
-    prefixes differ in more than max_bits bits or a side is empty, and is a unit
-    once its leaf pairs are few or depth TOP is reached.
+@dataclass
+class Trie:
+    """The heavy upper part of the binary trie over all fingerprints: a leaf here is a node with few enough leaves below it."""
+
+    depth: np.ndarray
+    low: np.ndarray  # least key below the node
+    child: np.ndarray  # number of the first of two children that stand together; -1: a leaf
+    n: np.ndarray  # a node without keys has no pair
+
+    def high(self, node: np.ndarray) -> np.ndarray:
+        free = np.minimum(64 - self.depth[node], 63).astype(np.uint64)
+        size = np.where(self.depth[node] == 0, ~np.uint64(0), (np.uint64(1) << free) - np.uint64(1))
+        return self.low[node] + size
+
+
+def upper_trie(cells: np.ndarray, half: int) -> Trie:
+    """cells: rows (depth, least key, n) of nodes that hold all keys, disjoint, by key; nodes with over half keys are split as far as cells tell."""
+    low, n = cells["low"], cells["n"].astype(float)
+    below = np.concatenate([[0.0], np.cumsum(n)])
+    depth, first, last, keys = (np.zeros(1, t) for t in (np.int64, np.int64, np.int64, np.uint64))
+    last[0] = len(cells)
+    out: list[list[np.ndarray]] = [[], [], [], []]
+    number = 0
+    while len(depth):
+        total = below[last] - below[first]
+        split = (total > half) & ((last - first > 1) | (cells["depth"][np.minimum(first, len(cells) - 1)] > depth)) & (depth < 64)
+        child = np.full(len(depth), -1, np.int64)
+        child[split] = number + len(depth) + 2 * np.arange(split.sum())
+        for col, x in zip(out, (depth, keys, child, total), strict=True):
+            col.append(x)
+        number += len(depth)
+        middle = keys[split] | (np.uint64(1) << (63 - depth[split]).astype(np.uint64))
+        at = np.searchsorted(low, middle)
+        pair = lambda x, y: np.stack([x, y], 1).ravel()
+        keys, first, last, depth = pair(keys[split], middle), pair(first[split], np.clip(at, first[split], last[split])), pair(np.clip(at, first[split], last[split]), last[split]), np.repeat(depth[split] + 1, 2)
+    return Trie(*(np.concatenate(x) for x in out))
+
+
+def unit_pairs(trie: Trie, max_bits: int) -> np.ndarray:
+    """Walk the upper trie with itself from the root down: rows (node a, node b), both leaves of it.
+
+    A pair is dropped once the prefixes that both have differ in more than max_bits
+    bits or a side has no keys. A leaf waits while the other side goes down.
     """
-    below = np.concatenate([[0], np.cumsum(counts)])
     a = b = diff = np.zeros(1, np.int64)
     units = []
-    for depth in range(TOP + 1):
-        width = TOP - depth
-        n_a, n_b = (below[(x + 1) << width] - below[x << width] for x in (a, b))
-        live = (n_a > 0) & (n_b > 0)
-        done = live & ((n_a * n_b <= leaf_pairs) | (depth == TOP))
-        units.append(np.stack([np.full(done.sum(), depth), a[done], b[done]], 1))
-        a, b, diff = (x[live & ~done] for x in (a, b, diff))
-        a, b, diff = (np.concatenate([f(x, i, j) for i in (0, 1) for j in (0, 1)]) for f, x in ((lambda x, i, j: 2 * x + i, a), (lambda x, i, j: 2 * x + j, b), (lambda x, i, j: x + (i ^ j), diff)))
-        keep = (a <= b) & (diff <= max_bits)
-        a, b, diff = a[keep], b[keep], diff[keep]
-    return np.concatenate(units).astype(np.int64)
+    while len(a):
+        live = (trie.n[a] > 0) & (trie.n[b] > 0) & (diff <= max_bits)
+        a, b, diff = a[live], b[live], diff[live]
+        leaf_a, leaf_b = trie.child[a] < 0, trie.child[b] < 0
+        done = leaf_a & leaf_b
+        units.append(np.stack([a[done], b[done]], 1))
+        both, one, two = ~leaf_a & ~leaf_b, ~leaf_a & leaf_b, leaf_a & ~leaf_b
+        same = a == b
+        parts = [(trie.child[a[both]] + i, trie.child[b[both]] + j, diff[both] + (i ^ j), ~(same[both] & (i > j))) for i in (0, 1) for j in (0, 1)]
+        parts += [(trie.child[a[one]] + i, b[one], diff[one], np.ones(one.sum(), bool)) for i in (0, 1)]
+        parts += [(a[two], trie.child[b[two]] + i, diff[two], np.ones(two.sum(), bool)) for i in (0, 1)]
+        keep = np.concatenate([p[3] for p in parts])
+        a, b, diff = (np.concatenate([p[k] for p in parts])[keep] for k in range(3))
+    return np.concatenate(units)
 
 
 def _roots(n: int, u: np.ndarray, v: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -101,7 +141,8 @@ def _spread(lo_a, n_a, lo_b, n_b):
 def trie_join(keys: np.ndarray, a: tuple[int, int], b: tuple[int, int], depth: int, max_bits: int) -> np.ndarray:
     """Least-index label of every key after linking keys of node a to keys of node b.
 
-    keys: sorted distinct uint64; a, b: index ranges of two nodes of equal depth.
+    keys: sorted distinct uint64; a, b: index ranges of two nodes, depth: that of
+    the upper one.
     Node pairs are taken from a stack in chunks and split bit by bit; differing
     bits are summed and pairs beyond max_bits pruned. A pair whose keys already
     form one component is dropped, so a dense group costs no all-pairs output.
@@ -154,49 +195,83 @@ def trie_join(keys: np.ndarray, a: tuple[int, int], b: tuple[int, int], depth: i
     return label
 
 
-def links(nodes: DataFrame, max_bits: int = 2, leaf_pairs: int = LEAF_PAIRS) -> DataFrame:
+_CELL = np.dtype([("depth", "<i8"), ("low", "<u8"), ("n", "<i8")])
+
+
+def counted_cells(nodes: DataFrame, half_of: Callable[[int], int]) -> tuple[np.ndarray, int]:
+    """Disjoint trie nodes with their leaf counts, none with over half_of(all leaves) unless it is one key; and that half.
+
+    Counting goes STEP bits further below heavy nodes only, of which there are at
+    most 2 ** (SHARE + 1) at any depth, whatever the table's size.
+    """
+    spark = nodes.sparkSession
+    found, depth, half, heavy = [], TOP, 0, None
+    while True:
+        prefix = F.shiftrightunsigned("fp", 64 - depth)
+        rows = nodes if heavy is None else nodes.join(F.broadcast(spark.createDataFrame([(x,) for x in heavy], "up long")), F.shiftrightunsigned("fp", 64 - depth + STEP) == F.col("up"), "left_semi")
+        got = [(r.p, r.n) for r in rows.groupBy(prefix.alias("p")).agg(F.count("*").alias("n")).collect()]
+        if heavy is None:
+            half = half_of(sum(n for _, n in got))
+        full = [(p, n) for p, n in got if n > half and depth < 64]
+        found += [(depth, (p % (1 << depth)) << (64 - depth), n) for p, n in got if n <= half or depth == 64]
+        if not full:
+            cells = np.array(found, _CELL)
+            return cells[np.argsort(cells["low"])], half
+        heavy, depth = [p for p, _ in full], depth + STEP
+
+
+def links(nodes: DataFrame, max_bits: int = 2, unit_keys: int = UNIT_KEYS) -> DataFrame:
     """(u, v): a spanning set of the links between distinct fingerprints (signed longs) that differ in at most max_bits bits.
 
-    nodes: one column fp, distinct, without nulls. The leaf counts of the top
-    levels (2 ** TOP numbers at most, however large the table) go to every task;
-    each derives the same units of work from them and sends its fingerprints,
-    packed, to the units they belong to.
+    nodes: one column fp, distinct, without nulls. Leaf counts of the upper trie
+    (at most about 2 ** (SHARE + 1 + STEP) numbers a depth, however large the table;
+    heavy prefixes are counted deeper) go to every task, which derives the same
+    units of work once, as pairs of nodes. Fingerprints are sorted by range and
+    sent, packed, with the bounds of their unit's nodes, so that a unit needs to
+    know nothing of the others.
     """
     spark = nodes.sparkSession
-    counts = np.zeros(1 << TOP, np.int64)
-    for p, n in nodes.groupBy(F.shiftrightunsigned("fp", 64 - TOP).alias("p")).count().collect():
-        counts[p] = n
-    if counts.sum() < 2:
+    cells, half = counted_cells(nodes, lambda n: max(unit_keys, n >> SHARE) // 2)
+    if cells["n"].sum() < 2:
         return spark.createDataFrame([], "u long, v long")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = top_pairs(counts, max_bits, leaf_pairs)
-        shift = (64 - units[:, 0]).astype(np.uint64)
+        trie = upper_trie(cells, half)
+        units = unit_pairs(trie, max_bits)
+        leaves = np.unique(units)
+        low, high = trie.low[leaves], trie.high(leaves)
+        order = np.argsort(low)
+        leaves, low, high = leaves[order], low[order], high[order]
+        sides = [np.argsort(units[:, k], kind="stable") for k in (0, 1)]
+        ordered = [units[s, k] for k, s in enumerate(sides)]
         for batch in batches:
             keys = np.sort(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-            out = []
-            for side in (1, 2):
-                with np.errstate(over="ignore"):
-                    low = np.where(units[:, 0] == 0, np.uint64(0), units[:, side].astype(np.uint64) << np.minimum(shift, 63))
-                    high = np.where(units[:, 0] == 0, np.uint64(2**64 - 1), low + ((np.uint64(1) << np.minimum(shift, 63)) - np.uint64(1)))
-                lo, hi = np.searchsorted(keys, low), np.searchsorted(keys, high, side="right")
-                full = (hi > lo) & ((side == 1) | (units[:, 1] != units[:, 2]))
-                out += [(int(k), keys[lo[k] : hi[k]].tobytes()) for k in np.flatnonzero(full)]
-            for i in range(0, len(out), 4096):
-                part = out[i : i + 4096]
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.binary())], ["unit", "keys"])
+            lo, hi = np.searchsorted(keys, low), np.searchsorted(keys, high, side="right")
+            for leaf, i, j in zip(leaves[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
+                mine = np.unique(np.concatenate([s[np.searchsorted(o, leaf) : np.searchsorted(o, leaf, side="right")] for s, o in zip(sides, ordered, strict=True)]))
+                packed = keys[i:j].tobytes()
+                for k in range(0, len(mine), 4096):
+                    part = mine[k : k + 4096]
+                    a, b = units[part].T
+                    cols = [pa.array(part), *(pa.array(x.astype(np.int64)) for x in (trie.depth[a], trie.depth[b], trie.low[a].view(np.int64), trie.low[b].view(np.int64))), pa.array([packed] * len(part), pa.binary())]
+                    yield pa.RecordBatch.from_arrays(cols, ["unit", "depth_a", "depth_b", "low_a", "low_b", "keys"])
 
     def join(table: pa.Table) -> pa.Table:
-        depth, a, b = top_pairs(counts, max_bits, leaf_pairs)[table.column("unit")[0].as_py()]
+        depth_a, depth_b, low_a, low_b = (table.column(c)[0].as_py() for c in ("depth_a", "depth_b", "low_a", "low_b"))
         keys = np.unique(np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64))
-        head = keys >> np.uint64(64 - depth) if depth else np.zeros(len(keys), np.uint64)
-        ends = [(int(np.searchsorted(head, x)), int(np.searchsorted(head, x, side="right"))) for x in (np.uint64(a), np.uint64(b))]
-        label = trie_join(keys, ends[0], ends[1], int(depth), max_bits)
-        other = np.flatnonzero(label != np.arange(len(keys)))
+        ends = []
+        for depth, low in ((depth_a, low_a % (1 << 64)), (depth_b, low_b % (1 << 64))):
+            ends.append((int(np.searchsorted(keys, np.uint64(low))), int(np.searchsorted(keys, np.uint64(low + (1 << (64 - depth)) - 1), side="right"))))
         signed = keys.view(np.int64)
+        if any(lo == hi for lo, hi in ends):
+            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        label = trie_join(keys, ends[0], ends[1], min(depth_a, depth_b), max_bits)
+        other = np.flatnonzero(label != np.arange(len(keys)))
         return pa.table({"u": pa.array(signed[other]), "v": pa.array(signed[label[other]])})
 
-    return nodes.select("fp").mapInArrow(send, "unit long, keys binary").groupBy("unit").applyInArrow(join, "u long, v long")
+    sorted_keys = nodes.select("fp").repartitionByRange("fp").sortWithinPartitions("fp")
+    sent = sorted_keys.mapInArrow(send, "unit long, depth_a long, depth_b long, low_a long, low_b long, keys binary")
+    return sent.groupBy("unit").applyInArrow(join, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2, seed: int = 42) -> DataFrame:
@@ -204,9 +279,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Fingerprints within max_bits bits are linked; component_id is the smallest
     doc_id reachable. Null, empty and wordless texts share fingerprint zero.
-    Repeated rows stay repeated; a null doc_id keeps its row and is never a
+    A very long text is hashed in blocks of shingles. Repeated rows and ties stay
+    as they are; a null doc_id keeps its row and is never a
     component's smallest id unless all are null (then component_id is null). An
-    empty table gives an empty result. Other columns of docs are not read.
+    empty table gives an empty result. Other columns of docs, whatever their names,
+    are not read.
     """
     rows = written(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")

@@ -56,8 +56,8 @@ def test_trie_links_match_brute_force(spark):
     want = [fps[i] for i in slow_components(fps)]
     signed = [int(np.uint64(x).astype(np.int64)) for x in fps]
     nodes = spark.createDataFrame([(x,) for x in signed], "fp long")
-    for leaf_pairs in (1 << 23, 64):
-        got = {r.node: r.root for r in components(simhash.links(nodes, 2, leaf_pairs)).collect()}
+    for unit_keys in (1 << 13, 8):
+        got = {r.node: r.root for r in components(simhash.links(nodes, 2, unit_keys)).collect()}
         groups = {}
         for x, w in zip(signed, want, strict=True):
             groups.setdefault(w, set()).add(got.get(x, x))
@@ -65,6 +65,57 @@ def test_trie_links_match_brute_force(spark):
         assert len({min(g) for g in groups.values()}) == len(groups)
 
 
+def uniform_cells(n, top=12, hot=None):
+    """Leaf counts as counted_cells gives them: n keys under each 12-bit prefix, and, if asked, `hot` under one 16-bit prefix."""
+    rows = [(top, p << (64 - top), n) for p in range(1 << top) if hot is None or p != 5]
+    if hot is not None:
+        rows += [(30, (5 << 52) | (k << 34), hot >> 14) for k in range(1 << 14)]
+    cells = np.array(rows, simhash._CELL)
+    return cells[np.argsort(cells["low"])]
+
+
+def units_of(cells, half):
+    trie = simhash.upper_trie(cells, half)
+    return trie, simhash.unit_pairs(trie, 2)
+
+
+def test_units_stay_spread_at_any_size():
+    """60,000 and 200,000 keys under each of 65,536 nodes: billions of fingerprints."""
+    for leaf in (60_000, 200_000):
+        total = leaf << 16
+        cells = np.array([(16, p << 48, leaf) for p in range(1 << 16)], simhash._CELL)
+        half = max(simhash.UNIT_KEYS, total >> simhash.SHARE) // 2
+        trie, units = units_of(cells, half)
+        assert 1 << 13 <= (trie.child < 0).sum() <= 1 << 15 and len(units) < 2_000_000
+        assert trie.n[units].max() <= half
+
+
+def test_a_hot_prefix_is_split_deeper():
+    cells = uniform_cells(2_000, hot=1 << 26)
+    trie, units = units_of(cells, 1 << 13)
+    assert trie.n[units].max() <= 1 << 13
+    inside = (trie.low[units] >> np.uint64(52)) == 5
+    assert inside.all(1).sum() >= 1 << 13
+
+
+def test_pruned_units_hold_all_close_pairs():
+    rnd = random.Random(11)
+    keys = sorted({rnd.getrandbits(64) for _ in range(300)} | {(0xABCD << 48) | rnd.getrandbits(20) for _ in range(300)})
+    counts = {}
+    for k in keys:
+        depth = 30 if k >> 48 == 0xABCD else 12
+        counts[depth, k >> (64 - depth) << (64 - depth)] = counts.get((depth, k >> (64 - depth) << (64 - depth)), 0) + 1
+    cells = np.array([(d, low, n) for (d, low), n in counts.items()], simhash._CELL)
+    trie, units = units_of(cells[np.argsort(cells["low"])], 8)
+    leaf = {}
+    for node in np.unique(units):
+        for k in keys:
+            if trie.low[node] <= np.uint64(k) <= trie.high(np.array([node]))[0]:
+                leaf.setdefault(k, node)
+    pairs = {tuple(sorted(u)) for u in units.tolist()}
+    assert all(tuple(sorted((int(leaf[x]), int(leaf[y])))) in pairs for x in keys for y in keys if (x ^ y).bit_count() <= 2)
+
+
 def test_edge_cases(spark):
     rows = [(5, None, "x"), (3, "", "x"), (9, "a b c d", "x"), (9, "a b c d", "y"), (None, "a b c d", "z"), (1, "word " * 20000, "q"), (None, "lonely text here now", "p")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, fp string").withColumn("component_id", F.lit(1))
