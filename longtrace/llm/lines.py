@@ -11,6 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from longtrace.session import written
+
 #: A chunk ends after a line where the rolling hash of the last two lines leaves 0 modulo DIVISOR.
 DIVISOR = 3
 FACTOR = 31
@@ -42,38 +44,59 @@ def text_key(id_col: str, text_col: str) -> Column:
     return F.struct(F.col(f"`{id_col}`").alias("id"), F.md5(F.col(f"`{text_col}`").cast("binary")).alias("text"))
 
 
-def chunk_rows(docs: DataFrame, id_col: str, text_col: str, divisor: int, min_lines: int, whole: bool) -> DataFrame:
-    """(id, text, place, hash) of every chunk that can be removed; text: the text's digest.
+def free_name(name: str, taken: list[str]) -> str:
+    """name, behind as many underscores as keep it apart from the names taken."""
+    lower = {x.lower() for x in taken}
+    while name.lower() in lower:
+        name = "_" + name
+    return name
 
-    whole: and its bytes as `chunk`, and `later`. Of the equal chunks of an Arrow
-    batch only the first in order carries bytes; the others have an earlier one for
-    certain and are marked later, so that a chunk found everywhere is no hot key.
-    """
+
+def chunk_rows(docs: DataFrame, id_col: str, text_col: str, divisor: int, min_lines: int, whole: bool) -> DataFrame:
+    """(id, text, place, hash) of every chunk that can be removed; text: the text's digest, hash: 128 bits. whole: and its bytes as `chunk`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, joined, first, keys = [], [], {}, list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)) if whole else []
+            rows = []
             for i, text in enumerate(batch.column(2)):
                 for place, chunk in enumerate(chunks(text.as_py(), divisor)):
                     if multi_line(chunk, min_lines):
                         raw = b"\n".join(chunk)
-                        rows.append((i, place, xxhash.xxh64_intdigest(raw) - (1 << 63)))
-                        if whole:
-                            order = (keys[i][0] is not None, keys[i][0] or 0, keys[i][1], place)
-                            if raw not in first or order < first[raw]:
-                                first[raw] = order
-                            joined.append((raw, order))
+                        rows.append((i, place, xxhash.xxh3_128_digest(raw), raw if whole else None))
             at = pa.array([r[0] for r in rows], pa.int64())
-            cols = [batch.column(0).take(at), batch.column(1).take(at), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())]
+            cols = [batch.column(0).take(at), batch.column(1).take(at), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())]
             if whole:
-                later = [order > first[raw] for raw, order in joined]
-                cols.append(pa.array([None if x else raw for x, (raw, _) in zip(later, joined, strict=True)], pa.binary()))
-                cols.append(pa.array(later, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(cols, ["id", "text", "place", "hash", "chunk", "later"][: len(cols)])
+                cols.append(pa.array([r[3] for r in rows], pa.binary()))
+            yield pa.RecordBatch.from_arrays(cols, ["id", "text", "place", "hash", "chunk"][: len(cols)])
 
     keyed = docs.select(text_key(id_col, text_col).alias("k"), F.col(f"`{text_col}`").alias("body")).select("k.id", "k.text", "body")
     id_type = keyed.schema["id"].dataType.simpleString()
-    return keyed.mapInArrow(run, f"id {id_type}, text string, place int, hash long" + ", chunk binary, later boolean" * whole)
+    return keyed.mapInArrow(run, f"id {id_type}, text string, place int, hash binary" + ", chunk binary" * whole)
+
+
+#: Chunks found over HOT times, and over one in HOT_SHARE of all occurrences, are few enough to be broadcast.
+HOT, HOT_SHARE = 10_000, 50_000
+
+
+def repeated_places(docs: DataFrame, id_col: str, text_col: str, divisor: int, min_lines: int) -> DataFrame:
+    """(id, text, place) of the chunks whose bytes occur earlier.
+
+    Bytes meet in an aggregate over (hash, bytes), which Spark starts within each
+    task, so a chunk that stands everywhere is sent once by a task; only its count
+    and first place come out. Occurrences without bytes, written once, are then held
+    against these firsts: the HOT_SHARE commonest at most by broadcast, the others
+    by a join. Chunks of one hash but different bytes (none is known for 128 bits)
+    stay.
+    """
+    small = written(chunk_rows(docs, id_col, text_col, divisor, min_lines, whole=False), "chunks")
+    place = F.struct("id", "text", "place")
+    by_bytes = chunk_rows(docs, id_col, text_col, divisor, min_lines, whole=True).groupBy("hash", "chunk").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    by_hash = by_bytes.groupBy("hash").agg(F.min("first").alias("first"), F.max("n").alias("n"), F.count("*").alias("kinds"))
+    firsts = written(by_hash.where("n > 1 and kinds = 1").select("hash", "first", "n"), "firsts")
+    often = max(HOT, small.count() // HOT_SHARE)
+    hot = F.broadcast(firsts.where(F.col("n") > often).select("hash", "first"))
+    cold = small.join(hot, "hash", "left_anti").join(firsts.where(F.col("n") <= often).select("hash", "first"), "hash")
+    return cold.unionByName(small.join(hot, "hash")).where(~place.eqNullSafe(F.col("first"))).select("id", "text", "place")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
@@ -82,25 +105,17 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Every text is cut at line ends (\\n) into chunks whose borders depend on the two
     lines before them only, so equal passages are cut alike wherever they stand. Of
     equal chunks with min_lines or more lines with words, over the whole table, the
-    first stays: smallest id, then text digest, then place. Hash counts find the
-    candidates; only their bytes are shuffled, grouped as bytes, so a chunk goes
-    only if an earlier one has the same bytes. Equal chunks of a batch are reduced
-    to their first before they meet, so a chunk that stands everywhere is no hot key.
-
-    Null texts stay null and have no lines; null ids come first; rows equal in id
-    and text count as one and keep the same lines; an empty table gives an empty
-    result; column names beginning with an underscore are used for work.
+    first stays: smallest id, then text digest, then place.
+
+    Ids may be of any type that sorts. Null texts stay null and have no lines; empty
+    texts have one empty line; null ids come first; rows equal in id and text count
+    as one and keep the same lines; a very long text is handled whole, in one task;
+    an empty table gives an empty result. A counter whose name docs has already gets
+    an underscore before it; other columns stay as they are, whatever their names.
     """
-    hashes = chunk_rows(docs, id_col, text_col, divisor, min_lines, whole=False)
-    twice = hashes.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    rows = chunk_rows(docs, id_col, text_col, divisor, min_lines, whole=True)
-    repeated = rows.where("not later").join(twice, "hash", "left_semi")
-    place = F.struct("id", "text", "place")
-    first = repeated.groupBy("hash", "chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = repeated.join(first, ["hash", "chunk"]).where(~place.eqNullSafe(F.col("first")))
-    known = rows.where("later").select("id", "text", "place")
-    gone = later.select("id", "text", "place").unionByName(known).groupBy(F.struct("id", "text").alias("_k")).agg(F.collect_set("place").alias("_gone"))
-    joined = docs.withColumn("_key", text_key(id_col, text_col)).join(gone, F.col("_key").eqNullSafe(F.col("_k")), "left")
+    gone = repeated_places(docs, id_col, text_col, divisor, min_lines).groupBy(F.struct("id", "text").alias("k")).agg(F.collect_set("place").alias("gone"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text_key(id_col, text_col).alias("key"))
+    joined = rows.join(gone, F.col("key").eqNullSafe(F.col("k")), "left")
 
     @F.pandas_udf("text string, n_lines long, n_removed_lines long, n_removed_chunks long")
     def cut(text: pd.Series, gone: pd.Series) -> pd.DataFrame:
@@ -113,8 +128,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             out.append((None if t is None else t if not lost else b"\n".join(x for c in kept for x in c).decode("utf-8", "surrogatepass"), n, n - left, len(lost)))
         return pd.DataFrame(out, columns=["text", "n_lines", "n_removed_lines", "n_removed_chunks"])
 
-    done = joined.withColumn("_cut", cut(F.col(f"`{text_col}`"), F.col("_gone")))
-    return done.select(*(F.col("_cut.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns), "_cut.n_lines", "_cut.n_removed_lines", "_cut.n_removed_chunks")
+    done = joined.select("row", cut(F.col("row").getField(text_col), F.col("gone")).alias("cut"))
+    same = [(F.col("cut.text") if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns]
+    return done.select(*same, *(F.col(f"cut.{c}").alias(free_name(c, docs.columns)) for c in ("n_lines", "n_removed_lines", "n_removed_chunks")))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

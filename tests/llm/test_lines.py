@@ -30,3 +30,15 @@ def test_shifted_passages_and_edges(spark):
     assert out[55].text == own(7, 9) and out[54].text == own(9, 20000)
     assert lines.without_repeats(docs.limit(0)).count() == 0
     assert lines.without_repeats(docs.withColumn("text", F.lit("a\nb"))).where("n_removed_lines = 2").count() == 12
+
+
+def test_ids_of_text_names_and_hot_chunks(spark, monkeypatch):
+    """Empty-string ids; columns named as the counters; the same result whether hot chunks are broadcast or not."""
+    shared = "\n".join(f"shared line {k}" for k in range(40))
+    rows = [("" if d == 0 else None if d == 1 else f"id{d}", f"own {d} a\nown {d} b\n{shared}\nown {d} c\nown {d} d", d, "x") for d in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, n_lines long, `a b` string").repartition(7)
+    got = sorted((str(r.doc_id), r.text, r.n_lines, r["_n_lines"], r.n_removed_chunks) for r in lines.without_repeats(docs).collect())
+    assert [r[2] for r in got] == [d for _, d in sorted((str(x[0]), x[2]) for x in rows)]
+    assert sum(r[4] == 0 for r in got) == 1 and next(r for r in got if r[4] == 0)[0] == "None"
+    monkeypatch.setattr(lines, "HOT", 5)
+    assert sorted((str(r.doc_id), r.text, r.n_lines, r["_n_lines"], r.n_removed_chunks) for r in lines.without_repeats(docs.repartition(3)).collect()) == got
