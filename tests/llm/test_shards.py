@@ -1,6 +1,8 @@
 from zlib import crc32
 
 import numpy as np
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from longtrace.llm import shards
 
@@ -21,6 +23,57 @@ def test_law_and_content(spark):
         assert abs(np.corrcoef(order, range(len(order)))[0, 1]) < 0.15
 
 
+def places(df, n=8, **kw):
+    return sorted(tuple(r) for r in shards.sharded(df, n, **kw).select("record.doc_id", "shard", "slot").collect())
+
+
+def test_places_depend_on_table_and_seed_alone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want, before = None, {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        for partitions, adaptive in (("4", "true"), ("7", "true"), ("200", "true"), ("7", "false")):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            got = places(docs, bucket_bytes=200_000)
+            want = want or got
+            assert got == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert places(docs.repartition(5), bucket_bytes=200_000) == want
+    assert places(docs, bucket_bytes=200_000, seed=21) != want
+
+
+def test_fisher_yates_is_even(spark):
+    rows = spark.range(24_000).select(F.sequence(F.lit(0), F.lit(3)).alias("a"), "id").select(shards.fisher_yates(F.col("a"), F.col("id")).alias("o"))
+    n = [r["count"] for r in rows.groupBy("o").count().collect()]
+    assert len(n) == 24 and min(n) > 850 and max(n) < 1150
+
+
+def test_copies_of_one_row_are_spread(spark):
+    docs = spark.range(6000).select(F.when(F.col("id") < 3000, 7).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") < 3000, "same").otherwise(F.col("id").cast("string")).alias("text"))
+    got = shards.sharded(docs, 6, bucket_rows=100)
+    assert got.count() == 6000 and got.where("record.doc_id = 7").count() == 3000
+    n = [r["count"] for r in got.where("record.doc_id = 7").groupBy((F.col("slot") * 6 + F.col("shard") >= 3000).alias("late")).count().collect()]
+    assert len(n) == 2 and min(n) > 1200
+    assert places(docs, bucket_rows=100) == places(docs.repartition(3), bucket_rows=100)
+
+
+def test_files_are_in_slot_order(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i}", i % 3, "x") for i in range(3000)], "doc_id long, text string, shard int, _slot string")
+    rows = shards.sharded(docs, 5)
+    shards.write_shards(rows, str(tmp_path / "out"), file_rows=200)
+    want = {r.doc_id: (r.shard, r.slot) for r in rows.select("record.doc_id", "shard", "slot").collect()}
+    seen = {}
+    for path in (tmp_path / "out").glob("_shard=*/*.parquet"):
+        table = pq.ParquetFile(path).read()
+        slots = table.column("slot").to_pylist()
+        assert slots == sorted(slots) and len(slots) <= 200
+        shard = int(path.parent.name.split("=")[1])
+        seen |= {d: (shard, s) for d, s in zip(table.column("doc_id").to_pylist(), slots, strict=True)}
+    assert seen == want
+
+
 def test_query_edges_and_files(spark, tmp_path):
     rows = [(1, None, "x"), (1, None, "x"), (None, "t", "y"), (2, "", "z"), (3, "long " * 50000, "z")] + [(4, "same", "s")] * 50
     docs = spark.createDataFrame(rows, "doc_id long, text string, bucket string")
