@@ -54,40 +54,79 @@ def document_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return picked.mapInArrow(run, "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
 
 
-#: A table of so many hosts at most is sent to every task; a larger one is shuffled.
+#: Rules whose failures are counted by host: name -> whether a document fails it. The first two fail the document itself.
+RULES = {
+    "short": "n_words < {min_words}",
+    "repeats": "100 * n_repeat_words > {max_repeat_percent} * n_words",
+    "symbols": "100 * n_symbols > 5 * word_chars",
+    "dup_lines": "n_dup_lines >= 5",
+}
+#: A table of so many hosts at most is sent to every task.
 BROADCAST_HOSTS = 200_000
-
-
-def host_rates(judged: DataFrame) -> DataFrame:
-    """(host, rate): failures shrunk to the hosts' mean by a beta prior whose strength matches the spread of host rates (at most 10,000 documents)."""
-    hosts = judged.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("f"))
-    mean, spread, n_hosts = hosts.agg(F.avg(F.col("f") / F.col("n")), F.var_pop(F.col("f") / F.col("n")), F.count("*")).first()
-    mean, spread = mean or 0.0, spread or 0.0
-    strength = min(1e4, max(1.0, mean * (1 - mean) / spread - 1)) if spread > 0 else 1e4
-    rates = hosts.select("host", ((F.col("f") + mean * strength) / (F.col("n") + strength)).alias("rate"))
-    return F.broadcast(rates) if n_hosts <= BROADCAST_HOSTS else rates
-
-
-def host_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_rate: float = 0.5, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_rate, kept), a row for each row of docs.
+#: Beyond that only hosts of over LARGE documents, and over one in LARGE_SHARE of all, which are LARGE_SHARE at most; the rest is shuffled.
+LARGE, LARGE_SHARE = 10_000, 50_000
+#: The prior counts as so many documents at most: hosts that differ by chance alone are taken as equal.
+MOST_STRENGTH = 10_000.0
+#: A host is rejected if its rate of a rule is above the mean by more than EXCESS, SIGMAS standard deviations of its own rate allowed for.
+EXCESS, SIGMAS = 0.25, 2.0
+
+
+def host_verdicts(judged: DataFrame) -> DataFrame:
+    """(host, n, rates, rejected): a host's failures of each rule, shrunk to the mean of all documents.
+
+    The beta prior of a rule comes from beta-binomial moments weighted by the
+    hosts' documents: the correlation within hosts is the spread of host rates
+    beyond what chance gives hosts of these sizes, so many one-document hosts tell
+    nothing of it and leave the prior at MOST_STRENGTH. Only the rules' sums come to
+    the driver.
+    """
+    hosts = written(judged.groupBy("host").agg(F.count("*").alias("n"), *(F.sum(F.col(f"fails_{r}").cast("long")).alias(f"f_{r}") for r in RULES)), "hosts")
+    total = hosts.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.count("*").alias("k"), *(F.sum(f"f_{r}").alias(f"f_{r}") for r in RULES)).first()
+    n, k = total.n or 0, total.k
+    means = {r: (total[f"f_{r}"] or 0) / max(n, 1) for r in RULES}
+    spreads = hosts.agg(*(F.sum(F.col("n") * (F.col(f"f_{r}") / F.col("n") - means[r]) ** 2).alias(r) for r in RULES)).first()
+    free = n - (total.nn or 0) / max(n, 1) - (k - 1)
+    rates, bad = [], F.lit(False)
+    for r, m in means.items():
+        within = ((spreads[r] or 0.0) / (m * (1 - m)) - (k - 1)) / free if free > 0 and 0 < m < 1 else 0.0
+        strength = min(MOST_STRENGTH, max(0.0, 1 / within - 1)) if within > 0 else MOST_STRENGTH
+        rate = (F.col(f"f_{r}") + m * strength) / (F.col("n") + strength)
+        rates.append(rate.alias(r))
+        bad = bad | (rate - SIGMAS * F.sqrt(rate * (1 - rate) / (F.col("n") + strength + 1)) > m + EXCESS)
+    return hosts.select("host", "n", F.struct(*rates).alias("rates"), bad.alias("rejected"))
+
+
+def with_verdicts(judged: DataFrame) -> DataFrame:
+    """judged with its host's rates and rejected; a hot host never goes through one task."""
+    found = host_verdicts(judged)
+    told = found.drop("n")
+    if found.count() <= BROADCAST_HOSTS:
+        return judged.join(F.broadcast(told), "host")
+    most = max(LARGE, judged.count() // LARGE_SHARE)
+    large = F.broadcast(found.where(F.col("n") > most).drop("n"))
+    small = judged.join(large.select("host"), "host", "left_anti").join(found.where(F.col("n") <= most).drop("n"), "host")
+    return judged.join(large, "host").unionByName(small)
+
+
+def host_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_rates, host_rejected, kept), a row for each row of docs.
 
     A document fails the base rules with fewer than min_words words or more than
     max_repeat_percent percent of its words in repeated three-word windows. It is
-    kept if it passes and its host's shrunken rate of failures is at most
-    max_rate. Null and empty texts have no words and fail; documents without a
-    host form one host; null ids and repeated rows are kept as rows; an empty
-    table gives an empty result; other columns aren't read.
+    kept if it passes and its host isn't rejected (host_verdicts). Null and empty
+    texts have no words and fail; documents without a host form one host; a very
+    long text is measured whole; null ids, ties and repeated rows are kept as rows;
+    an empty table gives an empty result; other columns aren't read.
     """
-    judged = written(
-        document_measures(docs, id_col, text_col, host_col).withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))),
-        "measures",
-    )
-    rated = judged.join(host_rates(judged), "host")
-    return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("rate").alias("host_rate"), (~F.col("base_failed") & (F.col("rate") <= max_rate)).alias("kept"))
+    measured = document_measures(docs, id_col, text_col, host_col)
+    fails = {r: F.expr(rule.format(min_words=min_words, max_repeat_percent=max_repeat_percent)) for r, rule in RULES.items()}
+    judged = written(measured.withColumns({f"fails_{r}": f for r, f in fails.items()} | {"base_failed": fails["short"] | fails["repeats"]}), "measures")
+    rated = with_verdicts(judged)
+    return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("rates").alias("host_rates"), F.col("rejected").alias("host_rejected"), (~F.col("base_failed") & ~F.col("rejected")).alias("kept"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_rules(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("host_rate")
+    return host_rules(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("host_rates", "host_rejected")
 
 
 OP10_SQL = r"""
@@ -106,11 +145,21 @@ WITH t AS (
          (length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM t LEFT JOIN rep USING (doc_id) LEFT JOIN ln USING (doc_id)
-), j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
-h AS (SELECT source, count(*) AS n, sum(base_failed::BIGINT) AS f FROM j GROUP BY source),
-p AS (SELECT avg(f / n) AS mean, var_pop(f / n) AS spread FROM h),
-s AS (SELECT mean, CASE WHEN spread > 0 THEN least(1e4, greatest(1.0, mean * (1 - mean) / spread - 1)) ELSE 1e4 END AS strength FROM p),
-r AS (SELECT source, (f + mean * strength) / (n + strength) AS rate FROM h, s)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept
-FROM j JOIN r ON j.source IS NOT DISTINCT FROM r.source
+), j AS (
+  SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repeats, 100 * n_symbols > 5 * word_chars AS symbols, n_dup_lines >= 5 AS dup_lines FROM m
+), l AS (
+  SELECT source, u.rule AS rule, u.failed::BIGINT AS failed
+  FROM (SELECT source, unnest([{'rule': 'short', 'failed': short}, {'rule': 'repeats', 'failed': repeats}, {'rule': 'symbols', 'failed': symbols}, {'rule': 'dup_lines', 'failed': dup_lines}]) AS u FROM j)
+), h AS (SELECT source, rule, count(*)::DOUBLE AS n, sum(failed)::DOUBLE AS f FROM l GROUP BY source, rule),
+p AS (SELECT rule, sum(f) / sum(n) AS m, sum(n) AS n, sum(n * n) AS nn, count(*) AS k FROM h GROUP BY rule),
+x AS (
+  SELECT p.rule, p.m, CASE WHEN p.n - p.nn / p.n - (p.k - 1) > 0 AND p.m > 0 AND p.m < 1
+    THEN (sum(h.n * (h.f / h.n - p.m) ** 2) / (p.m * (1 - p.m)) - (p.k - 1)) / (p.n - p.nn / p.n - (p.k - 1)) ELSE 0 END AS w
+  FROM h JOIN p ON h.rule = p.rule GROUP BY p.rule, p.m, p.n, p.nn, p.k
+),
+s AS (SELECT rule, m, CASE WHEN w > 0 THEN least(10000, greatest(0, 1 / w - 1)) ELSE 10000 END AS strength FROM x),
+r AS (SELECT source, m, n + strength AS size, (f + m * strength) / (n + strength) AS rate FROM h JOIN s ON h.rule = s.rule),
+v AS (SELECT source, bool_or(rate - 2 * sqrt(rate * (1 - rate) / (size + 1)) > m + 0.25) AS rejected FROM r GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed, NOT (short OR repeats) AND NOT rejected AS kept
+FROM j JOIN v ON j.source IS NOT DISTINCT FROM v.source
 """
