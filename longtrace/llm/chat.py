@@ -84,7 +84,7 @@ def format_chats(turns: DataFrame, parts: Column, conv_col: str = "conv_id", tur
     shown = rows.select(
         "conv_id",
         F.col("turn"),
-        F.floor(F.col("turn") / BLOCK).alias("block"),
+        F.expr(f"turn div {BLOCK}").alias("block"),
         F.col("role"),
         F.concat(head, body, F.lit(END)).alias("shown"),
         F.char_length(head).alias("head"),
@@ -95,6 +95,9 @@ def format_chats(turns: DataFrame, parts: Column, conv_col: str = "conv_id", tur
         ).alias("attachments"),
     )
     one = F.struct("turn", "role", "shown", "head", "learnt", "attachments")
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
+    span = lambda a, t: F.struct((a["at"] + t["head"]).alias("start"), (F.char_length(t["shown"]) - t["head"] - len(END)).alias("length"))
+    walked = F.aggregate("turns", start, lambda a, t: F.struct((a["at"] + F.char_length(t["shown"])).alias("at"), F.when(t["learnt"], F.concat(a["spans"], F.array(span(a, t)))).otherwise(a["spans"]).alias("spans")))
     blocks = shown.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(one)).alias("turns"))
     blocks = blocks.select(
         "conv_id",
@@ -102,20 +105,19 @@ def format_chats(turns: DataFrame, parts: Column, conv_col: str = "conv_id", tur
             "block",
             F.size("turns").cast("long").alias("n"),
             F.array_join(F.col("turns.shown"), "").alias("shown"),
-            F.transform("turns", lambda t: F.struct(F.char_length(t["shown"]).alias("size"), t["head"].alias("head"), t["learnt"].alias("learnt"))).alias("sizes"),
+            F.char_length(F.array_join(F.col("turns.shown"), "")).cast("long").alias("size"),
+            walked["spans"].alias("spans"),
             F.flatten("turns.attachments").alias("attachments"),
         ).alias("b"),
     )
     whole = blocks.groupBy("conv_id").agg(F.array_sort(F.collect_list("b")).alias("b"))
-    sizes = F.flatten("b.sizes")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-    span = lambda a, s: F.struct((a["at"] + s["head"]).alias("start"), (s["size"] - s["head"] - len(END)).alias("length"))
-    walked = F.aggregate(sizes, start, lambda a, s: F.struct((a["at"] + s["size"]).alias("at"), F.when(s["learnt"], F.concat(a["spans"], F.array(span(a, s)))).otherwise(a["spans"]).alias("spans")))
+    origin = F.aggregate("b.size", F.array(F.lit(0).cast("long")), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+    moved = F.zip_with("b.spans", F.slice(origin, F.lit(1), F.size("b")), lambda spans, o: F.transform(spans, lambda x: F.struct((x["start"] + o).cast("int").alias("start"), x["length"].alias("length"))))
     return whole.select(
         "conv_id",
         F.aggregate("b.n", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_turns"),
         F.array_join("b.shown", "").alias("formatted"),
-        walked["spans"].alias("loss"),
+        F.flatten(moved).alias("loss"),
         F.flatten("b.attachments").alias("attachments"),
         F.aggregate(F.flatten("b.attachments"), F.lit(0).cast("long"), lambda a, x: a + x["tokens"]).alias("expanded_tokens"),
     )

@@ -143,8 +143,8 @@ class Encoder:
         self.unknown = {i for i, p in enumerate(proto.pieces) if p.type == UNKNOWN}
         self.names = [str(i) for i in range(len(proto.pieces))]
 
-    def encode(self, text: str) -> tuple[list[int], np.ndarray]:
-        """Ids, and (n, 2) spans of source bytes."""
+    def encode(self, text: str) -> tuple[list[int], np.ndarray | None]:
+        """Ids, and (n, 2) spans of source bytes, or no spans where the pieces don't cover the normalised text."""
         ids = self.sp.encode(text, num_threads=1)
         out, align = normalise(text.encode(), self.rules)
         width = self.width[ids] if ids else np.zeros(0, np.int64)
@@ -152,7 +152,7 @@ class Encoder:
             width = np.array([len(p.encode()) if i in self.unknown else w for i, p, w in zip(ids, self.sp.encode(text, out_type=str), width, strict=True)])
         ends = np.cumsum(width)
         if len(out) != (ends[-1] if len(ends) else 0):
-            raise ValueError("pieces don't cover the normalised text")
+            return ids, None
         return ids, np.stack([align[ends - width], align[ends]], 1)
 
 
@@ -165,17 +165,19 @@ def model_bytes(path: str) -> bytes:
 def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>, starts array<int>, ends array<int>), a row for each row of docs.
 
-    Spans are source bytes of the UTF-8 text. A null or empty text has no pieces;
-    repeated rows stay repeated; null ids stay null; other columns aren't read.
+    Spans are source bytes of the UTF-8 text; starts and ends are null where the
+    library's pieces don't cover the normalised text (none is known). A null or empty
+    text has no pieces; a very long text is encoded whole; repeated rows stay
+    repeated; null ids stay null; an empty table gives an empty result; other
+    columns aren't read.
     """
 
     def run(batches):
         encoder = Encoder(model)
         for batch in batches:
-            for i, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids, spans = encoder.encode(text.as_py() or "")
-                cols = [pa.array([x], pa.list_(pa.int32())) for x in (ids, spans[:, 0], spans[:, 1])]
-                yield pa.RecordBatch.from_arrays([pa.array([i.as_py()], pa.int64()), *cols], ["doc_id", "ids", "starts", "ends"])
+            found = [encoder.encode(text.as_py() or "") for text in batch.column(1)]
+            cols = [[np.asarray(ids, np.int32) for ids, _ in found], *([None if s is None else s[:, k].astype(np.int32) for _, s in found] for k in (0, 1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.list_(pa.int32())) for c in cols)], ["doc_id", "ids", "starts", "ends"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, ids array<int>, starts array<int>, ends array<int>")
 
@@ -197,7 +199,10 @@ def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
     n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256 (the decoded
     text), span_bytes (source bytes from the first span's start to the last one's
     end) and spans_sha256 (little-endian 32-bit starts and ends); with_ids: the ids
-    too. Null texts count as empty: no pieces.
+    too. The span columns are null where the pieces don't cover the normalised text.
+    Null texts count as empty: no pieces; a very long text is encoded whole; repeated
+    rows and null ids stay; an empty table gives an empty result; other columns
+    aren't read.
     """
 
     def run(batches):
@@ -210,8 +215,8 @@ def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
                 cols[0].append(len(ids))
                 cols[1].append(hashlib.sha256(",".join([encoder.names[i] for i in ids]).encode()).hexdigest())
                 cols[2].append(hashlib.sha256(encoder.sp.decode(ids).encode()).hexdigest())
-                cols[3].append(int(spans[-1, 1] - spans[0, 0]) if ids else 0)
-                cols[4].append(hashlib.sha256(spans.astype("<u4").tobytes()).hexdigest())
+                cols[3].append(None if spans is None else int(spans[-1, 1] - spans[0, 0]) if ids else 0)
+                cols[4].append(None if spans is None else hashlib.sha256(spans.astype("<u4").tobytes()).hexdigest())
                 if with_ids:
                     all_ids.append(np.array(ids, np.int32))
             kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
