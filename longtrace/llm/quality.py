@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from longtrace.llm.lines import free_name
+
 #: Hashed words have 2 ** WORD_BITS places; structure and metadata places follow.
 WORD_BITS = 15
 #: Each structure statistic falls into one of so many steps, by its fixed edges.
@@ -132,17 +134,23 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", size_col: str = "n_chars", max_rows: int = 12_000) -> Machine:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", size_col: str = "n_chars", max_rows: int = 12_000, max_bytes: int = 256 << 20) -> Machine:
     """Fit on the labelled rows that are not held out.
 
-    max_rows bounds the fit: with more labelled rows than that, those are used
-    whose id's hash falls below the matching share, so about max_rows of them. Only
-    their features come to the driver. Rows with a null id or label teach nothing.
+    max_rows and max_bytes bound the fit: with more labelled rows, or more bytes of
+    features (each text's are bounded from its length), those are used whose id's
+    hash falls below the matching share, so about that many. Only their features
+    come to the driver. Rows with a null id or label teach nothing; repeated rows
+    count as often as they come; without labelled rows, or with one label only, all
+    get one score.
     """
-    known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").where(~held_out("doc_id"))
-    n = known.count()
-    if n > max_rows:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(max_rows / n * (1 << 20)))
+    known = labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").where(~held_out("doc_id"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{size_col}`").cast("long").alias("size"))
+    most = 8 * (F.least(F.coalesce(F.octet_length("text"), F.lit(0)) / 2 + 1, F.lit(1 << WORD_BITS)) + len(EDGES))
+    n, size = rows.select("doc_id", most.alias("most")).join(known, "doc_id").agg(F.count("*"), F.sum("most")).first()
+    share = min(1.0, max_rows / max(n, 1), max_bytes / max(size or 0, 1))
+    if share < 1:
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def run(batches):
         cache: dict[bytes, int] = {}
@@ -151,14 +159,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 place, value = features(text.as_py(), size.as_py(), cache)
                 yield pa.RecordBatch.from_arrays([pa.array([place.astype("<i4").tobytes()], pa.binary()), pa.array([value.astype("<f4").tobytes()], pa.binary()), pa.array([y.as_py()], pa.int32())], ["place", "value", "y"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(size_col).cast("long").alias("size")).join(F.broadcast(known), "doc_id").select("text", "size", "y")
-    found = rows.mapInArrow(run, "place binary, value binary, y int").toArrow()
+    found = rows.join(F.broadcast(known) if n <= 10 * max_rows else known, "doc_id").select("text", "size", "y").mapInArrow(run, "place binary, value binary, y int").toArrow()
     data = sorted(zip(*(found.column(c).to_pylist() for c in ("place", "value", "y")), strict=True))
     return fit([(np.frombuffer(p, "<i4").astype(np.int64), np.frombuffer(v, "<f4").astype(float), y) for p, v, y in data])
 
 
 def scores(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, *keep, score) for every row; null or empty texts are scored by their structure alone."""
+    """(doc_id, *keep, score), a row for each row of docs.
+
+    Null, empty and wordless texts are scored by their structure alone, a null
+    size_col as 0; a very long text is read whole; repeated rows and null ids stay;
+    an empty table gives an empty result. If the id or a kept column is called
+    score, this one is called _score.
+    """
+    names = [id_col, *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
@@ -170,14 +184,12 @@ def scores(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col:
                 out[at : at + 256] = machine.score(np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows]), start)
             yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.array(out)], [*b.schema.names[2:], "score"])
 
-    picked = docs.select(F.col(text_col).alias("_text"), F.col(size_col).cast("long").alias("_size"), F.col(id_col), *keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[2:]) + ", score double"
-    return picked.mapInArrow(run, schema)
+    picked = docs.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{size_col}`").cast("long").alias("size"), *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in picked.schema.fields[2:]) + ", score double"
+    return picked.mapInArrow(run, schema).select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(names)), F.col("score").alias(free_name("score", names)))
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score; learns from labels that are not held out, text and character count only."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     return scores(docs, train(docs, labels)).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
-
-
