@@ -38,10 +38,9 @@ def band_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, low:
     join on keys and bucket with the range as residual: no nested loop, and a long
     series is spread over its buckets. `how`: inner, left or left_semi.
     """
-    spread = right.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(low) / bucket), F.floor(F.col(high) / bucket))))
+    of = F.explode(F.sequence(F.floor(F.col(low) / bucket), F.floor(F.col(high) / bucket)))
+    spread = right.select(*(F.col(k).alias(f"_key_{k}") for k in keys), *(c for c in right.columns if c not in keys), of.alias("_range"))
     cut = left.withColumn("_bucket", F.floor(F.col(at) / bucket))
-    on = [cut[k] == spread[k] for k in keys] + [cut["_bucket"] == spread["_bucket"], cut[at] >= spread[low], cut[at] <= spread[high]]
-    joined = cut.join(spread, on, how)
-    for k in [*keys, "_bucket"]:
-        joined = joined.drop(spread[k]) if how != "left_semi" else joined
-    return joined.drop("_bucket") if how == "left_semi" else joined.drop(cut["_bucket"])
+    on = [F.col(k) == F.col(f"_key_{k}") for k in keys]
+    on += [F.col("_bucket") == F.col("_range"), F.col(at) >= F.col(low), F.col(at) <= F.col(high)]
+    return cut.join(spread, on, how).drop("_bucket", "_range", *(f"_key_{k}" for k in keys))

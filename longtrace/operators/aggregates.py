@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from longtrace.operators.joins import PAIRS, VEC, centres, train_pairs
 from longtrace.operators.sequence import DAYS30, DROPOUT, EVENTS, HOUR, REACH, _d29, dropouts, segments
-from longtrace.plans.standins import FRAMES, POSE, SIGNAL, SPIKES, Book, frames, pose, signal, spikes
+from longtrace.plans.standins import FRAMES, POSE, SIGNAL, SPIKES, Book, events, frames, pose, signal, spikes
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
@@ -98,11 +98,11 @@ def pulse_counts(pulses: DataFrame, counts: DataFrame, event: str, time: str) ->
 
 @BOOK.add(
     "g6_pulse_counts",
-    f"WITH {FC}, m AS (SELECT event, max(k) AS m FROM counts GROUP BY event), r AS (SELECT user_id % 8 AS event, t, row_number() OVER (PARTITION BY user_id % 8 ORDER BY t) AS k FROM ev WHERE user_id % 3 = 0) "
+    f"WITH {FC}, m AS (SELECT event, max(k) AS m FROM counts GROUP BY event), r AS (SELECT user_id // 4 AS event, t, row_number() OVER (PARTITION BY user_id // 4 ORDER BY t) AS k FROM ev WHERE event_type = 'click') "
     "SELECT event, count(*) AS pulses, count(*) FILTER (k <= m) AS kept, max(t) FILTER (k <= m) AS end_time, count(*) FILTER (k > m) AS surplus FROM r JOIN m USING (event) GROUP BY event",
 )
 def _g6(spark, sf):
-    pulses = spikes(spark, sf).where("unit % 3 = 0").select((F.col("unit") % 8).alias("event"), "t")
+    pulses = events(spark, sf).where("event_type = 'click'").select(F.expr("user_id div 4").alias("event"), "t")
     return pulse_counts(pulses, event_frame_counts(odd_frames(spark, sf), "event", "cam"), "event", "t")
 
 
@@ -125,12 +125,9 @@ def spurious_sessions(events: DataFrame, session: str, least_events: int, least_
     return stats.where(((F.col("n") <= 2) & (F.col("longest") < least_length)) | (F.col("n") < least_events))
 
 
-@BOOK.add("g8_spurious_sessions", f"WITH {EVENTS} SELECT unit, count(*) AS n, max(stop - start) AS longest FROM segments GROUP BY unit HAVING (count(*) <= 2 AND max(stop - start) < {HOUR}) OR count(*) < 6 OR unit = 1")
+@BOOK.add("g8_spurious_sessions", f"WITH {EVENTS} SELECT unit, count(*) AS n, max(stop - start) AS longest FROM segments GROUP BY unit HAVING (count(*) <= 2 AND max(stop - start) < {HOUR}) OR count(*) < 36")
 def _g8(spark, sf):
-    rows = segments(spark, sf)
-    found = spurious_sessions(rows, "unit", 6, HOUR)
-    first = rows.where("unit = 1").groupBy("unit").agg(F.count("*").alias("n"), F.max(F.col("stop") - F.col("start")).alias("longest"))
-    return found.unionByName(first.join(found.select("unit"), "unit", "left_anti"))
+    return spurious_sessions(segments(spark, sf), "unit", 36, HOUR)
 
 
 def event_lengths(df: DataFrame, keys: list[str], number: str, time: str) -> DataFrame:
@@ -220,18 +217,49 @@ def normal_cdf(z: pd.Series) -> pd.Series:
     return z.map(lambda x: 0.5 * (1 + math.erf(x / math.sqrt(2))))
 
 
-def refractory_scores(ccg: DataFrame, key: str, centre: int, shoulder: int) -> DataFrame:
-    """(key, q, r): events per bin within centre bins of zero (itself left out) over those beyond shoulder; chance of so few if both rates were equal."""
-    near = (F.abs("bin") <= centre) & (F.col("bin") != 0)
-    stats = ccg.groupBy(key).agg(F.sum(F.when(near, F.col("n"))).alias("_n"), F.avg(F.when(F.abs("bin") > shoulder, F.col("n"))).alias("_base"))
-    expected = 2 * centre * F.col("_base")
-    z = (F.col("_n") - expected) / F.sqrt(F.greatest(expected, F.lit(1e-9)))
-    return stats.where("_base > 0").select(key, (F.col("_n") / expected).alias("q"), normal_cdf(z).alias("r"))
+def refractory_scores(ccg: DataFrame, sizes: DataFrame, key: str, bins: int, width: int, widths: int = 10) -> DataFrame:
+    """(key, i, q00, q01, q, r) for i = 1..widths from a correlogram of bins -bins..bins of width.
+
+    sizes: (key, n_a, n_b, length of the recording). Rates are relative to those of
+    independent trains: q00 of the outer halves, q01 of the larger near shoulder
+    (10 to 50 bins off), q of the i bins either way of zero, itself left out. r:
+    chance of so few there if they came at the largest of the shoulder rates
+    (normal approximation); NULL if the shoulders are empty.
+    """
+    b, n = F.col("bin"), F.col("n")
+    outer = b.between(1 - bins, -(bins // 2) - 1) | b.between(bins // 2, bins - 1)
+    mean = lambda where: F.avg(F.when(where, n))
+    near = [F.sum(F.when((F.abs(b) <= i) & (b != 0), n)) for i in range(1, widths + 1)]
+    stats = ccg.groupBy(key).agg(mean(outer).alias("_o"), F.greatest(mean(b.between(-50, -10)), mean(b.between(11, 49))).alias("_s"), F.array(*near).alias("_near")).join(sizes, key)
+    expected = width * F.col("n_a") * F.col("n_b") / F.col("length")
+    rows = stats.select(key, F.col("_o").alias("_outer"), F.greatest("_o", "_s").alias("_base"), expected.alias("_e"), F.col("_s").alias("_shoulder"), F.posexplode("_near").alias("_i", "_c")).withColumn("i", F.col("_i") + 1)
+    lam = F.col("_base") * F.col("i")
+    z = (F.col("_c") / 2 - lam) / F.sqrt(F.when(lam > 0, lam))
+    return rows.select(key, "i", (F.col("_outer") / F.col("_e")).alias("q00"), (F.col("_shoulder") / F.col("_e")).alias("q01"), (F.col("_c") / (2 * F.col("i") * F.col("_e"))).alias("q"), normal_cdf(z).alias("r"))
+
+
+def phi_sql(z: str) -> str:
+    """The normal distribution function in SQL: the all-positive series of the error function."""
+    x = f"greatest(abs({z}) / sqrt(2), 1e-12)"
+    series = f"2 / sqrt(pi()) * exp(-{x} * {x}) * list_sum(list_transform(range(0, 140), lambda j: exp(2 * j * ln(2) + (2 * j + 1) * ln({x}) + lgamma(j + 1) - lgamma(2 * j + 2))))"
+    return f"(0.5 * (1 + sign({z}) * CASE WHEN {x} > 6 THEN 1 ELSE {series} END))"
 
 
-@BOOK.add("g16_refractory_scores")
+WIDTH, BINS = HOUR // 3, 60
+WIDE = f"{SPIKES}, trains AS (SELECT unit // 2 AS pair, unit % 2 AS side, t FROM spikes), pairs AS (SELECT a.pair, a.t AS t_a, b.t AS t_b FROM trains a JOIN trains b ON a.pair = b.pair AND abs(a.t - b.t) <= {BINS * WIDTH} WHERE a.side = 0 AND b.side = 1), c AS (SELECT pair, (sign(t_b - t_a) * ((abs(t_b - t_a) + {WIDTH // 2}) // {WIDTH}))::BIGINT AS bin, count(*) AS n FROM pairs GROUP BY 1, 2), ccg AS (SELECT p.pair, b.bin, coalesce(n, 0) AS n FROM (SELECT DISTINCT pair FROM pairs) p CROSS JOIN (SELECT unnest(range(-{BINS}, {BINS + 1})) AS bin) b LEFT JOIN c ON c.pair = p.pair AND c.bin = b.bin), sizes AS (SELECT pair, count(*) FILTER (side = 0) AS n_a, count(*) FILTER (side = 1) AS n_b, max(t) - min(t) AS length FROM trains GROUP BY pair)"
+
+
+@BOOK.add(
+    "g16_refractory_scores",
+    f"WITH {WIDE}, s AS (SELECT pair, avg(n) FILTER (bin BETWEEN {1 - BINS} AND {-(BINS // 2) - 1} OR bin BETWEEN {BINS // 2} AND {BINS - 1}) AS o, greatest(avg(n) FILTER (bin BETWEEN -50 AND -10), avg(n) FILTER (bin BETWEEN 11 AND 49)) AS s FROM ccg GROUP BY pair), "
+    f"k AS (SELECT pair, i, sum(n) FILTER (abs(bin) <= i AND bin <> 0) AS c FROM ccg, (SELECT unnest(range(1, 11)) AS i) GROUP BY 1, 2), x AS (SELECT pair, i::INTEGER AS i, o, s.s, c, {float(WIDTH)} * n_a * n_b / length AS e, greatest(o, s.s) * i AS lam FROM k JOIN s USING (pair) JOIN sizes USING (pair)), z AS (SELECT *, (c / 2.0 - lam) / sqrt(CASE WHEN lam > 0 THEN lam END) AS z FROM x) "
+    f"SELECT pair, i, round(o / e, 6) AS q00, round(s / e, 6) AS q01, round(c / (2.0 * i * e), 6) AS q, round({phi_sql('z')}, 6) AS r FROM z",
+)
 def _g16(spark, sf):
-    return refractory_scores(cross_correlogram(train_pairs(spark, sf), "pair", 4, HOUR), "pair", 1, 2).select("pair", F.round("q", 6).alias("q"), F.round("r", 6).alias("r"))
+    rows = spikes(spark, sf).select(F.expr("unit div 2").alias("pair"), (F.col("unit") % 2).alias("side"), "t")
+    sizes = rows.groupBy("pair").agg(F.count_if(F.col("side") == 0).alias("n_a"), F.count_if(F.col("side") == 1).alias("n_b"), (F.max("t") - F.min("t")).alias("length"))
+    found = refractory_scores(cross_correlogram(train_pairs(spark, sf, BINS * WIDTH), "pair", BINS, WIDTH), sizes, "pair", BINS, WIDTH)
+    return found.select("pair", "i", *(F.round(c, 6).alias(c) for c in ("q00", "q01", "q", "r")))
 
 
 def contamination_cutoff(df: DataFrame, unit: str, time: str, amplitude: str, levels: list[float], most: float, refractory: int) -> DataFrame:
@@ -338,7 +366,17 @@ def features(spark, sf) -> DataFrame:
     return spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", F.posexplode("embedding").alias("k", "v")).withColumn("v", F.col("v").cast("double"))
 
 
-@BOOK.add("g22_ks_normality")
+def ks_sql(rows: str) -> str:
+    """The (k, gap) of rows (k, v) in SQL."""
+    return f"""m AS (SELECT k, avg(v) AS m, stddev_samp(v) AS s, count(*) AS n FROM {rows} GROUP BY k),
+    c AS (SELECT r.k, n, {phi_sql("((v - m) / s)")} AS c, count(*) OVER (PARTITION BY r.k ORDER BY v RANGE UNBOUNDED PRECEDING) AS hi, rank() OVER (PARTITION BY r.k ORDER BY v) - 1 AS lo FROM {rows} r JOIN m ON m.k = r.k WHERE s > 0),
+    gaps AS (SELECT k, max(greatest(abs(hi / n - c), abs(lo / n - c))) AS gap FROM c GROUP BY k)"""
+
+
+FEATURES = "feat AS (SELECT vec_id, (generate_subscripts(embedding, 1) - 1)::INTEGER AS k, unnest(embedding)::DOUBLE AS v FROM embeddings)"
+
+
+@BOOK.add("g22_ks_normality", f"WITH {FEATURES}, {ks_sql('feat')} SELECT k, round(gap, 6) AS gap FROM gaps")
 def _g22(spark, sf):
     return ks_normality(features(spark, sf), "k", "v").withColumn("gap", F.round("gap", 6))
 
@@ -351,7 +389,10 @@ def select_features(df: DataFrame, key: str, value: str, top: int, sd: float = 3
     return ranked.where(F.col("rank") <= top)
 
 
-@BOOK.add("g23_select_features")
+@BOOK.add(
+    "g23_select_features",
+    f"WITH {FEATURES}, e AS (SELECT k, avg(v) AS a, stddev_samp(v) AS d FROM feat GROUP BY k), inside AS (SELECT feat.k, v FROM feat JOIN e ON e.k = feat.k WHERE abs(v - a) <= 3 * d), {ks_sql('inside')} SELECT k, round(gap, 6) AS gap, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (ORDER BY gap DESC, k) AS rank FROM gaps) WHERE rank <= 10",
+)
 def _g23(spark, sf):
     return select_features(features(spark, sf), "k", "v", 10).withColumn("gap", F.round("gap", 6))
 
@@ -508,9 +549,9 @@ def count_mismatches(counts: DataFrame, pulses: DataFrame, event: str) -> DataFr
     return stats.join(pulses, event).where((F.col("least") != F.col("most")) | (F.col("pulses") != F.col("most")))
 
 
-@BOOK.add("g34_count_mismatches", f"WITH {FC}, p AS (SELECT user_id % 8 AS event, count(*) AS pulses FROM ev GROUP BY 1) SELECT event, min(k) AS least, max(k) AS most, pulses FROM counts JOIN p USING (event) GROUP BY event, pulses HAVING min(k) <> max(k) OR pulses <> max(k)")
+@BOOK.add("g34_count_mismatches", f"WITH {FC}, p AS (SELECT user_id // 4 AS event, count(*) AS pulses FROM ev GROUP BY 1) SELECT event, min(k) AS least, max(k) AS most, pulses FROM counts JOIN p USING (event) GROUP BY event, pulses HAVING min(k) <> max(k) OR pulses <> max(k)")
 def _g34(spark, sf):
-    pulses = spikes(spark, sf).groupBy((F.col("unit") % 8).alias("event")).agg(F.count("*").alias("pulses"))
+    pulses = spikes(spark, sf).groupBy(F.expr("unit div 4").alias("event")).agg(F.count("*").alias("pulses"))
     return count_mismatches(event_frame_counts(odd_frames(spark, sf), "event", "cam"), pulses, "event")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from longtrace.operators.scalar import vector_angle
-from longtrace.plans.standins import Book, pose
+from longtrace.plans.standins import POSE, Book, pose
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
@@ -111,7 +111,7 @@ def rigid_body_pose(df: DataFrame, keys: list[str], frame: str, marker: str, mar
 
 
 def body(spark, sf) -> DataFrame:
-    return rigid_body_pose(pose(spark, sf), ["event"], "frame", "marker", ["click", "view", "cart"])
+    return rigid_body_pose(pose(spark, sf), ["event"], "frame", "marker", ["click", "view", "signup"])
 
 
 @BOOK.add("j2_rigid_body_pose")
@@ -120,7 +120,17 @@ def _j2(spark, sf):
     return body(spark, sf).select("event", "frame", cut("rotation"), cut("translation"), F.round("rmse", 4).alias("rmse"))
 
 
-@BOOK.add("j3_relative_orientation")
+_MARKS = ", ".join(f"max({c}) FILTER (marker = '{m}') AS {c}{k}" for k, m in enumerate(("click", "view", "signup")) for c in "xyz")
+
+
+@BOOK.add(
+    "j3_relative_orientation",
+    f"WITH {POSE}, m AS (SELECT event, frame, {_MARKS} FROM pose WHERE marker IN ('click', 'view', 'signup') GROUP BY event, frame HAVING count(*) = 3), "
+    "n AS (SELECT event, frame, (y1 - y0) * (z2 - z0) - (z1 - z0) * (y2 - y0) AS a, (z1 - z0) * (x2 - x0) - (x1 - x0) * (z2 - z0) AS b, (x1 - x0) * (y2 - y0) - (y1 - y0) * (x2 - x0) AS c FROM m), "
+    "l AS (SELECT event, frame, a / d AS a, b / d AS b, c / d AS c FROM (SELECT *, CASE WHEN a * a + b * b + c * c > 0 THEN sqrt(a * a + b * b + c * c) ELSE 1 END AS d FROM n)), "
+    "f AS (SELECT event, arg_min(a, frame) AS p, arg_min(b, frame) AS q, arg_min(c, frame) AS r FROM l GROUP BY event) "
+    "SELECT event, frame, CASE WHEN (a * a + b * b + c * c) * (p * p + q * q + r * r) > 0 THEN round(acos(greatest(-1.0, least(1.0, (a * p + b * q + c * r) / (sqrt(a * a + b * b + c * c) * sqrt(p * p + q * q + r * r))))), 4) END AS angle FROM l JOIN f USING (event)",
+)
 def _j3(spark, sf):
     """Angle between each frame's marker plane and the first one's."""
     rows = body(spark, sf)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from longtrace.functions.islands import islands, running
+from longtrace.functions.islands import band_join, islands, running
 from longtrace.plans.standins import FRAMES, HOUR, POSE, SIGNAL, SPIKES, Book, frames, pose, signal, spikes
 
 BOOK = Book()
@@ -302,7 +302,8 @@ def gaussian_weights(sigma: float, reach: float = 4.0) -> list[float]:
 
 
 def stencil(df: DataFrame, keys: list[str], frame: str, value: str, weights: list[float], out: str, chunk: int = 1 << 16) -> DataFrame:
-    """df with `out`: the weighted sum over neighbours of a gap-free series, mirrored at its ends.
+    """df with `out`: the weighted sum over neighbours of a gap-free series, mirrored at its ends, as often as a short
+    series needs.
 
     Rows are spread to the rows they touch by chunk: each chunk of a key takes in a
     halo of half the weights from either side, so a key is never one task.
@@ -310,7 +311,10 @@ def stencil(df: DataFrame, keys: list[str], frame: str, value: str, weights: lis
     k = len(weights) // 2
     ends = df.groupBy(*keys).agg(F.min(frame).alias("_lo"), F.max(frame).alias("_hi"))
     rows = df.join(ends, keys)
-    mirror = F.filter(F.array(F.col(frame), 2 * F.col("_lo") - 1 - F.col(frame), 2 * F.col("_hi") + 1 - F.col(frame)), lambda f: f.between(F.col("_lo") - k, F.col("_hi") + k))
+    period = 2 * (F.col("_hi") - F.col("_lo") + 1)
+    turns = F.sequence(-(F.floor(k / period) + 1), F.floor(k / period) + 1)
+    images = F.flatten(F.transform(turns, lambda m: F.array(F.col(frame) + m * period, 2 * F.col("_lo") - 1 - F.col(frame) + m * period)))
+    mirror = F.filter(images, lambda f: f.between(F.col("_lo") - k, F.col("_hi") + k))
     seen = rows.withColumn("_f", F.explode(F.array_distinct(mirror)))
     halo = F.sequence(F.floor((F.col("_f") - k) / chunk), F.floor((F.col("_f") + k) / chunk))
     w = Window.partitionBy(*keys, "_chunk").orderBy("_f")
@@ -328,14 +332,13 @@ _G = gaussian_weights(1.5)
 
 @BOOK.add(
     "d23_gaussian_smooth",
-    f"WITH {POSE}, e AS (SELECT event, marker, max(frame) AS hi FROM pose GROUP BY event, marker HAVING count(*) > 20), w AS (SELECT unnest(range(-6, 7)) AS d, unnest([{', '.join(map(repr, _G))}]) AS w), "
-    "x AS (SELECT event, marker, frame, w, CASE WHEN frame + d < 0 THEN -1 - (frame + d) WHEN frame + d > hi THEN 2 * hi + 1 - (frame + d) ELSE frame + d END AS src FROM pose JOIN e USING (event, marker), w) "
+    f"WITH {POSE}, e AS (SELECT event, marker, max(frame) AS hi FROM pose GROUP BY event, marker), w AS (SELECT unnest(range(-6, 7)) AS d, unnest([{', '.join(map(repr, _G))}]) AS w), "
+    "x AS (SELECT event, marker, frame, w, least((frame + d + 40 * (hi + 1)) % (2 * (hi + 1)), 2 * hi + 1 - (frame + d + 40 * (hi + 1)) % (2 * (hi + 1))) AS src FROM pose JOIN e USING (event, marker), w) "
     "SELECT x.event, x.marker, x.frame, round(sum(w * p.y), 5) AS smooth FROM x JOIN pose p ON p.event = x.event AND p.marker = x.marker AND p.frame = src GROUP BY ALL",
 )
 def _d23(spark, sf):
     rows = pose(spark, sf).select("event", "marker", "frame", "y")
-    long = rows.groupBy("event", "marker").agg(F.count("*").alias("n")).where("n > 20").drop("n")
-    smooth = gaussian_smooth(rows.join(long, ["event", "marker"]), ["event", "marker"], "frame", "y", chunk=10)
+    smooth = gaussian_smooth(rows, ["event", "marker"], "frame", "y", chunk=10)
     return smooth.select("event", "marker", "frame", F.round("smooth", 5).alias("smooth"))
 
 
@@ -389,9 +392,9 @@ def _d29(spark, sf):
 def reach_by_velocity(df: DataFrame, keys: list[str], frame: str, value: str, peak: float, bound: float) -> DataFrame:
     """Runs above bound that hold a value above peak."""
     runs = reach_by_level(df, keys, frame, value, bound)
-    high = df.where(F.col(value) > peak).select(*(F.col(k).alias(f"_{k}") for k in keys), F.col(frame).alias("_f"))
-    on = [F.col(k) == F.col(f"_{k}") for k in keys] + [F.col("_f") > F.col("start"), F.col("_f") <= F.col("stop")]
-    return runs.join(high, on, "left_semi")
+    high = df.where(F.col(value) > peak).select(*keys, F.col(frame).alias("_f"))
+    held = band_join(high, runs.withColumn("_first", F.col("start") + 1), keys, "_f", "_first", "stop", 256)
+    return held.select(*keys, "start", "stop").distinct()
 
 
 @BOOK.add(

@@ -115,6 +115,10 @@ def _e8(spark, sf):
     return demean_channel(signal(spark, sf), ["channel"], "i", "v", 64).select("channel", "i", F.round("centred", 9).alias("centred"))
 
 
+#: Samples filtered together, about.
+GROUP = 1 << 18
+
+
 def butterworth(order: int, low: float, high: float, rate: float) -> tuple[np.ndarray, np.ndarray]:
     """(b, a) of a digital band-pass: the analog prototype's poles moved to the band and mapped by the bilinear rule."""
     warp = lambda f: 2 * rate * np.tan(np.pi * f / rate)
@@ -141,19 +145,46 @@ def filtered(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
     return out
 
 
+def both_ways(series: list[np.ndarray], b: np.ndarray, a: np.ndarray, cells: int = 1 << 21) -> list[np.ndarray]:
+    """Forward and backward recursion of many series at once: those of like length are stacked, padded behind their ends, which nothing before sees."""
+    out: list = [None] * len(series)
+    order = sorted(range(len(series)), key=lambda k: len(series[k]))
+    while order:
+        widest = len(series[order[-1]])
+        part, order = order[-max(1, cells // widest) :], order[: -max(1, cells // widest)]
+        x = np.zeros((len(part), widest))
+        turned = lambda y: [y[r, : len(series[k])][::-1] for r, k in enumerate(part)]
+        for rows in (lambda: [series[k] for k in part], lambda: turned(x)):
+            new = np.zeros_like(x)
+            for r, row in enumerate(rows()):
+                new[r, : len(row)] = row
+            x = filtered(new, b, a)
+        for k, row in zip(part, turned(x), strict=True):
+            out[k] = row
+    return out
+
+
 def bandpass(df: DataFrame, keys: list[str], index: str, value: str, b: np.ndarray, a: np.ndarray, chunk: int, halo: int) -> DataFrame:
-    """(keys, index, filtered): forward and backward recursion over chunks of a key, each with halo samples from both neighbours; what decays within halo doesn't depend on chunk."""
-    near = F.sequence(F.floor((F.col(index) - halo) / chunk), F.floor((F.col(index) + halo) / chunk))
-    spread = df.select(*keys, index, F.col(value).alias("v"), F.explode(near).alias("_c"))
+    """(keys, index, filtered): forward and backward recursion over chunks of a key, each with halo samples from both neighbours; what decays within halo doesn't depend on chunk.
+
+    Chunks are dealt by hash into groups of some GROUP samples, whatever their
+    number, and filtered together.
+    """
+    ends = df.groupBy(*keys).agg(F.floor(F.min(index) / chunk).alias("_lo"), F.floor(F.max(index) / chunk).alias("_hi"), F.count("*").alias("_n"))
+    total = ends.agg(F.sum("_n")).first()[0] or 0
+    groups = max(df.sparkSession.sparkContext.defaultParallelism, -(-total // GROUP))
+    near = F.sequence(F.greatest("_lo", F.floor((F.col(index) - halo) / chunk)), F.least("_hi", F.floor((F.col(index) + halo) / chunk)))
+    spread = df.join(ends, keys).select(*keys, index, F.col(value).alias("v"), F.explode(near).alias("_c"))
+    spread = spread.withColumn("_g", F.pmod(F.xxhash64(*keys, "_c"), F.lit(groups)))
     fields = [*(spread.schema[k] for k in keys), T.StructField(index, T.LongType()), T.StructField("filtered", T.DoubleType())]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(index)
-        x = pdf["v"].to_numpy(float)
-        pdf["filtered"] = filtered(filtered(x, b, a)[::-1].copy(), b, a)[::-1]
+        pdf = pdf.sort_values([*keys, "_c", index], ignore_index=True)
+        new = np.flatnonzero((pdf[[*keys, "_c"]] != pdf[[*keys, "_c"]].shift()).any(axis=1))
+        pdf["filtered"] = np.concatenate(both_ways(np.split(pdf["v"].to_numpy(float), new[1:]), b, a))
         return pdf[pdf[index] // chunk == pdf["_c"]][[*keys, index, "filtered"]]
 
-    return spread.groupBy(*keys, "_c").applyInPandas(run, T.StructType(fields))
+    return spread.groupBy("_g").applyInPandas(run, T.StructType(fields))
 
 
 @BOOK.add("e9_bandpass")
@@ -169,10 +200,12 @@ def _e10(spark, sf):
     return decimate(bandpass(signal(spark, sf), ["channel"], "i", "v", b, a, 4096, 1024), "i", 10).withColumn("filtered", F.round("filtered", 6))
 
 
-def local_minima(df: DataFrame, keys: list[str], index: str, value: str, reach: int, threshold: float, chunk: int | None = None) -> DataFrame:
-    """Rows that are the least within reach samples either way and below threshold."""
-    w = Window.partitionBy(*keys).orderBy(index).rangeBetween(-reach, reach)
-    return df.withColumn("_low", F.min(value).over(w)).where((F.col(value) == F.col("_low")) & (F.col(value) < threshold)).drop("_low")
+def local_minima(df: DataFrame, keys: list[str], index: str, value: str, reach: int, threshold: float, chunk: int = 1 << 16) -> DataFrame:
+    """Rows that are the least within reach samples either way and below threshold; by chunks of a key with reach samples of their neighbours."""
+    near = F.sequence(F.floor((F.col(index) - reach) / chunk), F.floor((F.col(index) + reach) / chunk))
+    w = Window.partitionBy(*keys, "_c").orderBy(index).rangeBetween(-reach, reach)
+    lows = df.withColumn("_c", F.explode(near)).withColumn("_low", F.min(value).over(w))
+    return lows.where((F.col("_c") == F.floor(F.col(index) / chunk)) & (F.col(value) == F.col("_low")) & (F.col(value) < threshold)).drop("_low", "_c")
 
 
 MINIMA = f"{SIGNAL}, minima AS (SELECT channel, i, v FROM (SELECT *, min(v) OVER (PARTITION BY channel ORDER BY i RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS l FROM signal) WHERE v = l AND v < 10)"

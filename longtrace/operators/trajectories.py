@@ -1,11 +1,13 @@
 """Cleaning of trajectories and reach segmentation (inventory group D, the parts with peaks, fits and loops).
 
 Functions that walk a trajectory run once per (event, marker): a group is one
-event's frames of one marker, bounded by the recording, never a whole table.
+event's frames of one marker. Events must be bounded by how the table is keyed, as
+the stand-in's are; nothing here bounds them.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable
 
 import numpy as np
@@ -14,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from longtrace.functions.islands import islands, running
+from longtrace.functions.islands import band_join, islands, running
 from longtrace.operators.sequence import derivatives, speed, threshold_crossings
 from longtrace.plans.standins import FRAMES, POSE, Book, frames, pose
 
@@ -52,16 +54,29 @@ def local_peaks(x: np.ndarray, height: float, distance: int = 1, prominence: flo
     peaks = peaks[x[peaks] >= height]
     kept: list[int] = []
     for p in peaks[np.lexsort((peaks, -x[peaks]))].tolist():
-        if all(abs(p - q) >= distance for q in kept):
-            kept.append(p)
-    out = []
-    for p in sorted(kept):
-        higher = np.flatnonzero(x > x[p])
-        left = higher[higher < p].max(initial=-1) + 1
-        right = higher[higher > p].min(initial=len(x))
-        if x[p] - max(x[left : p + 1].min(), x[p:right].min()) >= prominence:
-            out.append(p)
-    return np.array(out, np.int64)
+        k = bisect_left(kept, p)
+        if (k == 0 or p - kept[k - 1] >= distance) and (k == len(kept) or kept[k] - p >= distance):
+            kept.insert(k, p)
+    return np.array(kept, np.int64)[_rises(x, kept) >= prominence] if kept else np.zeros(0, np.int64)
+
+
+def _lows(x: np.ndarray, places: list[int]) -> np.ndarray:
+    """For each place the least value back to the nearest higher one (or the start): a stack of falling values, each with the least since the one below it."""
+    want, out, stack = dict.fromkeys(places), [], []
+    for i, v in enumerate(x.tolist()):
+        low = v
+        while stack and stack[-1][0] <= v:
+            low = min(low, stack.pop()[1])
+        stack.append((v, low))
+        if i in want:
+            out.append(low)
+    return np.array(out)
+
+
+def _rises(x: np.ndarray, places: list[int]) -> np.ndarray:
+    """How far each place (in order) stands above the higher of the lows on its two sides."""
+    right = _lows(x[::-1], [len(x) - 1 - p for p in places])[::-1]
+    return x[places] - np.maximum(_lows(x, places), right)
 
 
 def find_peaks(df: DataFrame, keys: list[str], frame: str, value: str, height: float, distance: int, prominence: float) -> DataFrame:
@@ -108,7 +123,7 @@ def blips(df: DataFrame, keys: list[str], frame: str, value: str, longest: int)
 def blip_stats(df: DataFrame, found: DataFrame, keys: list[str], frame: str, raw: str, error: str) -> DataFrame:
     """found with `deviation` (mean distance of the raw values from the straight line), `peak` (largest) and `mean_error`."""
     rows = df.select(*keys, F.col(frame).alias("_f"), F.col(raw).alias("_x"), F.col(error).alias("_e"))
-    inside = found.join(rows, keys).where("_f between first and last")
+    inside = band_join(rows, found, keys, "_f", "first", "last", 256)
     line = F.col("before") + (F.col("after") - F.col("before")) * (F.col("_f") - F.col("first") + 1) / (F.col("last") - F.col("first") + 2)
     off = F.abs(F.col("_x") - line)
     return inside.groupBy(*keys, "first", "last", "before", "after").agg(F.avg(off).alias("deviation"), F.max(off).alias("peak"), F.avg("_e").alias("mean_error"))
@@ -235,7 +250,7 @@ def reach_segments(df: DataFrame, keys: list[str], frame: str, value: str, veloc
     down = F.first(F.when(F.col("v_way") == -1, F.col("_fall")), ignorenulls=True).over(Window.partitionBy(*keys).orderBy(frame).rowsBetween(1, DOWN))
     reaches = seen.withColumn("stop", down).where("v_way = 1 and start is not null and stop is not null").select(*keys, "start", "stop").distinct()
     peaks = find_peaks(df, keys, frame, value, height, 1, 0).select(*keys, F.col(frame).alias("_p"))
-    held = reaches.join(peaks, keys).where("_p >= start and _p < stop")
+    held = band_join(peaks, reaches.withColumn("_last", F.col("stop") - 1).where("_last >= start"), keys, "_p", "start", "_last", 256)
     return held.groupBy(*keys, "start", "stop").agg(F.array_sort(F.collect_set("_p")).alias("peaks"))
 
 

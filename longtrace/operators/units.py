@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from longtrace.functions.islands import band_join, islands
 from longtrace.operators.joins import spike_pairs
 from longtrace.operators.signals import SNIP, snips
 from longtrace.plans.standins import HOUR, SPIKES, Book, signal, spikes
@@ -22,41 +23,43 @@ BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
 
 
-def detect_spikes(df: DataFrame, keys: list[str], index: str, value: str, threshold: float, artifact: float, dead: int, chunk: int, halo_chunks: int = 1) -> DataFrame:
+def detect_spikes(df: DataFrame, keys: list[str], index: str, value: str, threshold: float, artifact: float, dead: int, chunk: int) -> DataFrame:
     """(keys, index): peaks of |value| above threshold and below artifact, at least dead samples behind the peak before.
 
-    Only samples beyond threshold leave the scan. The dead time restarts from each
-    peak, a recurrence, so it is walked per key and chunk with halo_chunks chunks
-    before it; runs of crossings longer than that halo are walked from its start.
+    A crossing starts a search for the peak over dead // 2 samples; the next search
+    starts at the first crossing dead or more samples behind that peak. Only samples
+    beyond threshold leave the scan. A crossing that is dead or more samples behind
+    the one before is free for certain, so islands of crossings closer than that are
+    walked apart, in order, holding one open search: an island may be as long as a
+    channel. The result doesn't depend on chunk.
     """
-    crossings = df.where(F.abs(F.col(value)) > threshold).select(*keys, F.col(index).alias(index), F.abs(F.col(value)).alias("_v"))
-    own = F.floor(F.col(index) / chunk)
-    spread = crossings.withColumn("_c", F.explode(F.sequence(own, own + halo_chunks)))
-    fields = [*(spread.schema[k] for k in keys), T.StructField(index, T.LongType())]
+    crossings = df.where(F.abs(F.col(value)) > threshold).select(*keys, index, F.abs(F.col(value)).alias("_v"))
+    runs = islands(crossings.select(*keys, index), keys, index, dead - 1, chunk).drop("n")
+    rows = band_join(crossings, runs, keys, index, "first", "last", chunk).select(*keys, "first", index, "_v")
+    ordered = rows.repartition(*keys, "first").sortWithinPartitions(*keys, "first", index)
+    fields = [*(rows.schema[k] for k in keys), T.StructField(index, T.LongType())]
+    reach = max(1, dead // 2)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(index)
-        at, v, chunk_no = pdf[index].to_numpy(), pdf["_v"].to_numpy(), pdf["_c"].iloc[0]
-        out, k, free = [], 0, -(1 << 62)
-        while k < len(at):
-            if at[k] < free:
-                k += 1
-                continue
-            end = np.searchsorted(at, at[k] + max(1, dead // 2), side="left")
-            peak = k + int(np.argmax(v[k:end]))
-            if v[peak] < artifact:
-                out.append(at[peak])
-            free = at[peak] + dead
-            k = end
-        kept = [x for x in out if x // chunk == chunk_no]
-        return pd.DataFrame({**{c: [pdf[c].iloc[0]] * len(kept) for c in keys}, index: kept}).astype({index: "int64"})
-
-    return spread.groupBy(*keys, "_c").applyInPandas(run, T.StructType(fields))
-
-
-@BOOK.add("k1_detect_spikes")
-def _k1(spark, sf):
-    return detect_spikes(signal(spark, sf), ["channel"], "i", "v", 60, 400, 4, 64)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        island, begun, free, best = None, None, None, (0.0, 0)
+        for pdf in batches:
+            out: list[tuple] = []
+            names = [pdf[c].tolist() for c in (*keys, "first")]
+            for *now, i, v in zip(*names, pdf[index].tolist(), pdf["_v"].tolist(), strict=True):
+                if now == island and begun is not None and i < begun + reach:
+                    best = (v, i) if v > best[0] else best
+                    continue
+                if begun is not None:
+                    if best[0] < artifact:
+                        out.append((*island[:-1], best[1]))
+                    free, begun = best[1] + dead, None
+                if now != island or i >= free:
+                    island, begun, best = now, i, (v, i)
+            yield pd.DataFrame(out, columns=[*keys, index])
+        if begun is not None and best[0] < artifact:
+            yield pd.DataFrame([(*island[:-1], best[1])], columns=[*keys, index])
+
+    return ordered.mapInPandas(run, T.StructType(fields))
 
 
 def polytrode_detect(df: DataFrame, keys: list[str], channel: str, time: str, dead: int) -> DataFrame:

@@ -31,10 +31,10 @@ def signal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pose(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (event, marker, frame); marker: the event type, event: the user modulo 8."""
-    order = Window.partitionBy(F.col("user_id") % 8, "event_type").orderBy("t", "event_id")
+    """One row per (event, marker, frame); marker: the event type, event: four users together, so that an event is as long at any table size."""
+    order = Window.partitionBy(F.expr("user_id div 4"), "event_type").orderBy("t", "event_id")
     return events(spark, sf_dir).select(
-        (F.col("user_id") % 8).alias("event"),
+        F.expr("user_id div 4").alias("event"),
         F.col("event_type").alias("marker"),
         (F.row_number().over(order) - 1).cast("long").alias("frame"),
         F.col("value").alias("x"),
@@ -47,10 +47,10 @@ def pose(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames of cameras (the event types): numbers from 1 with holes, as every seventh event is left out."""
-    order = Window.partitionBy(F.col("user_id") % 8, "event_type").orderBy("t", "event_id")
-    rows = events(spark, sf_dir).select((F.col("user_id") % 8).alias("event"), F.col("event_type").alias("cam"), F.row_number().over(order).cast("long").alias("frame_no"), "t", F.col("event_id").alias("id"), F.col("value").alias("v"))
-    return rows.where("id % 7 <> 0")
+    """Frames of cameras (the event types): numbers from 1 with holes where the value is low."""
+    order = Window.partitionBy(F.expr("user_id div 4"), "event_type").orderBy("t", "event_id")
+    rows = events(spark, sf_dir).select(F.expr("user_id div 4").alias("event"), F.col("event_type").alias("cam"), F.row_number().over(order).cast("long").alias("frame_no"), "t", F.col("event_id").alias("id"), F.col("value").alias("v"))
+    return rows.where("v > 7.5")
 
 
 def electrodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,10 +71,10 @@ EV = "ev AS (SELECT event_id, user_id, event_type, value, date_diff('microsecond
 SPIKES = f"{EV}, spikes AS (SELECT user_id AS unit, t, event_id AS spike, value AS amplitude FROM ev)"
 SIGNAL = f"{EV}, signal AS (SELECT user_id AS channel, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) - 1 AS i, t, value AS v FROM ev)"
 POSE = (
-    f"{EV}, pose AS (SELECT user_id % 8 AS event, event_type AS marker, row_number() OVER (PARTITION BY user_id % 8, event_type ORDER BY t, event_id) - 1 AS frame, value AS x, "
+    f"{EV}, pose AS (SELECT user_id // 4 AS event, event_type AS marker, row_number() OVER (PARTITION BY user_id // 4, event_type ORDER BY t, event_id) - 1 AS frame, value AS x, "
     "((t // 1000) % 977) / 8.0 AS y, (event_id % 101) / 4.0 AS z, value AS error, event_id % 5 AS ncams, (event_id * 7 % 100) / 100.0 AS score FROM ev)"
 )
-FRAMES = f"{EV}, frames AS (SELECT * FROM (SELECT user_id % 8 AS event, event_type AS cam, row_number() OVER (PARTITION BY user_id % 8, event_type ORDER BY t, event_id) AS frame_no, t, event_id AS id, value AS v FROM ev) WHERE id % 7 <> 0)"
+FRAMES = f"{EV}, frames AS (SELECT * FROM (SELECT user_id // 4 AS event, event_type AS cam, row_number() OVER (PARTITION BY user_id // 4, event_type ORDER BY t, event_id) AS frame_no, t, event_id AS id, value AS v FROM ev) WHERE v > 7.5)"
 ELECTRODES = (
     "electrodes AS (SELECT s_suppkey AS channel, (CASE WHEN s_suppkey % 4 = 0 THEN 'ainp' ELSE 'elec' END) || s_suppkey || '-' || (s_suppkey % 2 + 1) AS label, "
     "CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 0.25::DOUBLE END AS gain, 0.5::DOUBLE AS channel_conversion, s_suppkey % 10 AS ex, s_suppkey // 10 AS ey, s_acctbal AS imp FROM supplier)"

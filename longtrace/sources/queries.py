@@ -47,10 +47,10 @@ def _a3(spark, sf):
     return readers.parse_drop_records(lines, "value", ["event", "cam"], "n_frames")
 
 
-@BOOK.add("a6_read_cluster_info", f"WITH {SPIKES} SELECT unit AS cluster_id, CASE WHEN unit % 3 = 0 THEN 'mua' ELSE 'good' END AS quality, t FROM spikes WHERE unit % 5 <> 0")
+@BOOK.add("a6_read_cluster_info", f"WITH {SPIKES} SELECT unit AS cluster_id, CASE WHEN unit % 3 = 0 THEN 'mua' ELSE 'good' END AS quality, t FROM spikes")
 def _a6(spark, sf):
     rows, path = spikes(spark, sf), place(spark, "clusters")
-    info = rows.where("unit % 5 <> 0").select(F.col("unit").alias("cluster_id"), F.when(F.col("unit") % 3 == 0, "mua").otherwise("good").alias("group")).distinct()
+    info = rows.select(F.col("unit").alias("cluster_id"), F.when(F.col("unit") % 3 == 0, "mua").otherwise("good").alias("group")).distinct()
     info.write.option("header", True).option("sep", "\t").csv(path)
     arrays = rows.groupBy(F.expr(f"t div {24 * HOUR}").alias("day")).agg(F.collect_list(F.struct("unit", "t")).alias("s")).select(F.col("s.unit").alias("spike_clusters"), F.col("s.t").alias("spike_times"))
     return readers.cluster_spikes(readers.read_cluster_info(spark, path), arrays)
@@ -71,11 +71,11 @@ def _a11(spark, sf):
     return rows.select("event_id", merged["k"].alias("k"), merged["kind"].alias("kind"))
 
 
-@BOOK.add("a12_read_xma_points", f"WITH {POSE}, a AS (SELECT frame, marker, y, z FROM pose WHERE event = 1), b AS (SELECT frame, marker, y, z FROM pose WHERE event = 2) SELECT frame, marker AS point, 1 AS cam, y AS x, z AS y FROM a UNION ALL SELECT frame, marker, 2, y, z FROM b")
+@BOOK.add("a12_read_xma_points", f"WITH {POSE}, p AS (SELECT *, event * 1000000 + frame AS at FROM pose) SELECT p.at AS frame, marker AS point, 1 AS cam, y AS x, z AS y FROM p UNION ALL SELECT p.at, marker, 2, x, z FROM p")
 def _a12(spark, sf):
     rows, path = pose(spark, sf), place(spark, "points")
-    side = lambda e: rows.where(F.col("event") == e).select("frame", "marker", F.col("y").alias("x"), F.col("z").alias("y"))
-    sinks.write_matched_points(side(1), side(2), path, "frame", "marker", markers(rows))
+    side = lambda c: rows.select((F.col("event") * 1_000_000 + F.col("frame")).alias("frame"), "marker", F.col(c).alias("x"), F.col("z").alias("y"))
+    sinks.write_matched_points(side("y"), side("x"), path, "frame", "marker", markers(rows))
     return readers.read_xma_points(spark, path).where("x is not null").select("frame", "point", "cam", "x", "y")
 
 
@@ -97,9 +97,13 @@ def _b2(spark, sf):
     return spark.read.parquet(path).select(*rows.columns)
 
 
-@BOOK.add("b5_write_pose_wide", f"WITH {POSE} SELECT event, frame, max(y) FILTER (marker = 'click') AS click_y, max(y) FILTER (marker = 'view') AS view_y, max(z) FILTER (marker = 'click') AS click_z, max(z) FILTER (marker = 'view') AS view_z FROM pose GROUP BY event, frame")
+@BOOK.add("b5_write_pose_wide", f"WITH {POSE} SELECT event, frame, marker, y, z FROM pose")
 def _b5(spark, sf):
-    return sinks.pose_wide(pose(spark, sf), ["event"], "frame", "marker", ["y", "z"], ["click", "view"])
+    rows, path = pose(spark, sf), place(spark, "wide")
+    names = markers(rows)
+    sinks.pose_wide(rows, ["event"], "frame", "marker", ["y", "z"], names).write.parquet(path)
+    cells = F.array(*(F.struct(F.lit(m).alias("marker"), F.col(f"{m}_y").alias("y"), F.col(f"{m}_z").alias("z")) for m in names))
+    return spark.read.parquet(path).select("event", "frame", F.inline(cells)).where("y is not null")
 
 
 @BOOK.add("b7_save_subset", f"WITH {SIGNAL} SELECT channel, i // 20 AS part, count(*) AS n, round(sum(v), 4) AS total FROM signal WHERE channel IN (1, 2, 3, 5, 8, 13) GROUP BY 1, 2")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from longtrace.functions.islands import islands
-from longtrace.operators import aggregates, grid, identity, joins, scalar, sequence, signals, trajectories, units
+from longtrace.operators import aggregates, geometry, grid, identity, joins, scalar, sequence, signals, trajectories, units
 from longtrace.plans import standins
 
 SF = "/root/testdata/sf0.001"
@@ -126,9 +126,10 @@ def test_spikes_match_a_loop(spark):
         return out
 
     df = table(spark, [(1, i, float(x)) for i, x in enumerate(v)], "c long, i long, v double")
-    want = loop(22, 8)
-    for chunk in (10_000, 120):
-        assert sorted(r.i for r in units.detect_spikes(df, ["c"], "i", "v", 22, 1e9, 8, chunk).collect()) == want
+    for threshold, dead in ((22, 8), (3, 8), (3, 25)):  # the last two: dense crossings, islands longer than a chunk
+        want = loop(threshold, dead)
+        for chunk in (16, 64, 1_000):
+            assert sorted(r.i for r in units.detect_spikes(df, ["c"], "i", "v", threshold, 1e9, dead, chunk).collect()) == want
 
 
 def test_stencil_and_filter_do_not_depend_on_chunk(spark):
@@ -186,3 +187,125 @@ def test_library_stands_without_llm(tmp_path):
             (tmp_path / "longtrace" / p.name).symlink_to(p)
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and not any(k.startswith('op') or k == 'pipeline' for k in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)})
+
+
+def slow_peaks(x, height, distance, prominence):
+    """Peaks by their definition, each against all others and the whole series."""
+    tops = []
+    for i in range(1, len(x) - 1):
+        j = i
+        while j + 1 < len(x) and x[j + 1] == x[i]:
+            j += 1
+        if x[i - 1] < x[i] and j + 1 < len(x) and x[j + 1] < x[i] and x[i] >= height:
+            tops.append((i + j) // 2)
+    kept = []
+    for p in sorted(tops, key=lambda p: (-x[p], p)):
+        if all(abs(p - q) >= distance for q in kept):
+            kept.append(p)
+    out = []
+    for p in sorted(kept):
+        lows = []
+        for step in (-1, 1):
+            low, q = x[p], p
+            while 0 <= q < len(x) and x[q] <= x[p]:
+                low, q = min(low, x[q]), q + step
+            lows.append(low)
+        if x[p] - max(lows) >= prominence:
+            out.append(p)
+    return out
+
+
+def test_local_peaks_match_the_definition():
+    rnd = np.random.default_rng(8)
+    for n in (0, 1, 2, 3, 40, 200):
+        for _ in range(20):
+            x = rnd.integers(0, 12, n).astype(float)
+            for height, distance, prominence in ((0, 1, 0), (4, 3, 2), (6, 10, 5)):
+                assert trajectories.local_peaks(x, height, distance, prominence).tolist() == slow_peaks(x, height, distance, prominence)
+
+
+def test_bandpass_matches_a_plain_loop(spark):
+    """Many series of different lengths, filtered together, against one at a time."""
+    rnd = np.random.default_rng(9)
+    series = {k: rnd.normal(size=n) for k, n in enumerate((1, 5, 40, 41, 300))}
+    b, a = signals.butterworth(2, 50, 200, 1000)
+
+    def once(x):
+        out = []
+        for i in range(len(x)):
+            out.append(sum(b[j] * x[i - j] for j in range(len(b)) if i >= j) - sum(a[j] * out[i - j] for j in range(1, len(a)) if i >= j))
+        return out
+
+    df = table(spark, [(k, i, float(v)) for k, x in series.items() for i, v in enumerate(x)], "k long, i long, v double")
+    got = {(r.k, r.i): r.filtered for r in signals.bandpass(df, ["k"], "i", "v", b, a, 4096, 512).collect()}
+    want = {(k, i): v for k, x in series.items() for i, v in enumerate(once(once(x)[::-1])[::-1])}
+    assert got.keys() == want.keys() and all(got[key] == pytest.approx(want[key], abs=1e-9) for key in want)
+
+
+def test_reach_segments_match_a_plain_loop(spark):
+    rnd = np.random.default_rng(10)
+    y, s = rnd.uniform(40, 90, 150), rnd.uniform(0, 40, 150)
+    up = lambda x, level: [(i, 1 if x[i + 1] > level else -1) for i in range(len(x) - 1) if (x[i + 1] > level) != (x[i] > level)]
+    ys, ss = up(y, 60), up(s, 15)
+    want = set()
+    for i, way in ys:
+        if way == 1:
+            rise = [j for j, w in ss if w == 1 and j <= i]
+            falls = [i2 for i2, w in ys if w == -1 and i2 > i]
+            ends = [j for j, w in ss if w == -1 and falls and j >= falls[0]]
+            if rise and ends:
+                held = tuple(p for p in slow_peaks(y, 70, 1, 0) if rise[-1] <= p < ends[0])
+                if held:
+                    want.add((rise[-1], ends[0], held))
+    df = table(spark, [(1, i, float(a), float(b)) for i, (a, b) in enumerate(zip(y, s, strict=True))], "k long, f long, y double, s double")
+    got = {(r.start, r.stop, tuple(r.peaks)) for r in trajectories.reach_segments(df, ["k"], "f", "y", "s", 60, 15, 70).collect()}
+    assert got == want and want
+
+
+def test_velocity_jumps_match_a_plain_loop(spark):
+    x = [float(v) for v in (0, 1, 2, 30, 31, 4, 5, 6, 7, 8, 9, 10)]
+    df = table(spark, [(1, i, v) for i, v in enumerate(x)], "k long, f long, x double")
+    got = [r.filtered for r in trajectories.velocity_jump_filter(df, ["k"], "f", "x", 5, 1.5).orderBy("f").collect()]
+    line = [2 + (4 - 2) * k / 3 for k in range(4)]
+    assert got == pytest.approx(x[:2] + line + x[6:])
+
+
+def test_whitened_vectors_are_uncorrelated(spark):
+    rnd = np.random.default_rng(11)
+    rows = rnd.normal(size=(400, 4)) @ rnd.normal(size=(4, 4))
+    df = table(spark, [(i, [float(v) for v in r]) for i, r in enumerate(rows)], "k long, v array<double>")
+    white = np.array([r.white for r in signals.whiten(df, "k", "v", 4, ridge=0.0).collect()])
+    assert np.allclose(white.T @ white / len(white), np.eye(4), atol=1e-6)
+
+
+def test_rigid_body_pose_finds_the_turn(spark):
+    rnd = np.random.default_rng(12)
+    base = rnd.normal(size=(3, 3))
+    rows = []
+    for f in range(6):
+        q, _ = np.linalg.qr(rnd.normal(size=(3, 3)))
+        turn = np.eye(3) if f == 0 else q * np.sign(np.linalg.det(q))
+        rows += [(1, f, m, *map(float, turn @ p + f)) for m, p in zip("abc", base, strict=True)]
+        last = turn
+    got = geometry.rigid_body_pose(table(spark, rows, "e long, f long, m string, x double, y double, z double"), ["e"], "f", "m", ["a", "b", "c"]).orderBy("f").collect()
+    assert len(got) == 6 and all(r.rmse < 1e-9 for r in got)
+    assert np.allclose(np.array(got[-1].rotation).reshape(3, 3), last)
+
+
+def test_bimodal_split_finds_two_groups(spark):
+    rnd = np.random.default_rng(13)
+    rows = [(1, float(v)) for v in np.concatenate([rnd.normal(0, 1, 500), rnd.normal(10, 1, 300)])] + [(2, float(v)) for v in rnd.normal(0, 1, 800)]
+    got = {r.u: r for r in units.bimodal_split(table(spark, rows, "u long, v double"), "u", "v", 30, 3.0).collect()}
+    assert got[1].split and abs(got[1].low_mean) < 0.3 and abs(got[1].high_mean - 10) < 0.3 and 2 < got[1].threshold < 8
+    assert not got[2].split
+
+
+def test_principal_components_match_numpy(spark):
+    rnd = np.random.default_rng(14)
+    rows = rnd.normal(size=(200, 5)) @ rnd.normal(size=(5, 5))
+    df = table(spark, [(i, [float(v) for v in r]) for i, r in enumerate(rows)], "k long, v array<double>")
+    got = np.array([r.features for r in units.pca_features(df, "k", "v", 2).orderBy("k").collect()])
+    _, vectors = np.linalg.eigh(np.cov(rows.T))
+    for c in range(2):
+        load = vectors[:, -1 - c]
+        assert np.allclose(got[:, c], rows @ (load * np.sign(load[np.abs(load).argmax()])), atol=1e-8)
