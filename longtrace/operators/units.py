@@ -62,6 +62,11 @@ def detect_spikes(df: DataFrame, keys: list[str], index: str, value: str, thresh
     return ordered.mapInPandas(run, T.StructType(fields))
 
 
+@BOOK.add("k1_detect_spikes")
+def _k1(spark, sf):
+    return detect_spikes(signal(spark, sf), ["channel"], "i", "v", 60, 400, 4, 64)
+
+
 def polytrode_detect(df: DataFrame, keys: list[str], channel: str, time: str, dead: int) -> DataFrame:
     """(keys, time, channel): crossings of all channels of a probe without the earlier of two neighbours closer than dead."""
     w = Window.partitionBy(*keys).orderBy(time, channel)
