@@ -8,7 +8,7 @@ the stand-in's are; nothing here bounds them.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,14 +27,31 @@ KEYS = ["event", "marker"]
 
 
 def per_trajectory(df: DataFrame, keys: list[str], frame: str, columns: list[str], out: dict[str, T.DataType], f: Callable[[pd.DataFrame], dict]) -> DataFrame:
-    """(keys, frame, out): f over each trajectory's columns in frame order, giving arrays as long as it."""
-    schema = T.StructType([*(df.schema[k] for k in keys), df.schema[frame], *(T.StructField(n, t) for n, t in out.items())])
+    """(keys, frame, out): f over each trajectory's columns in frame order, giving arrays as long as it.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(frame, ignore_index=True)
-        return pdf[[*keys, frame]].assign(**f(pdf))[schema.names]
+    Trajectories come sorted, many to a batch, and one that a batch cuts is held
+    until its rest is there. Keys are without nulls.
+    """
+    schema = T.StructType([*(df.schema[k] for k in keys), df.schema[frame], *(T.StructField(n, t) for n, t in out.items())])
 
-    return df.select(*dict.fromkeys([*keys, frame, *columns])).groupBy(*keys).applyInPandas(run, schema)
+    def walked(pdf: pd.DataFrame, starts: list[int]) -> pd.DataFrame:
+        found = [f(pdf.iloc[a:b].reset_index(drop=True)) for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True)]
+        return pdf[[*keys, frame]].assign(**{n: np.concatenate([x[n] for x in found]) for n in out})[schema.names]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            if len(pdf):
+                starts = np.flatnonzero((pdf[keys] != pdf[keys].shift()).any(axis=1)).tolist()
+                held = pdf.iloc[starts[-1] :].reset_index(drop=True)
+                if len(starts) > 1:
+                    yield walked(pdf.iloc[: starts[-1]], starts[:-1])
+        if held is not None and len(held):
+            yield walked(held, [0])
+
+    rows = df.select(*dict.fromkeys([*keys, frame, *columns])).repartition(*keys).sortWithinPartitions(*keys, frame)
+    return rows.mapInPandas(run, schema)
 
 
 def straight(x: np.ndarray, a: int, b: int) -> np.ndarray:
