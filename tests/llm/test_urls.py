@@ -50,7 +50,7 @@ def test_held_out_urls(spark):
 
 
 def urls_host(url):
-    return url.split("://")[1].split("/")[0].removeprefix("www.").removeprefix("m.").removeprefix("blog.").removesuffix(".test")
+    return url.split("://")[1].split("/")[0].removeprefix("www.").removeprefix("m.").removeprefix("blog.").split(".")[0]
 
 
 def test_training_hosts_are_not_in_the_pages(spark):
