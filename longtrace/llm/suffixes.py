@@ -144,12 +144,13 @@ def _pairs_ranked(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
     return _ranks(np.unique(doc, return_inverse=True)[1], start)
 
 
-def _packed(key: np.ndarray, spans: np.ndarray) -> pa.Table:
-    """(key, spans): each key's rows of spans as bytes."""
-    order = np.argsort(key, kind="stable")
-    key, spans = key[order], np.ascontiguousarray(spans[order])
-    cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return pa.table({"key": pa.array(key[cut], pa.int64()), "spans": pa.array([x.tobytes() for x in np.split(spans, cut[1:])] if len(key) else [], pa.binary())})
+def _packed(spans: np.ndarray, **keys: np.ndarray) -> pa.Table:
+    """(keys, spans): each key's rows of spans as bytes."""
+    order = np.lexsort(list(keys.values()))
+    keys, spans = {k: x[order] for k, x in keys.items()}, np.ascontiguousarray(spans[order])
+    new = np.logical_or.reduce([np.concatenate([[True], x[1:] != x[:-1]]) for x in keys.values()]) if len(spans) else np.zeros(0, bool)
+    cut = np.flatnonzero(new)
+    return pa.table({**{k: pa.array(x[cut], pa.int64()) for k, x in keys.items()}, "spans": pa.array([x.tobytes() for x in np.split(spans, cut[1:])] if len(spans) else [], pa.binary())})
 
 
 def candidates(docs: DataFrame, width: int, buckets: int) -> DataFrame:
@@ -197,7 +198,7 @@ def candidates(docs: DataFrame, width: int, buckets: int) -> DataFrame:
         spans = np.zeros(len(found), _SPAN)
         for f in _SPAN.names:
             spans[f] = col[f][found]
-        return _packed(col["key"][found], spans)
+        return _packed(spans, key=col["key"][found])
 
     schema = "bucket long, " + ", ".join(f"{f} binary" for f in _RUN.names)
     return docs.mapInArrow(send, schema).groupBy("bucket").applyInArrow(meet, "key long, spans binary")
@@ -208,9 +209,10 @@ _GONE = np.dtype([("start", "<u4"), ("size", "<u4")])
 
 
 def repeats(found: DataFrame, width: int, buckets: int) -> DataFrame:
-    """(key, spans): runs of windows that equal an earlier one.
+    """(key, doc, spans): runs of windows that equal an earlier one.
 
-    found: (key, doc, text, spans as a list of bytes). Blocks (the bytes under a run)
+    found: (key, doc, text, spans as a list of bytes). Rows of one key but different
+    documents get each other's spans: bytes are compared, so these mark nothing wrong. Blocks (the bytes under a run)
     that a batch holds more than once are sent once, the earliest; the same is done
     where they meet. What is left is sorted by suffix_order and neighbours compared.
     """
@@ -258,7 +260,7 @@ def repeats(found: DataFrame, width: int, buckets: int) -> DataFrame:
         loose = zstandard.ZstdDecompressor()
         raw = b"".join(loose.decompress(x) for x in table.column("raw").to_pylist())
         done = rows["done"] == 1
-        keys, spans = [rows["key"][done]], [_gone(rows["start"][done], rows["size"][done])]
+        owners, spans = [rows[["key", "doc"]][done]], [_gone(rows["start"][done], rows["size"][done])]
         held = rows[~done]
         end = np.cumsum(held["bytes"], dtype=np.int64)
         order = np.argsort(held["v"], kind="stable")
@@ -271,12 +273,13 @@ def repeats(found: DataFrame, width: int, buckets: int) -> DataFrame:
             k = max(np.searchsorted(full[border - 1], base + SORT_BYTES, side="right") - 1, np.searchsorted(border, low, side="right"))
             part = slice(low, int(border[k]))
             for x, y in _sorted_part(held[part], [raw[a : a + n] for a, n in zip(begin[part].tolist(), held["bytes"][part].tolist(), strict=True)], width):
-                keys.append(x)
+                owners.append(x)
                 spans.append(y)
             low = part.stop
-        return _packed(np.concatenate(keys), np.concatenate(spans))
+        owner = np.concatenate(owners)
+        return _packed(np.concatenate(spans), key=owner["key"], doc=owner["doc"])
 
-    return found.mapInArrow(send, "bucket long, meta binary, raw binary").groupBy("bucket").applyInArrow(meet, "key long, spans binary")
+    return found.mapInArrow(send, "bucket long, meta binary, raw binary").groupBy("bucket").applyInArrow(meet, "key long, doc long, spans binary")
 
 
 def _gone(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -293,7 +296,7 @@ def _sorted_part(rows: np.ndarray, raws: list[bytes], width: int) -> Iterator[tu
     least = np.full(len(number), np.iinfo(np.int64).max)
     np.minimum.at(least, ids, place)
     later = place > least[ids]
-    yield rows["key"][later], _gone(rows["start"][later], rows["size"][later])
+    yield rows[["key", "doc"]][later], _gone(rows["start"][later], rows["size"][later])
     kept = np.flatnonzero(~later)
     if not len(kept):
         return
@@ -307,7 +310,7 @@ def _sorted_part(rows: np.ndarray, raws: list[bytes], width: int) -> Iterator[tu
     hit = np.flatnonzero(repeated_windows(text, begin[row] + step, width, _pairs_ranked(rows["doc"][row], start)))
     if len(hit):
         new = np.flatnonzero(np.concatenate([[True], (row[hit][1:] != row[hit][:-1]) | (np.diff(hit) != 1)]))
-        yield rows["key"][row[hit[new]]], _gone(start[hit[new]], np.diff(np.append(new, len(hit))))
+        yield rows[["key", "doc"]][row[hit[new]]], _gone(start[hit[new]], np.diff(np.append(new, len(hit))))
 
 
 def without_substrings(docs: DataFrame, width: int = 100, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -325,7 +328,8 @@ def without_substrings(docs: DataFrame, width: int = 100, id_col: str = "doc_id"
     sorted by the difference-cover algorithm, groups of minima by groups of minima,
     and neighbours with width equal bytes form a class whose earliest start stays.
 
-    Documents are dealt by a hash of id and text once; both joins read that exchange.
+    Documents are dealt by a hash of id and text once; both joins read that exchange,
+    and a document takes spans of its own id only, so documents of one hash don't mix.
 
     Null and empty texts have no bytes; a null id comes after all others; rows of
     one id are ordered by start only, so equal rows don't remove each other; an
@@ -335,16 +339,17 @@ def without_substrings(docs: DataFrame, width: int = 100, id_col: str = "doc_id"
     rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // bucket_bytes))
-    listed = lambda df: df.groupBy("key").agg(F.collect_list("spans").alias("spans")).withColumnRenamed("key", "k")
-    found = rows.join(listed(candidates(rows.select("key", "text"), width, buckets)), F.col("key") == F.col("k")).select("key", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "text", "spans")
-    gone = listed(repeats(found, width, buckets))
+    owner = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    listed = lambda df, *cols: df.groupBy(F.col("key").alias("k")).agg(F.collect_list(*cols).alias("spans"))
+    found = rows.join(listed(candidates(rows.select("key", "text"), width, buckets), "spans"), F.col("key") == F.col("k")).select("key", owner.alias("doc"), "text", "spans")
+    gone = listed(repeats(found, width, buckets), F.struct("doc", "spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]
-            for text, packs in zip(batch.column(1), batch.column(2), strict=True):
-                raw = text.as_py().encode("utf-8", "surrogatepass")
-                spans = np.frombuffer(b"".join(packs.as_py() or []), _GONE)
+            for doc, text, packs in zip(*(batch.column(k) for k in (1, 2, 3)), strict=True):
+                raw, doc = text.as_py().encode("utf-8", "surrogatepass"), doc.as_py()
+                spans = np.frombuffer(b"".join(p["spans"] for p in packs.as_py() or [] if p["doc"] == doc), _GONE)
                 mark = np.zeros(len(raw) + 1, np.int64)
                 np.add.at(mark, spans["start"], 1)
                 np.add.at(mark, spans["start"] + spans["size"] + np.uint32(width - 1), -1)
@@ -356,7 +361,7 @@ def without_substrings(docs: DataFrame, width: int = 100, id_col: str = "doc_id"
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    joined = rows.join(gone, F.col("key") == F.col("k"), "left").select("doc_id", "text", "spans")
+    joined = rows.join(gone, F.col("key") == F.col("k"), "left").select("doc_id", owner.alias("doc"), "text", "spans")
     return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
