@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from longtrace.operators.joins import PAIRS, VEC, centres, train_pairs
+from longtrace.operators.joins import PAIRS, VEC, centres, spike_pairs, train_pairs
 from longtrace.operators.sequence import DAYS30, DROPOUT, EVENTS, HOUR, REACH, _d29, dropouts, segments
 from longtrace.plans.standins import FRAMES, POSE, SIGNAL, SPIKES, Book, events, frames, pose, signal, spikes
 
@@ -262,25 +262,46 @@ def _g16(spark, sf):
     return found.select("pair", "i", *(F.round(c, 6).alias(c) for c in ("q00", "q01", "q", "r")))
 
 
-def contamination_cutoff(df: DataFrame, unit: str, time: str, amplitude: str, levels: list[float], most: float, refractory: int) -> DataFrame:
-    """(unit, cutoff, n, good): levels are tried from the highest; the last before the share of short intervals exceeds `most` is the cutoff. All levels are counted in one pass over the events."""
-    tried = df.withColumn("level", F.explode(F.array(*(F.lit(x) for x in levels)))).where(F.col(amplitude) >= F.col("level"))
-    gap = F.col(time) - F.lag(time).over(Window.partitionBy(unit, "level").orderBy(time))
-    stats = tried.withColumn("_g", gap).groupBy(unit, "level").agg(F.count("*").alias("n"), F.avg((F.coalesce(F.col("_g"), F.lit(1 << 62)) < refractory).cast("double")).alias("share"))
+def contamination_cutoff(df: DataFrame, unit: str, time: str, amplitude: str, levels: list[float], bins: int, width: int, most: float = 0.1, chance: float = 0.05) -> DataFrame:
+    """(unit, cutoff, n, good): levels are tried from the highest; the last before a failure is the cutoff.
+
+    A level's events fail if Q, the least rate next to zero over the larger baseline
+    of their correlogram, exceeds `most`, or R, the least chance of so few, exceeds
+    `chance`, or either is unknown. If the first level's Q is below most / 2, later
+    levels may reach twice that Q only, at least most / 10 and at most most / 2.
+    """
+    tried = df.select(unit, F.col(time).alias("_t"), F.explode(F.filter(F.array(*(F.lit(x) for x in levels)), lambda x: x <= F.col(amplitude))).alias("level"))
+    rows = tried.select(F.struct(unit, "level").alias("k"), "_t")
+    sizes = rows.groupBy("k").agg(F.count("*").alias("n_a"), F.count("*").alias("n_b"), (F.max("_t") - F.min("_t")).alias("length"))
+    scores = refractory_scores(cross_correlogram(spike_pairs(rows, rows, ["k"], "_t", bins * width), "k", bins, width), sizes.where("length > 0"), "k", bins, width)
+    base = F.max(F.greatest("q00", "q01"))
+    stats = scores.groupBy("k").agg((F.min("q") / F.when(base > 0, base)).alias("_q"), F.min("r").alias("_r"))
     w = Window.partitionBy(unit).orderBy(F.desc("level"))
-    fine = stats.withColumn("_bad", F.sum((F.col("share") > most).cast("int")).over(w.rowsBetween(UP, 0))).where("_bad = 0")
+    tests = sizes.join(stats, "k", "left").select(f"k.{unit}", "k.level", F.col("n_a").alias("n"), "_q", "_r")
+    tests = tests.withColumn("_q0", F.first("_q").over(w)).withColumn("_k", F.row_number().over(w))
+    allowed = F.when((F.col("_k") > 1) & (F.col("_q0") < most / 2), F.least(F.lit(most / 2), F.greatest(F.lit(most / 10), 2 * F.col("_q0")))).otherwise(most)
+    bad = ~F.coalesce((F.col("_q") <= allowed) & (F.col("_r") <= chance), F.lit(False))
+    fine = tests.withColumn("_bad", F.sum(bad.cast("int")).over(w.rowsBetween(UP, 0))).where("_bad = 0")
     best = fine.groupBy(unit).agg(F.min(F.struct("level", "n")).alias("b"))
     return df.select(unit).distinct().join(best, unit, "left").select(unit, F.col("b.level").alias("cutoff"), F.coalesce("b.n", F.lit(0)).alias("n"), F.col("b").isNotNull().alias("good"))
 
 
 @BOOK.add(
     "g17_contamination_cutoff",
-    f"WITH {SPIKES}, l AS (SELECT unnest([80.0, 60.0, 40.0, 20.0, 10.0]::DOUBLE[]) AS level), g AS (SELECT unit, level, t - lag(t) OVER (PARTITION BY unit, level ORDER BY t) AS g FROM spikes JOIN l ON amplitude >= level), "
-    f"s AS (SELECT unit, level, count(*) AS n, avg(CASE WHEN g < {3 * HOUR} THEN 1.0 ELSE 0.0 END) AS share FROM g GROUP BY 1, 2), b AS (SELECT *, sum((share > 0.2)::INT) OVER (PARTITION BY unit ORDER BY level DESC) AS bad FROM s), f AS (SELECT unit, min(level) AS cutoff, arg_min(n, level) AS n FROM b WHERE bad = 0 GROUP BY unit) "
+    f"WITH {SPIKES}, x AS (SELECT unit, level, t FROM spikes JOIN (SELECT unnest([80.0, 60.0, 40.0, 20.0, 10.0]::DOUBLE[]) AS level) l ON amplitude >= level), n AS (SELECT unit, level, count(*) AS n, max(t) - min(t) AS length FROM x GROUP BY 1, 2), "
+    f"p AS (SELECT a.unit, a.level, sign(b.t - a.t) * ((abs(b.t - a.t) + {WIDTH // 2}) // {WIDTH}) AS bin FROM x a JOIN x b ON a.unit = b.unit AND a.level = b.level AND abs(a.t - b.t) <= {BINS * WIDTH}), c AS (SELECT unit, level, bin, count(*) AS c FROM p GROUP BY ALL), "
+    f"ccg AS (SELECT n.unit, n.level, n.n, n.length, b.bin, coalesce(c, 0) AS c FROM n CROSS JOIN (SELECT unnest(range(-{BINS}, {BINS + 1})) AS bin) b LEFT JOIN c ON c.unit = n.unit AND c.level = n.level AND c.bin = b.bin WHERE length > 0), "
+    f"s AS (SELECT unit, level, n, length, avg(c) FILTER (bin BETWEEN {1 - BINS} AND {-(BINS // 2) - 1} OR bin BETWEEN {BINS // 2} AND {BINS - 1}) AS o, greatest(avg(c) FILTER (bin BETWEEN -50 AND -10), avg(c) FILTER (bin BETWEEN 11 AND 49)) AS s FROM ccg GROUP BY ALL), "
+    "k AS (SELECT unit, level, i, sum(c) FILTER (abs(bin) <= i AND bin <> 0) AS c FROM ccg, (SELECT unnest(range(1, 11)) AS i) GROUP BY ALL), "
+    "z AS (SELECT unit, level, c / (2.0 * i) AS q, nullif(greatest(o, s.s), 0) AS base, (c / 2.0 - greatest(o, s.s) * i) / sqrt(nullif(greatest(o, s.s) * i, 0)) AS z FROM k JOIN s USING (unit, level)), "
+    f"g AS (SELECT unit, level, min(q) / max(base) AS q, min({phi_sql('z')}) AS r FROM z GROUP BY 1, 2), "
+    "t AS (SELECT n.unit, n.level, n, q, r, first_value(q) OVER w AS q0, row_number() OVER w AS k FROM n LEFT JOIN g USING (unit, level) WINDOW w AS (PARTITION BY n.unit ORDER BY n.level DESC)), "
+    "b AS (SELECT *, sum((NOT coalesce(q <= CASE WHEN k > 1 AND q0 < 0.4 THEN least(0.4, greatest(0.08, 2 * q0)) ELSE 0.8 END AND r <= 0.4, false))::INT) OVER (PARTITION BY unit ORDER BY level DESC) AS bad FROM t), "
+    "f AS (SELECT unit, min(level) AS cutoff, arg_min(n, level) AS n FROM b WHERE bad = 0 GROUP BY unit) "
     "SELECT u.unit, cutoff, coalesce(n, 0) AS n, cutoff IS NOT NULL AS good FROM (SELECT DISTINCT unit FROM spikes) u LEFT JOIN f USING (unit)",
 )
 def _g17(spark, sf):
-    return contamination_cutoff(spikes(spark, sf), "unit", "t", "amplitude", [80.0, 60.0, 40.0, 20.0, 10.0], 0.2, 3 * HOUR)
+    return contamination_cutoff(spikes(spark, sf), "unit", "t", "amplitude", [80.0, 60.0, 40.0, 20.0, 10.0], BINS, WIDTH, 0.8, 0.4)
 
 
 def template_similarity(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -398,11 +419,16 @@ def _g23(spark, sf):
 
 
 def trajectory_rmse(a: DataFrame, b: DataFrame, keys: list[str], frame: str, axes: list[str]) -> DataFrame:
-    """(keys, error, normalised): mean Euclid error over frames, and over the range of the first trajectory's first axis."""
+    """(keys, error, normalised, velocity_error, velocity_normalised): mean Euclid error over frames, and over the range of the first trajectory's first axis; the same of the steps between neighbouring frames."""
     other = b.select(*keys, frame, *(F.col(x).alias(f"_{x}") for x in axes))
     d = F.sqrt(sum(((F.col(x) - F.col(f"_{x}")) ** 2 for x in axes), F.lit(0.0)))
-    stats = a.join(other, [*keys, frame]).groupBy(*keys).agg(F.avg(d).alias("error"), (F.max(axes[0]) - F.min(axes[0])).alias("_r"))
-    return stats.select(*keys, "error", F.when(F.col("_r") > 0, F.col("error") / F.col("_r")).alias("normalised"))
+    w = Window.partitionBy(*keys).orderBy(frame)
+    step = lambda c: F.when(F.col(frame) - F.lag(frame).over(w) == 1, F.col(c) - F.lag(c).over(w))
+    rows = a.join(other, [*keys, frame]).select("*", step(axes[0]).alias("_v"), F.sqrt(sum(((step(x) - step(f"_{x}")) ** 2 for x in axes), F.lit(0.0))).alias("_d"))
+    range_of = lambda c: F.max(c) - F.min(c)
+    stats = rows.groupBy(*keys).agg(F.avg(d).alias("error"), range_of(axes[0]).alias("_r"), F.avg("_d").alias("velocity_error"), range_of("_v").alias("_s"))
+    over = lambda c, r: F.when(F.col(r) > 0, F.col(c) / F.col(r))
+    return stats.select(*keys, "error", over("error", "_r").alias("normalised"), "velocity_error", over("velocity_error", "_s").alias("velocity_normalised"))
 
 
 TRAJ = f"{POSE}, traj AS (SELECT a.event, a.frame, a.y AS ay, a.z AS az, b.y AS by_, b.z AS bz FROM pose a JOIN pose b USING (event, frame) WHERE a.marker = 'click' AND b.marker = 'view')"
@@ -413,29 +439,32 @@ def two_trajectories(spark, sf) -> tuple[DataFrame, DataFrame]:
     return tuple(rows.where(F.col("marker") == m).select("event", "frame", "y", "z") for m in ("click", "view"))
 
 
-@BOOK.add("g24_trajectory_rmse", f"WITH {TRAJ} SELECT event, round(avg(sqrt(pow(ay - by_, 2) + pow(az - bz, 2))), 4) AS error, CASE WHEN max(ay) > min(ay) THEN round(avg(sqrt(pow(ay - by_, 2) + pow(az - bz, 2))) / (max(ay) - min(ay)), 4) END AS normalised FROM traj GROUP BY event")
+@BOOK.add("g24_trajectory_rmse", f"WITH {TRAJ} SELECT event, round(avg(sqrt(pow(ay - by_, 2) + pow(az - bz, 2))), 4) AS error, CASE WHEN max(ay) > min(ay) THEN round(avg(sqrt(pow(ay - by_, 2) + pow(az - bz, 2))) / (max(ay) - min(ay)), 4) END AS normalised, round(avg(sqrt(pow(va - vb, 2) + pow(wa - wb, 2))), 4) AS velocity_error, CASE WHEN max(va) > min(va) THEN round(avg(sqrt(pow(va - vb, 2) + pow(wa - wb, 2))) / (max(va) - min(va)), 4) END AS velocity_normalised FROM (SELECT *, CASE WHEN frame - lag(frame) OVER w = 1 THEN ay - lag(ay) OVER w END AS va, by_ - lag(by_) OVER w AS vb, az - lag(az) OVER w AS wa, bz - lag(bz) OVER w AS wb FROM traj WINDOW w AS (PARTITION BY event ORDER BY frame)) GROUP BY event")
 def _g24(spark, sf):
-    return trajectory_rmse(*two_trajectories(spark, sf), ["event"], "frame", ["y", "z"]).select("event", F.round("error", 4).alias("error"), F.round("normalised", 4).alias("normalised"))
+    return trajectory_rmse(*two_trajectories(spark, sf), ["event"], "frame", ["y", "z"]).select("event", *(F.round(c, 4).alias(c) for c in ("error", "normalised", "velocity_error", "velocity_normalised")))
 
 
-def weighted_stats(df: DataFrame, value: str, weight: str, subsets: dict[str, Column]) -> DataFrame:
-    """(subset, n, mean, sd): weighted mean and deviation of overlapping subsets, each row counted once per subset it belongs to, in one pass."""
+def weighted_stats(df: DataFrame, value: str, weight: str, subsets: dict[str, Column], trials: int, scale: Column) -> DataFrame:
+    """(subset, n, mean, sd, se, normalised): weighted mean, deviation, deviation over the root of trials, and weighted mean of value / scale, of overlapping subsets, each row counted once per subset it belongs to, in one pass."""
     tags = F.filter(F.array(*(F.when(c, name) for name, c in subsets.items())), lambda x: x.isNotNull())
     w, x = F.col(weight), F.col(value)
-    sums = df.withColumn("subset", F.explode(tags)).groupBy("subset").agg(F.count("*").alias("n"), F.sum(w).alias("w"), F.sum(w * x).alias("wx"), F.sum(w * x * x).alias("wxx"))
+    sums = df.withColumn("subset", F.explode(tags)).groupBy("subset").agg(F.count("*").alias("n"), F.sum(w).alias("w"), F.sum(w * x).alias("wx"), F.sum(w * x * x).alias("wxx"), F.sum(w * x / scale).alias("wxs"))
     mean = F.col("wx") / F.col("w")
-    return sums.select("subset", "n", mean.alias("mean"), F.sqrt(F.greatest(F.lit(0.0), F.col("wxx") / F.col("w") - mean * mean)).alias("sd"))
+    sd = F.sqrt(F.greatest(F.lit(0.0), F.col("wxx") / F.col("w") - mean * mean))
+    return sums.select("subset", "n", mean.alias("mean"), sd.alias("sd"), (sd / trials**0.5).alias("se"), (F.col("wxs") / F.col("w")).alias("normalised"))
 
 
 @BOOK.add(
     "g25_weighted_stats",
-    f"WITH {POSE}, s AS (SELECT unnest(list_filter(['all', CASE WHEN event % 2 = 0 THEN 'even' END, CASE WHEN marker = 'click' THEN 'click' END, CASE WHEN error <= 40 THEN 'good' END], lambda x: x IS NOT NULL)) AS subset, y, score + 0.01 AS w FROM pose) "
-    "SELECT subset, count(*) AS n, round(sum(w * y) / sum(w), 4) AS mean, round(sqrt(greatest(0, sum(w * y * y) / sum(w) - pow(sum(w * y) / sum(w), 2))), 4) AS sd FROM s GROUP BY subset",
+    f"WITH {POSE}, s AS (SELECT unnest(list_filter(['all', CASE WHEN event % 2 = 0 THEN 'even' END, CASE WHEN marker = 'click' THEN 'click' END, CASE WHEN error <= 40 THEN 'good' END], lambda x: x IS NOT NULL)) AS subset, y, score + 0.01 AS w, r FROM pose JOIN (SELECT marker, nullif(max(y) - min(y), 0) AS r FROM pose GROUP BY marker) USING (marker)) "
+    "SELECT subset, count(*) AS n, round(sum(w * y) / sum(w), 4) AS mean, round(sqrt(greatest(0, sum(w * y * y) / sum(w) - pow(sum(w * y) / sum(w), 2))), 4) AS sd, round(sqrt(greatest(0, sum(w * y * y) / sum(w) - pow(sum(w * y) / sum(w), 2))) / sqrt(17), 4) AS se, round(sum(w * y / r) / sum(w), 4) AS normalised FROM s GROUP BY subset",
 )
 def _g25(spark, sf):
+    spread = F.max("y") - F.min("y")
     rows = pose(spark, sf).withColumn("w", F.col("score") + 0.01)
+    rows = rows.join(rows.groupBy("marker").agg(F.when(spread > 0, spread).alias("r")), "marker")
     subsets = {"all": F.lit(True), "even": F.col("event") % 2 == 0, "click": F.col("marker") == "click", "good": F.col("error") <= 40}
-    return weighted_stats(rows, "y", "w", subsets).select("subset", "n", F.round("mean", 4).alias("mean"), F.round("sd", 4).alias("sd"))
+    return weighted_stats(rows, "y", "w", subsets, 17, F.col("r")).select("subset", "n", *(F.round(c, 4).alias(c) for c in ("mean", "sd", "se", "normalised")))
 
 
 def percent_tracked(df: DataFrame, keys: list[str], good: Column, found: Column) -> DataFrame:
@@ -582,15 +611,19 @@ def _g36(spark, sf):
     return triage_templates(template_similarity(templates(spark, sf), "label", "embedding"), sizes, "label", 5, 0.2)
 
 
-def cluster_summary(df: DataFrame, channel: str, cluster: str, time: str, refractory: int) -> DataFrame:
-    """(channel, cluster, n, short): events per class and intervals below refractory."""
+def cluster_summary(df: DataFrame, channel: str, cluster: str, time: str, refractory: int, width: int, bins: int) -> DataFrame:
+    """(channel, cluster, n, short, isi): events per class, intervals below refractory, and a histogram of the intervals below bins * width."""
     gap = F.col(time) - F.lag(time).over(Window.partitionBy(channel, cluster).orderBy(time))
-    return df.withColumn("_g", gap).groupBy(channel, cluster).agg(F.count("*").alias("n"), F.count_if(F.col("_g") < refractory).alias("short"))
+    at = F.floor(F.col("_g") / width)
+    counts = df.withColumn("_g", gap).groupBy(channel, cluster, F.when(at < bins, at).alias("_b")).agg(F.count("*").alias("_n"), F.count_if(F.col("_g") < refractory).alias("_s"))
+    held = F.map_from_entries(F.collect_list(F.when(F.col("_b").isNotNull(), F.struct("_b", "_n"))))
+    isi = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long")), lambda k: F.coalesce(F.try_element_at("_h", k), F.lit(0).cast("long")))
+    return counts.groupBy(channel, cluster).agg(F.sum("_n").alias("n"), F.sum("_s").alias("short"), held.alias("_h")).select(channel, cluster, "n", "short", isi.alias("isi"))
 
 
-@BOOK.add("g37_cluster_summary", f"WITH {SPIKES}, g AS (SELECT unit, spike % 4 AS cluster, t - lag(t) OVER (PARTITION BY unit, spike % 4 ORDER BY t) AS g FROM spikes) SELECT unit, cluster, count(*) AS n, count(*) FILTER (g < {6 * HOUR}) AS short FROM g GROUP BY 1, 2")
+@BOOK.add("g37_cluster_summary", f"WITH {SPIKES}, g AS (SELECT unit, spike % 4 AS cluster, t - lag(t) OVER (PARTITION BY unit, spike % 4 ORDER BY t) AS g FROM spikes) SELECT unit, cluster, count(*)::BIGINT AS n, count(*) FILTER (g < {6 * HOUR}) AS short, list_transform(range(0, 20), lambda k: len(list_filter(list(g), lambda x: x // {4 * HOUR} = k))) AS isi FROM g GROUP BY 1, 2")
 def _g37(spark, sf):
-    return cluster_summary(spikes(spark, sf).withColumn("cluster", F.col("spike") % 4), "unit", "cluster", "t", 6 * HOUR)
+    return cluster_summary(spikes(spark, sf).withColumn("cluster", F.col("spike") % 4), "unit", "cluster", "t", 6 * HOUR, 4 * HOUR, 20)
 
 
 #: Metric registry: name -> function of (events, keys, time or value column).

@@ -138,30 +138,30 @@ def blips(df: DataFrame, keys: list[str], frame: str, value: str, longest: int)
 
 
 def blip_stats(df: DataFrame, found: DataFrame, keys: list[str], frame: str, raw: str, error: str) -> DataFrame:
-    """found with `deviation` (mean distance of the raw values from the straight line), `peak` (largest) and `mean_error`."""
+    """found with `deviation` (mean distance of the raw values from the straight line), `peak` (largest), `mean_error` and `tracked` (share of frames with an error)."""
     rows = df.select(*keys, F.col(frame).alias("_f"), F.col(raw).alias("_x"), F.col(error).alias("_e"))
     inside = band_join(rows, found, keys, "_f", "first", "last", 256)
     line = F.col("before") + (F.col("after") - F.col("before")) * (F.col("_f") - F.col("first") + 1) / (F.col("last") - F.col("first") + 2)
     off = F.abs(F.col("_x") - line)
-    return inside.groupBy(*keys, "first", "last", "before", "after").agg(F.avg(off).alias("deviation"), F.max(off).alias("peak"), F.avg("_e").alias("mean_error"))
+    return inside.groupBy(*keys, "first", "last", "before", "after").agg(F.avg(off).alias("deviation"), F.max(off).alias("peak"), F.avg("_e").alias("mean_error"), (F.count("_e") / F.count("*")).alias("tracked"))
 
 
 def checked(spark, sf) -> DataFrame:
-    """Trajectories with y NULL where the error exceeds 40, and the raw y as raw."""
-    return pose(spark, sf).select(*KEYS, "frame", F.col("y").alias("raw"), "error", F.when(F.col("error") <= 40, F.col("y")).alias("y"))
+    """Trajectories with y NULL where the error exceeds 40, and the raw y as raw; an error counts as known from two cameras on."""
+    return pose(spark, sf).select(*KEYS, "frame", F.col("y").alias("raw"), F.when(F.col("ncams") >= 2, F.col("error")).alias("error"), F.when(F.col("error") <= 40, F.col("y")).alias("y"))
 
 
-BLIP = f"""{POSE}, q AS (SELECT event, marker, frame, y AS raw, error, CASE WHEN error <= 40 THEN y END AS y FROM pose),
+BLIP = f"""{POSE}, q AS (SELECT event, marker, frame, y AS raw, CASE WHEN ncams >= 2 THEN error END AS error, CASE WHEN error <= 40 THEN y END AS y FROM pose),
 nul AS (SELECT event, marker, min(frame) AS first, max(frame) AS last FROM (SELECT *, frame - row_number() OVER (PARTITION BY event, marker ORDER BY frame) AS g FROM q WHERE y IS NULL) GROUP BY event, marker, g HAVING count(*) <= 6),
 blips AS (SELECT n.*, a.y AS before, b.y AS after FROM nul n JOIN q a ON a.event = n.event AND a.marker = n.marker AND a.frame = n.first - 1 JOIN q b ON b.event = n.event AND b.marker = n.marker AND b.frame = n.last + 1),
-stats AS (SELECT b.event, b.marker, first, last, before, after, avg(abs(raw - (before + (after - before) * (frame - first + 1) / (last - first + 2)))) AS deviation, max(abs(raw - (before + (after - before) * (frame - first + 1) / (last - first + 2)))) AS peak, avg(error) AS mean_error FROM blips b JOIN q ON q.event = b.event AND q.marker = b.marker AND q.frame BETWEEN first AND last GROUP BY ALL)"""
+stats AS (SELECT b.event, b.marker, first, last, before, after, avg(abs(raw - (before + (after - before) * (frame - first + 1) / (last - first + 2)))) AS deviation, max(abs(raw - (before + (after - before) * (frame - first + 1) / (last - first + 2)))) AS peak, avg(error) AS mean_error, count(error) / count(*) AS tracked FROM blips b JOIN q ON q.event = b.event AND q.marker = b.marker AND q.frame BETWEEN first AND last GROUP BY ALL)"""
 
 
 def fill_blips(df: DataFrame, keys: list[str], frame: str, value: str, raw: str, error: str, longest: int, deviation: float, peak: float, high_error: float) -> DataFrame:
-    """(keys, frame, filled): short NULL runs on the straight line if their raw values stray far from it (over 2 * deviation, or deviation with a peak) at a high error; others stay NULL."""
+    """(keys, frame, filled): short NULL runs on the straight line if their raw values stray far from it (over 2 * deviation, or deviation with a peak) at a high error or tracked less than half the time; others stay NULL."""
     stats = blip_stats(df, blips(df, keys, frame, value, longest), keys, frame, raw, error)
     far = (F.col("deviation") > 2 * deviation) | ((F.col("deviation") > deviation) & (F.col("peak") > peak))
-    bad = stats.where(far & (F.col("mean_error") > high_error))
+    bad = stats.where(far & ((F.col("tracked") < 0.5) | (F.col("mean_error") > high_error)))
     spread = bad.select(*keys, F.explode(F.sequence("first", "last")).alias(frame), "before", "after", "first", "last")
     line = F.col("before") + (F.col("after") - F.col("before")) * (F.col(frame) - F.col("first") + 1) / (F.col("last") - F.col("first") + 2)
     return df.join(spread, [*keys, frame], "left").select(*keys, frame, F.coalesce(F.col(value), line).alias("filled"))
@@ -169,7 +169,7 @@ def fill_blips(df: DataFrame, keys: list[str], frame: str, value: str, raw: str,
 
 @BOOK.add(
     "d17_fill_blips",
-    f"WITH {BLIP}, bad AS (SELECT * FROM stats WHERE (deviation > 30 OR (deviation > 15 AND peak > 26)) AND mean_error > 40) "
+    f"WITH {BLIP}, bad AS (SELECT * FROM stats WHERE (deviation > 30 OR (deviation > 15 AND peak > 26)) AND (tracked < 0.5 OR mean_error > 40)) "
     "SELECT q.event, q.marker, q.frame, round(coalesce(y, before + (after - before) * (frame - first + 1) / (last - first + 2)), 4) AS filled FROM q LEFT JOIN bad b ON q.event = b.event AND q.marker = b.marker AND q.frame BETWEEN first AND last",
 )
 def _d17(spark, sf):
@@ -194,19 +194,20 @@ def _d18(spark, sf):
     return merge_jumpy_blips(blips(checked(spark, sf), KEYS, "frame", "y", 6), KEYS, 20, 8)
 
 
-def retain_good_paths(df: DataFrame, keys: list[str], frame: str, value: str, raw: str, error: str, longest: int, deviation: float) -> DataFrame:
-    """(keys, frame, kept): NULL runs whose raw values stay near the straight line get them back."""
+def retain_good_paths(df: DataFrame, keys: list[str], frame: str, value: str, raw: str, error: str, longest: int, deviation: float, high_error: float) -> DataFrame:
+    """(keys, frame, kept): NULL runs whose raw values stay within deviation of the straight line get them back; within 1.5 * deviation too, if their mean error is below high_error and over 0.4 of their frames are tracked."""
     stats = blip_stats(df, blips(df, keys, frame, value, longest), keys, frame, raw, error)
-    good = stats.where(F.col("deviation") < deviation).select(*keys, F.explode(F.sequence("first", "last")).alias(frame), F.lit(True).alias("_g"))
+    loose = (F.col("deviation") < 1.5 * deviation) & (F.col("mean_error") < high_error) & (F.col("tracked") > 0.4)
+    good = stats.where((F.col("deviation") < deviation) | loose).select(*keys, F.explode(F.sequence("first", "last")).alias(frame), F.lit(True).alias("_g"))
     return df.join(good, [*keys, frame], "left").select(*keys, frame, F.when(F.col("_g"), F.col(raw)).otherwise(F.col(value)).alias("kept"))
 
 
 @BOOK.add(
     "d19_retain_good_paths",
-    f"WITH {BLIP} SELECT q.event, q.marker, q.frame, CASE WHEN b.first IS NOT NULL THEN raw ELSE y END AS kept FROM q LEFT JOIN stats b ON q.event = b.event AND q.marker = b.marker AND q.frame BETWEEN first AND last AND deviation < 25",
+    f"WITH {BLIP} SELECT q.event, q.marker, q.frame, CASE WHEN b.first IS NOT NULL THEN raw ELSE y END AS kept FROM q LEFT JOIN stats b ON q.event = b.event AND q.marker = b.marker AND q.frame BETWEEN first AND last AND (deviation < 20 OR (deviation < 30 AND mean_error < 60 AND tracked > 0.4))",
 )
 def _d19(spark, sf):
-    return retain_good_paths(checked(spark, sf), KEYS, "frame", "y", "raw", "error", 6, 25)
+    return retain_good_paths(checked(spark, sf), KEYS, "frame", "y", "raw", "error", 6, 20, 60)
 
 
 def trim_tail(df: DataFrame, keys: list[str], frame: str, same: Column, least: float) -> DataFrame:
