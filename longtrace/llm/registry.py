@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from longtrace.llm import chat, decontam, lines, pieces, quality, rules, shards, simhash, suffixes, urls
+from longtrace.llm import chat, decontam, licenses, lines, pieces, quality, rules, shards, simhash, suffixes, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": urls.op8_url_filter,
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_quality_rules": rules.op10_quality_rules,
+        "op11_license_scan": licenses.op11_license_scan,
     }
 
 
@@ -30,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_decontamination": decontam.OP5_SQL,
         "op6_chat_format": chat.OP6_SQL,
         "op10_quality_rules": rules.OP10_SQL,
+        "op11_license_scan": licenses.OP11_SQL,
     }
