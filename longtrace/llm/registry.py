@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from longtrace.llm import chat, decontam, licenses, lines, pieces, quality, rules, shards, simhash, suffixes, urls
+from longtrace.llm import chat, codes, decontam, licenses, lines, pieces, quality, rules, shards, simhash, suffixes, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_quality_rules": rules.op10_quality_rules,
         "op11_license_scan": licenses.op11_license_scan,
+        "op12_vector_codes": codes.op12_vector_codes,
     }
 
 
@@ -32,4 +33,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat_format": chat.OP6_SQL,
         "op10_quality_rules": rules.OP10_SQL,
         "op11_license_scan": licenses.OP11_SQL,
+        "op12_vector_codes": codes.OP12_SQL,
     }
