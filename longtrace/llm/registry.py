@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from longtrace.llm import chat, codes, decontam, licenses, lines, pieces, quality, rules, shards, simhash, suffixes, urls
+from longtrace.llm import chat, codes, decontam, licenses, lines, pieces, quality, repair, rules, shards, simhash, suffixes, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_quality_rules": rules.op10_quality_rules,
         "op11_license_scan": licenses.op11_license_scan,
         "op12_vector_codes": codes.op12_vector_codes,
+        "op13_conversation_repair": repair.op13_conversation_repair,
     }
 
 
@@ -34,4 +35,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_quality_rules": rules.OP10_SQL,
         "op11_license_scan": licenses.OP11_SQL,
         "op12_vector_codes": codes.OP12_SQL,
+        "op13_conversation_repair": repair.OP13_SQL,
     }
