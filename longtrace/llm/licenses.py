@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from longtrace.llm.lines import text_key
+from longtrace.session import written
 
 #: Phrases that count wherever their words stand consecutively, and their labels.
 PHRASES = [
@@ -39,10 +40,18 @@ MIN_SHARE, STRETCH = 0.75, 2.0
 BLOCK_GRAMS = 200_000
 
 
+#: A run of digits, ASCII letters and non-ASCII characters.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
+
+
 def word_list(text: Column) -> Column:
-    """Lower-cased (A-Z) runs of digits, ASCII letters and non-ASCII characters."""
-    lower = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.regexp_extract_all(lower, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
+    """The words as they are written."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+
+
+def lowered(word: Column) -> Column:
+    """A word with A-Z in lower case."""
+    return F.translate(word, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def rolling(hashes: Column, n: Column, width: int) -> Column:
@@ -59,11 +68,11 @@ def template_table(spark: SparkSession, phrases: list[tuple[str, str]] = PHRASES
 
 def template_grams(templates: DataFrame, gram: int) -> DataFrame:
     """(template, label, exact, size, k, j, gram, hash): each template's grams and their places; template: a hash of the row."""
-    t = templates.select(F.xxhash64("label", "text", "exact").alias("template"), "label", "exact", word_list(F.col("text")).alias("w")).distinct()
+    t = templates.select(F.xxhash64("label", "text", "exact").alias("template"), "label", "exact", F.transform(word_list(F.col("text")), lowered).alias("w")).distinct()
     t = t.where(F.size("w") > 0).withColumn("size", F.size("w")).withColumn("k", F.least(F.size("w"), F.lit(gram)))
     at = t.select("*", F.explode(F.sequence(F.lit(0), F.col("size") - F.col("k"))).alias("j"))
     at = at.withColumn("gram", F.slice("w", F.col("j") + 1, F.col("k"))).drop("w")
-    hashed = F.transform("gram", lambda x: F.xxhash64(x))
+    hashed = F.transform("gram", lambda x: F.xxhash64(F.lower(x)))
     by_width = F.coalesce(*(F.when(F.col("k") == k, F.xxhash64(*(F.get(hashed, F.lit(j)) for j in range(k)))) for k in range(1, gram + 1)))
     return at.withColumn("hash", by_width)
 
@@ -80,22 +89,26 @@ def votes(docs: DataFrame, templates: DataFrame, id_col: str, text_col: str, gra
     widths = sorted(counts)
     key = text_key(id_col, text_col)
     listed = docs.select(key.alias("key"), word_list(F.col(f"`{text_col}`")).alias("w")).withColumn("n", F.size("w"))
-    listed = listed.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
+    # lower() also changes some letters that aren't A-Z; the comparison of words doesn't
+    listed = listed.withColumn("h", F.transform("w", lambda x: F.xxhash64(F.lower(x))))
     listed = listed.withColumn("all", F.flatten(F.array(*(rolling(F.col("h"), F.col("n"), k) for k in widths))) if widths else F.array().cast("array<long>"))
     # outer: an inner explode has Spark compute the array once more to see whether it is empty
     spread = listed.select("key", "w", "n", F.posexplode_outer("all").alias("p", "hash"))
-    at, width, begun = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(0)
+    at, begun = F.lit(None).cast("int"), F.lit(0)
     for k in widths:
         end = begun + F.greatest(F.col("n") - (k - 1), F.lit(0))
         here = (F.col("p") >= begun) & (F.col("p") < end)
-        at, width = F.when(here, F.col("p") - begun).otherwise(at), F.when(here, F.lit(k)).otherwise(width)
+        at = F.when(here, F.col("p") - begun).otherwise(at)
         begun = end
     n_blocks = max(1, -(-sum(counts.values()) // block_grams))
     found = None
     for block in range(n_blocks):
         part = grams.where(F.pmod(F.xxhash64("template", "j"), F.lit(n_blocks)) == block)
         joined = spread.join(F.broadcast(part), "hash").withColumn("i", at)
-        same = (width == F.col("k")) & (F.slice("w", F.col("i") + 1, F.col("k")) == F.col("gram"))
+        # word by word, not with transform(): that would be left out of the generated code, and the words be copied for each gram
+        same = F.lit(True)
+        for j in range(gram):
+            same = same & ((F.col("k") <= j) | (lowered(F.get("w", F.col("i") + j)) == F.get("gram", F.lit(j))))
         hits = joined.where(same).select("key.id", F.col("key.text").alias("digest"), "template", "label", "exact", "size", "k", (F.col("i") - F.col("j")).alias("diagonal"), "j")
         found = hits if found is None else found.union(hits)
     return found.groupBy("id", "digest", "template", "label", "exact", "size", "k", "diagonal").agg(F.collect_set("j").alias("js"))
@@ -109,7 +122,7 @@ def license_spans(docs: DataFrame, templates: DataFrame | None = None, id_col: s
     or left out does not end a span; a span counts if at least min_share of the
     template's words stand in it, over at most stretch times their number.
     """
-    found = votes(docs, template_table(docs.sparkSession) if templates is None else templates, id_col, text_col, gram, block_grams)
+    found = written(votes(docs, template_table(docs.sparkSession) if templates is None else templates, id_col, text_col, gram, block_grams), "votes")
     keys = ["id", "digest", "template", "label", "exact", "size", "k"]
     whole = found.where(F.col("exact") & (F.size("js") == F.col("size") - F.col("k") + 1))
     phrases = whole.select("id", "digest", "template", "label", "exact", F.col("diagonal").alias("first"), (F.col("diagonal") + F.col("size") - 1).alias("last"), F.lit(1.0).alias("share"))
@@ -153,7 +166,7 @@ def license_scan(docs: DataFrame, templates: DataFrame | None = None, id_col: st
         F.array_sort(F.collect_set("label")).alias("labels"),
         F.max("share").alias("score"),
     )
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_key(id_col, text_col).alias("key"), F.size(word_list(F.col(f"`{text_col}`"))).cast("long").alias("n_words"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_key(id_col, text_col).alias("key"), F.regexp_count(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.lit(WORD)).cast("long").alias("n_words"))
     joined = rows.join(found, F.col("key").eqNullSafe(F.col("found")), "left")
     joined_labels = lambda c: F.coalesce(F.array_join(c, ","), F.lit(""))
     return joined.select("doc_id", "n_words", F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"), "first_word", "last_word", joined_labels("base_labels").alias("base_labels"), joined_labels("labels").alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"))

@@ -54,6 +54,7 @@ TEXTS = [
     "licensed under the licensed under the apache apache license version 2.0",
     "İMIT LICENSE mit ﬁ license",
     "mit license " * 500,
+    "\u212aey PERMISSION \u0130s mit licen\u017fe apache\u00a0license",
 ]
 
 
