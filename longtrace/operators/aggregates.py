@@ -326,24 +326,6 @@ def _g19(spark, sf):
     return template_similarity(templates(spark, sf), "label", "embedding").withColumn("similarity", F.round("similarity", 4))
 
 
-def merge_candidates(similar: DataFrame, sizes: DataFrame, key: str, least: float) -> DataFrame:
-    """(unit, into, similarity): for every unit the most similar one with more events, if above least."""
-    n = lambda k, c: sizes.select(F.col(key).alias(k), F.col("n").alias(c))
-    both = similar.union(similar.select(F.col("b"), F.col("a"), F.col("similarity"))).where(F.col("similarity") > least)
-    rows = both.join(n("a", "na"), "a").join(n("b", "nb"), "b").where(F.struct("nb", "b") > F.struct("na", "a"))
-    return rows.groupBy("a").agg(F.max(F.struct("similarity", "b")).alias("m")).select(F.col("a").alias("unit"), F.col("m.b").alias("into"), F.col("m.similarity").alias("similarity"))
-
-
-@BOOK.add(
-    "g18_merge_candidates",
-    f"WITH {SIM}, n AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label), s AS (SELECT a, b, similarity FROM sim UNION ALL SELECT b, a, similarity FROM sim), r AS (SELECT a, b, similarity FROM s JOIN n x ON x.label = a JOIN n y ON y.label = b WHERE similarity > -1 AND (y.n > x.n OR (y.n = x.n AND b > a))) "
-    "SELECT a AS unit, arg_max(b, similarity) AS into, round(max(similarity), 4) AS similarity FROM r GROUP BY a",
-)
-def _g18(spark, sf):
-    sizes = spark.read.parquet(f"{sf}/embeddings.parquet").groupBy("label").agg(F.count("*").alias("n"))
-    return merge_candidates(template_similarity(templates(spark, sf), "label", "embedding"), sizes, "label", -1.0).withColumn("similarity", F.round("similarity", 4))
-
-
 def unit_spread(energy: DataFrame, unit: str, place: str, value: str, floor: float = 0.1) -> DataFrame:
     """(unit, centre, spread): energy below floor of the unit's largest is zero; weighted centre and root mean square distance from it."""
     top = F.max(value).over(Window.partitionBy(unit))

@@ -12,6 +12,7 @@ MODULES = [
     "longtrace.operators.sequence",
     "longtrace.operators.joins",
     "longtrace.operators.aggregates",
+    "longtrace.operators.merging",
     "longtrace.operators.grid",
     "longtrace.operators.identity",
     "longtrace.operators.signals",
