@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from longtrace.functions.carry import carried
 from longtrace.operators.joins import PAIRS, VEC, centres, spike_pairs, train_pairs
-from longtrace.operators.sequence import DAYS30, DROPOUT, EVENTS, HOUR, REACH, _d29, dropouts, segments
-from longtrace.plans.standins import FRAMES, POSE, SIGNAL, SPIKES, Book, events, frames, pose, signal, spikes
+from longtrace.operators.sequence import CHUNK, DAYS30, DROPOUT, EVENTS, HOUR, REACH, _d29, dropouts, segments
+from longtrace.plans.standins import EV, FRAMES, POSE, SIGNAL, SPIKES, Book, events, frames, pose, signal, spikes
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
@@ -153,9 +154,9 @@ def _g10(spark, sf):
     return candidate_ends(rows, rows.select("unit").distinct().withColumn("length", F.lit(100 * HOUR)), ["unit"])
 
 
-def unit_rates(df: DataFrame, keys: list[str], time: str, refractory: int) -> DataFrame:
+def unit_rates(df: DataFrame, keys: list[str], time: str, refractory: int, chunk: int = HOUR) -> DataFrame:
     """(keys, n, rate, violations, isi_violation_rate): rate per unit of time from first to last event; violations: intervals below refractory."""
-    gaps = df.select(*keys, F.col(time).alias("_t"), (F.col(time) - F.lag(time).over(Window.partitionBy(*keys).orderBy(time))).alias("_i"))
+    gaps = carried(df.select(*keys, F.col(time).alias("_t")), keys, "_t", chunk, lag={"_b": F.col("_t")}).withColumn("_i", F.col("_t") - F.col("_b"))
     stats = gaps.groupBy(*keys).agg(F.count("*").alias("n"), (F.max("_t") - F.min("_t")).alias("_d"), F.count_if(F.col("_i") < refractory).alias("violations"))
     rate = F.when(F.col("_d") > 0, F.col("n") / F.col("_d"))
     return stats.select(*keys, "n", rate.alias("rate"), "violations", (F.col("violations") / (2 * F.col("n") * refractory) / rate).alias("isi_violation_rate"))
@@ -166,12 +167,12 @@ _RATES = f"{SPIKES}, i AS (SELECT unit, t, t - lag(t) OVER (PARTITION BY unit OR
 
 @BOOK.add("g11_firing_rate", f"WITH {_RATES} SELECT unit, n, CASE WHEN d > 0 THEN round(n * {float(24 * HOUR)} / d, 5) END AS per_day FROM rates")
 def _g11(spark, sf):
-    return unit_rates(spikes(spark, sf), ["unit"], "t", HOUR).select("unit", "n", F.round(F.col("rate") * float(24 * HOUR), 5).alias("per_day"))
+    return unit_rates(spikes(spark, sf), ["unit"], "t", HOUR, CHUNK).select("unit", "n", F.round(F.col("rate") * float(24 * HOUR), 5).alias("per_day"))
 
 
 @BOOK.add("g12_isi_violation_rate", f"WITH {_RATES} SELECT unit, violations, CASE WHEN d > 0 THEN round((violations / (2.0 * n * {HOUR})) / (n / d), 5) END AS isi_violation_rate FROM rates")
 def _g12(spark, sf):
-    return unit_rates(spikes(spark, sf), ["unit"], "t", HOUR).select("unit", "violations", F.round("isi_violation_rate", 5).alias("isi_violation_rate"))
+    return unit_rates(spikes(spark, sf), ["unit"], "t", HOUR, CHUNK).select("unit", "violations", F.round("isi_violation_rate", 5).alias("isi_violation_rate"))
 
 
 def snr(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -270,10 +271,20 @@ def contamination_cutoff(df: DataFrame, unit: str, time: str, amplitude: str, le
     `chance`, or either is unknown. If the first level's Q is below most / 2, later
     levels may reach twice that Q only, at least most / 10 and at most most / 2.
     """
-    tried = df.select(unit, F.col(time).alias("_t"), F.explode(F.filter(F.array(*(F.lit(x) for x in levels)), lambda x: x <= F.col(amplitude))).alias("level"))
-    rows = tried.select(F.struct(unit, "level").alias("k"), "_t")
-    sizes = rows.groupBy("k").agg(F.count("*").alias("n_a"), F.count("*").alias("n_b"), (F.max("_t") - F.min("_t")).alias("length"))
-    scores = refractory_scores(cross_correlogram(spike_pairs(rows, rows, ["k"], "_t", bins * width), "k", bins, width), sizes.where("length > 0"), "k", bins, width)
+    listed = F.array(*(F.lit(x) for x in levels))
+    reached = lambda x: F.filter(listed, lambda y: y <= x)
+    rows = df.where(F.size(reached(F.col(amplitude))) > 0).select(unit, F.col(time).alias("_t"), F.array_max(reached(F.col(amplitude))).alias("_l"))
+    at_level = rows.groupBy(unit, "_l").agg(F.count("*").alias("n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
+    sizes = at_level.select("*", F.explode(reached(F.col("_l"))).alias("level")).groupBy(F.struct(unit, "level").alias("k")).agg(F.sum("n").alias("n_a"), F.sum("n").alias("n_b"), (F.max("_hi") - F.min("_lo")).alias("length"))
+    # a pair of events belongs to the levels that both reach: pairs are made and counted once, their counts spread over levels
+    pairs = spike_pairs(rows, rows, [unit], "_t", bins * width, ["_l"])
+    d = F.col("t_b") - F.col("t_a")
+    bin_ = (F.signum(d) * F.floor((F.abs(d) + width // 2) / width)).cast("long")
+    counts = pairs.groupBy(unit, F.least("_l_a", "_l_b").alias("_l"), bin_.alias("bin")).agg(F.count("*").alias("n"))
+    counts = counts.select("*", F.explode(reached(F.col("_l"))).alias("level")).groupBy(F.struct(unit, "level").alias("k"), "bin").agg(F.sum("n").alias("_n"))
+    grid = sizes.select("k", F.explode(F.sequence(F.lit(-bins).cast("long"), F.lit(bins).cast("long"))).alias("bin"))
+    ccg = grid.join(counts, ["k", "bin"], "left").select("k", "bin", F.coalesce("_n", F.lit(0)).alias("n"))
+    scores = refractory_scores(ccg, sizes.where("length > 0"), "k", bins, width)
     base = F.max(F.greatest("q00", "q01"))
     stats = scores.groupBy("k").agg((F.min("q") / F.when(base > 0, base)).alias("_q"), F.min("r").alias("_r"))
     w = Window.partitionBy(unit).orderBy(F.desc("level"))
@@ -286,9 +297,22 @@ def contamination_cutoff(df: DataFrame, unit: str, time: str, amplitude: str, le
     return df.select(unit).distinct().join(best, unit, "left").select(unit, F.col("b.level").alias("cutoff"), F.coalesce("b.n", F.lit(0)).alias("n"), F.col("b").isNotNull().alias("good"))
 
 
+#: Trains of eight users together with a dead time of an hour; events below 20 are kept though they come sooner, as contamination.
+TRAINS = (
+    f"{EV}, gapped AS (SELECT *, t - lag(t) OVER (PARTITION BY user_id // 8 ORDER BY t, event_id) AS gap FROM ev), "
+    f"trains AS (SELECT user_id // 8 AS unit, t, value AS amplitude FROM gapped WHERE gap IS NULL OR gap >= {HOUR} OR value < 20)"
+)
+
+
+def _trains(spark, sf) -> DataFrame:
+    rows = events(spark, sf).select(F.expr("user_id div 8").alias("unit"), "t", F.col("event_id").alias("spike"), F.col("value").alias("amplitude"))
+    gapped = carried(rows, ["unit"], "t", CHUNK, ["spike"], lag={"_before": F.col("t")})
+    return gapped.where(F.col("_before").isNull() | (F.col("t") - F.col("_before") >= HOUR) | (F.col("amplitude") < 20)).select("unit", "t", "amplitude")
+
+
 @BOOK.add(
     "g17_contamination_cutoff",
-    f"WITH {SPIKES}, x AS (SELECT unit, level, t FROM spikes JOIN (SELECT unnest([80.0, 60.0, 40.0, 20.0, 10.0]::DOUBLE[]) AS level) l ON amplitude >= level), n AS (SELECT unit, level, count(*) AS n, max(t) - min(t) AS length FROM x GROUP BY 1, 2), "
+    f"WITH {TRAINS}, x AS (SELECT unit, level, t FROM trains JOIN (SELECT unnest([80.0, 60.0, 40.0, 20.0, 10.0]::DOUBLE[]) AS level) l ON amplitude >= level), n AS (SELECT unit, level, count(*) AS n, max(t) - min(t) AS length FROM x GROUP BY 1, 2), "
     f"p AS (SELECT a.unit, a.level, sign(b.t - a.t) * ((abs(b.t - a.t) + {WIDTH // 2}) // {WIDTH}) AS bin FROM x a JOIN x b ON a.unit = b.unit AND a.level = b.level AND abs(a.t - b.t) <= {BINS * WIDTH}), c AS (SELECT unit, level, bin, count(*) AS c FROM p GROUP BY ALL), "
     f"ccg AS (SELECT n.unit, n.level, n.n, n.length, b.bin, coalesce(c, 0) AS c FROM n CROSS JOIN (SELECT unnest(range(-{BINS}, {BINS + 1})) AS bin) b LEFT JOIN c ON c.unit = n.unit AND c.level = n.level AND c.bin = b.bin WHERE length > 0), "
     f"s AS (SELECT unit, level, n, length, avg(c) FILTER (bin BETWEEN {1 - BINS} AND {-(BINS // 2) - 1} OR bin BETWEEN {BINS // 2} AND {BINS - 1}) AS o, greatest(avg(c) FILTER (bin BETWEEN -50 AND -10), avg(c) FILTER (bin BETWEEN 11 AND 49)) AS s FROM ccg GROUP BY ALL), "
@@ -296,12 +320,12 @@ def contamination_cutoff(df: DataFrame, unit: str, time: str, amplitude: str, le
     "z AS (SELECT unit, level, c / (2.0 * i) AS q, nullif(greatest(o, s.s), 0) AS base, (c / 2.0 - greatest(o, s.s) * i) / sqrt(nullif(greatest(o, s.s) * i, 0)) AS z FROM k JOIN s USING (unit, level)), "
     f"g AS (SELECT unit, level, min(q) / max(base) AS q, min({phi_sql('z')}) AS r FROM z GROUP BY 1, 2), "
     "t AS (SELECT n.unit, n.level, n, q, r, first_value(q) OVER w AS q0, row_number() OVER w AS k FROM n LEFT JOIN g USING (unit, level) WINDOW w AS (PARTITION BY n.unit ORDER BY n.level DESC)), "
-    "b AS (SELECT *, sum((NOT coalesce(q <= CASE WHEN k > 1 AND q0 < 0.4 THEN least(0.4, greatest(0.08, 2 * q0)) ELSE 0.8 END AND r <= 0.4, false))::INT) OVER (PARTITION BY unit ORDER BY level DESC) AS bad FROM t), "
+    "b AS (SELECT *, sum((NOT coalesce(q <= CASE WHEN k > 1 AND q0 < 0.05 THEN least(0.05, greatest(0.01, 2 * q0)) ELSE 0.1 END AND r <= 0.05, false))::INT) OVER (PARTITION BY unit ORDER BY level DESC) AS bad FROM t), "
     "f AS (SELECT unit, min(level) AS cutoff, arg_min(n, level) AS n FROM b WHERE bad = 0 GROUP BY unit) "
-    "SELECT u.unit, cutoff, coalesce(n, 0) AS n, cutoff IS NOT NULL AS good FROM (SELECT DISTINCT unit FROM spikes) u LEFT JOIN f USING (unit)",
+    "SELECT u.unit, cutoff, coalesce(n, 0) AS n, cutoff IS NOT NULL AS good FROM (SELECT DISTINCT unit FROM trains) u LEFT JOIN f USING (unit)",
 )
 def _g17(spark, sf):
-    return contamination_cutoff(spikes(spark, sf), "unit", "t", "amplitude", [80.0, 60.0, 40.0, 20.0, 10.0], BINS, WIDTH, 0.8, 0.4)
+    return contamination_cutoff(_trains(spark, sf), "unit", "t", "amplitude", [80.0, 60.0, 40.0, 20.0, 10.0], BINS, WIDTH)
 
 
 def template_similarity(df: DataFrame, key: str, vector: str) -> DataFrame:

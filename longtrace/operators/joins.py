@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from longtrace.functions.carry import carried
 from longtrace.functions.islands import band_join
 from longtrace.operators.sequence import BREAKS, EVENTS, HOUR, REACH, _d3, _d29, segments
 from longtrace.plans.standins import ELECTRODES, POSE, SIGNAL, SPIKES, Book, electrodes, pose, signal, spikes
@@ -70,26 +71,25 @@ def _f5(spark, sf):
     return spike_to_sample(rows, grid, ["unit"], "t", "s", HOUR, HOUR // 6)
 
 
-def as_of(left: DataFrame, right: DataFrame, keys: list[str], time: str, value: str, after: bool = False) -> DataFrame:
-    """left with the last value of right at or before its time (after: the first at or behind it); one sort of both, no join."""
+def as_of(left: DataFrame, right: DataFrame, keys: list[str], time: str, value: str, after: bool = False, chunk: int = HOUR) -> DataFrame:
+    """left with the last value of right at or before its time (after: the first at or behind it); both are walked together in chunks of time."""
     rows = left.withColumn("_side", F.lit(0 if after else 1)).unionByName(right.select(*keys, time, F.col(value).alias("_v")).withColumn("_side", F.lit(1 if after else 0)), allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(time, "_side")
-    found = F.first("_v", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)) if after else F.last("_v", ignorenulls=True).over(w.rowsBetween(UP, 0))
-    return rows.withColumn(value, found).where(F.col("_side") == (0 if after else 1)).select(*left.columns, value)
+    rows = carried(rows, keys, time, chunk, ["_side"], **{"after" if after else "before": {value: F.col("_v")}})
+    return rows.where(F.col("_side") == (0 if after else 1)).select(*left.columns, value)
 
 
 @BOOK.add("f6_as_of", f"WITH {SPIKES}, c AS (SELECT unit, t, t AS crossing FROM spikes WHERE amplitude > 100), q AS (SELECT unit, spike, t + {HOUR} AS t FROM spikes) SELECT q.unit, q.spike, c.crossing FROM q ASOF LEFT JOIN c ON q.unit = c.unit AND q.t >= c.t")
 def _f6(spark, sf):
     rows = spikes(spark, sf)
     found = rows.where("amplitude > 100").select("unit", "t", F.col("t").alias("crossing"))
-    return as_of(rows.select("unit", "spike", (F.col("t") + HOUR).alias("t")), found, ["unit"], "t", "crossing").drop("t")
+    return as_of(rows.select("unit", "spike", (F.col("t") + HOUR).alias("t")), found, ["unit"], "t", "crossing", chunk=240 * HOUR).drop("t")
 
 
 @BOOK.add("f6b_as_of_next", f"WITH {SPIKES}, c AS (SELECT unit, t, t AS crossing FROM spikes WHERE amplitude > 100), q AS (SELECT unit, spike, t + {HOUR} AS t FROM spikes) SELECT q.unit, q.spike, c.crossing FROM q ASOF LEFT JOIN c ON q.unit = c.unit AND q.t <= c.t")
 def _f6b(spark, sf):
     rows = spikes(spark, sf)
     found = rows.where("amplitude > 100").select("unit", "t", F.col("t").alias("crossing"))
-    return as_of(rows.select("unit", "spike", (F.col("t") + HOUR).alias("t")), found, ["unit"], "t", "crossing", after=True).drop("t")
+    return as_of(rows.select("unit", "spike", (F.col("t") + HOUR).alias("t")), found, ["unit"], "t", "crossing", after=True, chunk=240 * HOUR).drop("t")
 
 
 def unit_electrodes(units: DataFrame, electrodes: DataFrame, channel: str) -> DataFrame:
@@ -216,11 +216,12 @@ def _f14(spark, sf):
     return nearest_cluster(rows.drop("label"), centres(rows, "label", "embedding"), "embedding", "label", 1.0).select("vec_id", "cluster", F.round("distance", 4).alias("distance"))
 
 
-def spike_pairs(a: DataFrame, b: DataFrame, keys: list[str], time: str, most: int) -> DataFrame:
-    """(keys, t_a, t_b): pairs at most `most` apart; b is listed in the three buckets around it, so it is an equi join."""
+def spike_pairs(a: DataFrame, b: DataFrame, keys: list[str], time: str, most: int, keep: list[str] | None = None) -> DataFrame:
+    """(keys, t_a, t_b): pairs at most `most` apart; b is listed in the three buckets around it, so it is an equi join. Columns of keep come along as <name>_a and <name>_b."""
     bucket = lambda c: F.floor(F.col(c) / (most + 1))
-    left = a.select(*keys, F.col(time).alias("t_a")).withColumn("_k", bucket("t_a"))
-    right = b.select(*keys, F.col(time).alias("t_b")).withColumn("_k", F.explode(F.array(bucket("t_b") - 1, bucket("t_b"), bucket("t_b") + 1)))
+    more = lambda side: [F.col(c).alias(f"{c}_{side}") for c in keep or []]
+    left = a.select(*keys, F.col(time).alias("t_a"), *more("a")).withColumn("_k", bucket("t_a"))
+    right = b.select(*keys, F.col(time).alias("t_b"), *more("b")).withColumn("_k", F.explode(F.array(bucket("t_b") - 1, bucket("t_b"), bucket("t_b") + 1)))
     return left.join(right, [*keys, "_k"]).where(F.abs(F.col("t_a") - F.col("t_b")) <= most).drop("_k")
 
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from longtrace.functions.islands import band_join, islands, running
+from longtrace.functions.carry import carried
+from longtrace.functions.islands import band_join, islands
 from longtrace.plans.standins import FRAMES, HOUR, POSE, SIGNAL, SPIKES, Book, frames, pose, signal, spikes
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
 UP = Window.unboundedPreceding
+#: Chunks of the queries on event times: the stand-in's units have a few events a day.
+CHUNK = 240 * HOUR
 
 
 def pulse_onsets(df: DataFrame, keys: list[str], index: str, value: str, threshold: float, chunk: int = 1 << 20) -> DataFrame:
@@ -45,10 +48,9 @@ def _d2(spark, sf):
     return segments(spark, sf)
 
 
-def short_breaks(df: DataFrame, keys: list[str], time: str, least: int, most: int) -> DataFrame:
+def short_breaks(df: DataFrame, keys: list[str], time: str, least: int, most: int, chunk: int = HOUR) -> DataFrame:
     """(keys, break_start, break_stop): gaps longer than least and at most most."""
-    before = F.lag(time).over(Window.partitionBy(*keys).orderBy(time))
-    gaps = df.select(*keys, before.alias("break_start"), F.col(time).alias("break_stop"))
+    gaps = carried(df.select(*keys, F.col(time).alias("break_stop")), keys, "break_stop", chunk, lag={"break_start": F.col("break_stop")})
     return gaps.where((F.col("break_stop") - F.col("break_start") > least) & (F.col("break_stop") - F.col("break_start") <= most))
 
 
@@ -57,12 +59,12 @@ BREAKS = f"{SPIKES}, breaks AS (SELECT unit, p AS break_start, t AS break_stop F
 
 @BOOK.add("d3_short_breaks", f"WITH {BREAKS} SELECT * FROM breaks")
 def _d3(spark, sf):
-    return short_breaks(spikes(spark, sf), ["unit"], "t", HOUR, 6 * HOUR)
+    return short_breaks(spikes(spark, sf), ["unit"], "t", HOUR, 6 * HOUR, CHUNK)
 
 
-def events_from_triggers(onsets: DataFrame, trials: DataFrame, keys: list[str], time: str) -> DataFrame:
+def events_from_triggers(onsets: DataFrame, trials: DataFrame, keys: list[str], time: str, chunk: int = 1 << 20) -> DataFrame:
     """(keys, trial, start, stop): times of the pulses whose ordinals (from 1) a trial table names as first_pulse and last_pulse."""
-    numbered = onsets.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(time)))
+    numbered = carried(onsets, keys, time, chunk, total={"_n": F.lit(1)})
     at = lambda n: numbered.select(*keys, F.col("_n").alias(f"{n}_pulse"), F.col(time).alias("start" if n == "first" else "stop"))
     return trials.join(at("first"), [*keys, "first_pulse"]).join(at("last"), [*keys, "last_pulse"]).select(*keys, "trial", "start", "stop")
 
@@ -123,35 +125,34 @@ def _d6(spark, sf):
     return dropouts(spark, sf)
 
 
-def isi(df: DataFrame, keys: list[str], time: str) -> DataFrame:
+def isi(df: DataFrame, keys: list[str], time: str, chunk: int = HOUR) -> DataFrame:
     """Adds `isi`, the time since the key's event before, NULL for its first."""
-    return df.withColumn("isi", F.col(time) - F.lag(time).over(Window.partitionBy(*keys).orderBy(time)))
+    return carried(df, keys, time, chunk, lag={"_t": F.col(time)}).withColumn("isi", F.col(time) - F.col("_t")).drop("_t")
 
 
 @BOOK.add("d7_isi", f"WITH {SPIKES} SELECT unit, t, t - lag(t) OVER (PARTITION BY unit ORDER BY t) AS isi FROM spikes")
 def _d7(spark, sf):
-    return isi(spikes(spark, sf).select("unit", "t"), ["unit"], "t")
+    return isi(spikes(spark, sf).select("unit", "t"), ["unit"], "t", CHUNK)
 
 
-def drop_duplicate_spikes(df: DataFrame, keys: list[str], time: str, closer: int, only: Column) -> DataFrame:
+def drop_duplicate_spikes(df: DataFrame, keys: list[str], time: str, closer: int, only: Column, chunk: int = HOUR) -> DataFrame:
     """df without the earlier event of every pair closer than `closer`, for rows that meet `only`; one pass, other rows stay."""
-    after = F.lead(time).over(Window.partitionBy(*keys).orderBy(time)) - F.col(time)
-    return df.withColumn("_after", after).where(~only | F.col("_after").isNull() | (F.col("_after") >= closer)).drop("_after")
+    next_ = carried(df, keys, time, chunk, lead={"_after": F.col(time)})
+    return next_.where(~only | F.col("_after").isNull() | (F.col("_after") - F.col(time) >= closer)).drop("_after")
 
 
 @BOOK.add("d8_drop_duplicate_spikes", f"WITH {SPIKES} SELECT unit, t, spike FROM (SELECT *, lead(t) OVER (PARTITION BY unit ORDER BY t) - t AS a FROM spikes) WHERE unit % 4 = 0 OR a IS NULL OR a >= {HOUR}")
 def _d8(spark, sf):
-    return drop_duplicate_spikes(spikes(spark, sf).select("unit", "t", "spike"), ["unit"], "t", HOUR, F.col("unit") % 4 != 0)
+    return drop_duplicate_spikes(spikes(spark, sf).select("unit", "t", "spike"), ["unit"], "t", HOUR, F.col("unit") % 4 != 0, CHUNK)
 
 
-def frame_gaps(df: DataFrame, event: str, cam: str, number: str) -> DataFrame:
+def frame_gaps(df: DataFrame, event: str, cam: str, number: str, chunk: int = 1 << 20) -> DataFrame:
     """(event, cam, good, first_missing, last_missing): holes in frame numbers, before the first frame (from 1), between, and up to the event's last frame over all cameras. good: the frame before, or the first one."""
-    w = Window.partitionBy(event, cam).orderBy(number)
     last = df.groupBy(event).agg(F.max(number).alias("_event_last"))
     ends = df.groupBy(event, cam).agg(F.max(number).alias("_last")).join(last, event)
     tail = ends.where("_last < _event_last").select(event, cam, F.col("_last").alias("good"), (F.col("_last") + 1).alias("first_missing"), F.col("_event_last").alias("last_missing"))
-    before = F.coalesce(F.lag(number).over(w), F.lit(0))
-    holes = df.select(event, cam, F.when(before == 0, F.col(number)).otherwise(before).alias("good"), (before + 1).alias("first_missing"), (F.col(number) - 1).alias("last_missing")).where("last_missing >= first_missing")
+    before = F.coalesce("_before", F.lit(0))
+    holes = carried(df.select(event, cam, number), [event, cam], number, chunk, lag={"_before": F.col(number)}).select(event, cam, F.when(before == 0, F.col(number)).otherwise(before).alias("good"), (before + 1).alias("first_missing"), (F.col(number) - 1).alias("last_missing")).where("last_missing >= first_missing")
     return holes.unionByName(tail)
 
 
@@ -163,7 +164,7 @@ UNION ALL SELECT event, cam, l, l + 1, m FROM lasts WHERE l < m)"""
 
 @BOOK.add("d9_frame_gaps", f"WITH {GAPS} SELECT * FROM gaps")
 def _d9(spark, sf):
-    return frame_gaps(frames(spark, sf), "event", "cam", "frame_no")
+    return frame_gaps(frames(spark, sf), "event", "cam", "frame_no", chunk=20)
 
 
 def fill_dropped_frames(df: DataFrame, event: str, cam: str, number: str, time: str, period: int) -> DataFrame:
@@ -195,13 +196,12 @@ def _d11(spark, sf):
     return drop_mask(grid, fill_dropped_frames(rows, "event", "cam", "frame_no", "t", 5000), ["event", "cam", "frame_no"])
 
 
-def repair_frame_numbers(df: DataFrame, keys: list[str], number: str, time: str, period: int) -> DataFrame:
+def repair_frame_numbers(df: DataFrame, keys: list[str], number: str, time: str, period: int, chunk: int = HOUR) -> DataFrame:
     """df with `repaired`: numbers moved up by what the clock says is missing between neighbours."""
-    w = Window.partitionBy(*keys).orderBy(time, number)
-    step = F.col(number) - F.lag(number).over(w)
-    told = F.expr(f"({time} - lag({time}) over (partition by {', '.join(keys)} order by {time}, {number}) + {period // 2}) div {period}")
-    moved = df.withColumn("_add", F.coalesce(F.greatest(F.lit(0), told - step), F.lit(0)))
-    return moved.withColumn("repaired", F.col(number) + F.sum("_add").over(w.rowsBetween(UP, 0))).drop("_add")
+    near = carried(df, keys, time, chunk, [number], lag={"_n": F.col(number), "_t": F.col(time)})
+    told = F.expr(f"({time} - _t + {period // 2}) div {period}")
+    moved = near.withColumn("_add", F.coalesce(F.greatest(F.lit(0), told - (F.col(number) - F.col("_n"))), F.lit(0))).drop("_n", "_t")
+    return carried(moved, keys, time, chunk, [number], total={"_moved": F.col("_add")}).withColumn("repaired", F.col(number) + F.col("_moved")).drop("_add", "_moved")
 
 
 @BOOK.add(
@@ -210,15 +210,15 @@ def repair_frame_numbers(df: DataFrame, keys: list[str], number: str, time: str,
     "SELECT event, cam, frame_no, (frame_no + sum(a) OVER (PARTITION BY event, cam ORDER BY t, frame_no))::BIGINT AS repaired FROM a",
 )
 def _d12(spark, sf):
-    return repair_frame_numbers(frames(spark, sf), ["event", "cam"], "frame_no", "t", HOUR).select("event", "cam", "frame_no", "repaired")
+    return repair_frame_numbers(frames(spark, sf), ["event", "cam"], "frame_no", "t", HOUR, CHUNK).select("event", "cam", "frame_no", "repaired")
 
 
-def clean_chunks(df: DataFrame, keys: list[str], frame: str, valid: Column, shortest: int, stitch: int) -> DataFrame:
+def clean_chunks(df: DataFrame, keys: list[str], frame: str, valid: Column, shortest: int, stitch: int, chunk: int = 1 << 20) -> DataFrame:
     """(keys, first, last): runs of valid frames of at least `shortest` frames, joined when fewer than `stitch` frames lie between."""
-    long_enough = islands(df.where(valid), keys, frame, 1).where(F.col("n") >= shortest)
-    w = Window.partitionBy(*keys).orderBy("first")
-    apart = F.coalesce(F.col("first") - F.lag("last").over(w) - 1 >= stitch, F.lit(True))
-    return long_enough.withColumn("_g", running(apart, w)).groupBy(*keys, "_g").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_g")
+    long_enough = islands(df.where(valid), keys, frame, 1, chunk).where(F.col("n") >= shortest)
+    near = carried(long_enough, keys, "first", chunk, lag={"_last": F.col("last")})
+    apart = F.coalesce(F.col("first") - F.col("_last") - 1 >= stitch, F.lit(True))
+    return carried(near.withColumn("_apart", apart.cast("long")), keys, "first", chunk, total={"_g": F.col("_apart")}).groupBy(*keys, "_g").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_g")
 
 
 CHUNKS = f"""{POSE}, v AS (SELECT event, marker, frame, frame - row_number() OVER (PARTITION BY event, marker ORDER BY frame) AS g FROM pose WHERE error <= 40),
@@ -229,18 +229,19 @@ chunks AS (SELECT event, marker, min(f) AS first, max(l) AS last FROM s GROUP BY
 
 @BOOK.add("d13_clean_chunks", f"WITH {CHUNKS} SELECT * FROM chunks")
 def _d13(spark, sf):
-    return clean_chunks(pose(spark, sf), ["event", "marker"], "frame", F.col("error") <= 40, 2, 3)
+    return clean_chunks(pose(spark, sf), ["event", "marker"], "frame", F.col("error") <= 40, 2, 3, chunk=20)
 
 
-def linear_fill(df: DataFrame, keys: list[str], frame: str, value: str) -> DataFrame:
+def linear_fill(df: DataFrame, keys: list[str], frame: str, value: str, chunk: int = 1 << 20) -> DataFrame:
     """df with `filled`: NULLs between two values on the straight line between them; at the ends NULL."""
-    w = Window.partitionBy(*keys).orderBy(frame)
+    return _filled(df, keys, frame, value, chunk).drop("_last")
+
+
+def _filled(df: DataFrame, keys: list[str], frame: str, value: str, chunk: int) -> DataFrame:
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(frame).alias("f"), F.col(value).alias("x")))
-    before = F.last(known, ignorenulls=True).over(w.rowsBetween(UP, 0))
-    after = F.first(known, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    rows = df.withColumn("_b", before).withColumn("_a", after)
+    rows = carried(df, keys, frame, chunk, before={"_b": known}, after={"_a": known})
     line = F.col("_b.x") + (F.col("_a.x") - F.col("_b.x")) * (F.col(frame) - F.col("_b.f")) / (F.col("_a.f") - F.col("_b.f"))
-    return rows.withColumn("filled", F.coalesce(F.col(value), line)).drop("_a", "_b")
+    return rows.withColumn("filled", F.coalesce(F.col(value), line)).withColumn("_last", F.col("_b.x")).drop("_a", "_b")
 
 
 _FILL = f"""{POSE}, q AS (SELECT event, marker, frame, CASE WHEN error <= 40 THEN y END AS y FROM pose),
@@ -255,29 +256,28 @@ def _checked(spark, sf):
 
 @BOOK.add("d14_linear_fill", f"WITH {_FILL} SELECT event, marker, frame, round(filled, 5) AS filled FROM filled")
 def _d14(spark, sf):
-    return linear_fill(_checked(spark, sf), ["event", "marker"], "frame", "y").select("event", "marker", "frame", F.round("filled", 5).alias("filled"))
+    return linear_fill(_checked(spark, sf), ["event", "marker"], "frame", "y", 20).select("event", "marker", "frame", F.round("filled", 5).alias("filled"))
 
 
-def interpolate_series(df: DataFrame, keys: list[str], frame: str, value: str) -> DataFrame:
+def interpolate_series(df: DataFrame, keys: list[str], frame: str, value: str, chunk: int = 1 << 20) -> DataFrame:
     """linear_fill, and behind the last value that value goes on."""
-    w = Window.partitionBy(*keys).orderBy(frame).rowsBetween(UP, 0)
-    return linear_fill(df, keys, frame, value).withColumn("filled", F.coalesce("filled", F.last(value, ignorenulls=True).over(w)))
+    return _filled(df, keys, frame, value, chunk).withColumn("filled", F.coalesce("filled", "_last")).drop("_last")
 
 
 @BOOK.add("d15_interpolate_series", f"WITH {_FILL} SELECT event, marker, frame, round(coalesce(filled, bx), 5) AS filled FROM filled")
 def _d15(spark, sf):
-    return interpolate_series(_checked(spark, sf), ["event", "marker"], "frame", "y").select("event", "marker", "frame", F.round("filled", 5).alias("filled"))
+    return interpolate_series(_checked(spark, sf), ["event", "marker"], "frame", "y", 20).select("event", "marker", "frame", F.round("filled", 5).alias("filled"))
 
 
-def derivatives(df: DataFrame, keys: list[str], frame: str, axes: list[str], fps: float) -> DataFrame:
+def derivatives(df: DataFrame, keys: list[str], frame: str, axes: list[str], fps: float, chunk: int = 1 << 20) -> DataFrame:
     """df with `v_<axis>`: step to the next frame times fps; NULL at the end of a key."""
-    w = Window.partitionBy(*keys).orderBy(frame)
-    return df.withColumns({f"v_{a}": (F.lead(a).over(w) - F.col(a)) * fps for a in axes})
+    near = carried(df, keys, frame, chunk, lead={f"_n_{a}": F.col(a) for a in axes})
+    return near.withColumns({f"v_{a}": (F.col(f"_n_{a}") - F.col(a)) * fps for a in axes}).drop(*(f"_n_{a}" for a in axes))
 
 
 @BOOK.add("d21_derivatives", f"WITH {POSE} SELECT event, marker, frame, round((lead(y) OVER w - y) * 200.0, 5)::DOUBLE AS v_y, round((lead(z) OVER w - z) * 200.0, 5)::DOUBLE AS v_z FROM pose WINDOW w AS (PARTITION BY event, marker ORDER BY frame)")
 def _d21(spark, sf):
-    return derivatives(pose(spark, sf), ["event", "marker"], "frame", ["y", "z"], 200.0).select("event", "marker", "frame", F.round("v_y", 5).alias("v_y"), F.round("v_z", 5).alias("v_z"))
+    return derivatives(pose(spark, sf), ["event", "marker"], "frame", ["y", "z"], 200.0, 20).select("event", "marker", "frame", F.round("v_y", 5).alias("v_y"), F.round("v_z", 5).alias("v_z"))
 
 
 def speed(*velocities: Column) -> Column:
@@ -342,13 +342,18 @@ def _d23(spark, sf):
     return smooth.select("event", "marker", "frame", F.round("smooth", 5).alias("smooth"))
 
 
-def median_filter(df: DataFrame, keys: list[str], frame: str, value: str, width: int) -> DataFrame:
-    """df with `median` over width rows about each, zeros beyond the ends of a key."""
+def median_filter(df: DataFrame, keys: list[str], frame: str, value: str, width: int, chunk: int = 1 << 16) -> DataFrame:
+    """df with `median` over width rows about each, zeros beyond the ends of a key.
+
+    frame numbers are without gaps, so a row also goes to the chunk before or behind
+    if that has a row within half the width: a window holds one chunk and its rims.
+    """
     k = width // 2
-    w = Window.partitionBy(*keys).orderBy(frame)
-    near = F.collect_list(F.coalesce(F.col(value), F.lit(0.0))).over(w.rowsBetween(-k, k))
-    padded = F.array_sort(F.concat(near, F.array_repeat(F.lit(0.0), width - F.size(near))))
-    return df.withColumn("median", F.get(padded, F.lit(k)))
+    spread = df.withColumn("_chunk", F.explode(F.sequence(F.floor((F.col(frame) - k) / chunk), F.floor((F.col(frame) + k) / chunk))))
+    w = Window.partitionBy(*keys, "_chunk").orderBy(frame)
+    near = [F.lag(value, -j).over(w) if j < 0 else F.lead(value, j).over(w) if j > 0 else F.col(value) for j in range(-k, k + 1)]
+    ranked = spread.withColumn("median", F.get(F.sort_array(F.array(*(F.coalesce(x, F.lit(0.0)) for x in near))), F.lit(k)))
+    return ranked.where(F.floor(F.col(frame) / chunk) == F.col("_chunk")).drop("_chunk")
 
 
 @BOOK.add(
@@ -357,13 +362,13 @@ def median_filter(df: DataFrame, keys: list[str], frame: str, value: str, width:
     "SELECT event, marker, frame, list_sort(list_concat(l, list_transform(range(0, 7 - len(l)), lambda i: 0.0::DOUBLE)))[4] AS median FROM n",
 )
 def _d25(spark, sf):
-    return median_filter(pose(spark, sf), ["event", "marker"], "frame", "y", 7).select("event", "marker", "frame", "median")
+    return median_filter(pose(spark, sf), ["event", "marker"], "frame", "y", 7, chunk=20).select("event", "marker", "frame", "median")
 
 
-def threshold_crossings(df: DataFrame, keys: list[str], frame: str, flag: Column) -> DataFrame:
+def threshold_crossings(df: DataFrame, keys: list[str], frame: str, flag: Column, chunk: int = 1 << 20) -> DataFrame:
     """(keys, frame, way): rows before the flag changes; way 1: it becomes true, -1: it ends."""
-    after = F.lead(flag.cast("int")).over(Window.partitionBy(*keys).orderBy(frame)) - flag.cast("int")
-    return df.select(*keys, frame, after.alias("way")).where("way <> 0")
+    near = carried(df.select(*keys, frame, flag.cast("int").alias("_flag")), keys, frame, chunk, lead={"_next": F.col("_flag")})
+    return near.select(*keys, frame, (F.col("_next") - F.col("_flag")).alias("way")).where("way <> 0")
 
 
 CROSS = f"{POSE}, cross_ AS (SELECT event, marker, frame, (lead(y > 60) OVER (PARTITION BY event, marker ORDER BY frame))::INT - (y > 60)::INT AS way FROM pose), crossings AS (SELECT * FROM cross_ WHERE way <> 0)"
@@ -371,14 +376,13 @@ CROSS = f"{POSE}, cross_ AS (SELECT event, marker, frame, (lead(y > 60) OVER (PA
 
 @BOOK.add("d27_threshold_crossings", f"WITH {CROSS} SELECT * FROM crossings")
 def _d27(spark, sf):
-    return threshold_crossings(pose(spark, sf), ["event", "marker"], "frame", F.col("y") > 60)
+    return threshold_crossings(pose(spark, sf), ["event", "marker"], "frame", F.col("y") > 60, chunk=20)
 
 
-def reach_by_level(df: DataFrame, keys: list[str], frame: str, value: str, level: float) -> DataFrame:
+def reach_by_level(df: DataFrame, keys: list[str], frame: str, value: str, level: float, chunk: int = 1 << 20) -> DataFrame:
     """(keys, start, stop): from the row before value rises above level to the row before it falls again; open runs are left out."""
-    crossings = threshold_crossings(df, keys, frame, F.col(value) > level)
-    down = F.first(F.when(F.col("way") == -1, F.col(frame)), ignorenulls=True).over(Window.partitionBy(*keys).orderBy(frame).rowsBetween(1, Window.unboundedFollowing))
-    return crossings.withColumn("stop", down).where("way = 1 and stop is not null").select(*keys, F.col(frame).alias("start"), "stop")
+    crossings = threshold_crossings(df, keys, frame, F.col(value) > level, chunk)
+    return carried(crossings, keys, frame, chunk, after={"stop": F.when(F.col("way") == -1, F.col(frame))}).where("way = 1 and stop is not null").select(*keys, F.col(frame).alias("start"), "stop")
 
 
 REACH = f"{CROSS}, reaches AS (SELECT event, marker, frame AS start, stop FROM (SELECT *, first_value(CASE WHEN way = -1 THEN frame END IGNORE NULLS) OVER (PARTITION BY event, marker ORDER BY frame ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS stop FROM crossings) WHERE way = 1 AND stop IS NOT NULL)"
@@ -386,7 +390,7 @@ REACH = f"{CROSS}, reaches AS (SELECT event, marker, frame AS start, stop FROM (
 
 @BOOK.add("d29_reach_by_y", f"WITH {REACH} SELECT * FROM reaches")
 def _d29(spark, sf):
-    return reach_by_level(pose(spark, sf), ["event", "marker"], "frame", "y", 60)
+    return reach_by_level(pose(spark, sf), ["event", "marker"], "frame", "y", 60, chunk=20)
 
 
 def reach_by_velocity(df: DataFrame, keys: list[str], frame: str, value: str, peak: float, bound: float) -> DataFrame:
@@ -437,12 +441,11 @@ def _d32(spark, sf):
     return reach_manual_clip(found, ranges, ["event", "marker"])
 
 
-def merge_overlaps(df: DataFrame, keys: list[str], start: str, stop: str, slack: int = 0) -> DataFrame:
+def merge_overlaps(df: DataFrame, keys: list[str], start: str, stop: str, slack: int = 0, chunk: int = HOUR) -> DataFrame:
     """(keys, start, stop): intervals joined when the next starts less than slack after all before have ended, or at their end."""
-    w = Window.partitionBy(*keys).orderBy(start, stop)
-    ended = F.max(stop).over(w.rowsBetween(UP, -1))
-    apart = F.coalesce(F.col(start) - ended > slack, F.lit(True))
-    return df.withColumn("_g", running(apart, w)).groupBy(*keys, "_g").agg(F.min(start).alias(start), F.max(stop).alias(stop)).drop("_g")
+    ended = carried(df, keys, start, chunk, [stop], top={"_ended": F.col(stop)})
+    apart = F.coalesce(F.col(start) - F.col("_ended") > slack, F.lit(True)).cast("long")
+    return carried(ended.withColumn("_apart", apart), keys, start, chunk, [stop], total={"_g": F.col("_apart")}).groupBy(*keys, "_g").agg(F.min(start).alias(start), F.max(stop).alias(stop)).drop("_g")
 
 
 @BOOK.add(
@@ -452,4 +455,4 @@ def merge_overlaps(df: DataFrame, keys: list[str], start: str, stop: str, slack:
 )
 def _d33(spark, sf):
     rows = spikes(spark, sf).select("unit", F.col("t").alias("start"), (F.col("t") + HOUR * (F.col("spike") % 9)).alias("stop"))
-    return merge_overlaps(rows, ["unit"], "start", "stop")
+    return merge_overlaps(rows, ["unit"], "start", "stop", chunk=CHUNK)

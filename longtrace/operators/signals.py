@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from longtrace.functions.carry import carried
 from longtrace.plans.standins import ELECTRODES, HOUR, SIGNAL, SPIKES, Book, electrodes, signal, spikes
 
 BOOK = Book()
@@ -51,16 +52,16 @@ def _e3(spark, sf):
     return decimate(signal(spark, sf), "i", 5).select("channel", "i", "v")
 
 
-def pad_pauses(df: DataFrame, keys: list[str], index: str, value: str) -> DataFrame:
+def pad_pauses(df: DataFrame, keys: list[str], index: str, value: str, chunk: int = 1 << 20) -> DataFrame:
     """(keys, index, value) with zeros for missing samples between a key's first and last: only the gaps are listed."""
-    after = F.lead(index).over(Window.partitionBy(*keys).orderBy(index))
-    holes = df.select(*keys, F.col(index).alias("_i"), after.alias("_a")).where("_a > _i + 1").select(*keys, F.explode(F.sequence(F.col("_i") + 1, F.col("_a") - 1)).alias(index), F.lit(0.0).alias(value))
+    near = carried(df.select(*keys, F.col(index).alias("_i")), keys, "_i", chunk, lead={"_a": F.col("_i")})
+    holes = near.where("_a > _i + 1").select(*keys, F.explode(F.sequence(F.col("_i") + 1, F.col("_a") - 1)).alias(index), F.lit(0.0).alias(value))
     return df.select(*keys, index, value).unionByName(holes)
 
 
-@BOOK.add("e4_pad_pauses", f"WITH {SIGNAL}, k AS (SELECT channel, i, v FROM signal WHERE i % 11 NOT IN (3, 4)), r AS (SELECT channel, unnest(range(min(i), max(i) + 1)) AS i FROM k GROUP BY channel) SELECT r.channel, r.i, coalesce(v, 0.0) AS v FROM r LEFT JOIN k USING (channel, i)")
+@BOOK.add("e4_pad_pauses", f"WITH {SIGNAL}, k AS (SELECT channel, i, v FROM signal WHERE v > 7.5), r AS (SELECT channel, unnest(range(min(i), max(i) + 1)) AS i FROM k GROUP BY channel) SELECT r.channel, r.i, coalesce(v, 0.0) AS v FROM r LEFT JOIN k USING (channel, i)")
 def _e4(spark, sf):
-    return pad_pauses(signal(spark, sf).where("i % 11 not in (3, 4)"), ["channel"], "i", "v")
+    return pad_pauses(signal(spark, sf).where("v > 7.5"), ["channel"], "i", "v", chunk=16)
 
 
 def concat_segments(df: DataFrame, keys: list[str], segment: str, start: str, index: str) -> DataFrame:

@@ -9,10 +9,11 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from longtrace.functions.carry import carried
 from longtrace.functions.islands import band_join, islands
 from longtrace.operators.joins import spike_pairs
 from longtrace.operators.signals import SNIP, snips
@@ -67,16 +68,16 @@ def _k1(spark, sf):
     return detect_spikes(signal(spark, sf), ["channel"], "i", "v", 60, 400, 4, 64)
 
 
-def polytrode_detect(df: DataFrame, keys: list[str], channel: str, time: str, dead: int) -> DataFrame:
+def polytrode_detect(df: DataFrame, keys: list[str], channel: str, time: str, dead: int, chunk: int = HOUR) -> DataFrame:
     """(keys, time, channel): crossings of all channels of a probe without the earlier of two neighbours closer than dead."""
-    w = Window.partitionBy(*keys).orderBy(time, channel)
-    return df.withColumn("_a", F.lead(time).over(w) - F.col(time)).where("_a is null or _a >= " + str(dead)).select(*keys, time, channel)
+    near = carried(df.select(*keys, time, channel), keys, time, chunk, [channel], lead={"_a": F.col(time)})
+    return near.where(F.col("_a").isNull() | (F.col("_a") - F.col(time) >= dead)).drop("_a")
 
 
 @BOOK.add("k2_polytrode_detect", f"WITH {SPIKES}, x AS (SELECT unit // 4 AS probe, unit, t FROM spikes WHERE amplitude > 40), l AS (SELECT *, lead(t) OVER (PARTITION BY probe ORDER BY t, unit) - t AS a FROM x) SELECT probe, t, unit FROM l WHERE a IS NULL OR a >= {2 * HOUR}")
 def _k2(spark, sf):
     rows = spikes(spark, sf).where("amplitude > 40").select(F.expr("unit div 4").alias("probe"), "unit", "t")
-    return polytrode_detect(rows, ["probe"], "unit", "t", 2 * HOUR)
+    return polytrode_detect(rows, ["probe"], "unit", "t", 2 * HOUR, 240 * HOUR)
 
 
 def align_snippet(snippet: Column, centre: int, reach: int, length: int) -> Column:
