@@ -36,25 +36,20 @@ def carried(
     """
     lag, lead, total, top, before, after = (x or {} for x in (lag, lead, total, top, before, after))
     ties = ties or []
-    named = lambda columns: F.struct(*(c.alias(n) for n, c in columns.items()))
     rows = df.withColumn("_chunk", F.floor(F.col(order) / chunk))
-    at = F.struct(order, *ties)
-    made = [F.lit(0).alias("_made")]
-    if lag:
-        made.append(F.max_by(named(lag), at).alias("_lag"))
-    if lead:
-        made.append(F.min_by(named(lead), at).alias("_lead"))
+    # a plain number as the order, and values one by one, keep the aggregate a hash aggregate
+    at = F.struct(order, *ties) if ties else F.col(order)
+    made = [F.count("*").alias("_made")]
+    made += [F.max_by(c, at).alias(f"_lag_{n}") for n, c in lag.items()]
+    made += [F.min_by(c, at).alias(f"_lead_{n}") for n, c in lead.items()]
     made += [F.sum(F.coalesce(c, F.lit(0))).alias(f"_total_{n}") for n, c in total.items()]
     made += [F.max(c).alias(f"_top_{n}") for n, c in top.items()]
     made += [F.max_by(c, F.when(c.isNotNull(), at)).alias(f"_before_{n}") for n, c in before.items()]
     made += [F.min_by(c, F.when(c.isNotNull(), at)).alias(f"_after_{n}") for n, c in after.items()]
     outer = Window.partitionBy(*keys).orderBy("_chunk")
     earlier, later = outer.rowsBetween(UP, -1), outer.rowsBetween(1, DOWN)
-    handed = []
-    if lag:
-        handed.append(F.lag("_lag").over(outer).alias("_lag"))
-    if lead:
-        handed.append(F.lead("_lead").over(outer).alias("_lead"))
+    handed = [F.lag(f"_lag_{n}").over(outer).alias(f"_lag_{n}") for n in lag]
+    handed += [F.lead(f"_lead_{n}").over(outer).alias(f"_lead_{n}") for n in lead]
     handed += [F.sum(f"_total_{n}").over(earlier).alias(f"_total_{n}") for n in total]
     handed += [F.max(f"_top_{n}").over(earlier).alias(f"_top_{n}") for n in top]
     handed += [F.last(f"_before_{n}", ignorenulls=True).over(earlier).alias(f"_before_{n}") for n in before]
@@ -63,9 +58,9 @@ def carried(
     inner = Window.partitionBy(*keys, "_chunk").orderBy(order, *ties)
     done = {}
     for n in lag:
-        done[n] = F.when(F.row_number().over(inner) == 1, F.col(f"_lag.{n}")).otherwise(F.lag(lag[n]).over(inner))
+        done[n] = F.when(F.row_number().over(inner) == 1, F.col(f"_lag_{n}")).otherwise(F.lag(lag[n]).over(inner))
     for n in lead:
-        done[n] = F.when(F.lead(F.lit(1)).over(inner).isNull(), F.col(f"_lead.{n}")).otherwise(F.lead(lead[n]).over(inner))
+        done[n] = F.when(F.lead(F.lit(1)).over(inner).isNull(), F.col(f"_lead_{n}")).otherwise(F.lead(lead[n]).over(inner))
     for n, c in total.items():
         done[n] = F.sum(F.coalesce(c, F.lit(0))).over(inner.rowsBetween(UP, 0)) + F.coalesce(f"_total_{n}", F.lit(0))
     for n, c in top.items():

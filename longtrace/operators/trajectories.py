@@ -1,13 +1,11 @@
 """Cleaning of trajectories and reach segmentation (inventory group D, the parts with peaks, fits and loops).
 
-Functions that walk a trajectory run once per (event, marker): a group is one
-event's frames of one marker. Events must be bounded by how the table is keyed, as
-the stand-in's are; nothing here bounds them.
+Trajectories are of any length: what needs a walk runs over chunks of frames with rims
+(per_chunk), over peaks (functions.peaks) or over runs of neighbouring jumps.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,8 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from longtrace.functions import peaks
+from longtrace.functions.carry import carried
 from longtrace.functions.islands import band_join, islands, running
-from longtrace.operators.sequence import derivatives, speed, threshold_crossings
+from longtrace.operators.sequence import derivatives, interpolate_series, speed, threshold_crossings
 from longtrace.plans.standins import FRAMES, POSE, Book, frames, pose
 
 BOOK = Book()
@@ -29,8 +29,8 @@ KEYS = ["event", "marker"]
 def per_trajectory(df: DataFrame, keys: list[str], frame: str, columns: list[str], out: dict[str, T.DataType], f: Callable[[pd.DataFrame], dict]) -> DataFrame:
     """(keys, frame, out): f over each trajectory's columns in frame order, giving arrays as long as it.
 
-    Trajectories come sorted, many to a batch, and one that a batch cuts is held
-    until its rest is there. Keys are without nulls.
+    Trajectories come sorted, many to a batch, and the parts of one that batches cut
+    are held until its end is there. Null keys are equal.
     """
     schema = T.StructType([*(df.schema[k] for k in keys), df.schema[frame], *(T.StructField(n, t) for n, t in out.items())])
 
@@ -38,96 +38,152 @@ def per_trajectory(df: DataFrame, keys: list[str], frame: str, columns: list[str
         found = [f(pdf.iloc[a:b].reset_index(drop=True)) for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True)]
         return pdf[[*keys, frame]].assign(**{n: np.concatenate([x[n] for x in found]) for n in out})[schema.names]
 
+    def starts_of(pdf: pd.DataFrame) -> list[int]:
+        before = pdf[keys].shift()
+        return np.flatnonzero(((pdf[keys] != before) & ~(pdf[keys].isna() & before.isna())).any(axis=1) | (np.arange(len(pdf)) == 0)).tolist()
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held: list[pd.DataFrame] = []
         for pdf in batches:
-            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            if len(pdf):
-                starts = np.flatnonzero((pdf[keys] != pdf[keys].shift()).any(axis=1)).tolist()
-                held = pdf.iloc[starts[-1] :].reset_index(drop=True)
-                if len(starts) > 1:
-                    yield walked(pdf.iloc[: starts[-1]], starts[:-1])
-        if held is not None and len(held):
-            yield walked(held, [0])
+            if not len(pdf):
+                continue
+            starts = starts_of(pdf)
+            if held and len(starts_of(pd.concat([held[-1].iloc[-1:], pdf.iloc[:1]], ignore_index=True))) == 1:
+                if len(starts) == 1:
+                    held.append(pdf)
+                    continue
+                held.append(pdf.iloc[: starts[1]])
+                pdf, starts = pdf.iloc[starts[1] :], [k - starts[1] for k in starts[1:]]
+            if held:
+                yield walked(pd.concat(held, ignore_index=True), [0])
+            if len(starts) > 1:
+                yield walked(pdf.iloc[: starts[-1]], starts[:-1])
+            held = [pdf.iloc[starts[-1] :]]
+        if held:
+            yield walked(pd.concat(held, ignore_index=True), [0])
 
     rows = df.select(*dict.fromkeys([*keys, frame, *columns])).repartition(*keys).sortWithinPartitions(*keys, frame)
     return rows.mapInPandas(run, schema)
 
 
-def straight(x: np.ndarray, a: int, b: int) -> np.ndarray:
-    """Values a..b on the straight line between x[a] and x[b]."""
-    return np.linspace(x[a], x[b], b - a + 1)
-
-
-def local_peaks(x: np.ndarray, height: float, distance: int = 1, prominence: float = 0.0) -> np.ndarray:
-    """Places of local maxima (the middle of flat tops) of at least height, the highest first where nearer than distance, that stand prominence above the higher of the lows on both sides."""
-    if len(x) < 3:
-        return np.zeros(0, np.int64)
-    edge = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
-    end = np.append(edge[1:], len(x)) - 1
-    v = x[edge]
-    top = np.flatnonzero((v[1:-1] > v[:-2]) & (v[1:-1] > v[2:])) + 1
-    peaks = (edge[top] + end[top]) // 2
-    peaks = peaks[x[peaks] >= height]
-    kept: list[int] = []
-    for p in peaks[np.lexsort((peaks, -x[peaks]))].tolist():
-        k = bisect_left(kept, p)
-        if (k == 0 or p - kept[k - 1] >= distance) and (k == len(kept) or kept[k] - p >= distance):
-            kept.insert(k, p)
-    return np.array(kept, np.int64)[_rises(x, kept) >= prominence] if kept else np.zeros(0, np.int64)
-
+def per_chunk(df: DataFrame, keys: list[str], frame: str, columns: list[str], out: dict[str, T.DataType], f: Callable[[pd.DataFrame], dict], chunk: int, rim: int) -> DataFrame:
+    """per_trajectory over chunks of frames, each with rim frames of its neighbours, for an f whose results don't depend on frames further off."""
+    reach = F.sequence(F.floor((F.col(frame) - rim) / chunk), F.floor((F.col(frame) + rim) / chunk))
+    spread = df.select(*dict.fromkeys([*keys, frame, *columns])).withColumn("_chunk", F.explode(reach))
+    done = per_trajectory(spread, [*keys, "_chunk"], frame, columns, out, f)
+    return done.where(F.floor(F.col(frame) / chunk) == F.col("_chunk")).drop("_chunk")
 
-def _lows(x: np.ndarray, places: list[int]) -> np.ndarray:
-    """For each place the least value back to the nearest higher one (or the start): a stack of falling values, each with the least since the one below it."""
-    want, out, stack = dict.fromkeys(places), [], []
-    for i, v in enumerate(x.tolist()):
-        low = v
-        while stack and stack[-1][0] <= v:
-            low = min(low, stack.pop()[1])
-        stack.append((v, low))
-        if i in want:
-            out.append(low)
-    return np.array(out)
 
+def find_peaks(df: DataFrame, keys: list[str], frame: str, value: str, height: float, distance: int, prominence: float, chunk: int = 1 << 16, wlen: int | None = None) -> DataFrame:
+    """(keys, frame) of maxima of at least height, the highest first where nearer than distance, that stand prominence above the higher of the lows on both sides; wlen: lows within half of it only."""
+    if wlen is None:
+        return peaks.find_peaks(df, keys, frame, value, height, distance, prominence, chunk).select(*keys, frame)
+    found = peaks.thinned(peaks.local_maxima(df, keys, frame, value, height, chunk), keys, frame, value, distance, chunk)
+    marked = df.select(*keys, frame, value).join(found.select(*keys, frame, F.lit(True).alias("_top")), [*keys, frame], "left")
+    half = wlen // 2
 
-def _rises(x: np.ndarray, places: list[int]) -> np.ndarray:
-    """How far each place (in order) stands above the higher of the lows on its two sides."""
-    right = _lows(x[::-1], [len(x) - 1 - p for p in places])[::-1]
-    return x[places] - np.maximum(_lows(x, places), right)
+    def rises(p: pd.DataFrame) -> dict:
+        x = p[value].to_numpy(float)
+        out = np.full(len(x), np.nan)
+        for k in np.flatnonzero(p["_top"].notna()):
+            sides = []
+            for side in (x[max(0, k - half) : k][::-1], x[k + 1 : k + half + 1]):
+                end = np.flatnonzero(~(side <= x[k]))
+                sides.append(min(x[k], side[: end[0] if len(end) else len(side)].min(initial=np.inf)))
+            out[k] = x[k] - max(sides)
+        return {"rise": out}
 
-
-def find_peaks(df: DataFrame, keys: list[str], frame: str, value: str, height: float, distance: int, prominence: float) -> DataFrame:
-    """(keys, frame) of peaks."""
-    f = lambda p: {"is_peak": np.isin(np.arange(len(p)), local_peaks(p[value].to_numpy(float), height, distance, prominence))}
-    return per_trajectory(df, keys, frame, [value], {"is_peak": T.BooleanType()}, f).where("is_peak").select(*keys, frame)
+    return per_chunk(marked, keys, frame, [value, "_top"], {"rise": T.DoubleType()}, rises, chunk, half).where((F.col("rise") >= prominence) & ~F.isnan("rise")).select(*keys, frame)
 
 
 @BOOK.add("d26_find_peaks")
 def _d26(spark, sf):
-    return find_peaks(pose(spark, sf), KEYS, "frame", "y", 60, 3, 20)
+    return find_peaks(pose(spark, sf), KEYS, "frame", "y", 60, 3, 20, chunk=64)
 
 
-def fix_jumps(df: DataFrame, keys: list[str], frame: str, value: str, error: str, height: float = 40, factor: float = 3, deviation: float = 9.5) -> DataFrame:
-    """(keys, frame, fixed): around each peak of the error, widened to where the error falls below factor times its median, value follows a straight line if it strays from that line by more than deviation on average or the error exceeds height."""
+@BOOK.add("d26b_find_peaks_within")
+def _d26b(spark, sf):
+    return find_peaks(pose(spark, sf), KEYS, "frame", "y", 60, 3, 20, chunk=64, wlen=15)
 
-    def f(p: pd.DataFrame) -> dict:
-        x, e = p[value].to_numpy(float).copy(), p[error].to_numpy(float)
-        calm = e < factor * np.median(e)
-        for k in local_peaks(e, height, 20).tolist():
-            before, after = np.flatnonzero(calm[:k]), np.flatnonzero(calm[k + 1 :])
-            if len(before) and len(after):
-                a, b = int(before[-1]), int(after[0]) + k + 1
-                line = straight(x, a, b)
-                if np.abs(x[a : b + 1] - line).mean() > deviation or e[a : b + 1].max() > height:
-                    x[a : b + 1] = line
-        return {"fixed": x}
 
-    return per_trajectory(df, keys, frame, [value, error], {"fixed": T.DoubleType()}, f)
+def error_slices(df: DataFrame, keys: list[str], frame: str, error: str, height: float = 40, distance: int = 20, window: int = 20, step: int = 10, multiples: int = 4, chunk: int = 1 << 16) -> DataFrame:
+    """(keys, peak, first, last, top): what lies around each peak of the error, between calm frames.
+
+    A frame is calm at m if its error is below m times the key's median. Before and
+    after the peak the nearest calm frame within the window counts, at the smallest m
+    up to `multiples` that has one; if none has, the window grows by steps, and a peak
+    whose window would leave the key is left out. A peak within the slice of an
+    earlier one that is kept has none of its own. Missing errors are interpolated.
+    """
+    rows = interpolate_series(df.select(*keys, frame, error), keys, frame, error, chunk).select(*keys, frame, F.col("filled").alias("_e"))
+    stats = df.groupBy(*keys).agg(F.percentile(error, F.lit(0.5)).alias("_m"), F.min(frame).alias("_lo"), F.max(frame).alias("_hi"))
+    tops = peaks.find_peaks(rows, keys, frame, "_e", height, distance, 0.0, chunk)
+    calm = rows.join(stats, keys)
+    calm = carried(calm, keys, frame, chunk, lag={"_p": F.col("_e")})
+    levels = range(1, multiples + 1)
+    near = carried(
+        calm, keys, frame, chunk,
+        before={f"_s{m}": F.when(F.col("_p") < m * F.col("_m"), F.col(frame) - 1) for m in levels},
+        after={f"_t{m}": F.when(F.col("_e") < m * F.col("_m"), F.col(frame)) for m in levels},
+    )
+    at = near.join(tops.select(*keys, frame), [*keys, frame])
+    f, last = F.col(frame), multiples
+    grown = lambda need: F.ceil(F.greatest(F.lit(0), need - window) / step) * step
+    pre, post = window + grown(f - F.col(f"_s{last}")), window + grown(F.col(f"_t{last}") - f + 1)
+    first = F.coalesce(*(F.when(f - F.col(f"_s{m}") <= pre, F.col(f"_s{m}")) for m in levels))
+    stop = F.coalesce(*(F.when(F.col(f"_t{m}") - f + 1 <= post, F.col(f"_t{m}")) for m in levels))
+    inside = (f - pre >= F.col("_lo")) & ((post == window) | (f + post <= F.col("_hi") + 1))
+    slices = at.where(inside).select(*keys, f.alias("peak"), first.alias("first"), stop.alias("last")).where("first is not null and last is not null")
+    ended = carried(slices, keys, "peak", chunk, top={"_ended": F.col("last")})
+    apart = F.coalesce(F.col("peak") > F.col("_ended"), F.lit(True)).cast("long")
+    runs = carried(ended.withColumn("_apart", apart), keys, "peak", chunk, total={"_run": F.col("_apart")}).select(*keys, "_run", "peak", "first", "last")
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        stop, kept = None, []
+        for k in np.argsort(pdf["peak"].to_numpy()):
+            if stop is None or pdf["peak"].iloc[k] > stop:
+                kept.append(k)
+                stop = pdf["last"].iloc[k]
+        return pdf.iloc[kept]
+
+    chosen = runs.groupBy(*keys, "_run").applyInPandas(walk, runs.schema).drop("_run")
+    tallest = band_join(rows.withColumnRenamed(frame, "_f"), chosen, keys, "_f", "first", "last", chunk)
+    return tallest.groupBy(*keys, "peak", "first", "last").agg(F.max("_e").alias("top"))
+
+
+def on_lines(df: DataFrame, found: DataFrame, keys: list[str], frame: str, values: list[str], order: str) -> DataFrame:
+    """df with line_<value>: the straight line through the values at first and last of the slice of found that holds the frame, of several the one with the largest `order`."""
+    ends = found.select(*keys, "first", "last", F.col(order).alias("_order"))
+    for side in ("first", "last"):
+        ends = ends.join(df.select(*keys, F.col(frame).alias(side), *(F.col(v).alias(f"_{side}_{v}") for v in values)), [*keys, side])
+    share = F.coalesce((F.col(frame) - F.col("first")) / F.when(F.col("last") > F.col("first"), F.col("last") - F.col("first")), F.lit(0.0))
+    spread = ends.withColumn(frame, F.explode(F.sequence("first", "last")))
+    line = F.struct(*((F.col(f"_first_{v}") + (F.col(f"_last_{v}") - F.col(f"_first_{v}")) * share).alias(f"line_{v}") for v in values))
+    chosen = spread.groupBy(*keys, frame).agg(F.max_by(line, F.struct("_order", "first")).alias("_line"))
+    return df.join(chosen, [*keys, frame], "left").select(*df.columns, *(F.col(f"_line.line_{v}") for v in values))
+
+
+def fix_jumps(df: DataFrame, keys: list[str], frame: str, values: list[str], error: str, height: float = 40, distance: int = 20, window: int = 20, deviation: float = 9.5, most: float = 40, chunk: int = 1 << 16) -> DataFrame:
+    """(keys, frame, fixed_<value>): within each slice around an error peak (error_slices) the values follow the straight line between its ends, if they stray from it by more than deviation on average or the error exceeds most; slices with a missing value stay."""
+    slices = error_slices(df, keys, frame, error, height, distance, window, chunk=chunk)
+    rows = df.select(*keys, frame, *values)
+    ends = slices
+    for side in ("first", "last"):
+        ends = ends.join(rows.select(*keys, F.col(frame).alias(side), *(F.col(v).alias(f"_{side}_{v}") for v in values)), [*keys, side])
+    inside = band_join(rows.withColumnRenamed(frame, "_f"), ends, keys, "_f", "first", "last", chunk)
+    share = F.coalesce((F.col("_f") - F.col("first")) / F.when(F.col("last") > F.col("first"), F.col("last") - F.col("first")), F.lit(0.0))
+    off = F.sqrt(sum(((F.col(v) - F.col(f"_first_{v}") - (F.col(f"_last_{v}") - F.col(f"_first_{v}")) * share) ** 2 for v in values), F.lit(0.0)))
+    stats = inside.groupBy(*keys, "peak", "first", "last", "top").agg(F.avg(off).alias("_d"), F.count(off).alias("_n"))
+    bad = stats.where((F.col("_n") == F.col("last") - F.col("first") + 1) & ((F.col("_d") > deviation) | (F.col("top") > most)))
+    lined = on_lines(rows, bad, keys, frame, values, "peak")
+    return lined.select(*keys, frame, *(F.coalesce(f"line_{v}", v).alias(f"fixed_{v}") for v in values))
 
 
 @BOOK.add("d16_fix_jumps")
 def _d16(spark, sf):
-    return fix_jumps(pose(spark, sf), KEYS, "frame", "y", "error").withColumn("fixed", F.round("fixed", 6))
+    rows = pose(spark, sf)
+    fixed = fix_jumps(rows, KEYS, "frame", ["y", "z"], "error", window=4, distance=5, chunk=64)
+    return fixed.select(*KEYS, "frame", F.round("fixed_y", 6).alias("fixed_y"), F.round("fixed_z", 6).alias("fixed_z"))
 
 
 def blips(df: DataFrame, keys: list[str], frame: str, value: str, longest: int) -> DataFrame:
@@ -228,12 +284,17 @@ def _d20(spark, sf):
     return trim_tail(pose(spark, sf), KEYS, "frame", F.col("error") <= 40, 0.45).select(*KEYS, "frame")
 
 
-def savgol_smooth(df: DataFrame, keys: list[str], frame: str, value: str, width: int, order: int = 3) -> DataFrame:
+def savgol_fit(width: int, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(fit, powers) of a local polynomial over an odd number of frames: fit @ window are its coefficients, powers @ those its values."""
+    powers = np.vander(np.arange(-(width // 2), width // 2 + 1), order + 1, increasing=True)
+    return np.linalg.pinv(powers), powers
+
+
+def savgol_smooth(df: DataFrame, keys: list[str], frame: str, value: str, width: int, order: int = 3, chunk: int = 1 << 16) -> DataFrame:
     """(keys, frame, smooth): local polynomial fit over width (made odd) frames within each gap-free run; at a run's ends the end fit's values; runs shorter than width stay as they are."""
     half = width // 2
     width = 2 * half + 1
-    fit = np.linalg.pinv(np.vander(np.arange(-half, half + 1), order + 1, increasing=True))
-    powers = np.vander(np.arange(-half, half + 1), order + 1, increasing=True)
+    fit, powers = savgol_fit(width, order)
 
     def f(p: pd.DataFrame) -> dict:
         x, n = p[value].to_numpy(float), p[frame].to_numpy()
@@ -248,27 +309,52 @@ def savgol_smooth(df: DataFrame, keys: list[str], frame: str, value: str, width:
                 out[b - half : b] = (powers @ (fit @ run[-width:]))[half + 1 :]
         return {"smooth": out}
 
-    return per_trajectory(df, keys, frame, [value], {"smooth": T.DoubleType()}, f)
+    # a row's window, and what tells it from a run's end, lie within width frames
+    return per_chunk(df, keys, frame, [value], {"smooth": T.DoubleType()}, f, chunk, width)
+
+
+def savgol_sql(source: str, value: str, width: int, order: int = 3) -> str:
+    """SQL giving (event, marker, frame, smooth) of gap-free series longer than width that start at frame 0: a table of weights for each place from either end."""
+    half = width // 2
+    fit, powers = savgol_fit(width, order)
+    rows = [f"({k}, {j}, {w!r}::DOUBLE)" for k, line in enumerate((powers @ fit).tolist()) for j, w in enumerate(line)]
+    place = f"CASE WHEN frame < {half} THEN frame WHEN frame > hi - {half} THEN {2 * half} - (hi - frame) ELSE {half} END"
+    begin = f"CASE WHEN frame < {half} THEN 0 WHEN frame > hi - {half} THEN hi - {2 * half} ELSE frame - {half} END"
+    return (
+        f"SELECT p.event, p.marker, p.frame, sum(w.w * q.x) AS smooth FROM (SELECT event, marker, frame, {place} AS place, {begin} AS begin FROM (SELECT event, marker, frame, max(frame) OVER (PARTITION BY event, marker) AS hi FROM {source})) p "
+        f"JOIN (VALUES {', '.join(rows)}) w(place, k, w) ON w.place = p.place JOIN (SELECT event, marker, frame, {value} AS x FROM {source}) q ON q.event = p.event AND q.marker = p.marker AND q.frame = p.begin + w.k GROUP BY ALL"
+    )
 
 
-@BOOK.add("d24_savgol_smooth")
+@BOOK.add("d24_savgol_smooth", f"WITH {POSE} SELECT event, marker, frame, round(smooth, 6) AS smooth FROM ({savgol_sql('pose', 'y', 7)})")
 def _d24(spark, sf):
-    return savgol_smooth(pose(spark, sf), KEYS, "frame", "y", 7).withColumn("smooth", F.round("smooth", 6))
-
-
-def reach_segments(df: DataFrame, keys: list[str], frame: str, value: str, velocity: str, level: float, fast: float, height: float) -> DataFrame:
-    """(keys, start, stop, peaks): start is the last speed rise at or before a value rise, stop the first speed fall at or after the value's next fall; kept if a value peak lies in [start, stop)."""
-    w = Window.partitionBy(*keys).orderBy(frame, "_o")
-    v = threshold_crossings(df, keys, frame, F.col(value) > level).select(*keys, frame, F.col("way").alias("v_way"), F.lit(None).cast("int").alias("s_way"))
-    s = threshold_crossings(df.where(F.col(velocity).isNotNull()), keys, frame, F.col(velocity) > fast).select(*keys, frame, F.lit(None).cast("int").alias("v_way"), F.col("way").alias("s_way"))
-    both = v.withColumn("_o", F.when(F.col("v_way") == 1, 1).otherwise(0)).unionByName(s.withColumn("_o", F.when(F.col("s_way") == 1, 0).otherwise(1)))
-    rise = F.last(F.when(F.col("s_way") == 1, F.col(frame)), ignorenulls=True).over(w.rowsBetween(UP, 0))
-    fall = F.first(F.when(F.col("s_way") == -1, F.col(frame)), ignorenulls=True).over(w.rowsBetween(0, DOWN))
-    seen = both.withColumn("start", rise).withColumn("_fall", fall).where("v_way is not null")
-    down = F.first(F.when(F.col("v_way") == -1, F.col("_fall")), ignorenulls=True).over(Window.partitionBy(*keys).orderBy(frame).rowsBetween(1, DOWN))
-    reaches = seen.withColumn("stop", down).where("v_way = 1 and start is not null and stop is not null").select(*keys, "start", "stop").distinct()
-    peaks = find_peaks(df, keys, frame, value, height, 1, 0).select(*keys, F.col(frame).alias("_p"))
-    held = band_join(peaks, reaches.withColumn("_last", F.col("stop") - 1).where("_last >= start"), keys, "_p", "start", "_last", 256)
+    return savgol_smooth(pose(spark, sf), KEYS, "frame", "y", 7, chunk=32).withColumn("smooth", F.round("smooth", 6))
+
+
+def reach_segments(df: DataFrame, keys: list[str], frame: str, value: str, velocity: str, level: float, fast: float, height: float, chunk: int = 1 << 16, open_ends: bool = False) -> DataFrame:
+    """(keys, start, stop, peaks): start is the last speed rise at or before a value rise, stop the first speed fall at or after the value's next fall; kept if a value peak lies in [start, stop).
+
+    open_ends: a key that begins above level has a rise at its first frame, one that
+    ends above it a fall behind its last; where there is no speed rise before or fall
+    after, the reach's own ends count.
+    """
+    v = threshold_crossings(df, keys, frame, F.col(value) > level, chunk).select(*keys, frame, F.col("way").alias("v_way"), F.lit(None).cast("int").alias("s_way"))
+    s = threshold_crossings(df.where(F.col(velocity).isNotNull()), keys, frame, F.col(velocity) > fast, chunk).select(*keys, frame, F.lit(None).cast("int").alias("v_way"), F.col("way").alias("s_way"))
+    v = v.withColumn("_o", F.when(F.col("v_way") == 1, 1).otherwise(0))
+    if open_ends:
+        ends = df.groupBy(*keys).agg(F.min_by(F.struct(frame, value), frame).alias("_a"), F.max_by(F.struct(frame, value), frame).alias("_b"))
+        made = lambda end, at, way, o: ends.where(F.col(f"{end}.{value}") > level).select(*keys, at.alias(frame), F.lit(way).alias("v_way"), F.lit(None).cast("int").alias("s_way"), F.lit(o).alias("_o"))
+        v = v.unionByName(made("_a", F.col(f"_a.{frame}"), 1, -1)).unionByName(made("_b", F.col(f"_b.{frame}") + 1, -1, 0))
+    both = v.unionByName(s.withColumn("_o", F.when(F.col("s_way") == 1, 0).otherwise(1)))
+    way = lambda c, w: F.when(F.col(c) == w, F.col(frame))
+    seen = carried(both, keys, frame, chunk, ["_o"], before={"_rise": way("s_way", 1)}, after={"_fall": way("s_way", -1)}).where("v_way is not null")
+    seen = carried(seen, keys, frame, chunk, ["_o"], after={"_down": F.when(F.col("v_way") == -1, F.struct(F.col(frame).alias("f"), F.col("_fall").alias("s")))})
+    start, stop = F.col("_rise"), F.col("_down.s")
+    if open_ends:
+        start, stop = F.coalesce(start, F.col(frame)), F.coalesce(stop, F.col("_down.f"))
+    reaches = seen.where("v_way = 1").select(*keys, start.alias("start"), stop.alias("stop")).where("start is not null and stop is not null").distinct()
+    tops = peaks.local_maxima(df, keys, frame, value, height, chunk).select(*keys, F.col(frame).alias("_p"))
+    held = band_join(tops, reaches.withColumn("_last", F.col("stop") - 1).where("_last >= start"), keys, "_p", "start", "_last", 256)
     return held.groupBy(*keys, "start", "stop").agg(F.array_sort(F.collect_set("_p")).alias("peaks"))
 
 
@@ -277,31 +363,98 @@ def moving(spark, sf) -> DataFrame:
     return rows.withColumn("s", speed(F.col("v_y"), F.col("v_z")))
 
 
-@BOOK.add("d28_reach_segments")
+_CROSSED = (
+    f"{POSE}, vel AS (SELECT *, (lead(y) OVER w - y) AS vy, (lead(z) OVER w - z) AS vz FROM pose WINDOW w AS (PARTITION BY event, marker ORDER BY frame)), mov AS (SELECT event, marker, frame, y, sqrt(vy * vy + vz * vz) AS s FROM vel), "
+    "vc AS (SELECT event, marker, frame, (lead(y > 60) OVER w)::INT - (y > 60)::INT AS way FROM mov WINDOW w AS (PARTITION BY event, marker ORDER BY frame)), sc AS (SELECT event, marker, frame, (lead(s > 15) OVER w)::INT - (s > 15)::INT AS way FROM mov WHERE s IS NOT NULL WINDOW w AS (PARTITION BY event, marker ORDER BY frame)), "
+    "grp AS (SELECT event, marker, min(frame) AS f, max(frame) AS l, any_value(y) AS y FROM (SELECT *, sum(new) OVER (PARTITION BY event, marker ORDER BY frame) AS g FROM (SELECT *, CASE WHEN y = lag(y) OVER (PARTITION BY event, marker ORDER BY frame) THEN 0 ELSE 1 END AS new FROM mov)) GROUP BY event, marker, g), "
+    "tops AS (SELECT event, marker, (f + l) // 2 AS p FROM (SELECT *, lag(y) OVER w AS a, lead(y) OVER w AS b FROM grp WINDOW w AS (PARTITION BY event, marker ORDER BY f)) WHERE y > a AND y > b AND y >= 70)"
+)
+_HELD = "SELECT r.event, r.marker, start, stop, list_sort(list(DISTINCT p)) AS peaks FROM (SELECT DISTINCT event, marker, start, stop FROM r WHERE start IS NOT NULL AND stop IS NOT NULL) r JOIN tops t ON t.event = r.event AND t.marker = r.marker AND p >= start AND p < stop GROUP BY ALL"
+
+
+@BOOK.add(
+    "d28_reach_segments",
+    f"WITH {_CROSSED}, d AS (SELECT event, marker, frame, (SELECT min(b.frame) FROM vc b WHERE b.event = a.event AND b.marker = a.marker AND b.way = -1 AND b.frame > a.frame) AS down FROM vc a WHERE way = 1), "
+    "r AS (SELECT event, marker, (SELECT max(frame) FROM sc WHERE sc.event = d.event AND sc.marker = d.marker AND sc.way = 1 AND sc.frame <= d.frame) AS start, (SELECT min(frame) FROM sc WHERE sc.event = d.event AND sc.marker = d.marker AND sc.way = -1 AND sc.frame >= d.down) AS stop FROM d) "
+    + _HELD,
+)
 def _d28(spark, sf):
-    return reach_segments(moving(spark, sf), KEYS, "frame", "y", "s", 60, 15, 70)
+    return reach_segments(moving(spark, sf), KEYS, "frame", "y", "s", 60, 15, 70, chunk=64)
 
 
-def velocity_jump_filter(df: DataFrame, keys: list[str], frame: str, value: str, near: int, factor: float) -> DataFrame:
-    """(keys, frame, filtered): between opposite extreme velocities less than near frames apart, both beyond factor deviations, value follows the straight line."""
+@BOOK.add(
+    "d28b_reach_open_ends",
+    f"WITH {_CROSSED}, e AS (SELECT event, marker, min(frame) AS lo, max(frame) AS hi, arg_min(y, frame) > 60 AS a, arg_max(y, frame) > 60 AS b FROM mov GROUP BY 1, 2), "
+    "w AS (SELECT event, marker, frame, way FROM vc WHERE way <> 0 UNION ALL SELECT event, marker, lo, 1 FROM e WHERE a UNION ALL SELECT event, marker, hi + 1, -1 FROM e WHERE b), "
+    "d AS (SELECT event, marker, frame, (SELECT min(b.frame) FROM w b WHERE b.event = a.event AND b.marker = a.marker AND b.way = -1 AND b.frame >= a.frame AND (b.frame > a.frame OR a.frame = (SELECT lo FROM e WHERE e.event = a.event AND e.marker = a.marker))) AS down FROM w a WHERE way = 1), "
+    "r AS (SELECT event, marker, coalesce((SELECT max(frame) FROM sc WHERE sc.event = d.event AND sc.marker = d.marker AND sc.way = 1 AND sc.frame <= d.frame), frame) AS start, coalesce((SELECT min(frame) FROM sc WHERE sc.event = d.event AND sc.marker = d.marker AND sc.way = -1 AND sc.frame >= d.down), down) AS stop FROM d WHERE down IS NOT NULL) "
+    + _HELD,
+)
+def _d28b(spark, sf):
+    return reach_segments(moving(spark, sf), KEYS, "frame", "y", "s", 60, 15, 70, chunk=64, open_ends=True)
 
-    def f(p: pd.DataFrame) -> dict:
-        x = p[value].to_numpy(float).copy()
-        v = np.diff(x)
-        if len(v) > 2 and v.std() > 0:
-            z = (v - v.mean()) / v.std()
-            big = np.flatnonzero(np.abs(z) > factor)
-            for a, b in zip(big[:-1].tolist(), big[1:].tolist(), strict=True):
-                if b - a < near and z[a] * z[b] < 0:
-                    x[a : b + 2] = straight(x, a, b + 1)
-        return {"filtered": x}
 
-    return per_trajectory(df, keys, frame, [value], {"filtered": T.DoubleType()}, f)
+def velocity_extrema(df: DataFrame, keys: list[str], frame: str, velocity: str, order: int, chunk: int = 1 << 16) -> DataFrame:
+    """(keys, frame, v): frames whose velocity is above, or below, all others within order frames."""
+    spread = df.select(*keys, frame, F.col(velocity).alias("v")).where("v is not null").withColumn("_chunk", F.explode(F.sequence(F.floor((F.col(frame) - order) / chunk), F.floor((F.col(frame) + order) / chunk))))
+    w = Window.partitionBy(*keys, "_chunk").orderBy(frame)
+    sides = [w.rangeBetween(-order, -1), w.rangeBetween(1, order)]
+    over = lambda f: [f("v").over(side) for side in sides]
+    tops, lows = over(F.max), over(F.min)
+    found = spread.withColumn("_x", (F.col("v") > tops[0]) & (F.col("v") > tops[1]) | (F.col("v") < lows[0]) & (F.col("v") < lows[1]))
+    return found.where(F.col("_x") & (F.floor(F.col(frame) / chunk) == F.col("_chunk"))).select(*keys, frame, "v")
+
 
+def velocity_jumps(df: DataFrame, keys: list[str], frame: str, velocity: str, order: int = 11, near: int = 100, spread: float = 5.0, above: float = 3.5, chunk: int = 1 << 16) -> DataFrame:
+    """(keys, first, last): windows about two neighbouring velocity extrema of opposite sign, less than near frames apart, whose acceleration is unusual.
+
+    A window reaches half the extrema's distance beyond both. Its steps of velocity
+    are unusual if their sizes deviate `spread` times as much as those of the key's
+    other frames, or their mean is above the others' by `above` deviations. The others'
+    sums are the key's less the window's, so frames are read once for all windows.
+    """
+    at = velocity_extrema(df, keys, frame, velocity, order, chunk)
+    pairs = carried(at, keys, frame, chunk, lead={"_to": F.col(frame), "_w": F.col("v")}).where((F.col("_to") - F.col(frame) < near) & (F.signum("v") != F.signum("_w")))
+    half = F.ceil((F.col("_to") - F.col(frame)) / 2)
+    bounds = df.groupBy(*keys).agg(F.min(frame).alias("_lo"), F.max(frame).alias("_hi"))
+    windows = pairs.select(*keys, (F.col(frame) - half).alias("first"), (F.col("_to") + half - 1).alias("last")).join(bounds, keys)
+    windows = windows.select(*keys, F.greatest("first", "_lo").cast("long").alias("first"), F.least("last", "_hi").cast("long").alias("last")).distinct()
+    steps = carried(df.select(*keys, frame, F.col(velocity).alias("_v")), keys, frame, chunk, lead={"_n": F.col("_v")})
+    steps = steps.select(*keys, F.col(frame).alias("_f"), F.abs(F.col("_n") - F.col("_v")).alias("_a")).where("_a is not null")
+    sums = [F.count("_a").alias("_c"), F.sum("_a").alias("_s"), F.sum(F.col("_a") * F.col("_a")).alias("_q")]
+    whole = steps.groupBy(*keys).agg(*(x.alias(n) for x, n in zip(sums, ("_count", "_sum", "_squares"), strict=True)))
+    held = band_join(steps, windows.withColumn("_end", F.col("last") - 1), keys, "_f", "first", "_end", chunk).groupBy(*keys, "first", "last").agg(*sums).join(whole, keys)
+    mean, sd = lambda c, s: s / F.when(c > 0, c), lambda c, s, q: F.sqrt(F.greatest(F.lit(0.0), q / F.when(c > 0, c) - (s / F.when(c > 0, c)) ** 2))
+    inner = (F.col("_c"), F.col("_s"), F.col("_q"))
+    outer = (F.col("_count") - F.col("_c"), F.col("_sum") - F.col("_s"), F.col("_squares") - F.col("_q"))
+    unusual = (sd(*inner) > spread * sd(*outer)) | (mean(*inner[:2]) > mean(*outer[:2]) + above * sd(*outer))
+    return held.where(unusual).select(*keys, "first", "last")
+
+
+def velocity_jump_filter(df: DataFrame, keys: list[str], frame: str, value: str, velocity: str, longest: int = 200, chunk: int = 1 << 16, **limits) -> DataFrame:
+    """(keys, frame, filtered): within velocity_jumps value follows the straight line between the window's ends, in windows of longest frames or more it is NULL; of several windows the last counts."""
+    found = velocity_jumps(df, keys, frame, velocity, chunk=chunk, **limits)
+    lined = on_lines(df.select(*keys, frame, value), found, keys, frame, [value], "first")
+    long_ = found.where(F.col("last") - F.col("first") + 1 >= longest).select(*keys, F.explode(F.sequence("first", "last")).alias(frame), F.lit(True).alias("_long")).distinct()
+    return lined.join(long_, [*keys, frame], "left").select(*keys, frame, F.when(F.col("_long"), None).otherwise(F.coalesce(f"line_{value}", value)).alias("filtered"))
 
-@BOOK.add("d34_velocity_jump_filter")
+
+@BOOK.add(
+    "d34_velocity_jump_filter",
+    f"WITH {POSE}, v AS (SELECT event, marker, frame, y, lead(y) OVER (PARTITION BY event, marker ORDER BY frame) - y AS v FROM pose), "
+    "x AS (SELECT *, max(v) OVER (w ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS a, max(v) OVER (w ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING) AS b, min(v) OVER (w ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS c, min(v) OVER (w ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING) AS d FROM v WHERE v IS NOT NULL WINDOW w AS (PARTITION BY event, marker ORDER BY frame)), "
+    "e AS (SELECT event, marker, frame, v FROM x WHERE (v > a AND v > b) OR (v < c AND v < d)), p AS (SELECT *, lead(frame) OVER w AS t, lead(v) OVER w AS u FROM e WINDOW w AS (PARTITION BY event, marker ORDER BY frame)), "
+    "g AS (SELECT event, marker, min(frame) AS lo, max(frame) AS hi FROM v GROUP BY 1, 2), "
+    "win AS (SELECT DISTINCT p.event, p.marker, greatest(lo, frame - ceil((t - frame) / 2)::BIGINT) AS first, least(hi, t + ceil((t - frame) / 2)::BIGINT - 1) AS last FROM p JOIN g ON g.event = p.event AND g.marker = p.marker WHERE t - frame < 8 AND sign(v) <> sign(u)), "
+    "st AS (SELECT event, marker, frame, abs(lead(v) OVER (PARTITION BY event, marker ORDER BY frame) - v) AS a FROM v), "
+    "j AS (SELECT win.event, win.marker, first, last, avg(a) FILTER (frame BETWEEN first AND last - 1) AS im, stddev_pop(a) FILTER (frame BETWEEN first AND last - 1) AS isd, avg(a) FILTER (frame NOT BETWEEN first AND last - 1) AS om, stddev_pop(a) FILTER (frame NOT BETWEEN first AND last - 1) AS osd FROM win JOIN st ON st.event = win.event AND st.marker = win.marker GROUP BY ALL), "
+    "bad AS (SELECT * FROM j WHERE isd > 1.9 * osd OR im > om + 0.8 * osd), "
+    "l AS (SELECT f.event, f.marker, f.frame, max(b.last - b.first + 1) AS size, arg_max(s.y + (t.y - s.y) * CASE WHEN b.last > b.first THEN (f.frame - b.first) / (b.last - b.first) ELSE 0 END, b.first) AS line FROM v f JOIN bad b ON b.event = f.event AND b.marker = f.marker AND f.frame BETWEEN b.first AND b.last JOIN v s ON s.event = b.event AND s.marker = b.marker AND s.frame = b.first JOIN v t ON t.event = b.event AND t.marker = b.marker AND t.frame = b.last GROUP BY ALL) "
+    "SELECT v.event, v.marker, v.frame, CASE WHEN size >= 9 THEN NULL ELSE round(coalesce(line, y), 6) END AS filtered FROM v LEFT JOIN l ON l.event = v.event AND l.marker = v.marker AND l.frame = v.frame",
+)
 def _d34(spark, sf):
-    return velocity_jump_filter(pose(spark, sf), KEYS, "frame", "y", 5, 1.5).withColumn("filtered", F.round("filtered", 6))
+    rows = derivatives(pose(spark, sf), KEYS, "frame", ["y"], 1.0, 64)
+    return velocity_jump_filter(rows, KEYS, "frame", "y", "v_y", 9, 64, order=2, near=8, spread=1.9, above=0.8).withColumn("filtered", F.round("filtered", 6))
 
 
 def edge_jump_trim(df: DataFrame, keys: list[str], frame: str, value: str, reach: int, factor: float) -> DataFrame:

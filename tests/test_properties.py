@@ -151,16 +151,7 @@ def test_savgol_keeps_cubics(spark):
     assert all(got[i] == pytest.approx(i**3 - 4 * i, abs=1e-6) for i in range(20)) and got[30] == 30
 
 
-def test_peaks():
-    x = np.array([0, 3, 3, 0, 5, 4, 5, 0, 1, 0], float)
-    assert trajectories.local_peaks(x, 1).tolist() == [1, 4, 6, 8]
-    assert trajectories.local_peaks(x, 1, distance=3).tolist() == [1, 4, 8] and trajectories.local_peaks(x, 2, prominence=2).tolist() == [1, 4, 6]
-
-
-def test_jump_fix_and_nearest(spark):
-    rows = [(1, i, float(i) + (50 if 10 <= i < 13 else 0), 60.0 if 10 <= i < 13 else 1.0) for i in range(30)]
-    got = trajectories.fix_jumps(table(spark, rows, "k long, f long, x double, e double"), ["k"], "f", "x", "e").orderBy("f").collect()
-    assert [r.fixed for r in got] == pytest.approx(list(range(30)))
+def test_nearest_channels(spark):
     sites = table(spark, [(k, float(k), 0.0) for k in range(5)], "k long, x double, y double")
     assert {(r.k, r.other) for r in grid.nearest_channels(sites, "k", "x", "y", 2).where("rank = 2").collect()} == {(0, 1), (1, 0), (2, 1), (3, 2), (4, 3)}
 
@@ -215,15 +206,6 @@ def slow_peaks(x, height, distance, prominence):
     return out
 
 
-def test_local_peaks_match_the_definition():
-    rnd = np.random.default_rng(8)
-    for n in (0, 1, 2, 3, 40, 200):
-        for _ in range(20):
-            x = rnd.integers(0, 12, n).astype(float)
-            for height, distance, prominence in ((0, 1, 0), (4, 3, 2), (6, 10, 5)):
-                assert trajectories.local_peaks(x, height, distance, prominence).tolist() == slow_peaks(x, height, distance, prominence)
-
-
 def test_bandpass_matches_a_plain_loop(spark):
     """Many series of different lengths, filtered together, against one at a time."""
     rnd = np.random.default_rng(9)
@@ -262,14 +244,6 @@ def test_reach_segments_match_a_plain_loop(spark):
     assert got == want and want
 
 
-def test_velocity_jumps_match_a_plain_loop(spark):
-    x = [float(v) for v in (0, 1, 2, 30, 31, 4, 5, 6, 7, 8, 9, 10)]
-    df = table(spark, [(1, i, v) for i, v in enumerate(x)], "k long, f long, x double")
-    got = [r.filtered for r in trajectories.velocity_jump_filter(df, ["k"], "f", "x", 5, 1.5).orderBy("f").collect()]
-    line = [2 + (4 - 2) * k / 3 for k in range(4)]
-    assert got == pytest.approx(x[:2] + line + x[6:])
-
-
 def test_whitened_vectors_are_uncorrelated(spark):
     rnd = np.random.default_rng(11)
     rows = rnd.normal(size=(400, 4)) @ rnd.normal(size=(4, 4))
