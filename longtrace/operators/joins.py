@@ -274,23 +274,6 @@ def _f17(spark, sf):
     return agreement(spark, sf).select("pair", "matched", *(F.round(c, 5).alias(c) for c in ("miss", "false_positive", "score")))
 
 
-def consensus_units(agreements: DataFrame, first: str, second: str, score: str, least: float, sorters: int) -> DataFrame:
-    """(unit, n): units of a first sorting that at least `sorters` trains agree with, itself included."""
-    n = agreements.where(F.col(score) >= least).groupBy(first).agg((F.count_distinct(second) + 1).alias("n"))
-    return n.where(F.col("n") >= sorters).select(F.col(first).alias("unit"), "n")
-
-
-@BOOK.add("f19_consensus_units", f"WITH {SPIKES}, c AS (SELECT a.unit, b.unit AS other, count(DISTINCT a.t) AS m FROM spikes a JOIN spikes b ON abs(a.t - b.t) <= {6 * HOUR} AND a.unit <> b.unit AND b.unit % 3 = a.unit % 3 GROUP BY a.unit, b.unit), n AS (SELECT unit, count(*) AS n FROM spikes GROUP BY unit) SELECT c.unit, count(*) + 1 AS n FROM c JOIN n USING (unit) WHERE m / n.n >= 0.05 GROUP BY c.unit HAVING count(*) + 1 >= 3")
-def _f19(spark, sf):
-    rows = spikes(spark, sf).select((F.col("unit") % 3).alias("grp"), "unit", "t")
-    most = 6 * HOUR
-    left = rows.withColumn("_k", F.floor(F.col("t") / (most + 1)))
-    right = rows.select("grp", F.col("unit").alias("other"), F.col("t").alias("t2")).withColumn("_k", F.explode(F.array(*(F.floor(F.col("t2") / (most + 1)) + d for d in (-1, 0, 1)))))
-    both = left.join(right, ["grp", "_k"]).where((F.abs(F.col("t") - F.col("t2")) <= most) & (F.col("unit") != F.col("other")))
-    matched = both.groupBy("unit", "other").agg(F.count_distinct("t").alias("m")).join(rows.groupBy("unit").agg(F.count("*").alias("n")), "unit")
-    return consensus_units(matched.withColumn("score", F.col("m") / F.col("n")), "unit", "other", "score", 0.05, 3)
-
-
 def correction_merge(labels: DataFrame, corrected: DataFrame, keys: list[str], least: float = 50.0) -> DataFrame:
     """labels with corrected x and y where they moved and both exceed least; their likelihood becomes 1."""
     new = corrected.select(*keys, F.col("x").alias("_x"), F.col("y").alias("_y"))

@@ -13,6 +13,7 @@ MODULES = [
     "longtrace.operators.joins",
     "longtrace.operators.aggregates",
     "longtrace.operators.merging",
+    "longtrace.operators.matching",
     "longtrace.operators.grid",
     "longtrace.operators.identity",
     "longtrace.operators.signals",
