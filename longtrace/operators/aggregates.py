@@ -13,6 +13,7 @@ from longtrace.functions.carry import carried
 from longtrace.operators.joins import PAIRS, VEC, centres, spike_pairs, train_pairs
 from longtrace.operators.sequence import CHUNK, DAYS30, DROPOUT, EVENTS, HOUR, REACH, _d29, dropouts, segments
 from longtrace.plans.standins import EV, FRAMES, POSE, SIGNAL, SPIKES, Book, events, frames, pose, signal, spikes
+from longtrace.session import written
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
@@ -371,16 +372,6 @@ def _g20(spark, sf):
     return unit_spread(energy, "unit", "place", "e").select("unit", F.round("centre", 4).alias("centre"), F.round("spread", 4).alias("spread"))
 
 
-def template_build(df: DataFrame, label: str, vector: str) -> DataFrame:
-    """(label, k, mean, sd) of every item of the vectors of a class."""
-    return df.select(label, F.posexplode(vector).alias("k", "v")).groupBy(label, "k").agg(F.avg(F.col("v").cast("double")).alias("mean"), F.stddev_pop(F.col("v").cast("double")).alias("sd"))
-
-
-@BOOK.add("g21_template_build", "WITH x AS (SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS k FROM embeddings) SELECT label, k::INTEGER AS k, round(avg(v), 4) AS mean, round(stddev_pop(v), 4) AS sd FROM x GROUP BY 1, 2")
-def _g21(spark, sf):
-    return template_build(spark.read.parquet(f"{sf}/embeddings.parquet"), "label", "embedding").select("label", "k", F.round("mean", 4).alias("mean"), F.round("sd", 4).alias("sd"))
-
-
 def ks_normality(df: DataFrame, key: str, value: str) -> DataFrame:
     """(key, gap): the largest distance between a feature's empirical distribution and the normal one of its mean and deviation."""
     stats = df.groupBy(key).agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"), F.count("*").alias("_n"))
@@ -502,23 +493,57 @@ def _g27(spark, sf):
     return drift(spark, sf).withColumn("weight", F.round("weight", 5))
 
 
-def drift_shift(hist: DataFrame, most: int) -> DataFrame:
-    """(batch, shift, fit): the shift -most..most along depth that fits a batch best to the mean over batches; ties: the smallest shift."""
-    batches = hist.agg(F.count_distinct("batch")).first()[0] or 1
-    mean = hist.groupBy("depth", "level").agg((F.sum("weight") / batches).alias("_m"))
-    moved = hist.withColumn("shift", F.explode(F.sequence(F.lit(-most), F.lit(most)))).withColumn("depth", F.col("depth") + F.col("shift"))
-    fit = moved.join(mean, ["depth", "level"]).groupBy("batch", "shift").agg(F.sum(F.col("weight") * F.col("_m")).alias("fit"))
-    best = fit.groupBy("batch").agg(F.max(F.struct(F.round("fit", 6).alias("fit"), (-F.abs("shift")).alias("near"), "shift")).alias("b"))
-    return best.select("batch", F.col("b.shift").cast("long").alias("shift"), F.col("b.fit").alias("fit"))
+def drift_shift(hist: DataFrame, depths: int, most: int = 15, rounds: int = 10) -> DataFrame:
+    """(batch, shift, fit): how far each batch's histogram must move along its depths 0..depths-1, in a circle, to lie over the others.
 
-
-@BOOK.add(
-    "g28_drift_shift",
-    f"WITH {DRIFT}, m AS (SELECT depth, level, sum(weight) / (SELECT count(DISTINCT batch) FROM drift) AS m FROM drift GROUP BY 1, 2), f AS (SELECT batch, s AS shift, round(sum(weight * m), 6) AS fit FROM (SELECT *, unnest(range(-5, 6)) AS s FROM drift) d JOIN m ON m.depth = d.depth + s AND m.level = d.level GROUP BY 1, 2) "
-    "SELECT batch, arg_max(shift, (fit, -abs(shift), shift)) AS shift, max(fit) AS fit FROM f GROUP BY batch",
-)
+    Batches are first held against one in the middle, then against their mean as they
+    lie, and moved by the shift -most..most of the largest covariance (of equal ones
+    the smallest); shifts add up over rounds, and the last round only measures. The
+    histogram and the shifts are written; a round reads the cells once for all shifts,
+    against a target of at most a cell for each depth and level. Rounds end early when
+    no batch moves.
+    """
+    cells = written(hist.select("batch", F.pmod("depth", F.lit(depths)).alias("depth"), "level", "weight"), "drift")
+    batches = cells.select("batch").distinct()
+    n = batches.count()
+    middle = batches.orderBy("batch").limit(max(1, min(300, n // 2))).agg(F.max("batch")).first()[0]
+    shifts = written(batches.select("batch", F.lit(0).cast("long").alias("shift")), "shifts")
+    target, near = cells.where(F.col("batch") == F.lit(middle)), F.pmod(F.col("depth") + F.col("shift"), F.lit(depths))
+    for k in range(rounds):
+        goal = target.groupBy("depth", "level").agg(F.sum("weight").alias("_w"))
+        mean = target.groupBy("level").agg((F.sum("weight") / depths).alias("_m"))
+        placed = cells.join(shifts, "batch").select("batch", near.alias("depth"), "level", "weight")
+        moved = placed.withColumn("by", F.explode(F.sequence(F.lit(-most), F.lit(most)))).withColumn("depth", F.pmod(F.col("depth") + F.col("by"), F.lit(depths)))
+        covered = moved.join(goal, ["depth", "level"], "left").join(mean, "level", "left")
+        # the mean over depths is taken off the target; taking it off the batch as well changes nothing
+        fit = covered.groupBy("batch", "by").agg(F.round(F.sum(F.col("weight") * (F.coalesce("_w", F.lit(0.0)) - F.coalesce("_m", F.lit(0.0)))), 6).alias("fit"))
+        best = fit.groupBy("batch").agg(F.max(F.struct("fit", (-F.abs("by")).alias("near"), (-F.col("by")).alias("first"))).alias("b"))
+        step = F.lit(0) if k == rounds - 1 else -F.col("b.first")
+        done = F.col("b.fit") if k < rounds - 1 else F.col("_f")
+        held = best if k < rounds - 1 else best.join(fit.where("by = 0").select("batch", F.col("fit").alias("_f")), "batch")
+        result = written(shifts.join(held, "batch").select("batch", (F.col("shift") + step).cast("long").alias("shift"), step.alias("step"), done.alias("fit")), "shifts")
+        if k > 0 and result.where("step <> 0").isEmpty():
+            break
+        shifts = result.select("batch", "shift")
+        target = cells.join(shifts, "batch").select(near.alias("depth"), "level", (F.col("weight") / n).alias("weight"))
+    return result.select("batch", "shift", "fit")
+
+
+def _drift_rounds_sql(depths: int, most: int, rounds: int) -> str:
+    out = ["cells AS (SELECT batch, depth, level, weight FROM drift)", "nb AS (SELECT count(DISTINCT batch) AS n FROM cells)", "sh0 AS (SELECT DISTINCT batch, 0::BIGINT AS shift FROM cells)", "tg0 AS (SELECT depth, level, weight AS w FROM cells WHERE batch = (SELECT max(batch) FROM (SELECT DISTINCT batch FROM cells ORDER BY batch LIMIT (SELECT greatest(1, least(300, n // 2)) FROM nb))))"]
+    pm = lambda x: f"((({x}) % {depths}) + {depths}) % {depths}"
+    for k in range(rounds):
+        out.append(f"mn{k} AS (SELECT level, sum(w) / {depths} AS m FROM tg{k} GROUP BY level)")
+        out.append(f"ft{k} AS MATERIALIZED (SELECT batch, s, round(sum(weight * (coalesce(w, 0) - coalesce(m, 0))), 6) AS fit FROM (SELECT c.batch, s, level, weight, {pm('depth + shift + s')} AS depth FROM cells c JOIN sh{k} USING (batch), range(-{most}, {most + 1}) r(s)) x LEFT JOIN tg{k} USING (depth, level) LEFT JOIN mn{k} USING (level) GROUP BY batch, s)")
+        if k < rounds - 1:
+            out.append(f"sh{k + 1} AS MATERIALIZED (SELECT batch, shift + arg_max(s, (fit, -abs(s), -s))::BIGINT AS shift FROM ft{k} JOIN sh{k} USING (batch) GROUP BY batch, shift)")
+            out.append(f"tg{k + 1} AS MATERIALIZED (SELECT {pm('depth + shift')} AS depth, level, sum(weight / n) AS w FROM cells JOIN sh{k + 1} USING (batch), nb GROUP BY 1, 2)")
+    return ", ".join(out)
+
+
+@BOOK.add("g28_drift_shift", f"WITH {DRIFT}, {_drift_rounds_sql(16, 15, 10)} SELECT batch, shift, fit FROM sh9 JOIN ft9 USING (batch) WHERE s = 0")
 def _g28(spark, sf):
-    return drift_shift(drift(spark, sf), 5)
+    return drift_shift(drift(spark, sf), 16)
 
 
 def sessions_audit(counts: DataFrame, event: str) -> DataFrame:

@@ -190,14 +190,6 @@ def _f13(spark, sf):
     return best_lag(pick("click"), pick("view"), ["event"], "frame", "y", 4)
 
 
-def nearest_cluster(points: DataFrame, centres: DataFrame, vector: str, label: str, radius: float) -> DataFrame:
-    """points with `cluster`: the nearest centre's label if it lies within radius, else 0. Centres are few and broadcast as one row."""
-    listed = centres.groupBy().agg(F.collect_list(F.struct(label, vector)).alias("_c"))
-    far = lambda a, b: F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, x: s + x))
-    best = F.array_min(F.transform("_c", lambda c: F.struct(far(F.col(vector), c[vector]).alias("d"), c[label].alias("l"))))
-    return points.join(F.broadcast(listed), F.lit(True)).withColumn("_b", best).withColumn("cluster", F.when(F.col("_b.d") <= radius, F.col("_b.l")).otherwise(0)).withColumn("distance", F.col("_b.d")).drop("_c", "_b")
-
-
 VEC = "x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS k FROM embeddings), centres AS (SELECT label, k, avg(v) AS c FROM x GROUP BY label, k)"
 
 
@@ -207,15 +199,6 @@ def centres(df: DataFrame, label: str, vector: str) -> DataFrame:
     return items.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "c"))), lambda s: s["c"]).alias(vector))
 
 
-@BOOK.add(
-    "f14_nearest_cluster_assign",
-    f"WITH {VEC}, d AS (SELECT vec_id, centres.label, sqrt(sum((v - c) * (v - c))) AS d FROM x JOIN centres USING (k) GROUP BY vec_id, centres.label), b AS (SELECT vec_id, min(d) AS d, arg_min(label, d) AS l FROM d GROUP BY vec_id) SELECT vec_id, CASE WHEN d <= 1.0 THEN l ELSE 0 END::INTEGER AS cluster, round(d, 4) AS distance FROM b",
-)
-def _f14(spark, sf):
-    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
-    return nearest_cluster(rows.drop("label"), centres(rows, "label", "embedding"), "embedding", "label", 1.0).select("vec_id", "cluster", F.round("distance", 4).alias("distance"))
-
-
 def spike_pairs(a: DataFrame, b: DataFrame, keys: list[str], time: str, most: int, keep: list[str] | None = None) -> DataFrame:
     """(keys, t_a, t_b): pairs at most `most` apart; b is listed in the three buckets around it, so it is an equi join. Columns of keep come along as <name>_a and <name>_b."""
     bucket = lambda c: F.floor(F.col(c) / (most + 1))

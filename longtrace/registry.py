@@ -14,6 +14,7 @@ MODULES = [
     "longtrace.operators.aggregates",
     "longtrace.operators.merging",
     "longtrace.operators.matching",
+    "longtrace.operators.classes",
     "longtrace.operators.grid",
     "longtrace.operators.identity",
     "longtrace.operators.signals",
