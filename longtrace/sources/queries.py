@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from longtrace.operators.sequence import DROPOUT, GAPS, dropouts, frame_gaps
 from longtrace.plans.standins import ELECTRODES, FRAMES, HOUR, POSE, SIGNAL, SPIKES, Book, electrodes, frames, pose, read, signal, spikes
 from longtrace.session import shared_folder
-from longtrace.sources import readers, sinks
+from longtrace.sources import readers, recording, sinks
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
@@ -119,3 +119,73 @@ def _b8(spark, sf):
     path = place(spark, "electrodes")
     sinks.write_electrodes(electrodes(spark, sf), path)
     return spark.read.schema("channel long, label string, gain double").json(path)
+
+
+@BOOK.add(
+    "a7_scan_samples",
+    f"WITH {SIGNAL}, k AS (SELECT channel // 4 AS recording, channel % 4 AS channel_id, i, round(v)::BIGINT AS v FROM signal WHERE v > 7.5), n AS (SELECT recording, max(i) AS m FROM k GROUP BY 1) "
+    "SELECT g.recording, g.channel_id::INTEGER AS channel_id, g.i AS sample_idx, coalesce(k.v, 0)::INTEGER AS v FROM (SELECT recording, c AS channel_id, unnest(range(0, m + 1)) AS i FROM n, range(0, 4) r(c)) g LEFT JOIN k ON k.recording = g.recording AND k.channel_id = g.channel_id AND k.i = g.i",
+)
+def _a7(spark, sf):
+    loud = signal(spark, sf).where("v > 7.5").select(F.expr("channel div 4").alias("recording"), (F.col("channel") % 4).alias("channel"), "i", F.round("v").alias("v"))
+    files = recording.write_recordings(loud, place(spark, "recordings"), "recording", "channel", "i", "v", 4).collect()
+    scanned = recording.scan_samples(spark, [r.path for r in files], 32, 4, split_bytes=1 << 10)
+    return scanned.select(F.regexp_extract("path", r"(\d+)\.rec$", 1).cast("long").alias("recording"), "channel_id", "sample_idx", F.col("v").cast("int").alias("v"))
+
+
+@BOOK.add("a8_scan_packets", f"WITH {SPIKES} SELECT unit // 100 AS recording, t // 1000000 AS timestamp, (unit % 10000 + 1)::INTEGER AS electrode, spike % 7 AS unit_class FROM spikes")
+def _a8(spark, sf):
+    rows = spikes(spark, sf).select(F.expr("unit div 100").alias("recording"), F.expr("t div 1000000").alias("at"), (F.col("unit") % 10000 + 1).alias("id"), F.unhex(F.lpad(F.hex(F.col("spike") % 7), 2, "0")).alias("payload"))
+    files = recording.write_packets(rows, place(spark, "packets"), "recording", "at", "id", "payload", 12).collect()
+    found = recording.packet_tables(recording.scan_packets(spark, [r.path for r in files], 8, 12, split_bytes=1 << 12))["spikes"]
+    return found.select(F.regexp_extract("path", r"(\d+)\.ev$", 1).cast("long").alias("recording"), "timestamp", "electrode", "unit_class")
+
+
+def _text(lines, path: str, head: int) -> None:
+    """Lines (k, value) as one file behind `head` lines of its own."""
+    more = lines.sparkSession.range(head).select((F.col("id") - head).alias("k"), F.lit("head").alias("value"))
+    more.unionByName(lines).coalesce(1).sortWithinPartitions("k").select("value").write.text(path)
+
+
+@BOOK.add("a4_read_electrode_map", f"WITH {ELECTRODES} SELECT (channel % 7)::INTEGER AS col, (channel // 7)::INTEGER AS row, chr((65 + channel % 4)::INTEGER) AS bank, (channel // 4)::INTEGER AS elec, label FROM electrodes")
+def _a4(spark, sf):
+    path, k = place(spark, "map"), F.col("channel")
+    cells = F.concat_ws("\t", (k % 7).cast("string"), F.expr("string(channel div 7)"), F.char(65 + k % 4), F.expr("string(channel div 4)"), "label")
+    _text(electrodes(spark, sf).select(k.alias("k"), F.concat(F.when(k % 3 == 0, "//").otherwise(""), cells).alias("value")), path, 13)
+    return readers.read_electrode_map(spark, path)
+
+
+@BOOK.add("a5_read_impedances", f"WITH {ELECTRODES} SELECT label, imp FROM electrodes")
+def _a5(spark, sf):
+    path = place(spark, "impedances")
+    _text(electrodes(spark, sf).select(F.col("channel").alias("k"), F.concat(F.lit(" "), "label", F.lit(" \t "), F.when(F.col("imp") < 0, "<=").otherwise(""), F.col("imp").cast("string")).alias("value")), path, 7)
+    return readers.read_impedances(spark, path)
+
+
+@BOOK.add("a9_read_trials", f"WITH {SPIKES} SELECT unit AS trial, min(spike) AS first_pulse, max(spike) AS last_pulse FROM spikes GROUP BY unit")
+def _a9(spark, sf):
+    path = place(spark, "trials")
+    spikes(spark, sf).groupBy(F.col("unit").alias("trial")).agg(F.min("spike").alias("first_pulse"), F.max("spike").alias("last_pulse")).write.json(path)
+    return readers.read_trials(spark, path)
+
+
+@BOOK.add("b3_write_nested_results", f"WITH {SPIKES} SELECT unit, count(*) AS n, round(sum(amplitude), 4) AS total FROM spikes GROUP BY unit")
+def _b3(spark, sf):
+    path = place(spark, "nested")
+    sinks.write_nested_results(spikes(spark, sf).groupBy("unit").agg(F.count("*").alias("n"), F.sum("amplitude").alias("total")), path, ["unit"])
+    return spark.read.parquet(path).select("unit", "result.n", F.round("result.total", 4).alias("total"))
+
+
+@BOOK.add("b4_write_processed_copy", f"WITH {SPIKES} SELECT unit, t, spike FROM spikes")
+def _b4(spark, sf):
+    folder = place(spark, "copy")
+    names = sinks.write_processed_copy({"signal": signal(spark, sf), "units": spikes(spark, sf)}, folder)
+    return spark.read.parquet(*(f"{folder}/{n}" for n in names)).select("unit", "t", "spike")
+
+
+@BOOK.add("b6_write_matched_points", f"WITH {POSE}, p AS (SELECT event * 1000000 + frame AS frame, marker AS point, y, z FROM pose), f AS (SELECT frame, point FROM (SELECT DISTINCT frame FROM p), (SELECT DISTINCT point FROM p)) SELECT frame, point, cam::INTEGER AS cam, CASE cam WHEN 1 THEN y ELSE z END AS x, CASE cam WHEN 1 THEN z ELSE y END AS y FROM f LEFT JOIN p USING (frame, point), range(1, 3) c(cam)")
+def _b6(spark, sf):
+    rows, path = pose(spark, sf).select((F.col("event") * 1_000_000 + F.col("frame")).alias("frame"), "marker", "y", "z"), place(spark, "matched")
+    side = lambda x, y: rows.select("frame", "marker", F.col(x).alias("x"), F.col(y).alias("y"))
+    sinks.write_matched_points(side("y", "z"), side("z", "y"), path, "frame", "marker", markers(rows))
+    return readers.read_xma_points(spark, path)

@@ -55,15 +55,53 @@ def test_recording_scan(spark, tmp_path):
     path.write_bytes(b"h" * 32 + head(0, 1000) + one.tobytes() + head(1500, 3) + two.tobytes())
     for split in (64, 1 << 20):
         rows = recording.scan_samples(spark, str(path), 32, 4, pick=[2, 0], start=10, stop=1502, every=5, split_bytes=split)
-        want = {(c, i, int(one[i, c])) for c in (0, 2) for i in range(10, 1000, 5)}
-        assert {tuple(r) for r in rows.collect()} == want
-    assert recording.scan_samples(spark, str(path), 32, 4).where("sample_idx >= 1500").count() == 12
+        want = {(c, i, int(one[i, c]) if i < 1000 else 0) for c in (0, 2) for i in range(10, 1502, 5)}  # the tiny packet is shorter than the stride
+        want = {x for x in want if x[1] < 1000}
+        assert {tuple(r)[1:] for r in rows.collect()} == want
+    assert recording.scan_samples(spark, str(path), 32, 4, fill=False).where("sample_idx >= 1500").count() == 12
+    filled = recording.scan_samples(spark, str(path), 32, 4, start=990)
+    assert filled.count() == 4 * 513 and filled.where("sample_idx between 1000 and 1499 and v <> 0").isEmpty()
+
+
+def test_recording_pauses_restarts_and_ranges(spark, tmp_path):
+    rnd = np.random.default_rng(2)
+    head = lambda t, n: b"\1" + np.array([t, n], "<u4").tobytes()
+    parts = [(20, 400), (500, 2), (600, 300), (100, 50), (155, 1), (200, 800)]
+    data = [rnd.integers(1, 99, (n, 2)).astype("<i2") for _, n in parts]
+    path = str(tmp_path / "r.bin")
+    with open(path, "wb") as f:
+        f.write(b"h" * 16 + b"".join(head(3 * t, n) + x.tobytes() for (t, n), x in zip(parts, data, strict=True)))
+    want = np.zeros((1000, 2), int)  # from the packet at 100 on, which goes back in time; the one of one sample is below the stride
+    want[100:150], want[200:1000] = data[3], data[5]
+    for split in (40, 1 << 20):
+        rows = recording.scan_samples(spark, path, 16, 2, every=2, split_bytes=split, period=3)
+        assert {tuple(r)[1:] for r in rows.collect()} == {(c, i, int(want[i, c])) for i in range(0, 1000, 2) for c in (0, 1)}
+    options = {"path": path, "header_bytes": "16", "channels": "2", "period": "3", "split_bytes": "400"}
+    read = lambda spans: sum(4 * s.rows for s in spans if s.offset is not None)
+    whole = recording.SampleReader(options)
+    assert read(whole.partitions()) == 4 * 851
+    assert read(recording.SampleReader({**options, "start": "140", "stop": "210"}).partitions()) == 4 * 21
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        some = recording.scan_samples(spark, path, 16, 2, period=3).where("sample_idx >= 140 and sample_idx < 210 and channel_id = 1")
+        assert {tuple(r)[2:] for r in some.collect()} == {(i, int(want[i, 1])) for i in range(140, 155)} | {(155, int(data[4][0, 1]))} | {(i, int(want[i, 1])) for i in range(156, 210)}
+        asked = recording.AskedSampleReader(options)
+        left = asked.pushFilters([recording.GreaterThanOrEqual(("sample_idx",), 140), recording.LessThan(("sample_idx",), 210), recording.In(("channel_id",), (1, 7)), recording.EqualTo(("v",), 3)])
+        assert [type(x) for x in left] == [recording.EqualTo] and asked.pick == [1] and read(asked.partitions()) == 4 * 21
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_event_packets(spark, tmp_path):
     packet = lambda t, k, body: np.array([t], "<u4").tobytes() + np.array([k], "<u2").tobytes() + body.ljust(10, b"\0")
     path = tmp_path / "b.bin"
     path.write_bytes(b"h" * 8 + packet(5, 3, b"\2") + packet(9, 0, b"\1\0\x34\x12") + packet(11, 3, b"\0"))
     tables = recording.packet_tables(recording.scan_packets(spark, str(path), 8, 16, split_bytes=16))
-    assert sorted(tuple(r) for r in tables["spikes"].collect()) == [(5, 3, 2), (11, 3, 0)]
-    assert [tuple(r) for r in tables["digital"].collect()] == [(9, 1, 0x1234)]
+    assert sorted(tuple(r)[1:] for r in tables["spikes"].collect()) == [(5, 3, 2), (11, 3, 0)]
+    assert [tuple(r)[1:] for r in tables["digital"].collect()] == [(9, 1, 0x1234)]
+    bare = recording.scan_packets(spark, str(path), 8, 16, electrodes=[3], waveforms=False)
+    assert sorted((r.packet_id, len(r.payload)) for r in bare.collect()) == [(0, 10), (3, 2), (3, 2)]
+    assert recording.scan_packets(spark, str(path), 8, 16, electrodes=[4]).count() == 1
 
 
 def test_sinks(spark, tmp_path):
