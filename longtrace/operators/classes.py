@@ -34,6 +34,23 @@ def against(points: DataFrame, classes: DataFrame, key: str, numbers: int, found
     return rows
 
 
+def partial_moments(df: DataFrame, label: str, vector: str) -> DataFrame:
+    """(label, n, s, q): rows, sums and sums of products of the vectors of each class, a row for each class and task."""
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for pdf in batches:
+            for name, x in pdf.groupby("label")["v"]:
+                x = np.stack(x.to_list()).astype(float)
+                n, s, q = held.get(name, (0, 0.0, 0.0))
+                held[name] = (n + len(x), s + x.sum(0), q + x.T @ x)
+        yield pd.DataFrame([(name, n, s, q.reshape(-1)) for name, (n, s, q) in held.items()], columns=["label", "n", "s", "q"])
+
+    kind = df.schema[label].dataType.simpleString()
+    rows = df.select(F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("v")).where("label is not null and v is not null")
+    return rows.mapInPandas(sums, f"label {kind}, n long, s array<double>, q array<double>")
+
+
 def class_templates(df: DataFrame, label: str, vector: str, ridge: float = 0.0) -> DataFrame:
     """(label, n, mean, sd, distance_sd, inverse, logdet) of each class's vectors.
 
@@ -45,15 +62,6 @@ def class_templates(df: DataFrame, label: str, vector: str, ridge: float = 0.0)
     """
     kind = df.schema[label].dataType.simpleString()
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict = {}
-        for pdf in batches:
-            for name, x in pdf.groupby("label")["v"]:
-                x = np.stack(x.to_list()).astype(float)
-                n, s, q = held.get(name, (0, 0.0, 0.0))
-                held[name] = (n + len(x), s + x.sum(0), q + x.T @ x)
-        yield pd.DataFrame([(name, n, s, q.reshape(-1)) for name, (n, s, q) in held.items()], columns=["label", "n", "s", "q"])
-
     def finished(pdf: pd.DataFrame) -> pd.DataFrame:
         n, s, q = int(pdf["n"].sum()), pdf["s"].sum(), pdf["q"].sum()
         d, mean = len(s), s / n
@@ -67,9 +75,7 @@ def class_templates(df: DataFrame, label: str, vector: str, ridge: float = 0.0)
                 inverse, logdet = np.linalg.inv(cov).reshape(-1), float(size)
         return pd.DataFrame([(pdf["label"].iloc[0], n, mean, np.sqrt(var), float(np.sqrt(var.sum())), inverse, logdet)], columns=["label", "n", "mean", "sd", "distance_sd", "inverse", "logdet"])
 
-    rows = df.select(F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("v")).where("label is not null and v is not null")
-    parts = rows.mapInPandas(sums, f"label {kind}, n long, s array<double>, q array<double>")
-    return parts.groupBy("label").applyInPandas(finished, f"label {kind}, n long, mean array<double>, sd array<double>, distance_sd double, inverse array<double>, logdet double")
+    return partial_moments(df, label, vector).groupBy("label").applyInPandas(finished, f"label {kind}, n long, mean array<double>, sd array<double>, distance_sd double, inverse array<double>, logdet double")
 
 
 def _difference(a: Column, b: Column) -> Column:

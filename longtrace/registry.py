@@ -15,6 +15,7 @@ MODULES = [
     "longtrace.operators.merging",
     "longtrace.operators.matching",
     "longtrace.operators.classes",
+    "longtrace.operators.splitting",
     "longtrace.operators.grid",
     "longtrace.operators.identity",
     "longtrace.operators.signals",
