@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from longtrace.functions.carry import carried
+from longtrace.operators.grid import nearest_channels
 from longtrace.plans.standins import ELECTRODES, HOUR, SIGNAL, SPIKES, Book, electrodes, signal, spikes
 
 BOOK = Book()
@@ -278,6 +279,60 @@ def _e15(spark, sf):
     return white.select("vec_id", F.transform("white", lambda x: F.round(x, 4)).alias("white"))
 
 
+def whiten_local(vectors: DataFrame, key: str, vector: str, neighbours: DataFrame, size: int, ridge: float = 1e-6) -> DataFrame:
+    """(key, white): each channel by its own filter over its nearest channels, the first column of E (D + ridge)^-1/2 E' of their mean products.
+
+    neighbours: (channel, other, rank), ranks from 1, the channel itself first. Only
+    pairs of channels that are neighbours of one channel are summed, task by task;
+    each channel's small eigenproblem is a group of its own. The filters, a number for
+    each channel and neighbour, go to every task; size^2 of them at most.
+    """
+    near = neighbours.select("channel", "other", "rank")
+    pairs = near.join(near.withColumnsRenamed({"other": "_o", "rank": "_r"}), "channel").select("channel", F.col("other").alias("i"), F.col("_o").alias("j"), "rank", F.col("_r").alias("other_rank"))
+    wanted = pairs.where("i <= j").select("i", "j").distinct().toPandas()
+    first, second = wanted["i"].to_numpy(int), wanted["j"].to_numpy(int)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, two = 0, np.zeros(len(first))
+        for pdf in batches:
+            if len(pdf):
+                x = np.stack(pdf[vector].to_list()).astype(float)
+                n, two = n + len(x), two + (x[:, first] * x[:, second]).sum(0)
+        yield pd.DataFrame({"i": first, "j": second, "n": n, "q": two})
+
+    total = vectors.select(vector).mapInPandas(sums, "i int, j int, n long, q double").groupBy("i", "j").agg((F.sum("q") / F.sum("n")).alias("c"))
+    cov = total.select("i", "j", "c")
+    both = cov.union(cov.where("i <> j").select("j", "i", "c"))
+    rows = pairs.join(both, ["i", "j"])
+
+    def solved(pdf: pd.DataFrame) -> pd.DataFrame:
+        n = int(pdf["rank"].max())
+        c = np.zeros((n, n))
+        c[pdf["rank"] - 1, pdf["other_rank"] - 1] = pdf["c"]
+        d, e = np.linalg.eigh(c)
+        column = (e @ np.diag(1 / np.sqrt(np.maximum(d, 0) + ridge)) @ e.T)[:, 0]
+        others = pdf.drop_duplicates("rank").set_index("rank")["i"]
+        return pd.DataFrame({"channel": pdf["channel"].iloc[0], "other": others.loc[range(1, n + 1)].to_numpy(), "w": column})
+
+    filters = rows.groupBy("channel").applyInPandas(solved, "channel int, other int, w double").toPandas()
+    m = np.zeros((size, size))
+    m[filters["other"].to_numpy(int), filters["channel"].to_numpy(int)] = filters["w"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({key: pdf[key], "white": list(np.stack(pdf[vector].to_list()).astype(float) @ m) if len(pdf) else []})
+
+    return vectors.select(key, vector).mapInPandas(run, T.StructType([vectors.schema[key], T.StructField("white", T.ArrayType(T.DoubleType()))]))
+
+
+@BOOK.add("e15b_whiten_local")
+def _e15b(spark, sf):
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding")
+    sites = spark.range(64).select(F.col("id").cast("int").alias("channel"), (F.col("id") % 8).cast("double").alias("x"), F.expr("id div 8").cast("double").alias("y"))
+    white = whiten_local(rows, "vec_id", "embedding", nearest_channels(sites, "channel", "x", "y", 9), 64)
+    return white.select("vec_id", F.transform("white", lambda x: F.round(x, 4)).alias("white"))
+
+
 def snippets(events: DataFrame, samples: DataFrame, keys: list[str], at: str, index: str, value: str, before: int, after: int, chunk: int = 1 << 16) -> DataFrame:
     """(keys, at, snippet): the before + after samples from at - before on, where all are there; events are listed per chunk they touch, an equi join."""
     spread = events.select(*keys, at).withColumn("_c", F.explode(F.sequence(F.floor((F.col(at) - before) / chunk), F.floor((F.col(at) + after - 1) / chunk))))

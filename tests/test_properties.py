@@ -252,6 +252,22 @@ def test_whitened_vectors_are_uncorrelated(spark):
     assert np.allclose(white.T @ white / len(white), np.eye(4), atol=1e-6)
 
 
+def test_local_whitening(spark):
+    rnd = np.random.default_rng(15)
+    x = rnd.normal(size=(300, 5)) @ rnd.normal(size=(5, 5))
+    df = table(spark, [(i, [float(v) for v in r]) for i, r in enumerate(x)], "k long, v array<double>").repartition(3)
+    sites = table(spark, [(k, float(k * k), 0.0) for k in range(5)], "channel int, x double, y double")
+    dense = {r.k: r.white for r in signals.whiten(df, "k", "v", 5).collect()}
+    local = {r.k: r.white for r in signals.whiten_local(df, "k", "v", grid.nearest_channels(sites, "channel", "x", "y", 5), 5).collect()}
+    assert all(local[k] == pytest.approx(dense[k], abs=1e-6) for k in dense)
+    got = np.array([r.white for r in signals.whiten_local(df, "k", "v", grid.nearest_channels(sites, "channel", "x", "y", 3), 5).orderBy("k").collect()])
+    cov = x.T @ x / len(x)
+    for j in range(5):
+        near = sorted(range(5), key=lambda k: (abs(k * k - j * j), k))[:3]
+        d, e = np.linalg.eigh(cov[np.ix_(near, near)])
+        assert got[:, j] == pytest.approx(x[:, near] @ (e @ np.diag(1 / np.sqrt(d + 1e-6)) @ e.T)[:, 0], abs=1e-6)
+
+
 def test_rigid_body_pose_finds_the_turn(spark):
     rnd = np.random.default_rng(12)
     base = rnd.normal(size=(3, 3))
