@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from longtrace.functions.carry import carried
 from longtrace.operators.joins import PAIRS, VEC, centres, spike_pairs, train_pairs
-from longtrace.operators.sequence import CHUNK, DAYS30, DROPOUT, EVENTS, HOUR, REACH, _d29, dropouts, segments
+from longtrace.operators.sequence import CHUNK, DAYS30, DROPOUT, EVENTS, GAPS, HOUR, REACH, _d29, dropouts, frame_gaps, segment_events, segments
 from longtrace.plans.standins import EV, FRAMES, POSE, SIGNAL, SPIKES, Book, events, frames, pose, signal, spikes
 from longtrace.session import written
 
@@ -78,11 +78,13 @@ def event_frame_counts(df: DataFrame, event: str, cam: str) -> DataFrame:
     return grid.join(df.groupBy(event, cam).agg(F.count("*").alias("n")), [event, cam], "left")
 
 
-FC = f"{FRAMES}, odd AS (SELECT * FROM frames WHERE NOT (event = 3 AND cam = 'click')), counts AS (SELECT e.event, c.cam, count(o.event) AS k FROM (SELECT DISTINCT event FROM odd) e CROSS JOIN (SELECT DISTINCT cam FROM odd) c LEFT JOIN odd o ON o.event = e.event AND o.cam = c.cam GROUP BY 1, 2)"
+FC = f"{FRAMES}, odd AS (SELECT f.* FROM frames f JOIN (SELECT event, cam FROM frames GROUP BY 1, 2 HAVING count(*) >= 44) USING (event, cam)), counts AS (SELECT e.event, c.cam, count(o.event) AS k FROM (SELECT DISTINCT event FROM odd) e CROSS JOIN (SELECT DISTINCT cam FROM odd) c LEFT JOIN odd o ON o.event = e.event AND o.cam = c.cam GROUP BY 1, 2)"
 
 
 def odd_frames(spark, sf) -> DataFrame:
-    return frames(spark, sf).where("not (event = 3 and cam = 'click')")
+    """Frames of cameras that ran: one with under 44 frames of an event has none."""
+    rows = frames(spark, sf)
+    return rows.join(rows.groupBy("event", "cam").agg(F.count("*").alias("_n")).where("_n >= 44").drop("_n"), ["event", "cam"], "left_semi")
 
 
 @BOOK.add("g5_event_frame_counts", f"WITH {FC} SELECT event, cam, nullif(k, 0) AS n FROM counts")
@@ -132,6 +134,49 @@ def _g8(spark, sf):
     return spurious_sessions(segments(spark, sf), "unit", 36, HOUR)
 
 
+def dropped_sessions(events: DataFrame, expected: DataFrame, keys: list[str], session: str, kind: str, least_length: int, least_apparatus: int = 5) -> DataFrame:
+    """(keys, session, rule): sessions that count as spurious, and the first rule that says so.
+
+    kind: `free` or `apparatus`, the channel of an event. 1: no free event, or one or
+    two that are all shorter than least_length. 2, where more than one session is left:
+    more than one free event but fewer than least_apparatus on the apparatus. 3, where
+    more than one is still left: not the only one with at least the expected events on
+    the apparatus (expected: keys, expected). Sessions are few rows, events are counted
+    before they meet.
+    """
+    length, free = F.col("stop") - F.col("start"), F.col(kind) == "free"
+    stats = events.groupBy(*keys, session).agg(F.count_if(free).alias("_f"), F.max(F.when(free, length)).alias("_longest"), F.count_if(~free).alias("_a")).join(expected, keys, "left")
+    one = (F.col("_f") == 0) | ((F.col("_f") <= 2) & (F.col("_longest") < least_length))
+    w = Window.partitionBy(*keys)
+    first = stats.withColumn("_1", one).withColumn("_left", F.count_if(~F.col("_1")).over(w))
+    second = first.withColumn("_2", (F.col("_left") > 1) & ~F.col("_1") & (F.col("_f") > 1) & (F.col("_a") < least_apparatus)).withColumn("_left", F.count_if(~F.col("_1") & ~F.col("_2")).over(w))
+    full = F.coalesce(F.col("_a") >= F.col("expected"), F.lit(False))
+    third = second.withColumn("_full", full).withColumn("_3", (F.col("_left") > 1) & (F.count_if("_full").over(w) == 1) & ~F.col("_full"))
+    return third.select(*keys, session, F.when(F.col("_1"), 1).when(F.col("_2"), 2).when(F.col("_3"), 3).alias("rule")).where("rule is not null")
+
+
+_KINDS = (
+    f"{EV}, kinds AS (SELECT user_id // 5 AS recording, user_id AS session, CASE WHEN event_type IN ('click', 'view') THEN 'free' ELSE 'apparatus' END AS kind, t, event_id FROM ev WHERE value > 60), "
+    f"mk AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY recording, session, kind ORDER BY t, event_id) <= {6 * HOUR} THEN 0 ELSE 1 END AS new FROM kinds), "
+    "sg AS (SELECT recording, session, kind, min(t) AS start, max(t) AS stop FROM (SELECT *, sum(new) OVER (PARTITION BY recording, session, kind ORDER BY t, event_id) AS g FROM mk) GROUP BY recording, session, kind, g)"
+)
+
+
+@BOOK.add(
+    "g8b_dropped_sessions",
+    f"WITH {_KINDS}, st AS (SELECT recording, session, count(*) FILTER (kind = 'free') AS f, max(stop - start) FILTER (kind = 'free') AS longest, count(*) FILTER (kind <> 'free') AS a FROM sg GROUP BY 1, 2), "
+    f"r1 AS (SELECT *, f = 0 OR (f <= 2 AND longest < {2 * HOUR}) AS one FROM st), r2 AS (SELECT *, NOT one AND f > 1 AND a < 14 AND count(*) FILTER (NOT one) OVER (PARTITION BY recording) > 1 AS two FROM r1), "
+    "r3 AS (SELECT *, a < 19 AND count(*) FILTER (NOT one AND NOT two) OVER (PARTITION BY recording) > 1 AND count(*) FILTER (a >= 19) OVER (PARTITION BY recording) = 1 AS three FROM r2) "
+    "SELECT recording, session, CASE WHEN one THEN 1 WHEN two THEN 2 ELSE 3 END AS rule FROM r3 WHERE one OR two OR three",
+)
+def _g8b(spark, sf):
+    kind = F.when(F.col("event_type").isin("click", "view"), "free").otherwise("apparatus")
+    rows = events(spark, sf).where("value > 60").select(F.expr("user_id div 5").alias("recording"), F.col("user_id").alias("session"), kind.alias("kind"), "t")
+    found = segment_events(rows, ["recording", "session", "kind"], "t", 6 * HOUR, CHUNK)
+    expected = found.select("recording").distinct().withColumn("expected", F.lit(19))
+    return dropped_sessions(found, expected, ["recording"], "session", "kind", 2 * HOUR, 14)
+
+
 def event_lengths(df: DataFrame, keys: list[str], number: str, time: str) -> DataFrame:
     """(keys, n, last_frame, length): length from the first to the last frame's time."""
     return df.groupBy(*keys).agg(F.count("*").alias("n"), F.max_by(number, time).alias("last_frame"), (F.max(time) - F.min(time)).alias("length"))
@@ -372,6 +417,31 @@ def _g20(spark, sf):
     return unit_spread(energy, "unit", "place", "e").select("unit", F.round("centre", 4).alias("centre"), F.round("spread", 4).alias("spread"))
 
 
+def good_units(energy: DataFrame, flagged: DataFrame, unit: str, x: str, y: str, value: str, most: float = 100.0, floor: float = 0.1) -> DataFrame:
+    """(unit, x, y, distance, good): centre of a unit's energy over places, mean distance from it weighted by energy, and whether that is below most and the unit is flagged; energy below floor of the unit's largest is zero."""
+    top = energy.groupBy(unit).agg(F.max(value).alias("_top"))
+    weighed = energy.join(top, unit).where(F.col(value) >= floor * F.col("_top"))
+    centre = weighed.groupBy(unit).agg(*((F.sum(F.col(c) * F.col(value)) / F.sum(value)).alias(f"_{k}") for k, c in (("x", x), ("y", y))))
+    far = F.sqrt((F.col(x) - F.col("_x")) ** 2 + (F.col(y) - F.col("_y")) ** 2)
+    spread = weighed.join(centre, unit).groupBy(unit, "_x", "_y").agg((F.sum(far * F.col(value)) / F.sum(value)).alias("distance"))
+    known = flagged.select(unit).distinct().withColumn("_flag", F.lit(True))
+    return spread.join(known, unit, "left").select(unit, F.col("_x").alias("x"), F.col("_y").alias("y"), "distance", (F.coalesce("_flag", F.lit(False)) & (F.col("distance") < most)).alias("good"))
+
+
+@BOOK.add(
+    "g20b_good_units",
+    f"WITH {SPIKES}, e AS (SELECT unit, (spike % 32) % 8 AS x, (spike % 32) // 8 AS y, sum(amplitude * amplitude) AS e FROM spikes GROUP BY ALL), w AS (SELECT * FROM (SELECT *, max(e) OVER (PARTITION BY unit) AS m FROM e) WHERE e >= 0.1 * m), "
+    "c AS (SELECT unit, sum(x * e) / sum(e) AS cx, sum(y * e) / sum(e) AS cy FROM w GROUP BY unit), d AS (SELECT w.unit, cx, cy, sum(sqrt(pow(x - cx, 2) + pow(y - cy, 2)) * e) / sum(e) AS d FROM w JOIN c USING (unit) GROUP BY ALL), f AS (SELECT unit FROM spikes GROUP BY unit HAVING count(*) >= 60) "
+    "SELECT unit, round(cx, 4) AS x, round(cy, 4) AS y, round(d, 4) AS distance, d < 2.3 AND unit IN (SELECT unit FROM f) AS good FROM d",
+)
+def _g20b(spark, sf):
+    rows = spikes(spark, sf)
+    place = F.col("spike") % 32
+    energy = rows.groupBy("unit", (place % 8).alias("x"), F.floor(place / 8).alias("y")).agg(F.sum(F.col("amplitude") * F.col("amplitude")).alias("e"))
+    flagged = rows.groupBy("unit").agg(F.count("*").alias("n")).where("n >= 60")
+    return good_units(energy, flagged, "unit", "x", "y", "e", 2.3).select("unit", *(F.round(c, 4).alias(c) for c in ("x", "y", "distance")), "good")
+
+
 def ks_normality(df: DataFrame, key: str, value: str) -> DataFrame:
     """(key, gap): the largest distance between a feature's empirical distribution and the normal one of its mean and deviation."""
     stats = df.groupBy(key).agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"), F.count("*").alias("_n"))
@@ -474,6 +544,23 @@ def _g26(spark, sf):
     return percent_tracked(pose(spark, sf), ["event", "marker"], F.col("ncams") >= 2, F.col("error") <= 40).withColumn("percent", F.round("percent", 4))
 
 
+def tracked_averages(df: DataFrame, part: str, trajectory: str, good: Column, found: Column) -> DataFrame:
+    """(level, key, percent): percent tracked of each part over its trajectories and of each trajectory over its parts, weighted by the number of matching rows."""
+    each = df.groupBy(part, trajectory).agg(F.count_if(good).alias("_r"), F.count_if(good & found).alias("_m")).where("_r > 0")
+    share = F.sum(100 * F.col("_m") / F.col("_r") * F.col("_m")) / F.when(F.sum("_m") > 0, F.sum("_m"))
+    levels = [each.groupBy(F.lit(name).alias("level"), F.col(c).cast("string").alias("key")).agg(share.alias("percent")) for name, c in (("part", part), ("trajectory", trajectory))]
+    return levels[0].unionByName(levels[1])
+
+
+@BOOK.add(
+    "g26b_tracked_averages",
+    f"WITH {POSE}, e AS (SELECT event, marker, count(*) FILTER (ncams >= 2) AS r, count(*) FILTER (ncams >= 2 AND error <= 40) AS m FROM pose GROUP BY 1, 2 HAVING count(*) FILTER (ncams >= 2) > 0) "
+    "SELECT 'part' AS level, marker AS key, round(sum(100.0 * m / r * m) / nullif(sum(m), 0), 4) AS percent FROM e GROUP BY marker UNION ALL SELECT 'trajectory', event::VARCHAR, round(sum(100.0 * m / r * m) / nullif(sum(m), 0), 4) FROM e GROUP BY event",
+)
+def _g26b(spark, sf):
+    return tracked_averages(pose(spark, sf), "marker", "event", F.col("ncams") >= 2, F.col("error") <= 40).withColumn("percent", F.round("percent", 4))
+
+
 def drift_histogram(df: DataFrame, batch: Column, depth: Column, amplitude: str, step: float = 0.25) -> DataFrame:
     """(batch, depth, level, weight): events per batch, depth and step of log10 amplitude, as log2(1 + n)."""
     level = F.floor(F.log10(amplitude) / step)
@@ -557,6 +644,34 @@ def _g29(spark, sf):
     return sessions_audit(event_frame_counts(odd_frames(spark, sf), "event", "cam"), "event")
 
 
+def series_audit(counts: DataFrame, series: DataFrame, dropped: DataFrame, dropouts: DataFrame, event: str, group: str) -> DataFrame:
+    """(event, timestamps, cams, match, dropped, dropouts): whether every camera has a frame for each timestamp of the event's series, its dropped frames, and the dropout intervals of its group that touch it.
+
+    counts: (event, cam, n); series: (event, group, timestamps, start, stop); dropped:
+    (event, dropped); dropouts: (group, start_time, stop_time), held against the events
+    of the group alone.
+    """
+    cams = counts.groupBy(event).agg(F.count("n").alias("cams"), F.min(F.coalesce("n", F.lit(0))).alias("_lo"), F.max(F.coalesce("n", F.lit(0))).alias("_hi"))
+    touched = series.select(event, group, "start", "stop").join(dropouts, group).where("start_time <= stop and stop_time >= start").groupBy(event).agg(F.count("*").alias("dropouts"))
+    rows = series.join(cams, event).join(dropped, event, "left").join(touched, event, "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+    return rows.select(event, "timestamps", "cams", ((F.col("_lo") == F.col("timestamps")) & (F.col("_hi") == F.col("timestamps"))).alias("match"), zero("dropped"), zero("dropouts"))
+
+
+@BOOK.add(
+    "g29b_series_audit",
+    f"WITH {GAPS}, {DROPOUT[len(EV) + 2:]}, s AS (SELECT event, max(frame_no) AS timestamps, min(t) AS start, max(t) AS stop FROM frames GROUP BY event), "
+    "c AS (SELECT event, count(DISTINCT cam) AS cams, min(n) AS lo, max(n) AS hi FROM (SELECT event, cam, count(*) AS n FROM frames GROUP BY 1, 2) GROUP BY event), g AS (SELECT event, sum(last_missing - first_missing + 1)::BIGINT AS dropped FROM gaps GROUP BY event), "
+    "d AS (SELECT event, count(*) AS dropouts FROM s JOIN dropout ON grp = event % 10 AND start_time <= stop AND stop_time >= start GROUP BY event) "
+    "SELECT s.event, timestamps, cams, lo = timestamps AND hi = timestamps AND cams = (SELECT count(DISTINCT cam) FROM frames) AS match, coalesce(dropped, 0) AS dropped, coalesce(dropouts, 0) AS dropouts FROM s JOIN c USING (event) LEFT JOIN g USING (event) LEFT JOIN d USING (event)",
+)
+def _g29b(spark, sf):
+    rows = frames(spark, sf)
+    series = rows.groupBy("event").agg(F.max("frame_no").alias("timestamps"), F.min("t").alias("start"), F.max("t").alias("stop")).withColumn("grp", F.col("event") % 10)
+    missing = frame_gaps(rows, "event", "cam", "frame_no", chunk=20).groupBy("event").agg(F.sum(F.col("last_missing") - F.col("first_missing") + 1).alias("dropped"))
+    return series_audit(event_frame_counts(rows, "event", "cam"), series, missing, dropouts(spark, sf).select("grp", "start_time", "stop_time"), "event", "grp")
+
+
 def percentile_bounds(df: DataFrame, keys: list[str], value: str, low: float, high: float) -> DataFrame:
     return df.groupBy(*keys).agg(F.percentile(value, F.array(F.lit(low), F.lit(high))).alias("_p")).select(*keys, F.get("_p", F.lit(0)).alias("low"), F.get("_p", F.lit(1)).alias("high"))
 
@@ -592,6 +707,24 @@ def _g32(spark, sf):
     return quality_gate(units, 1.0, 1.2).select("unit", "quality")
 
 
+def auto_labels(units: DataFrame, consensus: DataFrame, unit: str, most_isi: float, least_snr: float) -> DataFrame:
+    """(unit, quality) of the units that pass both gates: `good` if they are among the consensus units, else `mua`; others are left out."""
+    passed = units.where((F.col("isi_violation_rate") <= most_isi) & (F.col("snr") >= least_snr))
+    found = consensus.select(unit).distinct().withColumn("_c", F.lit(True))
+    return passed.join(found, unit, "left").select(unit, F.when(F.col("_c"), "good").otherwise("mua").alias("quality"))
+
+
+@BOOK.add(
+    "g32b_auto_labels",
+    f"WITH {_RATES}, m AS (SELECT unit, quantile_cont(amplitude, 0.5) AS m FROM spikes GROUP BY unit), d AS (SELECT unit, avg(abs(amplitude)) AS a, quantile_cont(abs(amplitude - m), 0.5) AS d FROM spikes JOIN m USING (unit) GROUP BY unit), c AS (SELECT unit FROM spikes GROUP BY unit HAVING count(*) >= 66) "
+    f"SELECT unit, CASE WHEN unit IN (SELECT unit FROM c) THEN 'good' ELSE 'mua' END AS quality FROM rates JOIN d USING (unit) WHERE (violations / (2.0 * n * {HOUR})) / (n / nullif(rates.d, 0)) <= 1.0 AND a / (nullif(d.d, 0) / 0.6745) >= 1.2",
+)
+def _g32b(spark, sf):
+    rows = spikes(spark, sf)
+    units = unit_rates(rows, ["unit"], "t", HOUR, CHUNK).join(snr(rows, ["unit"], "amplitude"), "unit")
+    return auto_labels(units, rows.groupBy("unit").agg(F.count("*").alias("n")).where("n >= 66"), "unit", 1.0, 1.2)
+
+
 def rms_noise(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """df with `scaled`: value over its channel's deviation, by one aggregate joined back, so a channel isn't one window."""
     sd = df.groupBy(*keys).agg(F.stddev_pop(value).alias("_s"))
@@ -603,10 +736,11 @@ def _g33(spark, sf):
     return rms_noise(signal(spark, sf), ["channel"], "v").select("channel", "i", F.round("scaled", 4).alias("scaled"))
 
 
-def count_mismatches(counts: DataFrame, pulses: DataFrame, event: str) -> DataFrame:
-    """Events whose camera counts and pulse count aren't all equal."""
+def count_mismatches(counts: DataFrame, pulses: DataFrame, event: str, free: Column | None = None) -> DataFrame:
+    """Events whose camera counts and pulse count aren't all equal; of free runs those whose cameras agree and have at least as many frames as pulses are fine. free: a condition on pulses' columns."""
     stats = counts.groupBy(event).agg(F.min(F.coalesce("n", F.lit(0))).alias("least"), F.max(F.coalesce("n", F.lit(0))).alias("most"))
-    return stats.join(pulses, event).where((F.col("least") != F.col("most")) | (F.col("pulses") != F.col("most")))
+    fine = F.lit(False) if free is None else F.coalesce(free, F.lit(False)) & (F.col("least") == F.col("most")) & (F.col("most") >= F.col("pulses"))
+    return stats.join(pulses, event).where(((F.col("least") != F.col("most")) | (F.col("pulses") != F.col("most"))) & ~fine)
 
 
 @BOOK.add("g34_count_mismatches", f"WITH {FC}, p AS (SELECT user_id // 4 AS event, count(*) AS pulses FROM ev GROUP BY 1) SELECT event, min(k) AS least, max(k) AS most, pulses FROM counts JOIN p USING (event) GROUP BY event, pulses HAVING min(k) <> max(k) OR pulses <> max(k)")
@@ -624,22 +758,33 @@ def _g35(spark, sf):
     return cluster_average(spikes(spark, sf), "unit", "amplitude").withColumn("mean", F.round("mean", 4))
 
 
-def triage_templates(similar: DataFrame, rates: DataFrame, key: str, least_n: int, most_similar: float) -> DataFrame:
-    """(key, n) of templates with at least least_n events that are not the rarer of a pair more similar than most_similar."""
+@BOOK.add(
+    "g34b_free_runs",
+    f"WITH {FRAMES}, c AS (SELECT event, cam, count(*) // 4 AS k FROM frames GROUP BY 1, 2), p AS (SELECT user_id // 4 AS event, count(*) // 24 AS pulses, avg(value) > 50 AS free FROM ev GROUP BY 1), s AS (SELECT event, min(k) AS least, max(k) AS most FROM c GROUP BY event) "
+    "SELECT event, least, most, pulses, free FROM s JOIN p USING (event) WHERE (least <> most OR pulses <> most) AND NOT (free AND least = most AND most >= pulses)",
+)
+def _g34b(spark, sf):
+    pulses = spikes(spark, sf).groupBy(F.expr("unit div 4").alias("event")).agg(F.expr("count(*) div 24").alias("pulses"), (F.avg("amplitude") > 50).alias("free"))
+    counts = event_frame_counts(frames(spark, sf), "event", "cam").withColumn("n", F.expr("n div 4"))
+    return count_mismatches(counts, pulses, "event", F.col("free"))
+
+
+def triage_templates(similar: DataFrame, rates: DataFrame, key: str, least_n: int, most_similar: float, spread: float) -> DataFrame:
+    """(key, n, amplitude) of templates with at least least_n events that are not the rarer of a pair more similar than most_similar whose amplitudes overlap: they are less than four spreads apart. rates: (key, n, amplitude)."""
     kept = rates.where(F.col("n") >= least_n)
-    n = lambda k, c: kept.select(F.col(key).alias(k), F.col("n").alias(c))
-    pairs = similar.where(F.col("similarity") > most_similar).join(n("a", "na"), "a").join(n("b", "nb"), "b")
-    rarer = pairs.select(F.when(F.struct("na", "a") < F.struct("nb", "b"), F.col("a")).otherwise(F.col("b")).alias(key))
-    return kept.join(rarer, key, "left_anti")
+    n = lambda k: kept.select(F.col(key).alias(k), F.col("n").alias(f"n{k}"), F.col("amplitude").alias(f"m{k}"))
+    pairs = similar.where(F.col("similarity") > most_similar).join(n("a"), "a").join(n("b"), "b").where((F.abs(F.col("ma") - F.col("mb")) < 4 * spread) & (F.col("na") != F.col("nb")))
+    return kept.join(pairs.select(F.when(F.col("na") < F.col("nb"), F.col("a")).otherwise(F.col("b")).alias(key)), key, "left_anti")
 
 
 @BOOK.add(
     "g36_triage_templates",
-    f"WITH {SIM}, n AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label HAVING count(*) >= 5) SELECT label, n FROM n WHERE label NOT IN (SELECT CASE WHEN (x.n, a) < (y.n, b) THEN a ELSE b END FROM sim JOIN n x ON x.label = a JOIN n y ON y.label = b WHERE similarity > 0.2)",
+    f"WITH {SIM}, n AS (SELECT label, count(*) AS n, avg(list_max(embedding)) AS amplitude FROM embeddings GROUP BY label HAVING count(*) >= 5) "
+    "SELECT label, n, round(amplitude, 5) AS amplitude FROM n WHERE label NOT IN (SELECT CASE WHEN x.n < y.n THEN a ELSE b END FROM sim JOIN n x ON x.label = a JOIN n y ON y.label = b WHERE similarity > 0.2 AND x.n <> y.n AND abs(x.amplitude - y.amplitude) < 4 * 0.002)",
 )
 def _g36(spark, sf):
-    sizes = spark.read.parquet(f"{sf}/embeddings.parquet").groupBy("label").agg(F.count("*").alias("n"))
-    return triage_templates(template_similarity(templates(spark, sf), "label", "embedding"), sizes, "label", 5, 0.2)
+    sizes = spark.read.parquet(f"{sf}/embeddings.parquet").groupBy("label").agg(F.count("*").alias("n"), F.avg(F.array_max("embedding")).alias("amplitude"))
+    return triage_templates(template_similarity(templates(spark, sf), "label", "embedding"), sizes, "label", 5, 0.2, 0.002).withColumn("amplitude", F.round("amplitude", 5))
 
 
 def cluster_summary(df: DataFrame, channel: str, cluster: str, time: str, refractory: int, width: int, bins: int) -> DataFrame:

@@ -47,27 +47,28 @@ def renumber_events(df: DataFrame, keys: list[str], number: str) -> DataFrame:
     return df.withColumn("renumbered", F.dense_rank().over(Window.partitionBy(*keys).orderBy(number)))
 
 
-@BOOK.add("i2_renumber_events", f"WITH {EVENTS} SELECT unit, event, dense_rank() OVER (PARTITION BY unit ORDER BY event)::INTEGER AS renumbered FROM segments WHERE event % 3 <> 0")
+@BOOK.add("i2_renumber_events", f"WITH {EVENTS} SELECT unit, event, dense_rank() OVER (PARTITION BY unit ORDER BY event)::INTEGER AS renumbered FROM segments WHERE n > 1")
 def _i2(spark, sf):
-    return renumber_events(segments(spark, sf).where("event % 3 <> 0").select("unit", "event"), ["unit"], "event")
+    return renumber_events(segments(spark, sf).where("n > 1").select("unit", "event"), ["unit"], "event")
 
 
-def drop_stray_events(counts: DataFrame, event: str, cam: str, few: int) -> DataFrame:
-    """counts without events behind the last that all cameras saw with equal counts, if one camera alone saw them in fewer than few frames."""
-    stats = counts.groupBy(event).agg(F.count("n").alias("cams"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("all"))
-    last = stats.agg(F.coalesce(F.max(F.when((F.col("cams") == F.col("all")) & (F.col("lo") == F.col("hi")), F.col(event))), F.lit(-1))).first()[0]
-    stray = stats.where((F.col(event) > last) & (F.col("cams") == 1) & (F.col("hi") < few))
-    return counts.join(stray.select(event), event, "left_anti")
+def drop_stray_events(counts: DataFrame, keys: list[str], event: str, cam: str, few: int) -> DataFrame:
+    """counts without events behind the last of their key that all cameras saw with equal counts, if one camera alone saw them in fewer than few frames."""
+    stats = counts.groupBy(*keys, event).agg(F.count("n").alias("_cams"), F.min("n").alias("_lo"), F.max("n").alias("_hi"), F.count("*").alias("_all"))
+    last = stats.where("_cams = _all and _lo = _hi").groupBy(*keys).agg(F.max(event).alias("_last"))
+    stray = stats.join(last, keys, "left").where((F.col("_last").isNull() | (F.col(event) > F.col("_last"))) & (F.col("_cams") == 1) & (F.col("_hi") < few))
+    return counts.join(stray.select(*keys, event), [*keys, event], "left_anti")
 
 
 @BOOK.add(
     "i3_drop_stray_events",
-    f"WITH {FC}, c AS (SELECT event, cam, CASE WHEN event >= 5 AND cam <> 'view' THEN NULL ELSE nullif(k, 0) END AS n FROM counts), s AS (SELECT event, count(n) AS cams, min(n) AS lo, max(n) AS hi, count(*) AS a FROM c GROUP BY event), "
-    "l AS (SELECT coalesce(max(event) FILTER (cams = a AND lo = hi), -1) AS l FROM s) SELECT * FROM c WHERE event NOT IN (SELECT event FROM s, l WHERE event > l AND cams = 1 AND hi < 12)",
+    f"WITH {FC}, c AS (SELECT event // 8 AS session, event, cam, CASE WHEN k >= 46 THEN k // 20 END AS n FROM counts), s AS (SELECT session, event, count(n) AS cams, min(n) AS lo, max(n) AS hi, count(*) AS a FROM c GROUP BY 1, 2), "
+    "l AS (SELECT session, max(event) AS l FROM s WHERE cams = a AND lo = hi GROUP BY session) SELECT session, event, cam, n FROM c WHERE event NOT IN (SELECT event FROM s LEFT JOIN l USING (session) WHERE (l IS NULL OR event > l) AND cams = 1 AND hi < 3)",
 )
 def _i3(spark, sf):
     counts = event_frame_counts(odd_frames(spark, sf), "event", "cam")
-    return drop_stray_events(counts.withColumn("n", F.when((F.col("event") >= 5) & (F.col("cam") != "view"), None).otherwise(F.col("n"))), "event", "cam", 12)
+    seen = counts.select(F.expr("event div 8").alias("session"), "event", "cam", F.expr("case when n >= 46 then n div 20 end").alias("n"))
+    return drop_stray_events(seen, ["session"], "event", "cam", 3)
 
 
 def adjustment_record(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:

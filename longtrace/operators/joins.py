@@ -121,9 +121,9 @@ def intact_electrodes(mapped: DataFrame, recorded: DataFrame, label: str) -> Dat
     return mapped.join(recorded.select(label).distinct().withColumn("_r", F.lit(True)), label, "left").withColumn("intact", F.col("_r").isNotNull()).drop("_r")
 
 
-@BOOK.add("f9_intact_electrodes", f"WITH {SPIKES}, {ELECTRODES} SELECT channel, label, channel IN (SELECT unit FROM spikes WHERE unit % 3 <> 0) AS intact FROM electrodes")
+@BOOK.add("f9_intact_electrodes", f"WITH {SPIKES}, {ELECTRODES} SELECT channel, label, channel IN (SELECT unit FROM spikes GROUP BY unit HAVING count(*) >= 66) AS intact FROM electrodes")
 def _f9(spark, sf):
-    recorded = spikes(spark, sf).where("unit % 3 <> 0").select(F.col("unit").alias("channel"))
+    recorded = spikes(spark, sf).groupBy(F.col("unit").alias("channel")).agg(F.count("*").alias("n")).where("n >= 66")
     return intact_electrodes(electrodes(spark, sf).select("channel", "label"), recorded, "channel").select("channel", "label", "intact")
 
 
@@ -257,23 +257,24 @@ def _f17(spark, sf):
     return agreement(spark, sf).select("pair", "matched", *(F.round(c, 5).alias(c) for c in ("miss", "false_positive", "score")))
 
 
-def correction_merge(labels: DataFrame, corrected: DataFrame, keys: list[str], least: float = 50.0) -> DataFrame:
-    """labels with corrected x and y where they moved and both exceed least; their likelihood becomes 1."""
+def correction_merge(labels: DataFrame, corrected: DataFrame, keys: list[str], least: float = 50.0, wrong_side: Column | None = None) -> DataFrame:
+    """labels with corrected x and y where they moved and both exceed least; their likelihood becomes 1. wrong_side: labels of one side that the camera of the other can't see, whose likelihood becomes 0 unless corrected."""
+    unseen = F.lit(False) if wrong_side is None else F.coalesce(wrong_side, F.lit(False))
     new = corrected.select(*keys, F.col("x").alias("_x"), F.col("y").alias("_y"))
     moved = F.coalesce((F.col("_x") > least) & (F.col("_y") > least) & ((F.col("_x") != F.col("x")) | (F.col("_y") != F.col("y"))), F.lit(False))
     swap = lambda a, b: F.when(moved, b).otherwise(a)
-    return labels.join(new, keys, "left").select(*keys, swap(F.col("x"), F.col("_x")).alias("x"), swap(F.col("y"), F.col("_y")).alias("y"), swap(F.col("likelihood"), F.lit(1.0)).alias("likelihood"))
+    return labels.join(new, keys, "left").select(*keys, swap(F.col("x"), F.col("_x")).alias("x"), swap(F.col("y"), F.col("_y")).alias("y"), swap(F.when(unseen, 0.0).otherwise(F.col("likelihood")), F.lit(1.0)).alias("likelihood"))
 
 
 @BOOK.add(
     "f20_correction_merge",
     f"WITH {POSE}, c AS (SELECT event, marker, frame, CASE WHEN frame % 6 = 0 THEN 0.0 ELSE x + frame % 2 END AS cx, y AS cy FROM pose WHERE frame % 3 = 0), m AS (SELECT p.*, cx, cy, coalesce(cx > 50 AND cy > 50 AND (cx <> x OR cy <> y), false) AS moved FROM pose p LEFT JOIN c USING (event, marker, frame)) "
-    "SELECT event, marker, frame, CASE WHEN moved THEN cx ELSE x END AS x, CASE WHEN moved THEN cy ELSE y END AS y, CASE WHEN moved THEN 1.0 ELSE score END::DOUBLE AS likelihood FROM m",
+    "SELECT event, marker, frame, CASE WHEN moved THEN cx ELSE x END AS x, CASE WHEN moved THEN cy ELSE y END AS y, CASE WHEN moved THEN 1.0 WHEN marker = 'view' AND ncams < 2 THEN 0.0 ELSE score END::DOUBLE AS likelihood FROM m",
 )
 def _f20(spark, sf):
     rows = pose(spark, sf).withColumnRenamed("score", "likelihood")
     corrected = rows.where("frame % 3 = 0").select("event", "marker", "frame", F.when(F.col("frame") % 6 == 0, 0.0).otherwise(F.col("x") + F.col("frame") % 2).alias("x"), "y")
-    return correction_merge(rows, corrected, ["event", "marker", "frame"])
+    return correction_merge(rows, corrected, ["event", "marker", "frame"], wrong_side=(F.col("marker") == "view") & (F.col("ncams") < 2))
 
 
 def insert_manual_labels(predicted: DataFrame, manual: DataFrame, keys: list[str]) -> DataFrame:

@@ -67,10 +67,10 @@ def swap_banks(df: DataFrame, channel: str, size: int = 32) -> DataFrame:
 
 @BOOK.add(
     "c4_swap_banks",
-    f"WITH {ELECTRODES} SELECT channel, row_number() OVER (ORDER BY CASE (channel - 1) // 32 WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE (channel - 1) // 32 END, channel)::INTEGER AS position FROM electrodes WHERE channel <= 96 AND channel % 11 <> 0",
+    f"WITH {ELECTRODES} SELECT channel, row_number() OVER (ORDER BY CASE (channel - 1) // 32 WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE (channel - 1) // 32 END, channel)::INTEGER AS position FROM electrodes WHERE channel BETWEEN 1 AND 96 AND imp > -900",
 )
 def _c4(spark, sf):
-    return swap_banks(electrodes(spark, sf).where("channel <= 96 and channel % 11 <> 0").select("channel"), "channel")
+    return swap_banks(electrodes(spark, sf).where("channel between 1 and 96 and imp > -900").select("channel"), "channel")
 
 
 def missing_channels(df: DataFrame, channel: str, first: int = 1, last: int = 96) -> DataFrame:
@@ -79,9 +79,9 @@ def missing_channels(df: DataFrame, channel: str, first: int = 1, last: int = 96
     return whole.join(df.select(channel), channel, "left_anti")
 
 
-@BOOK.add("c5_missing_channels", f"WITH {ELECTRODES} SELECT c.channel FROM (SELECT unnest(range(1, 97)) AS channel) c WHERE c.channel NOT IN (SELECT channel FROM electrodes WHERE channel % 7 <> 0)")
+@BOOK.add("c5_missing_channels", f"WITH {ELECTRODES} SELECT c.channel FROM (SELECT unnest(range(1, 97)) AS channel) c WHERE c.channel NOT IN (SELECT channel FROM electrodes WHERE imp > 0)")
 def _c5(spark, sf):
-    return missing_channels(electrodes(spark, sf).where("channel % 7 <> 0"), "channel")
+    return missing_channels(electrodes(spark, sf).where("imp > 0"), "channel")
 
 
 def rotate_electrodes(x: Column, y: Column, corner: tuple[int, int] = (0, 9), spacing: tuple[int, int] = (400, 400)) -> tuple[Column, Column]:

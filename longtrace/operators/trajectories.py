@@ -213,23 +213,54 @@ blips AS (SELECT n.*, a.y AS before, b.y AS after FROM nul n JOIN q a ON a.event
 stats AS (SELECT b.event, b.marker, first, last, before, after, avg(abs(raw - (before + (after - before) * (frame - first + 1) / (last - first + 2)))) AS deviation, max(abs(raw - (before + (after - before) * (frame - first + 1) / (last - first + 2)))) AS peak, avg(error) AS mean_error, count(error) / count(*) AS tracked FROM blips b JOIN q ON q.event = b.event AND q.marker = b.marker AND q.frame BETWEEN first AND last GROUP BY ALL)"""
 
 
-def fill_blips(df: DataFrame, keys: list[str], frame: str, value: str, raw: str, error: str, longest: int, deviation: float, peak: float, high_error: float) -> DataFrame:
-    """(keys, frame, filled): short NULL runs on the straight line if their raw values stray far from it (over 2 * deviation, or deviation with a peak) at a high error or tracked less than half the time; others stay NULL."""
+def widened(df: DataFrame, found: DataFrame, keys: list[str], frame: str, error: str, before: int, after: int = 20, chunk: int = 1 << 12) -> DataFrame:
+    """found with from_ and to: the last frame, of those up to `before` frames ahead of the blip, whose error is below the smallest multiple of the key's median that any of them is below, and the first such frame of `after` behind it; the blip's own neighbours where none has an error."""
+    mid = df.groupBy(*keys).agg(F.percentile(error, F.lit(0.5)).alias("_m"))
+    rows = df.select(*keys, F.col(frame).alias("_f"), F.col(error).alias("_e")).where("_e is not null").join(mid, keys).where("_m > 0")
+    rows = rows.select(*keys, "_f", (F.floor(F.col("_e") / F.col("_m")) + 1).alias("_x"))
+    ranges = {"from_": (F.col("first") - 1 - before, F.col("first") - 1, F.struct(-F.col("_x"), F.col("_f"))), "to": (F.col("last") + 2, F.col("last") + 2 + after, F.struct(-F.col("_x"), -F.col("_f")))}
+    out = found
+    for name, (low, high, order) in ranges.items():
+        windows = found.select(*keys, "first", "last").withColumn("_low", low).withColumn("_high", high)
+        best = band_join(rows, windows, keys, "_f", "_low", "_high", chunk).groupBy(*keys, "first", "last").agg(F.max_by("_f", order).alias(name))
+        out = out.join(best, [*keys, "first", "last"], "left")
+    return out.withColumn("from_", F.coalesce("from_", F.col("first") - 1)).withColumn("to", F.coalesce(F.col("to") - 1, F.col("last") + 1))
+
+
+def fill_blips(df: DataFrame, keys: list[str], frame: str, value: str, raw: str, error: str, longest: int, deviation: float, peak: float, high_error: float, window: int = 20, manual: DataFrame | None = None) -> DataFrame:
+    """(keys, frame, filled): short NULL runs whose raw values stray far from the straight line (over 2 * deviation, or deviation with a peak) at a high error or tracked less than half the time are filled, others stay NULL.
+
+    The line goes between the raw values of calm frames around (widened), over all
+    between; of overlapping lines the later blip's counts. manual: (keys, first, last)
+    slices that follow their line whatever they hold, over what was found.
+    """
     stats = blip_stats(df, blips(df, keys, frame, value, longest), keys, frame, raw, error)
     far = (F.col("deviation") > 2 * deviation) | ((F.col("deviation") > deviation) & (F.col("peak") > peak))
     bad = stats.where(far & ((F.col("tracked") < 0.5) | (F.col("mean_error") > high_error)))
-    spread = bad.select(*keys, F.explode(F.sequence("first", "last")).alias(frame), "before", "after", "first", "last")
-    line = F.col("before") + (F.col("after") - F.col("before")) * (F.col(frame) - F.col("first") + 1) / (F.col("last") - F.col("first") + 2)
-    return df.join(spread, [*keys, frame], "left").select(*keys, frame, F.coalesce(F.col(value), line).alias("filled"))
+    wide = widened(df, bad.select(*keys, "first", "last"), keys, frame, error, window)
+    slices = wide.select(*keys, F.col("from_").alias("first"), F.col("to").alias("last"), F.col("first").alias("_by"))
+    if manual is not None:
+        slices = slices.unionByName(manual.select(*keys, F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), F.lit(1 << 62).alias("_by")))
+    lined = on_lines(df.select(*keys, frame, value, raw), slices, keys, frame, [raw], "_by")
+    return lined.select(*keys, frame, F.coalesce(f"line_{raw}", value).alias("filled"))
+
+
+_WIDE = (
+    "bad AS (SELECT * FROM stats WHERE (deviation > 30 OR (deviation > 15 AND peak > 26)) AND (tracked < 0.5 OR mean_error > 40)), em AS (SELECT event, marker, quantile_cont(error, 0.5) AS m FROM q GROUP BY 1, 2), "
+    "ex AS (SELECT q.event, q.marker, frame, floor(error / m) + 1 AS x FROM q JOIN em USING (event, marker) WHERE error IS NOT NULL AND m > 0), "
+    "wa AS (SELECT b.event, b.marker, first, arg_max(frame, (-x, frame)) AS a FROM bad b JOIN ex e ON e.event = b.event AND e.marker = b.marker AND frame BETWEEN first - 5 AND first - 1 GROUP BY ALL), "
+    "wb AS (SELECT b.event, b.marker, first, arg_max(frame, (-x, -frame)) AS b FROM bad b JOIN ex e ON e.event = b.event AND e.marker = b.marker AND frame BETWEEN last + 2 AND last + 22 GROUP BY ALL), "
+    "sl AS (SELECT bad.event, bad.marker, coalesce(a, bad.first - 1) AS s, coalesce(b - 1, last + 1) AS t, bad.first AS by_ FROM bad LEFT JOIN wa ON wa.event = bad.event AND wa.marker = bad.marker AND wa.first = bad.first LEFT JOIN wb ON wb.event = bad.event AND wb.marker = bad.marker AND wb.first = bad.first "
+    "UNION ALL SELECT event, marker, min(frame), min(frame) + 3, 4611686018427387904 FROM pose WHERE x > 95 GROUP BY event, marker), "
+    "ln AS (SELECT q.event, q.marker, q.frame, arg_max(u.raw + (v.raw - u.raw) * CASE WHEN t > s THEN (q.frame - s) / (t - s) ELSE 0 END, (by_, s)) AS line FROM sl JOIN q u ON u.event = sl.event AND u.marker = sl.marker AND u.frame = s JOIN q v ON v.event = sl.event AND v.marker = sl.marker AND v.frame = t JOIN q ON q.event = sl.event AND q.marker = sl.marker AND q.frame BETWEEN s AND t GROUP BY ALL)"
+)
 
 
-@BOOK.add(
-    "d17_fill_blips",
-    f"WITH {BLIP}, bad AS (SELECT * FROM stats WHERE (deviation > 30 OR (deviation > 15 AND peak > 26)) AND (tracked < 0.5 OR mean_error > 40)) "
-    "SELECT q.event, q.marker, q.frame, round(coalesce(y, before + (after - before) * (frame - first + 1) / (last - first + 2)), 4) AS filled FROM q LEFT JOIN bad b ON q.event = b.event AND q.marker = b.marker AND q.frame BETWEEN first AND last",
-)
+@BOOK.add("d17_fill_blips", f"WITH {BLIP}, {_WIDE} SELECT q.event, q.marker, q.frame, round(coalesce(line, y), 4) AS filled FROM q LEFT JOIN ln ON ln.event = q.event AND ln.marker = q.marker AND ln.frame = q.frame")
 def _d17(spark, sf):
-    return fill_blips(checked(spark, sf), KEYS, "frame", "y", "raw", "error", 6, 15, 26, 40).withColumn("filled", F.round("filled", 4))
+    # slices given by hand: four frames from a key's first very high x on
+    manual = pose(spark, sf).where("x > 95").groupBy(*KEYS).agg(F.min("frame").alias("first")).withColumn("last", F.col("first") + 3)
+    return fill_blips(checked(spark, sf), KEYS, "frame", "y", "raw", "error", 6, 15, 26, 40, window=4, manual=manual).withColumn("filled", F.round("filled", 4))
 
 
 def merge_jumpy_blips(found: DataFrame, keys: list[str], jump: float, near: int) -> DataFrame:
@@ -266,22 +297,30 @@ def _d19(spark, sf):
     return retain_good_paths(checked(spark, sf), KEYS, "frame", "y", "raw", "error", 6, 20, 60)
 
 
-def trim_tail(df: DataFrame, keys: list[str], frame: str, same: Column, least: float) -> DataFrame:
-    """df without the frames from the first on from which fewer than `least`, and than `least` of the best, of the frames to the end are unchanged."""
-    w = Window.partitionBy(*keys).orderBy(frame)
-    share = F.avg(same.cast("double")).over(w.rowsBetween(0, DOWN))
-    rows = df.withColumn("_s", share).withColumn("_m", F.max("_s").over(Window.partitionBy(*keys)))
-    cut = F.min(F.when((F.col("_s") < least) & (F.col("_s") < least * F.col("_m")), F.col(frame))).over(Window.partitionBy(*keys))
-    return rows.withColumn("_c", cut).where(F.col("_c").isNull() | (F.col(frame) < F.col("_c"))).drop("_s", "_m", "_c")
-
+def trim_tail(df: DataFrame, keys: list[str], frame: str, same: Column, known: Column, least: float = 0.25, timeout: int = 0, width: int = 101, margin: int = 100, manual: DataFrame | None = None, chunk: int = 1 << 16) -> DataFrame:
+    """df with `kept`: whether a frame stays before the cut and outside the slices given by hand.
 
-@BOOK.add(
-    "d20_trim_tail",
-    f"WITH {POSE}, s AS (SELECT *, avg((error <= 40)::INT) OVER (PARTITION BY event, marker ORDER BY frame ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS s FROM pose), m AS (SELECT *, max(s) OVER (PARTITION BY event, marker) AS m FROM s), "
-    "c AS (SELECT *, min(CASE WHEN s < 0.45 AND s < 0.45 * m THEN frame END) OVER (PARTITION BY event, marker) AS c FROM m) SELECT event, marker, frame FROM c WHERE c IS NULL OR frame < c",
-)
-def _d20(spark, sf):
-    return trim_tail(pose(spark, sf), KEYS, "frame", F.col("error") <= 40, 0.45).select(*KEYS, "frame")
+    The end counts as the frame `timeout` frames before the key's end, or its last known
+    frame if that is sooner. The share of unchanged frames (same) from a frame up to the
+    end is smoothed by a local cubic over width frames; the cut is at the first frame
+    whose share is below least and below least of the largest, the first and last margin
+    frames left out of that. manual: (keys, first, last). frame counts from 0 without gaps.
+    """
+    ends = df.groupBy(*keys).agg(F.max(frame).alias("_hi"), F.max(F.when(known, F.col(frame))).alias("_known"), F.count_if(same).alias("_all"))
+    ends = ends.withColumn("_end", F.least(F.col("_hi") + 1 - timeout, F.col("_known")))
+    rows = df.select(*keys, frame, same.cast("long").alias("_same")).join(ends.select(*keys, "_end"), keys).where(F.col(frame) < F.col("_end"))
+    whole = rows.groupBy(*keys).agg(F.sum("_same").alias("_whole"))
+    running_ = carried(rows, keys, frame, chunk, total={"_sum": F.col("_same")}).join(whole, keys)
+    share = running_.select(*keys, frame, "_end", ((F.col("_whole") - F.col("_sum") + F.col("_same")) / (F.col("_end") - F.col(frame))).alias("_share"))
+    smooth = savgol_smooth(share, keys, frame, "_share", width, chunk=chunk).join(ends.select(*keys, "_end"), keys)
+    best = smooth.where((F.col(frame) >= margin) & (F.col(frame) < F.col("_end") - margin)).groupBy(*keys).agg(F.max("smooth").alias("_best"))
+    cut = smooth.join(best, keys).where((F.col("smooth") < least) & (F.col("smooth") < least * F.col("_best"))).groupBy(*keys).agg(F.min(frame).alias("_cut"))
+    told = df.join(cut, keys, "left")
+    kept = F.col("_cut").isNull() | (F.col(frame) < F.col("_cut"))
+    if manual is None:
+        return told.withColumn("kept", kept).drop("_cut")
+    out = manual.select(*keys, F.explode(F.sequence("first", "last")).alias(frame)).distinct().withColumn("_out", F.lit(True))
+    return told.join(out, [*keys, frame], "left").withColumn("kept", kept & F.col("_out").isNull()).drop("_cut", "_out")
 
 
 def savgol_fit(width: int, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -331,6 +370,19 @@ def _d24(spark, sf):
     return savgol_smooth(pose(spark, sf), KEYS, "frame", "y", 7, chunk=32).withColumn("smooth", F.round("smooth", 6))
 
 
+@BOOK.add(
+    "d20_trim_tail",
+    f"WITH {POSE}, e AS (SELECT event, marker, least(max(frame) + 1 - 3, max(frame) FILTER (ncams >= 1)) AS e FROM pose GROUP BY 1, 2), r AS (SELECT p.event, p.marker, frame, e, avg((error <= 40)::INT) OVER (PARTITION BY p.event, p.marker ORDER BY frame ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share FROM pose p JOIN e ON e.event = p.event AND e.marker = p.marker WHERE frame < e), "
+    f"sm AS ({savgol_sql('r', 'share', 7)}), b AS (SELECT sm.event, sm.marker, max(smooth) AS best FROM sm JOIN e USING (event, marker) WHERE frame >= 4 AND frame < e - 4 GROUP BY 1, 2), c AS (SELECT event, marker, min(frame) AS cut FROM sm JOIN b USING (event, marker) WHERE smooth < 0.45 AND smooth < 0.45 * best GROUP BY 1, 2), "
+    "m AS (SELECT event, marker, min(frame) AS f FROM pose WHERE x > 95 GROUP BY 1, 2) "
+    "SELECT p.event, p.marker, p.frame, (cut IS NULL OR p.frame < cut) AND (f IS NULL OR p.frame NOT BETWEEN f AND f + 2) AS kept FROM pose p LEFT JOIN c ON c.event = p.event AND c.marker = p.marker LEFT JOIN m ON m.event = p.event AND m.marker = p.marker",
+)
+def _d20(spark, sf):
+    rows = pose(spark, sf)
+    manual = rows.where("x > 95").groupBy(*KEYS).agg(F.min("frame").alias("first")).withColumn("last", F.col("first") + 2)
+    return trim_tail(rows, KEYS, "frame", F.col("error") <= 40, F.col("ncams") >= 1, 0.45, 3, 7, 4, manual, 64).select(*KEYS, "frame", "kept")
+
+
 def reach_segments(df: DataFrame, keys: list[str], frame: str, value: str, velocity: str, level: float, fast: float, height: float, chunk: int = 1 << 16, open_ends: bool = False) -> DataFrame:
     """(keys, start, stop, peaks): start is the last speed rise at or before a value rise, stop the first speed fall at or after the value's next fall; kept if a value peak lies in [start, stop).
 
@@ -476,20 +528,48 @@ def _d35(spark, sf):
     return edge_jump_trim(checked(spark, sf).select(*KEYS, "frame", "y"), KEYS, "frame", "y", 2, 1.7).select(*KEYS, "frame", "trimmed")
 
 
-def brief_jump_filter(df: DataFrame, keys: list[str], frame: str, value: str, least: float, factor: float, reach: int = 3) -> DataFrame:
-    """df with `calm`: NULL where the step from the row before exceeds least and factor times the median of the steps around."""
-    w = Window.partitionBy(*keys).orderBy(frame)
-    steps = df.withColumn("_d", F.abs(F.col(value) - F.lag(value).over(w)))
-    mid = F.percentile("_d", F.lit(0.5)).over(w.rowsBetween(-reach, reach))
-    return steps.withColumn("calm", F.when((F.col("_d") > least) & (F.col("_d") > factor * mid), None).otherwise(F.col(value))).drop("_d")
+def fill_gaps(df: DataFrame, keys: list[str], frame: str, value: str, longest: int, chunk: int = 1 << 16) -> DataFrame:
+    """df with `filled`: NULL runs between two values less than `longest` frames apart on the straight line between them, longer ones NULL."""
+    known = F.when(F.col(value).isNotNull(), F.struct(F.col(frame).alias("f"), F.col(value).alias("x")))
+    rows = carried(df, keys, frame, chunk, before={"_b": known}, after={"_a": known})
+    apart = F.col("_a.f") - F.col("_b.f")
+    line = F.col("_b.x") + (F.col("_a.x") - F.col("_b.x")) * (F.col(frame) - F.col("_b.f")) / F.when(apart > 0, apart)
+    return rows.withColumn("filled", F.coalesce(F.col(value), F.when(apart < longest, line))).drop("_a", "_b")
+
+
+def brief_jump_filter(df: DataFrame, keys: list[str], frame: str, value: str, least: float, factor: float, reach: int = 3, near: int = 3, chunk: int = 1 << 16) -> DataFrame:
+    """df with `calm`: NULL where the step to the next row exceeds least and factor times the median of the steps around, and, where two such frames are at most near apart, between them and as far again behind the second."""
+    steps = carried(df, keys, frame, chunk, lead={"_n": F.col(value)}).withColumn("_d", F.abs(F.col("_n") - F.col(value)))
+    spread = steps.withColumn("_chunk", F.explode(F.sequence(F.floor((F.col(frame) - reach) / chunk), F.floor((F.col(frame) + reach) / chunk))))
+    w = Window.partitionBy(*keys, "_chunk").orderBy(frame).rowsBetween(-reach, reach)
+    rows = spread.withColumn("_mid", F.percentile("_d", F.lit(0.5)).over(w)).where(F.floor(F.col(frame) / chunk) == F.col("_chunk")).drop("_chunk")
+    jump = rows.withColumn("_jump", F.coalesce((F.col("_d") > least) & (F.col("_d") > factor * F.col("_mid")), F.lit(False)))
+    at = carried(jump.where("_jump").select(*keys, frame), keys, frame, chunk, lead={"_to": F.col(frame)})
+    pairs = at.where(F.col("_to") - F.col(frame) <= near).select(*keys, F.explode(F.sequence(F.col(frame), 2 * F.col("_to") - F.col(frame) - 1)).alias(frame)).distinct()
+    gone = jump.join(pairs.withColumn("_more", F.lit(True)), [*keys, frame], "left")
+    return gone.withColumn("calm", F.when(F.col("_jump") | F.col("_more").isNotNull(), None).otherwise(F.col(value))).select(*df.columns, "calm")
+
+
+_BRIEF = (
+    f"{POSE}, s AS (SELECT *, abs(lead(y) OVER (PARTITION BY event, marker ORDER BY frame) - y) AS d FROM pose), m AS (SELECT *, quantile_cont(d, 0.5) OVER (PARTITION BY event, marker ORDER BY frame ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS m FROM s), j AS (SELECT event, marker, frame FROM m WHERE d > 0.75 AND d > 2.6 * m), "
+    "n AS (SELECT event, marker, frame, lead(frame) OVER (PARTITION BY event, marker ORDER BY frame) AS t FROM j), x AS (SELECT event, marker, frame FROM j UNION SELECT event, marker, unnest(range(frame, 2 * t - frame)) FROM n WHERE t - frame <= 3), "
+    "c AS (SELECT p.event, p.marker, p.frame, CASE WHEN x.frame IS NULL THEN y END AS calm FROM pose p LEFT JOIN x ON x.event = p.event AND x.marker = p.marker AND x.frame = p.frame)"
+)
+_GAP = (
+    "k AS (SELECT *, last_value(CASE WHEN calm IS NOT NULL THEN frame END IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS bf, last_value(calm IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS bx, first_value(CASE WHEN calm IS NOT NULL THEN frame END IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS af, "
+    "first_value(calm IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ax FROM c WINDOW w AS (PARTITION BY event, marker ORDER BY frame))"
+)
 
 
-@BOOK.add(
-    "d36_brief_jump_filter",
-    f"WITH {POSE}, s AS (SELECT *, abs(y - lag(y) OVER (PARTITION BY event, marker ORDER BY frame)) AS d FROM pose), m AS (SELECT *, quantile_cont(d, 0.5) OVER (PARTITION BY event, marker ORDER BY frame ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS m FROM s) SELECT event, marker, frame, CASE WHEN d > 0.75 AND d > 1.9 * m THEN NULL ELSE y END AS calm FROM m",
-)
+@BOOK.add("d36_brief_jump_filter", f"WITH {_BRIEF} SELECT * FROM c")
 def _d36(spark, sf):
-    return brief_jump_filter(pose(spark, sf), KEYS, "frame", "y", 0.75, 1.9).select(*KEYS, "frame", "calm")
+    return brief_jump_filter(pose(spark, sf), KEYS, "frame", "y", 0.75, 2.6, chunk=64).select(*KEYS, "frame", "calm")
+
+
+@BOOK.add("d36b_gaps_filled", f"WITH {_BRIEF}, {_GAP} SELECT event, marker, frame, round(coalesce(calm, CASE WHEN af - bf < 4 THEN bx + (ax - bx) * (frame - bf) / (af - bf) END), 5) AS filled FROM k")
+def _d36b(spark, sf):
+    calm = brief_jump_filter(pose(spark, sf), KEYS, "frame", "y", 0.75, 2.6, chunk=64).select(*KEYS, "frame", "calm")
+    return fill_gaps(calm, KEYS, "frame", "calm", 4, 64).select(*KEYS, "frame", F.round("filled", 5).alias("filled"))
 
 
 def prob_edge_trim(df: DataFrame, keys: list[str], frame: str, score: str, least: float, width: int = 5) -> DataFrame:

@@ -132,6 +132,32 @@ def _k4(spark, sf):
     return interp_snippet(snips(spark, sf), ["channel", "at"], "snippet", 8, 4).withColumn("low", F.round("low", 5))
 
 
+def recentred(df: DataFrame, keys: list[str], snippet: str, length: int, factor: int, centre: int, reach: int, before: int, after: int) -> DataFrame:
+    """(keys, snippet): before items up to, and after items from, the least item of the cubic spline within reach of centre, taken from the spline at the snippet's own step; snippets that don't reach so far are left out."""
+    m = spline_matrix(length, factor)
+    fields = [*(df.schema[k] for k in keys), T.StructField("snippet", T.ArrayType(T.DoubleType()))]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            fine = np.stack(pdf[snippet].to_list()) @ m.T
+            first = max(0, (centre - reach) * factor)
+            low = first + fine[:, first : (centre + reach) * factor + 1].argmin(1)
+            at = low[:, None] + factor * np.arange(-before, after)
+            ok = (at[:, 0] >= 0) & (at[:, -1] < fine.shape[1])
+            yield pdf.loc[ok, keys].assign(snippet=list(np.take_along_axis(fine[ok], at[ok], 1)))
+
+    return df.select(*keys, snippet).mapInPandas(run, T.StructType(fields))
+
+
+@BOOK.add("k4b_recentred_snippet")
+def _k4b(spark, sf):
+    found = recentred(snips(spark, sf), ["channel", "at"], "snippet", 8, 4, 3, 2, 2, 3)
+    return found.select("channel", "at", F.transform("snippet", lambda x: F.round(x, 5)).alias("snippet"))
+
+
+
 def haar_features(vector: Column, length: int, levels: int) -> Column:
     """Haar coefficients: differences of every level, finest first, then the last averages; length is divisible by 2 ** levels."""
     now, out = vector, []
