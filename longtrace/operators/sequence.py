@@ -11,7 +11,6 @@ from longtrace.plans.standins import FRAMES, HOUR, POSE, SIGNAL, SPIKES, Book, f
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
-UP = Window.unboundedPreceding
 #: Chunks of the queries on event times: the stand-in's units have a few events a day.
 CHUNK = 240 * HOUR
 
@@ -434,10 +433,10 @@ def reach_manual_clip(reaches: DataFrame, ranges: DataFrame, keys: list[str]) ->
     return touched.select(*keys, F.greatest("start", "_lo").alias("start"), F.least("stop", "_hi").alias("stop"))
 
 
-@BOOK.add("d32_reach_manual_clip", f"WITH {REACH} SELECT event, marker, greatest(start, 3) AS start, least(stop, 30) AS stop FROM reaches WHERE event % 2 = 0 AND start <= 30 AND stop >= 3")
+@BOOK.add("d32_reach_manual_clip", f"WITH {REACH} SELECT event, marker, greatest(start, 3) AS start, least(stop, 30) AS stop FROM reaches WHERE start <= 30 AND stop >= 3")
 def _d32(spark, sf):
     found = _d29(spark, sf)
-    ranges = found.where("event % 2 = 0").select("event", "marker", F.lit(3).cast("long").alias("start"), F.lit(30).cast("long").alias("stop")).distinct()
+    ranges = found.select("event", "marker", F.lit(3).cast("long").alias("start"), F.lit(30).cast("long").alias("stop")).distinct()
     return reach_manual_clip(found, ranges, ["event", "marker"])
 
 

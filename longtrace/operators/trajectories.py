@@ -22,7 +22,6 @@ from longtrace.plans.standins import FRAMES, POSE, Book, frames, pose
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
-UP, DOWN = Window.unboundedPreceding, Window.unboundedFollowing
 KEYS = ["event", "marker"]
 
 
@@ -446,6 +445,30 @@ def _d28b(spark, sf):
     return reach_segments(moving(spark, sf), KEYS, "frame", "y", "s", 60, 15, 70, chunk=64, open_ends=True)
 
 
+def clip_reaches(reaches: DataFrame, ranges: DataFrame, tops: DataFrame, keys: list[str], frame: str, chunk: int = 1 << 12) -> DataFrame:
+    """(keys, start, stop, peaks): reaches (keys, start, stop) that touch a range given by hand, clipped to it, with the peaks (tops: keys, frame) in [start, stop) of what is left; reaches without a peak go."""
+    touched = ranges.select(*keys, F.col("start").alias("_lo"), F.col("stop").alias("_hi"))
+    both = reaches.select(*keys, "start", "stop").join(touched, keys).where("start <= _hi and stop >= _lo")
+    cut = both.select(*keys, F.greatest("start", "_lo").alias("start"), F.least("stop", "_hi").alias("stop")).distinct()
+    held = band_join(tops.select(*keys, F.col(frame).alias("_p")), cut.withColumn("_end", F.col("stop") - 1).where("_end >= start"), keys, "_p", "start", "_end", chunk)
+    return held.groupBy(*keys, "start", "stop").agg(F.array_sort(F.collect_set("_p")).alias("peaks"))
+
+
+@BOOK.add(
+    "d32b_clipped_peaks",
+    f"WITH {_CROSSED}, d AS (SELECT event, marker, frame, (SELECT min(b.frame) FROM vc b WHERE b.event = a.event AND b.marker = a.marker AND b.way = -1 AND b.frame > a.frame) AS down FROM vc a WHERE way = 1), "
+    "r0 AS (SELECT event, marker, (SELECT max(frame) FROM sc WHERE sc.event = d.event AND sc.marker = d.marker AND sc.way = 1 AND sc.frame <= d.frame) AS start, (SELECT min(frame) FROM sc WHERE sc.event = d.event AND sc.marker = d.marker AND sc.way = -1 AND sc.frame >= d.down) AS stop FROM d), "
+    "h AS (SELECT DISTINCT r.event, r.marker, start, stop FROM r0 r JOIN tops t ON t.event = r.event AND t.marker = r.marker AND p >= start AND p < stop), g AS (SELECT event, marker, min(frame) AS lo, min(frame) + 12 AS hi FROM pose WHERE x > 80 GROUP BY 1, 2), "
+    "r AS (SELECT h.event, h.marker, greatest(start, lo) AS start, least(stop, hi) AS stop FROM h JOIN g ON g.event = h.event AND g.marker = h.marker WHERE start <= hi AND stop >= lo) "
+    + _HELD,
+)
+def _d32b(spark, sf):
+    rows = moving(spark, sf)
+    reaches = reach_segments(rows, KEYS, "frame", "y", "s", 60, 15, 70, chunk=64)
+    ranges = rows.where("x > 80").groupBy(*KEYS).agg(F.min("frame").alias("start")).withColumn("stop", F.col("start") + 12)
+    return clip_reaches(reaches, ranges, peaks.local_maxima(rows, KEYS, "frame", "y", 70, 64), KEYS, "frame")
+
+
 def velocity_extrema(df: DataFrame, keys: list[str], frame: str, velocity: str, order: int, chunk: int = 1 << 16) -> DataFrame:
     """(keys, frame, v): frames whose velocity is above, or below, all others within order frames."""
     spread = df.select(*keys, frame, F.col(velocity).alias("v")).where("v is not null").withColumn("_chunk", F.explode(F.sequence(F.floor((F.col(frame) - order) / chunk), F.floor((F.col(frame) + order) / chunk))))
@@ -509,14 +532,13 @@ def _d34(spark, sf):
     return velocity_jump_filter(rows, KEYS, "frame", "y", "v_y", 9, 64, order=2, near=8, spread=1.9, above=0.8).withColumn("filtered", F.round("filtered", 6))
 
 
-def edge_jump_trim(df: DataFrame, keys: list[str], frame: str, value: str, reach: int, factor: float) -> DataFrame:
+def edge_jump_trim(df: DataFrame, keys: list[str], frame: str, value: str, reach: int, factor: float, chunk: int = 1 << 16) -> DataFrame:
     """df with `trimmed`: rows up to reach frames from a gap's edge whose step exceeds factor times the key's median step are NULL."""
-    w = Window.partitionBy(*keys).orderBy(frame)
-    known = F.when(F.col(value).isNull(), F.col(frame))
-    steps = df.withColumn("_d", F.abs(F.col(value) - F.lag(value).over(w)))
-    near = F.least(F.col(frame) - F.last(known, ignorenulls=True).over(w.rowsBetween(UP, 0)), F.first(known, ignorenulls=True).over(w.rowsBetween(0, DOWN)) - F.col(frame))
-    rows = steps.withColumn("_n", near).withColumn("_m", F.percentile("_d", F.lit(0.5)).over(Window.partitionBy(*keys)))
-    return rows.withColumn("trimmed", F.when((F.col("_n") <= reach) & (F.col("_d") > factor * F.col("_m")), None).otherwise(F.col(value))).drop("_d", "_n", "_m")
+    hole = F.when(F.col(value).isNull(), F.col(frame))
+    rows = carried(df, keys, frame, chunk, lag={"_p": F.col(value)}, before={"_b": hole}, after={"_a": hole}).withColumn("_d", F.abs(F.col(value) - F.col("_p")))
+    mid = rows.groupBy(*keys).agg(F.percentile("_d", F.lit(0.5)).alias("_m"))
+    near = F.least(F.col(frame) - F.col("_b"), F.col("_a") - F.col(frame))
+    return rows.join(mid, keys).withColumn("trimmed", F.when((near <= reach) & (F.col("_d") > factor * F.col("_m")), None).otherwise(F.col(value))).select(*df.columns, "trimmed")
 
 
 @BOOK.add(
@@ -572,27 +594,62 @@ def _d36b(spark, sf):
     return fill_gaps(calm, KEYS, "frame", "calm", 4, 64).select(*KEYS, "frame", F.round("filled", 5).alias("filled"))
 
 
-def prob_edge_trim(df: DataFrame, keys: list[str], frame: str, score: str, least: float, width: int = 5) -> DataFrame:
-    """(keys, first, last): the first frame whose mean score over width frames from it on, and the last over those up to it, reaches least."""
-    w = Window.partitionBy(*keys).orderBy(frame)
-    rows = df.withColumn("_on", F.avg(score).over(w.rowsBetween(0, width - 1))).withColumn("_off", F.avg(score).over(w.rowsBetween(1 - width, 0)))
-    pick = lambda c: F.when(F.col(c) >= least, F.col(frame))
-    return rows.groupBy(*keys).agg(F.min(pick("_on")).alias("first"), F.max(pick("_off")).alias("last")).where("first is not null and last is not null")
+@BOOK.add(
+    "d35b_trimmed_filled",
+    f"WITH {POSE}, q AS (SELECT event, marker, frame, CASE WHEN error <= 40 THEN y END AS y FROM pose), s AS (SELECT *, abs(y - lag(y) OVER w) AS d, least(frame - last_value(CASE WHEN y IS NULL THEN frame END IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING), first_value(CASE WHEN y IS NULL THEN frame END IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) - frame) AS n FROM q WINDOW w AS (PARTITION BY event, marker ORDER BY frame)), "
+    f"m AS (SELECT *, quantile_cont(d, 0.5) OVER (PARTITION BY event, marker) AS m FROM s), c AS (SELECT event, marker, frame, CASE WHEN n <= 2 AND d > 1.7 * m THEN NULL ELSE y END AS calm FROM m), {_GAP} SELECT event, marker, frame, round(coalesce(calm, CASE WHEN af - bf < 5 THEN bx + (ax - bx) * (frame - bf) / (af - bf) END), 5) AS filled FROM k",
+)
+def _d35b(spark, sf):
+    trimmed = edge_jump_trim(checked(spark, sf).select(*KEYS, "frame", "y"), KEYS, "frame", "y", 2, 1.7, 64).select(*KEYS, "frame", "trimmed")
+    return fill_gaps(trimmed, KEYS, "frame", "trimmed", 5, 64).select(*KEYS, "frame", F.round("filled", 5).alias("filled"))
+
+
+def prob_edge_trim(df: DataFrame, keys: list[str], frame: str, score: str, least: float = 0.9, jump: float = 0.03, short: int = 50, width: int = 5, smooth: int = 51, order: int = 5, chunk: int = 1 << 16) -> DataFrame:
+    """(keys, first, last): where a key's trajectory is to begin and end, NULL where it isn't trimmed; keys that aren't have no row.
+
+    Steps of the score are smoothed by a local cubic over `smooth` frames. At one above
+    jump that is the highest within order frames, with fewer than short scores of at
+    least `least` before it, the trajectory begins at the next frame whose mean score
+    over width frames from it on is at least `least`. At one below -jump, the lowest
+    around, with fewer than short such scores from it on, it ends at the last frame
+    before whose mean over the width frames before it and itself is. frame counts from 0.
+    """
+    rows = carried(df.select(*keys, frame, F.col(score).alias("_s")), keys, frame, chunk, lead={"_n": F.col("_s")}, total={"_good": (F.col("_s") >= least).cast("long")})
+    steps = rows.where("_n is not null").select(*keys, frame, (F.col("_n") - F.col("_s")).alias("_d"))
+    even = savgol_smooth(steps, keys, frame, "_d", smooth, chunk=chunk).withColumn("smooth", F.round("smooth", 9))
+    at = velocity_extrema(even, keys, frame, "smooth", order, chunk).where(F.abs("v") > jump)
+    spread = rows.withColumn("_chunk", F.explode(F.sequence(F.floor((F.col(frame) - width) / chunk), F.floor((F.col(frame) + width) / chunk))))
+    w = Window.partitionBy(*keys, "_chunk").orderBy(frame)
+    means = spread.withColumn("_on", F.avg("_s").over(w.rowsBetween(0, width - 1))).withColumn("_off", F.avg("_s").over(w.rowsBetween(-width, 0))).where(F.floor(F.col(frame) / chunk) == F.col("_chunk")).drop("_chunk")
+    pick = lambda c: F.when(F.round(c, 9) >= least, F.col(frame))
+    near = carried(means, keys, frame, chunk, before={"_last": pick("_off")}, after={"_first": pick("_on")}).withColumn("_self", pick("_off"))
+    near = carried(near, keys, frame, chunk, lag={"_earlier": F.col("_last")})
+    whole = rows.groupBy(*keys).agg(F.max("_good").alias("_all"))
+    told = near.join(at, [*keys, frame]).join(whole, keys)
+    good_before = F.col("_good") - (F.col("_s") >= least).cast("long")
+    begin = F.max(F.when((F.col("v") > 0) & (good_before < short), F.col("_first")))
+    end = F.min(F.when((F.col("v") < 0) & (F.col("_all") - good_before < short), F.col("_earlier")))
+    return told.groupBy(*keys).agg(begin.alias("first"), end.alias("last")).where("first is not null or last is not null")
 
 
 @BOOK.add(
     "d37_prob_edge_trim",
-    f"WITH {POSE}, s AS (SELECT *, avg(score) OVER (w ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS a, avg(score) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS b FROM pose WINDOW w AS (PARTITION BY event, marker ORDER BY frame)) SELECT event, marker, min(frame) FILTER (a >= 0.601) AS first, max(frame) FILTER (b >= 0.601) AS last FROM s GROUP BY 1, 2 HAVING count(*) FILTER (a >= 0.601) > 0 AND count(*) FILTER (b >= 0.601) > 0",
+    f"WITH {POSE}, d AS (SELECT event, marker, frame, lead(score) OVER w - score AS d FROM pose WINDOW w AS (PARTITION BY event, marker ORDER BY frame)), dd AS (SELECT * FROM d WHERE d IS NOT NULL), sm AS (SELECT event, marker, frame, round(smooth, 9) AS smooth FROM ({savgol_sql('dd', 'd', 7)})), "
+    "x AS (SELECT *, max(smooth) OVER (w ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS a, max(smooth) OVER (w ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING) AS b, min(smooth) OVER (w ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS c, min(smooth) OVER (w ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING) AS e FROM sm WINDOW w AS (PARTITION BY event, marker ORDER BY frame)), "
+    "ext AS (SELECT event, marker, frame, smooth AS v FROM x WHERE abs(smooth) > 0.03 AND ((smooth > a AND smooth > b) OR (smooth < c AND smooth < e))), "
+    "m AS (SELECT event, marker, frame, score, round(avg(score) OVER (w ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING), 9) AS f, round(avg(score) OVER (w ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), 9) AS g, coalesce(sum((score >= 0.6)::INT) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum((score >= 0.6)::INT) OVER (PARTITION BY event, marker) AS total FROM pose WINDOW w AS (PARTITION BY event, marker ORDER BY frame)), "
+    "r AS (SELECT ext.event, ext.marker, (SELECT min(n.frame) FROM m n WHERE n.event = ext.event AND n.marker = ext.marker AND n.f >= 0.6 AND n.frame >= ext.frame AND v > 0 AND m.before < 12) AS first, (SELECT max(n.frame) FROM m n WHERE n.event = ext.event AND n.marker = ext.marker AND n.g >= 0.6 AND n.frame < ext.frame AND v < 0 AND m.total - m.before < 12) AS last FROM ext JOIN m ON m.event = ext.event AND m.marker = ext.marker AND m.frame = ext.frame) "
+    "SELECT event, marker, max(first) AS first, min(last) AS last FROM r GROUP BY 1, 2 HAVING max(first) IS NOT NULL OR min(last) IS NOT NULL",
 )
 def _d37(spark, sf):
-    return prob_edge_trim(pose(spark, sf), KEYS, "frame", "score", 0.601)
+    return prob_edge_trim(pose(spark, sf), KEYS, "frame", "score", 0.6, 0.03, 12, 5, 7, 2, 64)
 
 
-def outlier_frames(df: DataFrame, keys: list[str], frame: str, axes: list[str], jump: float) -> DataFrame:
+def outlier_frames(df: DataFrame, keys: list[str], frame: str, axes: list[str], jump: float, chunk: int = 1 << 16) -> DataFrame:
     """(keys, frame, distance) of rows further than jump from the row before."""
-    w = Window.partitionBy(*keys).orderBy(frame)
-    d = F.sqrt(sum(((F.col(a) - F.lag(a).over(w)) ** 2 for a in axes), F.lit(0.0)))
-    return df.select(*keys, frame, d.alias("distance")).where(F.col("distance") > jump)
+    near = carried(df.select(*keys, frame, *axes), keys, frame, chunk, lag={f"_p_{a}": F.col(a) for a in axes})
+    d = F.sqrt(sum(((F.col(a) - F.col(f"_p_{a}")) ** 2 for a in axes), F.lit(0.0)))
+    return near.select(*keys, frame, d.alias("distance")).where(F.col("distance") > jump)
 
 
 @BOOK.add("d38_outlier_frames", f"WITH {POSE}, d AS (SELECT event, marker, frame, sqrt(pow(y - lag(y) OVER w, 2) + pow(z - lag(z) OVER w, 2)) AS d FROM pose WINDOW w AS (PARTITION BY event, marker ORDER BY frame)) SELECT event, marker, frame, round(d, 5) AS distance FROM d WHERE d > 50.003")

@@ -102,3 +102,22 @@ def test_a_long_trajectory_in_batches(spark):
         assert sorted((str(r.k), r.f, r.s) for r in got.collect()) == sorted((str(k), i, i * (i + 1) / 2) for k, n in ((None, 30), (1, 5), (2, 40), (3, 1)) for i in range(n))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_gaps_and_slices_by_hand(spark):
+    df = table(spark, [(1, i, None if i in (0, 3, 4, 8, 9, 10, 14) else float(i * i)) for i in range(15)], "k long, f long, x double")
+    for chunk in (3, 100):
+        got = [r.filled for r in trajectories.fill_gaps(df, ["k"], "f", "x", 4, chunk).orderBy("f").collect()]
+        want = [None if i in (0, 8, 9, 10, 14) else float(i * i) for i in range(15)]
+        want[3], want[4] = 4 + 21 / 3, 4 + 2 * 21 / 3
+        assert got == pytest.approx(want)
+    x = [(1, i, float(i), 1.0 if i % 2 else 2.0) for i in range(30)]
+    rows = table(spark, x, "k long, f long, x double, e double")
+    manual = table(spark, [(1, 5, 6), (1, 28, 29)], "k long, first long, last long")
+    kept = {r.f: r.kept for r in trajectories.trim_tail(rows, ["k"], "f", rows.f < 12, rows.f < 28, 0.25, 2, 5, 2, manual, 7).collect()}
+    # unchanged frames end at 12 and the end is frame 27: below a quarter from frame 8 on, as the cubic smooths it
+    share = [(12 - f) / (27 - f) if f < 12 else 0.0 for f in range(27)]
+    fit, powers = trajectories.savgol_fit(5, 3)
+    smooth = [float((powers @ (fit @ np.array(share[:5])))[f]) if f < 2 else float((powers @ (fit @ np.array(share[-5:])))[f - 22]) if f > 24 else float(fit[0] @ np.array(share[f - 2 : f + 3])) for f in range(27)]
+    cut = min(f for f in range(27) if smooth[f] < 0.25 and smooth[f] < 0.25 * max(smooth[2:25]))
+    assert kept == {f: f < cut and f not in (5, 6) for f in range(30)}
