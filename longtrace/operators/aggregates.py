@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from longtrace.functions.carry import carried
+from longtrace.functions.few import with_each
 from longtrace.operators.joins import PAIRS, VEC, centres, spike_pairs, train_pairs
 from longtrace.operators.sequence import CHUNK, DAYS30, DROPOUT, EVENTS, GAPS, HOUR, REACH, _d29, dropouts, frame_gaps, segment_events, segments
 from longtrace.plans.standins import EV, FRAMES, POSE, SIGNAL, SPIKES, Book, events, frames, pose, signal, spikes
@@ -74,7 +75,7 @@ def _g4(spark, sf):
 
 def event_frame_counts(df: DataFrame, event: str, cam: str) -> DataFrame:
     """(event, cam, n): frames of every pair of an event and a camera seen anywhere; NULL where there are none."""
-    grid = df.select(event).distinct().join(F.broadcast(df.groupBy().agg(F.collect_set(cam).alias("_c"))), F.lit(True)).select(event, F.explode("_c").alias(cam))
+    grid = with_each(df.select(event).distinct(), df.select(cam).distinct())
     return grid.join(df.groupBy(event, cam).agg(F.count("*").alias("n")), [event, cam], "left")
 
 
@@ -374,13 +375,22 @@ def _g17(spark, sf):
     return contamination_cutoff(_trains(spark, sf), "unit", "t", "amplitude", [80.0, 60.0, 40.0, 20.0, 10.0], BINS, WIDTH)
 
 
-def template_similarity(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(a, b, similarity), a < b: cosine of every two templates. Templates are few: their list is one broadcast row."""
-    listed = df.groupBy().agg(F.collect_list(F.struct(F.col(key).alias("k"), F.col(vector).alias("v"))).alias("_l"))
+def template_similarity(df: DataFrame, key: str, vector: str, block: int = 1 << 20) -> DataFrame:
+    """(a, b, similarity), a < b: cosine of every two templates; those of no length have none.
+
+    Templates are counted first and sent to the tasks in blocks of at most about
+    `block` numbers, so each pair is made once, in one of the blocks.
+    """
     dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    rows = df.join(F.broadcast(listed), F.lit(True)).select(F.col(key).alias("a"), F.col(vector).alias("_a"), F.explode(F.filter("_l", lambda x: x["k"] > F.col(key))).alias("_b"))
-    size = F.sqrt(dot(F.col("_a"), F.col("_a"))) * F.sqrt(dot(F.col("_b.v"), F.col("_b.v")))
-    return rows.select("a", F.col("_b.k").alias("b"), F.when(size > 0, dot(F.col("_a"), F.col("_b.v")) / size).alias("similarity"))
+    sized = df.select(F.col(key).alias("k"), F.col(vector).alias("v"), F.sqrt(dot(F.col(vector), F.col(vector))).alias("s"))
+    stats = sized.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
+    n, found = max(1, -(-stats["n"] * (stats["d"] or 1) // block)), None
+    for k in range(n):
+        listed = sized.where(F.pmod(F.xxhash64("k"), F.lit(n)) == k).agg(F.collect_list(F.struct("k", "v", "s")).alias("_l"))
+        rows = sized.join(F.broadcast(listed), F.lit(True)).select(F.col("k").alias("a"), "v", "s", F.explode(F.filter("_l", lambda x: x["k"] > F.col("k"))).alias("_b"))
+        part = rows.select("a", F.col("_b.k").alias("b"), F.when((F.col("s") > 0) & (F.col("_b.s") > 0), dot(F.col("v"), F.col("_b.v")) / (F.col("s") * F.col("_b.s"))).alias("similarity"))
+        found = part if found is None else found.union(part)
+    return found
 
 
 SIM = f"{VEC}, sim AS (SELECT p.label AS a, q.label AS b, sum(p.c * q.c) / (sqrt(sum(p.c * p.c)) * sqrt(sum(q.c * q.c))) AS similarity FROM centres p JOIN centres q ON p.k = q.k AND p.label < q.label GROUP BY 1, 2)"

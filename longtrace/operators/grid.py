@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from longtrace.functions.few import with_each
 from longtrace.operators.sequence import EVENTS, HOUR, segments
 from longtrace.plans.standins import ELECTRODES, FRAMES, SIGNAL, SPIKES, Book, electrodes, frames, signal, spikes
 
@@ -25,9 +26,8 @@ def _h1(spark, sf):
 
 
 def event_grid(df: DataFrame, left: str, right: str) -> DataFrame:
-    """All pairs of the values of two columns; the right ones are few and travel as one row."""
-    few = df.groupBy().agg(F.collect_set(right).alias("_r"))
-    return df.select(left).distinct().join(F.broadcast(few), F.lit(True)).select(left, F.explode("_r").alias(right))
+    """All pairs of the values of two columns; the right ones are meant to be few."""
+    return with_each(df.select(left).distinct(), df.select(right).distinct())
 
 
 @BOOK.add("h2_event_grid", f"WITH {FRAMES} SELECT e.event, c.cam FROM (SELECT DISTINCT event FROM frames) e CROSS JOIN (SELECT DISTINCT cam FROM frames) c")
@@ -131,13 +131,17 @@ def _h11(spark, sf):
     return channel_order_swap(counts, "grp", "unit", "n")
 
 
-def nearest_channels(sites: DataFrame, key: str, x: str, y: str, k: int) -> DataFrame:
-    """(key, other, distance, rank): the k closest sites of each site, itself first. A probe's sites are few: their list is one broadcast row."""
-    listed = sites.groupBy().agg(F.collect_list(F.struct(F.col(key).alias("k"), F.col(x).alias("x"), F.col(y).alias("y"))).alias("_l"))
-    far = lambda s: F.sqrt((s["x"] - F.col(x)) ** 2 + (s["y"] - F.col(y)) ** 2)
-    near = F.slice(F.array_sort(F.transform("_l", lambda s: F.struct(far(s).alias("d"), s["k"].alias("k")))), 1, k)
-    rows = sites.join(F.broadcast(listed), F.lit(True)).select(key, F.posexplode(near).alias("rank", "n"))
-    return rows.select(key, F.col("n.k").alias("other"), F.round("n.d", 5).alias("distance"), (F.col("rank") + 1).alias("rank"))
+def nearest_channels(sites: DataFrame, key: str, x: str, y: str, k: int, block: int = 1 << 16) -> DataFrame:
+    """(key, other, distance, rank): the k closest sites of each site, itself first; sites are counted and sent to the tasks in blocks, and a site's k closest go on from block to block."""
+    n = max(1, -(-sites.count() // block))
+    kind = sites.schema[key].dataType.simpleString()
+    rows = sites.select(key, F.col(x).alias("_x"), F.col(y).alias("_y"), F.array().cast(f"array<struct<d:double,k:{kind}>>").alias("_near"))
+    far = lambda s: F.sqrt((s["x"] - F.col("_x")) ** 2 + (s["y"] - F.col("_y")) ** 2)
+    for part in range(n):
+        listed = sites.where(F.pmod(F.xxhash64(key), F.lit(n)) == part).agg(F.collect_list(F.struct(F.col(key).alias("k"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))).alias("_l"))
+        new = F.transform("_l", lambda s: F.struct(far(s).alias("d"), s["k"].alias("k")))
+        rows = rows.join(F.broadcast(listed), F.lit(True)).withColumn("_near", F.slice(F.array_sort(F.concat("_near", new)), 1, k)).drop("_l")
+    return rows.select(key, F.posexplode("_near").alias("rank", "n")).select(key, F.col("n.k").alias("other"), F.round("n.d", 5).alias("distance"), (F.col("rank") + 1).alias("rank"))
 
 
 @BOOK.add("h12_nearest_channels", f"WITH {ELECTRODES}, d AS (SELECT a.channel, b.channel AS other, sqrt(pow(a.ex - b.ex, 2) + pow(a.ey - b.ey, 2)) AS d FROM electrodes a CROSS JOIN electrodes b) SELECT * FROM (SELECT channel, other, round(d, 5) AS distance, row_number() OVER (PARTITION BY channel ORDER BY d, other)::INTEGER AS rank FROM d) WHERE rank <= 4")

@@ -200,11 +200,11 @@ def centres(df: DataFrame, label: str, vector: str) -> DataFrame:
 
 
 def spike_pairs(a: DataFrame, b: DataFrame, keys: list[str], time: str, most: int, keep: list[str] | None = None) -> DataFrame:
-    """(keys, t_a, t_b): pairs at most `most` apart; b is listed in the three buckets around it, so it is an equi join. Columns of keep come along as <name>_a and <name>_b."""
+    """(keys, t_a, t_b): pairs at most `most` apart; b is listed in the three buckets around it, so it is an equi join. Columns of keep come along as <name>_a and <name>_b from the sides that have them."""
     bucket = lambda c: F.floor(F.col(c) / (most + 1))
-    more = lambda side: [F.col(c).alias(f"{c}_{side}") for c in keep or []]
-    left = a.select(*keys, F.col(time).alias("t_a"), *more("a")).withColumn("_k", bucket("t_a"))
-    right = b.select(*keys, F.col(time).alias("t_b"), *more("b")).withColumn("_k", F.explode(F.array(bucket("t_b") - 1, bucket("t_b"), bucket("t_b") + 1)))
+    more = lambda df, side: [F.col(c).alias(f"{c}_{side}") for c in keep or [] if c in df.columns]
+    left = a.select(*keys, F.col(time).alias("t_a"), *more(a, "a")).withColumn("_k", bucket("t_a"))
+    right = b.select(*keys, F.col(time).alias("t_b"), *more(b, "b")).withColumn("_k", F.explode(F.array(bucket("t_b") - 1, bucket("t_b"), bucket("t_b") + 1)))
     return left.join(right, [*keys, "_k"]).where(F.abs(F.col("t_a") - F.col("t_b")) <= most).drop("_k")
 
 
@@ -309,7 +309,7 @@ def _f22(spark, sf):
 
 
 def broadcast_axis_labels(labels: DataFrame, event: str, frame: str, marker: str, value: str, markers: list[str], share: float) -> DataFrame:
-    """(event, frame, marker, value): the labels of the first frame of the lowest event with at least `share` of markers, copied to every frame."""
+    """(event, frame, marker, value): the labels of the first frame of the lowest event with at least `share` of markers, copied to every frame; what is broadcast is one row for each of `markers` at most."""
     full = labels.where(F.col(value).isNotNull() & F.col(marker).isin(*markers)).groupBy(event, frame).agg(F.count_distinct(marker).alias("n"), F.collect_set(F.struct(marker, value)).alias("set")).where(F.col("n") >= share * len(markers))
     first = full.agg(F.min_by("set", F.struct(event, frame)).alias("set")).select(F.inline("set"))
     return labels.select(event, frame).distinct().join(F.broadcast(first), F.lit(True))

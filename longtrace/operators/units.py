@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -18,7 +17,7 @@ from longtrace.functions.islands import band_join, islands
 from longtrace.operators.joins import spike_pairs
 from longtrace.operators.signals import SNIP, snips
 from longtrace.plans.standins import HOUR, SPIKES, Book, signal, spikes
-from longtrace.session import written
+from longtrace.session import remove, written
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
@@ -241,37 +240,40 @@ def _k8(spark, sf):
     return found.select("grp", "n", *(F.round(c, 3).alias(c) for c in ("low_mean", "high_mean", "threshold")), "split")
 
 
-def merge_by_agreement(truth: DataFrame, test: DataFrame, key: str, time: str, unit: str, most: int, gain: float) -> DataFrame:
+def merge_by_agreement(truth: DataFrame, test: DataFrame, key: str, time: str, unit: str, most: int, gain: float, rounds: int = 1000) -> DataFrame:
     """(key, unit, round, score): per key, test units are added to the union one by one, the best first, while the score 1 - (miss + false positives) grows by more than gain.
 
-    Each round scores all open candidates at once: matches are distinct truth events
-    and distinct test events over the pairs found once. The loop ends when no key
-    improves, after as many rounds as a key has units at most; each round's table of
-    one row per key is written to the shared folder.
+    Matches are found once. A round counts, for each open unit, the truth events that
+    only it would add; the events that the chosen one covers and the chosen unit then
+    go from the matches, which are written smaller each time, and only sums of a row
+    for each key go on. The loop ends when no key improves; more than `rounds` raise.
     """
-    named = written(spike_pairs(truth.select(key, time), test.select(key, time), [key], time, most).join(test.select(key, unit, F.col(time).alias("t_b")), [key, "t_b"]), "agreement_pairs")
-    sizes = truth.groupBy(key).agg(F.count("*").alias("_nt"))
-    tests = test.groupBy(key, unit).agg(F.count("*").alias("_nu"))
-    chosen = None
-    base = truth.select(key).distinct().withColumn("_best", F.lit(float("-inf")))
-    result = None
-    for k in count(1):
-        open_units = tests if chosen is None else tests.join(chosen.select(key, unit), [key, unit], "left_anti")
-        union = open_units.select(key, unit, F.col(unit).alias("_with"))
-        if chosen is not None:
-            union = union.unionByName(open_units.select(key, unit).join(chosen.select(key, F.col(unit).alias("_with")), key))
-        member = named.select(key, F.col(unit).alias("_with"), "t_a", "t_b")
-        hit = union.join(member, [key, "_with"]).groupBy(key, unit).agg(F.count_distinct("t_a").alias("_ma"), F.count_distinct(F.struct("_with", "t_b")).alias("_mb"))
-        n = union.join(tests.select(key, F.col(unit).alias("_with"), "_nu"), [key, "_with"]).groupBy(key, unit).agg(F.sum("_nu").alias("_n"))
-        score = 1 - ((1 - F.col("_ma") / F.col("_nt")) + (1 - F.col("_mb") / F.col("_n")))
-        scored = hit.join(n, [key, unit]).join(sizes, key).select(key, unit, F.round(score, 9).alias("score"))
-        best = scored.groupBy(key).agg(F.max(F.struct("score", (-F.col(unit)).alias("_u"), unit)).alias("b")).select(key, F.col(f"b.{unit}").alias(unit), F.col("b.score").alias("score"))
-        better = written(best.join(base, key).where(F.col("score") > F.col("_best") + gain).select(key, unit, F.lit(k).alias("round"), "score"), "agreement")
-        if result is not None and better.isEmpty():
-            return result
-        result = better if result is None else result.unionByName(better)
-        chosen = better.select(key, unit) if chosen is None else chosen.unionByName(better.select(key, unit))
-        base = better.select(key, F.col("score").alias("_best"))
+    pairs = written(spike_pairs(truth.select(key, time), test.select(key, unit, time), [key], time, most, [unit]).select(key, F.col(f"{unit}_b").alias(unit), "t_a", "t_b"), "agreement_pairs")
+    own = pairs.groupBy(key, unit).agg(F.count_distinct("t_b").alias("_mb"))
+    sizes = written(test.groupBy(key, unit).agg(F.count("*").alias("_nu")).join(own, [key, unit], "left").na.fill(0, ["_mb"]), "agreement_sizes")
+    hits = written(pairs.select(key, unit, "t_a").distinct(), "agreement_hits")
+    zero = F.lit(0).cast("long")
+    state = truth.groupBy(key).agg(F.count("*").alias("_nt")).select(key, "_nt", zero.alias("_a"), zero.alias("_b"), zero.alias("_n"), F.lit(float("-inf")).alias("_best"))
+    open_units, result = sizes, None
+    for k in range(1, rounds + 1):
+        added = hits.groupBy(key, unit).agg(F.count("*").alias("_new"))
+        rows = open_units.join(state, key).join(added, [key, unit], "left").na.fill(0, ["_new"])
+        a, b, n = F.col("_a") + F.col("_new"), F.col("_b") + F.col("_mb"), F.col("_n") + F.col("_nu")
+        scored = rows.where("_mb > 0").select(key, unit, "_nt", a.alias("_a"), b.alias("_b"), n.alias("_n"), "_best", F.round(1 - ((1 - a / F.col("_nt")) + (1 - b / n)), 9).alias("score"))
+        best = scored.groupBy(key).agg(F.max_by(F.struct(*(c for c in scored.columns if c != key)), F.struct("score", -F.col(unit))).alias("b")).select(key, "b.*")
+        better = written(best.where(F.col("score") > F.col("_best") + gain).withColumn("round", F.lit(k)), "agreement")
+        if better.isEmpty():
+            return better.select(key, unit, "round", "score") if result is None else result
+        told = better.select(key, unit, "round", "score")
+        result = told if result is None else result.unionByName(told)
+        covered = hits.join(better.select(key, unit), [key, unit], "left_semi").select(key, "t_a")
+        rest = hits.join(better.select(key), key, "left_semi").join(better.select(key, unit), [key, unit], "left_anti").join(covered, [key, "t_a"], "left_anti")
+        before, hits = hits, written(rest.select(key, unit, "t_a"), "agreement_hits")
+        remove(before)
+        # a key that doesn't improve has no row any more
+        open_units = sizes.join(result.select(key, unit), [key, unit], "left_anti")
+        state = better.select(key, "_nt", "_a", "_b", "_n", F.col("score").alias("_best"))
+    raise RuntimeError(f"keys still improve after {rounds} rounds")
 
 
 @BOOK.add("f18_merge_by_agreement")

@@ -7,7 +7,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from longtrace.functions.carry import carried
+from longtrace.functions.few import with_each
 from longtrace.functions.groups import connected_groups
+from longtrace.operators import aggregates, grid
 
 UP, DOWN = Window.unboundedPreceding, Window.unboundedFollowing
 
@@ -65,3 +67,22 @@ def test_connected_groups(spark):
     got = connected_groups(spark.createDataFrame(links, "a long, b long"))
     assert dict(map(tuple, got.collect())) == root
     assert connected_groups(spark.createDataFrame([], "a string, b string")).collect() == []
+
+
+@pytest.mark.parametrize("most", [1, 3, 100])
+def test_with_each_row(spark, most):
+    left, few = spark.range(20).withColumnRenamed("id", "a"), spark.range(7).select(F.col("id").alias("b"), (F.col("id") * 2).alias("c"))
+    got = with_each(left, few, most)
+    assert sorted(map(tuple, got.collect())) == [(a, b, 2 * b) for a in range(20) for b in range(7)]
+    assert ("BroadcastNestedLoopJoin" in got._jdf.queryExecution().executedPlan().toString()) == (most > 7)
+    assert with_each(left, few.limit(0), most).collect() == [] and with_each(left.limit(0), few, most).collect() == []
+
+
+def test_templates_and_sites_in_blocks(spark):
+    rng = random.Random(5)
+    rows = [(k, [rng.uniform(-1, 1) for _ in range(4)] if k else [0.0] * 4, rng.randint(0, 5), rng.randint(0, 5)) for k in range(12)]
+    df = spark.createDataFrame(rows, "k long, v array<double>, x int, y int")
+    told = lambda d: sorted(tuple(r) for r in d.collect())
+    assert told(aggregates.template_similarity(df, "k", "v", 9).fillna(9)) == told(aggregates.template_similarity(df, "k", "v").fillna(9))
+    near = told(grid.nearest_channels(df, "k", "x", "y", 5, 2))
+    assert near == told(grid.nearest_channels(df, "k", "x", "y", 5)) and len(near) == 60
