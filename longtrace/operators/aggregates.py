@@ -495,6 +495,37 @@ def _g23(spark, sf):
     return select_features(features(spark, sf), "k", "v", 10).withColumn("gap", F.round("gap", 6))
 
 
+def knee(gaps: list[float], most: int, least: int, reach: int = 10) -> int:
+    """How many of the largest gaps are to be kept: those from the knee on, where the rise over `reach` gaps is above their even share for three gaps in turn; between least and most."""
+    a = sorted(gaps)[-most:]
+    n = len(a)
+    steep = [i for i in range(n - reach + 1) if a[-1] > 0 and (a[i + reach - 1] - a[i]) / a[-1] * n / reach >= 1]
+    if len(steep) < 2:
+        return least
+    step = [y - x for x, y in zip(steep, steep[1:])]
+    even = [step[k] == 1 if k in (0, len(step) - 1) else step[k - 1] + step[k] + step[k + 1] == 3 for k in range(len(step))]
+    at = next((k for k in range(1, len(step)) if even[k]), None)
+    return least if at is None else max(least, min(most, most - (steep[at - 1] + 1 + reach // 2) + 1))
+
+
+def knee_features(df: DataFrame, key: str, value: str, most: int, least: int, sd: float = 3.0) -> DataFrame:
+    """(key, gap, rank) of the features least like a normal distribution, as many as the knee of their gaps says; values beyond sd deviations are left out, and a feature of ten values or fewer counts as normal. What is looked at in one row are the `most` largest gaps."""
+    stats = df.groupBy(key).agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"))
+    inside = df.join(stats, key).where(F.abs(F.col(value) - F.col("_m")) < sd * F.col("_s")).select(key, value)
+    sizes = inside.groupBy(key).agg(F.count("*").alias("_n"))
+    gaps = df.select(key).distinct().join(ks_normality(inside, key, value), key, "left").join(sizes, key, "left").select(key, F.when(F.col("_n") > 10, F.col("gap")).otherwise(0.0).alias("gap"))
+    top = gaps.orderBy(F.desc("gap"), key).limit(most)
+    listed = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("gap")).alias("gap"), F.col(key).alias("k")))).alias("l"))
+    inputs = F.udf(lambda rows: knee([-r["gap"] for r in rows], most, least), "int")
+    ranked = listed.select(inputs("l").alias("_inputs"), F.posexplode("l").alias("_r", "x")).where("_r < _inputs")
+    return ranked.select(F.col("x.k").alias(key), (-F.col("x.gap")).alias("gap"), (F.col("_r") + 1).alias("rank"))
+
+
+@BOOK.add("g23b_knee_features")
+def _g23b(spark, sf):
+    return knee_features(features(spark, sf), "k", "v", 40, 10).withColumn("gap", F.round("gap", 6))
+
+
 def trajectory_rmse(a: DataFrame, b: DataFrame, keys: list[str], frame: str, axes: list[str]) -> DataFrame:
     """(keys, error, normalised, velocity_error, velocity_normalised): mean Euclid error over frames, and over the range of the first trajectory's first axis; the same of the steps between neighbouring frames."""
     other = b.select(*keys, frame, *(F.col(x).alias(f"_{x}") for x in axes))

@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 from longtrace.functions.carry import carried
 from longtrace.functions.islands import band_join, islands
 from longtrace.operators.joins import spike_pairs
-from longtrace.operators.signals import SNIP, snips
-from longtrace.plans.standins import HOUR, SPIKES, Book, signal, spikes
+from longtrace.operators.signals import SNIP, snippets, snips
+from longtrace.plans.standins import HOUR, SIGNAL, SPIKES, Book, signal, spikes
 from longtrace.session import remove, written
 
 BOOK = Book()
@@ -79,6 +79,29 @@ def _k2(spark, sf):
     return polytrode_detect(rows, ["probe"], "unit", "t", 2 * HOUR, 240 * HOUR)
 
 
+def joined_snippets(found: DataFrame, samples: DataFrame, keys: list[str], channel: str, at: str, index: str, value: str, before: int, after: int, chunk: int = 1 << 16) -> DataFrame:
+    """(keys, at, snippet): the snippets of all channels of a probe about each event, one behind the other in order of the channels; events near an end of any channel are left out. A probe's channels are those with samples."""
+    channels = samples.select(*keys, channel).distinct()
+    n = channels.groupBy(*keys).agg(F.count("*").alias("_n"))
+    each = snippets(found.select(*keys, at).distinct().join(channels, keys), samples, [*keys, channel], at, index, value, before, after, chunk)
+    both = each.groupBy(*keys, at).agg(F.array_sort(F.collect_list(F.struct(F.col(channel).alias("c"), F.col("snippet").alias("s")))).alias("_l")).join(n, keys)
+    return both.where(F.size("_l") == F.col("_n")).select(*keys, at, F.flatten(F.transform("_l", lambda x: x["s"])).alias("snippet"))
+
+
+_PROBE = f"{SIGNAL}, smp AS (SELECT channel // 4 AS probe, channel, i, v FROM signal), hit AS (SELECT probe, i, channel FROM smp WHERE v > 70), dl AS (SELECT *, lead(i) OVER (PARTITION BY probe ORDER BY i, channel) - i AS a FROM hit), ev2 AS (SELECT DISTINCT probe, i FROM dl WHERE a IS NULL OR a >= 2), chs AS (SELECT DISTINCT probe, channel FROM smp)"
+
+
+@BOOK.add(
+    "k2b_joined_snippets",
+    f"WITH {_PROBE}, each AS (SELECT e.probe, e.i AS idx, s.channel, list(s.v ORDER BY s.i) AS snip FROM ev2 e JOIN smp s ON s.probe = e.probe AND s.i BETWEEN e.i - 2 AND e.i + 1 GROUP BY 1, 2, 3 HAVING count(*) = 4) "
+    'SELECT probe, idx AS "at", flatten(list(snip ORDER BY channel)) AS snippet FROM each GROUP BY probe, idx HAVING count(*) = (SELECT count(*) FROM chs WHERE chs.probe = each.probe)',
+)
+def _k2b(spark, sf):
+    rows = signal(spark, sf).select(F.expr("channel div 4").alias("probe"), "channel", "i", "v")
+    found = polytrode_detect(rows.where("v > 70"), ["probe"], "channel", "i", 2, 32)
+    return joined_snippets(found.select("probe", F.col("i").alias("at")), rows, ["probe"], "channel", "at", "i", "v", 2, 2, 32)
+
+
 def align_snippet(snippet: Column, centre: int, reach: int, length: int) -> Column:
     """length items about the least item within reach of centre (counted from 0), NULL if they don't fit."""
     near = F.slice(snippet, centre - reach + 1, 2 * reach + 1)
@@ -193,6 +216,47 @@ def _k6(spark, sf):
     return pca_features(spark.read.parquet(f"{sf}/embeddings.parquet"), "vec_id", "embedding", 5).select("vec_id", F.transform("features", lambda x: F.round(x, 4)).alias("features"))
 
 
+def isolated(df: DataFrame, keys: list[str], at: str, apart: int, chunk: int = 1 << 20) -> DataFrame:
+    """The events with no other of their key within apart."""
+    near = carried(df, keys, at, chunk, lag={"_p": F.col(at)}, lead={"_n": F.col(at)})
+    lone = lambda gap: gap.isNull() | (gap > apart)
+    return near.where(lone(F.col(at) - F.col("_p")) & lone(F.col("_n") - F.col(at))).drop("_p", "_n")
+
+
+def snippet_components(df: DataFrame, snippet: str, size: int, k: int, centre: int) -> np.ndarray:
+    """(size, k): the first components of the snippets' products, not centred; the first points down at `centre`, the others up at their largest item. Tasks sum their own rows; size x size numbers come to the driver."""
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((size, size))
+        for pdf in batches:
+            if len(pdf):
+                x = np.stack(pdf[snippet].to_list()).astype(float)
+                total += x.T @ x
+        yield pd.DataFrame({"q": [total.reshape(-1)]})
+
+    parts = df.select(snippet).mapInPandas(sums, "q array<double>").select(F.posexplode("q").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
+    total = np.zeros(size * size)
+    for r in parts:
+        total[r.i] = r.x
+    pc = np.linalg.eigh(total.reshape(size, size))[1][:, ::-1][:, :k]
+    sign = np.sign(pc[np.abs(pc).argmax(0), np.arange(k)])
+    sign[0] = -np.sign(pc[centre, 0]) or 1.0
+    return pc * sign
+
+
+def projected(df: DataFrame, keys: list[str], snippet: str, components: np.ndarray) -> DataFrame:
+    """(keys, features) of snippets on the columns of components."""
+    dot = lambda c: F.aggregate(F.zip_with(snippet, F.array(*map(F.lit, c.tolist())), lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    return df.select(*keys, F.array(*(dot(c) for c in components.T)).alias("features"))
+
+
+@BOOK.add("k6b_isolated_components")
+def _k6b(spark, sf):
+    rows = snips(spark, sf)
+    found = projected(rows, ["channel", "at"], "snippet", snippet_components(isolated(rows, ["channel"], "at", 4, 64), "snippet", 8, 3, 3))
+    return found.select("channel", "at", F.transform("features", lambda x: F.round(x, 4)).alias("features"))
+
+
 @BOOK.add("k7_waveform_features", f"WITH {SNIP} SELECT channel, snip.at, unnest(range(0, 8))::INTEGER AS k, unnest(snippet) AS v FROM snip")
 def _k7(spark, sf):
     """The raw samples as features."""

@@ -106,6 +106,27 @@ def _b5(spark, sf):
     return spark.read.parquet(path).select("event", "frame", F.inline(cells)).where("y is not null")
 
 
+@BOOK.add("b5b_pose_put_back", f"WITH {POSE} SELECT event, frame, marker, x / 2 AS x, y / 4 AS y, z, ncams FROM pose")
+def _b5b(spark, sf):
+    """The original wide table, untouched but for x, y and z."""
+    rows, path = pose(spark, sf), place(spark, "wide")
+    names = markers(rows)
+    original = sinks.pose_wide(rows, ["event"], "frame", "marker", ["x", "y", "z", "ncams"], names)
+    cleaned = rows.select("event", "frame", "marker", (F.col("x") / 2).alias("x"), (F.col("y") / 4).alias("y"), "z")
+    sinks.write_pose_wide(cleaned, original, path, ["event"], "frame", "marker", names)
+    back = spark.read.option("header", True).csv(path)
+    cell = lambda m, f, kind: F.col(f"{m}_{f}").cast(kind).alias(f)
+    cells = F.array(*(F.struct(F.lit(m).alias("marker"), *(cell(m, f, "double") for f in "xyz"), cell(m, "ncams", "long")) for m in names))
+    return back.select(F.col("event").cast("long").alias("event"), F.col("frame").cast("long").alias("frame"), F.inline(cells)).where("ncams is not null")
+
+
+@BOOK.add("e17b_written_split", f"WITH {SIGNAL} SELECT channel, i // 1024 AS part, i, v FROM signal")
+def _e17b(spark, sf):
+    rows, path = signal(spark, sf), place(spark, "split")
+    sinks.save_subset(rows.select("channel", "i", "v"), path, "channel", None, "i", 1024)
+    return spark.read.parquet(path).select(F.col("channel").cast("long").alias("channel"), F.col("part").cast("long").alias("part"), "i", "v")
+
+
 @BOOK.add("b7_save_subset", f"WITH {SIGNAL} SELECT channel, i // 20 AS part, count(*) AS n, round(sum(v), 4) AS total FROM signal WHERE channel IN (1, 2, 3, 5, 8, 13) GROUP BY 1, 2")
 def _b7(spark, sf):
     path = place(spark, "subset")

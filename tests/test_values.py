@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from longtrace.operators import geometry, signals, units
+from longtrace.operators import aggregates, geometry, signals, units
 from longtrace.plans import standins
 from tests.test_properties import SF, table
 
@@ -63,3 +63,25 @@ def test_resampled_band_is_every_tenth_sample(spark):
     want = {(c, i): v for c, x in series.items() for i, v in enumerate(once(once(x)[::-1])[::-1]) if i % 10 == 0}
     assert got.keys() == want.keys()
     assert all(got[k] == pytest.approx(want[k], abs=1e-5) for k in want)
+
+
+def test_components_of_isolated_snippets(spark):
+    rnd = np.random.default_rng(2)
+    rows = [(k % 3, int(t), rnd.normal(0, [1, 3, 2, 1], 4).tolist()) for k, t in enumerate(np.cumsum(rnd.integers(1, 12, 90)))]
+    df = table(spark, rows, "c long, t long, s array<double>").repartition(4)
+    lone = [(c, t, s) for c, t, s in rows if all(d != c or u == t or abs(u - t) > 15 for d, u, _ in rows)]
+    for chunk in (7, 1000):
+        assert {(r.c, r.t) for r in units.isolated(df, ["c"], "t", 15, chunk).collect()} == {(c, t) for c, t, _ in lone}
+    x = np.array([s for _, _, s in lone])
+    pc = units.snippet_components(units.isolated(df, ["c"], "t", 15), "s", 4, 2, 1)
+    assert (x.T @ x) @ pc == pytest.approx(pc * np.sort(np.linalg.eigvalsh(x.T @ x))[::-1][:2], abs=1e-8)
+    assert pc[1, 0] < 0 and pc[np.abs(pc[:, 1]).argmax(), 1] > 0
+    got = {(r.c, r.t): r.features for r in units.projected(df, ["c", "t"], "s", pc).collect()}
+    assert all(got[c, t] == pytest.approx(np.array(s) @ pc) for c, t, s in rows)
+
+
+def test_knee():
+    flat = [0.01 + 0.0001 * k for k in range(30)]
+    # the last ten rise far more than their share: kept from where the rise begins, half the reach in
+    assert 5 <= aggregates.knee(flat + [0.1 * k for k in range(1, 11)], 40, 3) <= 15
+    assert aggregates.knee(flat[:12], 12, 3) == 3 and aggregates.knee([0.0] * 20, 20, 4) == 4 and aggregates.knee([1.0], 5, 2) == 2
