@@ -210,3 +210,20 @@ def _b6(spark, sf):
     side = lambda x, y: rows.select("frame", "marker", F.col(x).alias("x"), F.col(y).alias("y"))
     sinks.write_matched_points(side("y", "z"), side("z", "y"), path, "frame", "marker", markers(rows))
     return readers.read_xma_points(spark, path)
+
+
+_CAMS = ["cart", "click", "error", "purchase", "signup", "view"]
+
+
+@BOOK.add(
+    "a2_list_frames",
+    f"WITH {FRAMES} SELECT event::INTEGER AS event_no, list_position([{', '.join(repr(c) for c in _CAMS)}], cam)::INTEGER AS cam, max(frame_no)::INTEGER AS frame_no, arg_max(t, frame_no) AS ts_ns, count(*) AS length FROM frames GROUP BY event, cam",
+)
+def _a2(spark, sf):
+    """A file for the last frame of each event and camera, as long as the camera has frames."""
+    folder = place(spark, "images")
+    last = frames(spark, sf).groupBy("event", "cam").agg(F.max("frame_no").alias("n"), F.max_by("t", "frame_no").alias("t"), F.count("*").alias("size"))
+    number = F.array_position(F.array(*map(F.lit, _CAMS)), F.col("cam"))
+    name = F.format_string("subj_20240101_walk_session1_cam%d_event%d_frame%d_%d_1200-00.jpg", number, "event", "n", "t")
+    last.select(F.concat(F.lit(f"{folder}/"), name).alias("path"), "size").mapInPandas(recording.write_files, "path string").write.format("noop").mode("overwrite").save()
+    return readers.list_frames(spark, folder, "*.jpg").select("event_no", "cam", "frame_no", "ts_ns", "length")

@@ -236,6 +236,15 @@ def _create(path: str):
     return store.open_output_stream(name)
 
 
+def write_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For mapInPandas over (path, size): a file of that many zero bytes each."""
+    for pdf in batches:
+        for path, size in zip(pdf["path"], pdf["size"], strict=True):
+            with _create(path) as f:
+                f.write(b"\0" * int(size))
+        yield pdf[["path"]]
+
+
 def write_recordings(df: DataFrame, folder: str, recording: str, channel: str, index: str, value: str, channels: int, header_bytes: int = 32) -> DataFrame:
     """(recording, path, samples) of one file for each recording: a packet for each run of samples that all channels have in turn; a recording is written by one task, in sample order."""
     kind = df.schema[recording].dataType.simpleString()
