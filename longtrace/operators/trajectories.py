@@ -151,14 +151,14 @@ def error_slices(df: DataFrame, keys: list[str], frame: str, error: str, height:
 
 
 def on_lines(df: DataFrame, found: DataFrame, keys: list[str], frame: str, values: list[str], order: str) -> DataFrame:
-    """df with line_<value>: the straight line through the values at first and last of the slice of found that holds the frame, of several the one with the largest `order`."""
+    """df with line_<value>: the straight line through the values at first and last of the slice of found that holds the frame, of several the one with the largest `order`, then the shortest."""
     ends = found.select(*keys, "first", "last", F.col(order).alias("_order"))
     for side in ("first", "last"):
         ends = ends.join(df.select(*keys, F.col(frame).alias(side), *(F.col(v).alias(f"_{side}_{v}") for v in values)), [*keys, side])
     share = F.coalesce((F.col(frame) - F.col("first")) / F.when(F.col("last") > F.col("first"), F.col("last") - F.col("first")), F.lit(0.0))
     spread = ends.withColumn(frame, F.explode(F.sequence("first", "last")))
     line = F.struct(*((F.col(f"_first_{v}") + (F.col(f"_last_{v}") - F.col(f"_first_{v}")) * share).alias(f"line_{v}") for v in values))
-    chosen = spread.groupBy(*keys, frame).agg(F.max_by(line, F.struct("_order", "first")).alias("_line"))
+    chosen = spread.groupBy(*keys, frame).agg(F.max_by(line, F.struct("_order", "first", -F.col("last"))).alias("_line"))
     return df.join(chosen, [*keys, frame], "left").select(*df.columns, *(F.col(f"_line.line_{v}") for v in values))
 
 
@@ -507,7 +507,7 @@ def velocity_jumps(df: DataFrame, keys: list[str], frame: str, velocity: str, or
 
 
 def velocity_jump_filter(df: DataFrame, keys: list[str], frame: str, value: str, velocity: str, longest: int = 200, chunk: int = 1 << 16, **limits) -> DataFrame:
-    """(keys, frame, filtered): within velocity_jumps value follows the straight line between the window's ends, in windows of longest frames or more it is NULL; of several windows the last counts."""
+    """(keys, frame, filtered): within velocity_jumps value follows the straight line between the window's ends, in windows of longest frames or more it is NULL; of several windows the last counts, of those that begin together the shortest."""
     found = velocity_jumps(df, keys, frame, velocity, chunk=chunk, **limits)
     lined = on_lines(df.select(*keys, frame, value), found, keys, frame, [value], "first")
     long_ = found.where(F.col("last") - F.col("first") + 1 >= longest).select(*keys, F.explode(F.sequence("first", "last")).alias(frame), F.lit(True).alias("_long")).distinct()

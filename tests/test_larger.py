@@ -1,6 +1,9 @@
 """Values that only larger tables show: long event numbers, ties between windows, layouts of written files."""
 
+import itertools
+
 from longtrace.operators.scalar import parse_series_name, series_name
+from longtrace.operators.trajectories import on_lines
 
 
 def test_series_names_of_long_event_numbers(spark):
@@ -9,3 +12,12 @@ def test_series_names_of_long_event_numbers(spark):
     assert dict(named.collect()) == {7: "view_s_2_e_007_timestamps", 1234: "view_s_1_e_123_timestamps"}
     parts = parse_series_name(named["name"])
     assert {tuple(r) for r in named.select(parts["experiment"], parts["session"], parts["event"]).collect()} == {("view", 2, 7), ("view", 1, 123)}
+
+
+def test_windows_that_begin_together(spark):
+    rows = spark.createDataFrame([(1, f, float(f * f)) for f in range(12)], "k long, f long, y double")
+    for windows in itertools.permutations([(1, 2, 5), (1, 2, 9), (1, 2, 7)]):
+        found = spark.createDataFrame(windows, "k long, first long, last long").coalesce(1)
+        lined = dict(on_lines(rows, found, ["k"], "f", ["y"], "first").select("f", "line_y").collect())
+        # slopes of y = f * f from 2 to 5, 7 and 9
+        assert lined == {f: None if not 2 <= f <= 9 else 4.0 + (f - 2) * (7 if f <= 5 else 9 if f <= 7 else 11) for f in range(12)}
