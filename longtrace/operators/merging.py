@@ -61,6 +61,43 @@ def refractory_sums(pairs: DataFrame, keys: list[str], bins: int, width: int) ->
     return pairs.groupBy(*keys).agg(F.array(*sides, *near).alias("sums"))
 
 
+def refractory_counts(a: DataFrame, b: DataFrame, keys: list[str], time: str, bins: int, width: int) -> DataFrame:
+    """(keys, sums) as refractory_sums gives them for all pairs of a's and b's events at most bins * width apart, without making pairs.
+
+    Times are whole numbers. All counts are of distances in ranges, so of each event of
+    a it is only asked how many of b lie up to each range's ends: both sides are dealt
+    to stretches of time, b's to the ones beside too, and looked up in order. Events of
+    one time are counted first.
+    """
+    most = bins * width
+    reach = lambda k: k * width - width // 2
+    low = lambda k: max(-most, reach(k) if k > 0 else -(reach(1 - k) - 1))
+    high = lambda k: min(most, reach(k + 1) - 1 if k >= 0 else -reach(-k))
+    spans = lambda rs, s: [(low(r.start), high(r.stop - 1)) if s > 0 else (low(1 - r.stop), high(-r.start)) for r in rs if len(r)]
+    held = [spans(rs, s) for s in (1, -1) for rs in ranges(bins).values()]
+    held += [[(low(-i), high(-1)), (low(1), high(i))] for i in range(1, WIDTHS + 1)]
+    held = [[(x, y) for x, y in parts if x <= y] for parts in [*held, [(-most, most)]]]
+    edges = sorted({e for parts in held for x, y in parts for e in (x, y + 1)})
+    place = {e: k for k, e in enumerate(edges)}
+    times = lambda df: df.groupBy(*keys, F.col(time).alias("t")).agg(F.count("*").alias("n")).withColumn("_k", F.floor(F.col("t") / (most + 1)))
+    left = times(a)
+    right = times(b).withColumn("_k", F.explode(F.array(F.col("_k") - 1, "_k", F.col("_k") + 1)))
+
+    def run(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        y = y.sort_values("t")
+        t, before = y["t"].to_numpy(), np.concatenate([[0], np.cumsum(y["n"].to_numpy())])
+        at, n = x["t"].to_numpy(), x["n"].to_numpy()
+        below = [int((before[np.searchsorted(t, at + e)] * n).sum()) for e in edges]
+        found = [sum(below[place[hi + 1]] - below[place[lo]] for lo, hi in parts) for parts in held]
+        return pd.DataFrame([(*key[: len(keys)], found)], columns=[*keys, "c"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in a.schema}
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", c array<long>"
+    counts = left.groupBy(*keys, "_k").cogroup(right.groupBy(*keys, "_k")).applyInPandas(run, schema)
+    total = lambda k: F.sum(F.get("c", F.lit(k)))
+    return counts.groupBy(*keys).agg(F.array(*map(total, range(len(held) - 1))).alias("sums"), total(len(held) - 1).alias("_all")).where("_all > 0").drop("_all")
+
+
 def least_scores(sums: np.ndarray, bins: int, flipped: bool = False) -> tuple[float, float]:
     """(Q, R) of one pair's sums: the least rate next to zero over the larger baseline, and the least chance of so few there; without a baseline infinite."""
     size = [sum(len(r) for r in rs) for rs in ranges(bins).values()]

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from longtrace.operators.classes import partial_moments
-from longtrace.operators.joins import spike_pairs
-from longtrace.operators.merging import BINS, WIDTH, least_scores, refractory_sums
+from longtrace.operators.merging import BINS, WIDTH, least_scores, refractory_counts
 from longtrace.plans.standins import Book, events
 from longtrace.session import remove, written
 
@@ -144,7 +143,7 @@ def split_units(df: DataFrame, unit: str, time: str, vector: str, bins: int = 50
     shape = means.groupBy(unit).agg(F.corr("a", "b").alias("correlation"), size(F.collect_list("a")).alias("_a"), size(F.collect_list("b")).alias("_b"))
     stats = told.groupBy(unit).agg(F.count("*").alias("n"), F.count_if(F.col("side") == 0).alias("n_low"), F.avg(F.when(F.col("side") == 0, F.col("sure"))).alias("sure_low"), F.avg(F.when(F.col("side") == 1, F.col("sure"))).alias("sure_high"))
     sides = [told.where(F.col("side") == k).select(unit, time) for k in (0, 1)]
-    counted = refractory_sums(spike_pairs(*sides, [unit], time, bins * width), [unit], bins, width)
+    counted = refractory_counts(*sides, [unit], time, bins, width)
 
     @F.pandas_udf("q double, r double")
     def scored(sums: pd.Series) -> pd.DataFrame:
