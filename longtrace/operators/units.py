@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from longtrace.functions.carry import carried
 from longtrace.functions.islands import band_join, islands
-from longtrace.operators.joins import spike_pairs
 from longtrace.operators.signals import SNIP, snippets, snips
 from longtrace.plans.standins import HOUR, SIGNAL, SPIKES, Book, signal, spikes
 from longtrace.session import remove, written
@@ -304,23 +303,58 @@ def _k8(spark, sf):
     return found.select("grp", "n", *(F.round(c, 3).alias(c) for c in ("low_mean", "high_mean", "threshold")), "split")
 
 
+def ranks(points: DataFrame, marks: DataFrame, key: str, at: str, chunk: int) -> DataFrame:
+    """marks with `rank`: how many points of its key lie before the mark (`at`); a point and a mark at the same place don't count."""
+    both = marks.withColumns({"_at": 2 * F.col(at), "_one": F.lit(0)}).unionByName(points.select(key, (2 * F.col(at) + 1).alias("_at"), F.lit(1).alias("_one")), allowMissingColumns=True)
+    return carried(both, [key], "_at", 2 * chunk, total={"rank": F.col("_one")}).where("_one = 0").drop("_at", "_one")
+
+
+def covered_spans(truth: DataFrame, test: DataFrame, key: str, time: str, unit: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """(key, unit, _lo, _hi): the runs of a key's truth times, by number, that have an event of the unit at most `most` away; (key, unit, _mb): how many times of the unit have such a truth event.
+
+    A unit's times with less than twice `most` between them reach over one stretch, whose
+    ends are looked up among the truth times: no pair of events is made.
+    """
+    points = truth.select(key, F.col(time).alias("_t")).distinct()
+    own = test.select(key, unit, time).distinct()
+    chunk = 64 * (most + 1)
+    ends = lambda df, low, high: df.select(*df.columns, F.inline(F.array(F.struct((F.col(low) - most).alias("_t"), F.lit(0).alias("_side")), F.struct((F.col(high) + most + 1).alias("_t"), F.lit(1).alias("_side")))))
+    side = lambda k: F.max(F.when(F.col("_side") == k, F.col("rank")))
+    found = lambda df, by, low, high: ranks(points, ends(df, low, high), key, "_t", chunk).groupBy(*by).agg(side(0).alias("_lo"), side(1).alias("_hi")).where("_hi > _lo")
+    runs = islands(own, [key, unit], time, 2 * most + 1, chunk).drop("n")
+    spans = found(runs, [key, unit, "first", "last"], "first", "last").select(key, unit, "_lo", "_hi")
+    return spans, found(own, [key, unit, time], time, time).groupBy(key, unit).agg(F.count("*").alias("_mb"))
+
+
+def less_covered(spans: DataFrame, taken: DataFrame, key: str, chunk: int = 1 << 16) -> DataFrame:
+    """spans without the numbers in `taken` (key, _lo, _hi; disjoint), the numbers left being counted anew, so that a span stays one; spans without any go."""
+    cuts = carried(taken, [key], "_lo", chunk, total={"_sum": F.col("_hi") - F.col("_lo")})
+    cuts = cuts.select(key, F.col("_lo").alias("_at"), F.struct("_lo", "_hi", (F.col("_sum") - F.col("_hi") + F.col("_lo")).alias("before")).alias("_cut"))
+    columns = [c for c in spans.columns if c not in ("_lo", "_hi")]
+    ends = spans.withColumn("_id", F.struct("_lo", "_hi")).select(*columns, "_id", F.inline(F.array(F.struct(F.col("_lo").alias("_at"), F.lit(0).alias("_side")), F.struct(F.col("_hi").alias("_at"), F.lit(1).alias("_side")))))
+    seen = carried(ends.unionByName(cuts, allowMissingColumns=True), [key], "_at", chunk, before={"_last": F.col("_cut")}).where("_cut is null")
+    moved = F.col("_at") - F.coalesce(F.col("_last.before") + F.least("_at", "_last._hi") - F.col("_last._lo"), F.lit(0))
+    side = lambda k: F.max(F.when(F.col("_side") == k, moved))
+    return seen.groupBy(*columns, "_id").agg(side(0).alias("_lo"), side(1).alias("_hi")).where("_hi > _lo").select(*columns, "_lo", "_hi")
+
+
 def merge_by_agreement(truth: DataFrame, test: DataFrame, key: str, time: str, unit: str, most: int, gain: float, rounds: int = 1000) -> DataFrame:
     """(key, unit, round, score): per key, test units are added to the union one by one, the best first, while the score 1 - (miss + false positives) grows by more than gain.
 
-    Matches are found once. A round counts, for each open unit, the truth events that
-    only it would add; the events that the chosen one covers and the chosen unit then
-    go from the matches, which are written smaller each time, and only sums of a row
-    for each key go on. The loop ends when no key improves; more than `rounds` raise.
+    What a unit covers is kept as spans of numbers of the truth times, at most one for
+    each of its events. A round adds up, for each open unit, the truth events that only
+    it would add; the spans of the chosen one are then taken out of all others, which
+    are written anew, and only sums of a row for each key go on. The loop ends when no
+    key improves; more than `rounds` raise.
     """
-    pairs = written(spike_pairs(truth.select(key, time), test.select(key, unit, time), [key], time, most, [unit]).select(key, F.col(f"{unit}_b").alias(unit), "t_a", "t_b"), "agreement_pairs")
-    own = pairs.groupBy(key, unit).agg(F.count_distinct("t_b").alias("_mb"))
+    hits, own = covered_spans(truth, test, key, time, unit, most)
+    hits = written(hits, "agreement_hits")
     sizes = written(test.groupBy(key, unit).agg(F.count("*").alias("_nu")).join(own, [key, unit], "left").na.fill(0, ["_mb"]), "agreement_sizes")
-    hits = written(pairs.select(key, unit, "t_a").distinct(), "agreement_hits")
     zero = F.lit(0).cast("long")
     state = truth.groupBy(key).agg(F.count("*").alias("_nt")).select(key, "_nt", zero.alias("_a"), zero.alias("_b"), zero.alias("_n"), F.lit(float("-inf")).alias("_best"))
     open_units, result = sizes, None
     for k in range(1, rounds + 1):
-        added = hits.groupBy(key, unit).agg(F.count("*").alias("_new"))
+        added = hits.groupBy(key, unit).agg(F.sum(F.col("_hi") - F.col("_lo")).alias("_new"))
         rows = open_units.join(state, key).join(added, [key, unit], "left").na.fill(0, ["_new"])
         a, b, n = F.col("_a") + F.col("_new"), F.col("_b") + F.col("_mb"), F.col("_n") + F.col("_nu")
         scored = rows.where("_mb > 0").select(key, unit, "_nt", a.alias("_a"), b.alias("_b"), n.alias("_n"), "_best", F.round(1 - ((1 - a / F.col("_nt")) + (1 - b / n)), 9).alias("score"))
@@ -330,9 +364,9 @@ def merge_by_agreement(truth: DataFrame, test: DataFrame, key: str, time: str, u
             return better.select(key, unit, "round", "score") if result is None else result
         told = better.select(key, unit, "round", "score")
         result = told if result is None else result.unionByName(told)
-        covered = hits.join(better.select(key, unit), [key, unit], "left_semi").select(key, "t_a")
-        rest = hits.join(better.select(key), key, "left_semi").join(better.select(key, unit), [key, unit], "left_anti").join(covered, [key, "t_a"], "left_anti")
-        before, hits = hits, written(rest.select(key, unit, "t_a"), "agreement_hits")
+        chosen = hits.join(better.select(key, unit), [key, unit], "left_semi").select(key, "_lo", "_hi")
+        rest = hits.join(better.select(key), key, "left_semi").join(better.select(key, unit), [key, unit], "left_anti")
+        before, hits = hits, written(less_covered(rest, chosen, key).select(key, unit, "_lo", "_hi"), "agreement_hits")
         remove(before)
         # a key that doesn't improve has no row any more
         open_units = sizes.join(result.select(key, unit), [key, unit], "left_anti")

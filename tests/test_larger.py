@@ -1,7 +1,12 @@
 """Values that only larger tables show: long event numbers, ties between windows, layouts of written files."""
 
 import itertools
+import random
 
+import pytest
+
+from longtrace.operators import merging, units
+from longtrace.operators.joins import spike_pairs
 from longtrace.operators.scalar import parse_series_name, series_name
 from longtrace.operators.trajectories import on_lines
 
@@ -21,3 +26,52 @@ def test_windows_that_begin_together(spark):
         lined = dict(on_lines(rows, found, ["k"], "f", ["y"], "first").select("f", "line_y").collect())
         # slopes of y = f * f from 2 to 5, 7 and 9
         assert lined == {f: None if not 2 <= f <= 9 else 4.0 + (f - 2) * (7 if f <= 5 else 9 if f <= 7 else 11) for f in range(12)}
+
+
+def plain_agreement(truth, test, most, gain):
+    """The greedy union with every unit's matches as a set."""
+    out = []
+    for key in sorted({k for k, _ in truth}):
+        at = [t for k, t in truth if k == key]
+        own = {u: [t for k, v, t in test if (k, v) == (key, u)] for u in {v for k, v, _ in test if k == key}}
+        near = {u: {t for t in at if any(abs(t - x) <= most for x in ts)} for u, ts in own.items()}
+        good = {u: len({x for x in ts if any(abs(t - x) <= most for t in at)}) for u, ts in own.items()}
+        covered, b, n, best = set(), 0, 0, float("-inf")
+        for k in itertools.count(1):
+            scores = {u: round(1 - ((1 - len(covered | near[u]) / len(at)) + (1 - (b + good[u]) / (n + len(own[u])))), 9) for u in own if good[u]}
+            top = max(scores, key=lambda u: (scores[u], -u), default=None)
+            if top is None or scores[top] <= best + gain:
+                break
+            out.append((key, top, k, scores[top]))
+            best, covered, b, n = scores[top], covered | near[top], b + good[top], n + len(own[top])
+            del own[top]
+    return out
+
+
+@pytest.mark.parametrize("most", [0, 4, 500])
+def test_agreement_without_pairs_of_events(spark, monkeypatch, most):
+    rng, sizes = random.Random(most), []
+    truth = [(k, rng.randint(0, 900)) for k in (1, 2) for _ in range(100)]
+    test = [(k, u, rng.randint(-40, 940)) for k in (1, 2) for u in range(6) for _ in range(rng.randint(1, 40))]
+    write = units.written
+
+    def written(df, name):
+        table = write(df, name)
+        sizes.append(table.count())
+        return table
+
+    monkeypatch.setattr(units, "written", written)
+    found = units.merge_by_agreement(spark.createDataFrame(truth, "g int, t long"), spark.createDataFrame(test, "g int, u int, t long"), "g", "t", "u", most, 0.0)
+    assert sorted(map(tuple, found.select("g", "u", "round", "score").collect())) == sorted(plain_agreement(truth, test, most, 0.0))
+    assert max(sizes) <= len(test)
+
+
+@pytest.mark.parametrize("bins, width", [(60, 7), (5, 10), (12, 1)])
+def test_refractory_counts_without_pairs(spark, bins, width):
+    rng = random.Random(bins)
+    rows = [(k, rng.randint(-300, 2000)) for k in (1, 2) for _ in range(150)]
+    a, b = spark.createDataFrame(rows[::2], "k int, t long"), spark.createDataFrame([*rows[1::2], (3, 0)], "k int, t long")
+    wanted = merging.refractory_sums(spike_pairs(a, b, ["k"], "t", bins * width), ["k"], bins, width)
+    found = merging.refractory_counts(a.union(spark.createDataFrame([(3, bins * width + 1)], a.schema)), b, ["k"], "t", bins, width)
+    assert "t_b" not in found._jdf.queryExecution().toString()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
