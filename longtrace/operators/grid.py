@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from longtrace.functions.few import with_each
 from longtrace.operators.sequence import EVENTS, HOUR, segments
 from longtrace.plans.standins import ELECTRODES, FRAMES, SIGNAL, SPIKES, Book, electrodes, frames, signal, spikes
+from longtrace.session import remove, written
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
@@ -131,17 +134,42 @@ def _h11(spark, sf):
     return channel_order_swap(counts, "grp", "unit", "n")
 
 
-def nearest_channels(sites: DataFrame, key: str, x: str, y: str, k: int, block: int = 1 << 16) -> DataFrame:
-    """(key, other, distance, rank): the k closest sites of each site, itself first; sites are counted and sent to the tasks in blocks, and a site's k closest go on from block to block."""
-    n = max(1, -(-sites.count() // block))
-    kind = sites.schema[key].dataType.simpleString()
-    rows = sites.select(key, F.col(x).alias("_x"), F.col(y).alias("_y"), F.array().cast(f"array<struct<d:double,k:{kind}>>").alias("_near"))
-    far = lambda s: F.sqrt((s["x"] - F.col("_x")) ** 2 + (s["y"] - F.col("_y")) ** 2)
-    for part in range(n):
-        listed = sites.where(F.pmod(F.xxhash64(key), F.lit(n)) == part).agg(F.collect_list(F.struct(F.col(key).alias("k"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))).alias("_l"))
-        new = F.transform("_l", lambda s: F.struct(far(s).alias("d"), s["k"].alias("k")))
-        rows = rows.join(F.broadcast(listed), F.lit(True)).withColumn("_near", F.slice(F.array_sort(F.concat("_near", new)), 1, k)).drop("_l")
-    return rows.select(key, F.posexplode("_near").alias("rank", "n")).select(key, F.col("n.k").alias("other"), F.round("n.d", 5).alias("distance"), (F.col("rank") + 1).alias("rank"))
+def nearest_channels(sites: DataFrame, key: str, x: str, y: str, k: int, most: int = 64) -> DataFrame:
+    """(key, other, distance, rank): the k closest sites of each site, itself first, ties by key; sites without a place are left out.
+
+    Places are looked at once, and of a place's sites the k smallest are enough for all.
+    Cells are made so small that none holds more than `most` places. A place looks at
+    its cell and the eight around it; if its k closest are nearer than a cell is wide,
+    it is done, else it goes on with cells twice as wide, until a cell holds all.
+    """
+    placed = sites.select(key, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).where("_x is not null and _y is not null")
+    listed = written(first_n(placed, ["_x", "_y"], [key], k), "sites")
+    low_x, high_x, low_y, high_y = listed.agg(F.min("_x"), F.max("_x"), F.min("_y"), F.max("_y")).first()
+    wide = max(high_x - low_x, high_y - low_y) * 1.001 or 1.0 if low_x is not None else 1.0
+    cell = lambda c, low, w: F.floor((F.col(c) - F.lit(low or 0.0)) / w)
+    cells = lambda df, w: df.withColumns({"_cx": cell("_x", low_x, w), "_cy": cell("_y", low_y, w)})
+    width, places = wide, listed.select("_x", "_y").distinct()
+    # cells of 2 ** -40 of all are as small as doubles can tell
+    while width > wide / 2**40 and (cells(places, width).groupBy("_cx", "_cy").count().agg(F.max("count")).first()[0] or 0) > most:
+        width /= 2
+    todo, found = written(places, "places"), []
+    around = lambda c: F.explode(F.array(F.col(c) - 1, c, F.col(c) + 1))
+    while True:
+        beside = cells(todo, width).withColumn("_cx", around("_cx")).withColumn("_cy", around("_cy"))
+        other = cells(listed, width).select("_cx", "_cy", F.col("_x").alias("_ox"), F.col("_y").alias("_oy"), F.col(key).alias("other"))
+        met = beside.join(other, ["_cx", "_cy"]).withColumn("d", F.sqrt((F.col("_ox") - F.col("_x")) ** 2 + (F.col("_oy") - F.col("_y")) ** 2))
+        rank = Window.partitionBy("_x", "_y").orderBy("d", "other")
+        near = met.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).groupBy("_x", "_y").agg(F.array_sort(F.collect_list(F.struct("rank", "other", "d"))).alias("_near"))
+        done = (F.size("_near") == k) & (F.element_at("_near", -1)["d"] < width * (1 - 1e-9))
+        now = written(near.withColumn("_done", F.lit(True) if width >= wide else done), "nearest")
+        found.append(now.where("_done").drop("_done"))
+        before, todo = todo, written(now.where("not _done").select("_x", "_y"), "places")
+        remove(before)
+        if todo.isEmpty():
+            break
+        width *= 2
+    told = reduce(DataFrame.union, found)
+    return placed.join(told, ["_x", "_y"]).select(key, F.inline("_near")).select(key, "other", F.round("d", 5).alias("distance"), "rank")
 
 
 @BOOK.add("h12_nearest_channels", f"WITH {ELECTRODES}, d AS (SELECT a.channel, b.channel AS other, sqrt(pow(a.ex - b.ex, 2) + pow(a.ey - b.ey, 2)) AS d FROM electrodes a CROSS JOIN electrodes b) SELECT * FROM (SELECT channel, other, round(d, 5) AS distance, row_number() OVER (PARTITION BY channel ORDER BY d, other)::INTEGER AS rank FROM d) WHERE rank <= 4")

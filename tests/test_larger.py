@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from longtrace.operators import merging, units
+from longtrace.operators import grid, merging, units
 from longtrace.operators.joins import spike_pairs
 from longtrace.operators.scalar import parse_series_name, series_name
 from longtrace.operators.trajectories import on_lines
@@ -75,3 +75,20 @@ def test_refractory_counts_without_pairs(spark, bins, width):
     found = merging.refractory_counts(a.union(spark.createDataFrame([(3, bins * width + 1)], a.schema)), b, ["k"], "t", bins, width)
     assert "t_b" not in found._jdf.queryExecution().toString()
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_nearest_channels_in_cells(spark):
+    rng = random.Random(3)
+    crowd = [(rng.randint(0, 3) / 4096, rng.randint(0, 3) / 4096) for _ in range(40)]
+    places = [*crowd, *((rng.randint(0, 30) / 2, rng.randint(0, 9) / 2) for _ in range(60)), (9000.0, -40.0), (9000.0, -41.0)]
+    sites = [(k, x, y) for k, (x, y) in enumerate(places)]
+    plain = []
+    for k, x, y in sites:
+        near = sorted((((a - x) ** 2 + (b - y) ** 2) ** 0.5, other) for other, a, b in sites)[:4]
+        plain += [(k, other, round(d, 5), r + 1) for r, (d, other) in enumerate(near)]
+    df = spark.createDataFrame(sites, "k long, x double, y double")
+    found = grid.nearest_channels(df, "k", "x", "y", 4, 8)
+    assert sorted(map(tuple, found.collect())) == sorted(plain)
+    assert "NestedLoop" not in found._jdf.queryExecution().toString()
+    assert grid.nearest_channels(df.limit(2), "k", "x", "y", 4).count() == 4
+    assert grid.nearest_channels(df.limit(0), "k", "x", "y", 4).count() == 0
