@@ -16,13 +16,15 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def append_new(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None) -> None:
-    """Append the rows whose key isn't stored yet; a second run appends nothing."""
+def append_new(df: DataFrame, path: str, keys: list[str], together: list[str] | None = None) -> None:
+    """Append the rows whose key isn't stored yet; a second run appends nothing. Rows equal in `together` stand together in one file, in order, and a file holds many such."""
     old = stored(df.sparkSession, path)
     rows = df.dropDuplicates(keys)
     if old is not None:
         rows = rows.join(old.select(*keys).distinct(), keys, "left_anti")
-    rows.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
+    if together:
+        rows = rows.repartition(*together).sortWithinPartitions(*together, *(k for k in keys if k not in together))
+    rows.write.mode("append").parquet(path)
 
 
 def write_intervals(df: DataFrame, path: str) -> None:
@@ -33,7 +35,7 @@ def write_intervals(df: DataFrame, path: str) -> None:
 def write_frame_times(df: DataFrame, path: str) -> None:
     """Frame times, once per series; a stored series is skipped whole."""
     series = ["session_id", "exp_name", "video_session", "event_no"]
-    append_new(df, path, [*series, "frame_idx"], ["session_id", "exp_name"])
+    append_new(df, path, [*series, "frame_idx"], series)
 
 
 def write_nested_results(df: DataFrame, path: str, keys: list[str]) -> None:

@@ -4,11 +4,13 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from longtrace.operators import grid, merging, units
 from longtrace.operators.joins import spike_pairs
 from longtrace.operators.scalar import parse_series_name, series_name
 from longtrace.operators.trajectories import on_lines
+from longtrace.sources import queries, sinks
 
 
 def test_series_names_of_long_event_numbers(spark):
@@ -92,3 +94,23 @@ def test_nearest_channels_in_cells(spark):
     assert "NestedLoop" not in found._jdf.queryExecution().toString()
     assert grid.nearest_channels(df.limit(2), "k", "x", "y", 4).count() == 4
     assert grid.nearest_channels(df.limit(0), "k", "x", "y", 4).count() == 0
+
+
+def test_frame_times_in_few_files(spark, tmp_path):
+    rows = spark.createDataFrame([(f"s{e}", c, 0, e, f, 10 * f) for e in range(60) for c in "ab" for f in range(5)], "session_id string, exp_name string, video_session int, event_no int, frame_idx long, t long").repartition(6)
+    path = str(tmp_path / "times")
+    for part in (rows.where("frame_idx < 3"), rows, rows):
+        sinks.write_frame_times(part, path)
+    back = spark.read.parquet(path)
+    assert sorted(map(tuple, back.select(*rows.columns).collect())) == sorted(map(tuple, rows.collect()))
+    assert len(list(tmp_path.rglob("*.parquet"))) <= 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    series = back.select("session_id", "exp_name", "event_no", F.input_file_name().alias("file")).where("frame_idx < 3").distinct()
+    assert series.count() == 120
+
+
+def test_one_file_an_event_and_few_for_drop_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "place", lambda spark, name: str(tmp_path / name))
+    events = queries.QUERIES["a1_read_pose3d_csv"](spark, "/root/testdata/sf0.001").select("event").distinct().count()
+    assert len(list(tmp_path.rglob("pose/event=*/*.csv"))) == events
+    queries.QUERIES["a3_read_drop_records"](spark, "/root/testdata/sf0.001")
+    assert 0 < len([p for p in (tmp_path / "drops").rglob("part-*")]) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
