@@ -41,9 +41,9 @@ def _a3(spark, sf):
     rows, path = frames(spark, sf), place(spark, "drops")
     missing = frame_gaps(rows, "event", "cam", "frame_no").select("event", "cam", F.explode(F.sequence("first_missing", "last_missing")).alias("f"))
     text = missing.groupBy("event", "cam").agg(F.concat(F.array_join(F.transform(F.array_sort(F.collect_list("f")), lambda x: x.cast("string")), ","), F.lit(",")).alias("value"))
-    text.write.partitionBy("event", "cam").text(path)
+    text.write.option("sep", "\t").csv(path)
     counts = rows.groupBy("event").agg((F.max("frame_no") - 2).alias("n_frames"))
-    lines = spark.read.text(path).select(F.col("event").cast("long"), F.col("cam").cast("string"), "value").join(counts, "event")
+    lines = spark.read.schema("event long, cam string, value string").option("sep", "\t").csv(path).join(counts, "event")
     return readers.parse_drop_records(lines, "value", ["event", "cam"], "n_frames")
 
 
