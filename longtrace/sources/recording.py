@@ -30,6 +30,33 @@ class Span(InputPartition):
         self.path, self.offset, self.rows, self.first = path, offset, rows, first
 
 
+#: Spans are dealt to tasks until these bytes are reached; opening a file counts as so many.
+SHARE, OPENING = 4 << 20, 64 << 10
+#: Rows of one batch, about.
+BATCH = 1 << 16
+
+
+class Share(InputPartition):
+    """Spans of a task, and paths of files that it looks through itself; rows: those that spans read from files, offset: where the first of these lies, or None."""
+
+    def __init__(self, items: list):
+        self.items = items
+        read = [x for x in items if isinstance(x, Span) and x.offset is not None]
+        self.rows, self.offset = sum(x.rows for x in read), read[0].offset if read else None
+
+
+def shares(sized: Iterator[tuple]) -> list[Share]:
+    """Items (item, bytes) dealt in order to as few tasks as SHARE allows."""
+    out, held, size = [], [], 0
+    for item, n in sized:
+        held.append(item)
+        size += n + OPENING
+        if size >= SHARE:
+            out.append(Share(held))
+            held, size = [], 0
+    return [*out, Share(held)] if held else out
+
+
 def bounds(filters: list, column: str) -> tuple[int | None, int | None, list]:
     """(least, past the most, what is left) of the filters on a column of whole numbers."""
     low, high, left = None, None, []
@@ -63,7 +90,8 @@ def listed(filters: list, column: str) -> tuple[set | None, list]:
 class SampleReader(DataSourceReader):
     """Packets are found by hopping over their heads, one small read each; their rows are cut into ranges of split_bytes.
 
-    Packets shorter than the stride are skipped. One that begins before the end of the
+    Files no longer than split_bytes are looked through by the task that reads them. A
+    task takes many spans, and many files. Packets shorter than the stride are skipped. One that begins before the end of the
     one before it starts the recording anew: nothing before it counts. Samples between
     packets, and before the first one, are zeros. Ranges and channels that are asked
     for, by options or by filters, decide which bytes are read.
@@ -96,35 +124,58 @@ class SampleReader(DataSourceReader):
                 at += n * width
         return found
 
-    def partitions(self) -> list[Span]:
-        spans, width = [], 2 * self.channels
+    def spans(self, path: str) -> Iterator[Span]:
+        width, end = 2 * self.channels, 0
         step = max(1, self.split // width)
 
-        def add(path: str, offset: int | None, first: int, n: int) -> None:
+        def cut(offset: int | None, first: int, n: int) -> Iterator[Span]:
             low, high = max(first, self.start), first + n if self.stop is None else min(first + n, self.stop)
-            spans.extend(Span(path, None if offset is None else offset + (k - first) * width, min(step, high - k), k) for k in range(low, high, step))
-
-        for path in self.paths:
-            end = 0
-            for start, n, offset in self.packets(path):
-                if self.fill and start > end:
-                    add(path, None, end, start - end)
-                add(path, offset, start, n)
-                end = start + n
-        return spans
-
-    def read(self, span: Span) -> Iterator[pa.RecordBatch]:
-        index = span.first + np.arange(span.rows)
-        keep = index % self.every == 0
-        if span.offset is None:
-            rows = np.zeros((span.rows, self.channels), "<i2")
-        else:
-            with _open(span.path) as f:
-                f.seek(span.offset)
-                rows = np.frombuffer(f.read(span.rows * 2 * self.channels), "<i2").reshape(-1, self.channels)
-        n = int(keep.sum())
-        for channel in self.pick:
-            yield pa.RecordBatch.from_arrays([pa.array([span.path] * n, pa.string()), pa.array(np.full(n, channel, np.int32)), pa.array(index[keep]), pa.array(rows[keep, channel])], ["path", "channel_id", "sample_idx", "v"])
+            for k in range(low, high, step):
+                yield Span(path, None if offset is None else offset + (k - first) * width, min(step, high - k), k)
+
+        for start, n, offset in self.packets(path):
+            if self.fill and start > end:
+                yield from cut(None, end, start - end)
+            yield from cut(offset, start, n)
+            end = start + n
+
+    def partitions(self) -> list[Share]:
+        def sized() -> Iterator[tuple]:
+            for path in self.paths:
+                with _open(path) as f:
+                    size = f.size()
+                if size <= self.split:
+                    yield path, size
+                else:
+                    yield from ((x, 2 * self.channels * x.rows) for x in self.spans(path))
+
+        return shares(sized())
+
+    def read(self, share: Share) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for item in share.items:
+            for span in self.spans(item) if isinstance(item, str) else [item]:
+                index = span.first + np.arange(span.rows)
+                keep = index % self.every == 0
+                if span.offset is None:
+                    rows = np.zeros((span.rows, self.channels), "<i2")
+                else:
+                    with _open(span.path) as f:
+                        f.seek(span.offset)
+                        rows = np.frombuffer(f.read(span.rows * 2 * self.channels), "<i2").reshape(-1, self.channels)
+                held.append((span.path, index[keep], rows[keep]))
+                size += int(keep.sum()) * len(self.pick)
+                if size >= BATCH:
+                    yield self._batch(held)
+                    held, size = [], 0
+        if held:
+            yield self._batch(held)
+
+    def _batch(self, held: list[tuple]) -> pa.RecordBatch:
+        n, index, rows = [len(i) for _, i, _ in held], np.concatenate([i for _, i, _ in held]), np.concatenate([r for *_, r in held])
+        paths = np.repeat(np.array([p for p, *_ in held], object), n)
+        many = len(self.pick)
+        return pa.RecordBatch.from_arrays([pa.array(np.tile(paths, many), pa.string()), pa.array(np.repeat(np.array(self.pick, np.int32), len(index))), pa.array(np.tile(index, many)), pa.array(rows[:, self.pick].T.reshape(-1))], ["path", "channel_id", "sample_idx", "v"])
 
 
 class AskedSampleReader(SampleReader):
@@ -161,25 +212,42 @@ class PacketReader(DataSourceReader):
         self.split, self.waveforms = int(options.get("split_bytes", 16 << 20)), options.get("waveforms", "true") == "true"
         self.ids = {int(x) for x in options["packet_ids"].split(",")} if options.get("packet_ids") else None
 
-    def partitions(self) -> list[Span]:
-        spans, step = [], max(1, self.split // self.width)
-        for path in self.paths:
-            with _open(path) as f:
-                n = (f.size() - self.header) // self.width
-            spans += [Span(path, self.header + k * self.width, min(step, n - k), k) for k in range(0, n, step)]
-        return spans
-
-    def read(self, span: Span) -> Iterator[pa.RecordBatch]:
+    def partitions(self) -> list[Share]:
+        step = max(1, self.split // self.width)
+
+        def sized() -> Iterator[tuple]:
+            for path in self.paths:
+                with _open(path) as f:
+                    n = (f.size() - self.header) // self.width
+                for k in range(0, n, step):
+                    yield Span(path, self.header + k * self.width, min(step, n - k), k), min(step, n - k) * self.width
+
+        return shares(sized())
+
+    def read(self, share: Share) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for span in share.items:
+            held.append((span.path, self._rows(span)))
+            size += len(held[-1][1])
+            if size >= BATCH:
+                yield self._batch(held)
+                held, size = [], 0
+        if held:
+            yield self._batch(held)
+
+    def _rows(self, span: Span) -> np.ndarray:
         with _open(span.path) as f:
             f.seek(span.offset)
             raw = f.read(span.rows * self.width)
-        kind = np.dtype([("timestamp", "<u4"), ("packet_id", "<u2"), ("payload", f"V{self.width - 6}")])
-        rows = np.frombuffer(raw, kind)
-        if self.ids is not None:
-            rows = rows[np.isin(rows["packet_id"], list(self.ids))]
+        rows = np.frombuffer(raw, np.dtype([("timestamp", "<u4"), ("packet_id", "<u2"), ("payload", f"V{self.width - 6}")]))
+        return rows if self.ids is None else rows[np.isin(rows["packet_id"], list(self.ids))]
+
+    def _batch(self, held: list[tuple]) -> pa.RecordBatch:
+        rows = np.concatenate([r for _, r in held])
+        paths = np.repeat(np.array([p for p, _ in held], object), [len(r) for _, r in held])
         spike = (rows["packet_id"] >= SPIKE_IDS[0]) & (rows["packet_id"] <= SPIKE_IDS[1])
         payload = [bytes(x) if self.waveforms or not s else bytes(x)[:CLASS_BYTES] for x, s in zip(rows["payload"], spike, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array([span.path] * len(rows), pa.string()), pa.array(rows["timestamp"].astype(np.int64)), pa.array(rows["packet_id"].astype(np.int32)), pa.array(payload, pa.binary())], ["path", "timestamp", "packet_id", "payload"])
+        return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(rows["timestamp"].astype(np.int64)), pa.array(rows["packet_id"].astype(np.int32)), pa.array(payload, pa.binary())], ["path", "timestamp", "packet_id", "payload"])
 
 
 class AskedPacketReader(PacketReader):
@@ -272,8 +340,11 @@ def write_packets(df: DataFrame, folder: str, recording: str, timestamp: str, pa
         name, path = pdf["r"].iloc[0], f"{folder}/{pdf['r'].iloc[0]}.ev"
         with _create(path) as f:
             f.write(b"\0" * header_bytes)
-            for t, k, body in pdf.sort_values(["t", "k"])[["t", "k", "p"]].itertuples(index=False):
-                f.write(np.array([t], "<u4").tobytes() + np.array([k], "<u2").tobytes() + bytes(body).ljust(packet_bytes - 6, b"\0"))
+            pdf = pdf.sort_values(["t", "k"])
+            rows = np.empty(len(pdf), [("t", "<u4"), ("k", "<u2"), ("p", f"V{packet_bytes - 6}")])
+            rows["t"], rows["k"] = pdf["t"], pdf["k"]
+            rows["p"] = np.frombuffer(b"".join(bytes(body).ljust(packet_bytes - 6, b"\0") for body in pdf["p"]), f"V{packet_bytes - 6}")
+            f.write(rows.tobytes())
         return pd.DataFrame({"recording": [name], "path": [path], "packets": [len(pdf)]})
 
     rows = df.select(F.col(recording).alias("r"), F.col(timestamp).cast("long").alias("t"), F.col(packet_id).cast("int").alias("k"), F.col(payload).alias("p"))

@@ -10,7 +10,7 @@ from longtrace.operators import grid, merging, units
 from longtrace.operators.joins import spike_pairs
 from longtrace.operators.scalar import parse_series_name, series_name
 from longtrace.operators.trajectories import on_lines
-from longtrace.sources import queries, sinks
+from longtrace.sources import queries, recording, sinks
 
 
 def test_series_names_of_long_event_numbers(spark):
@@ -114,3 +114,16 @@ def test_one_file_an_event_and_few_for_drop_records(spark, tmp_path, monkeypatch
     assert len(list(tmp_path.rglob("pose/event=*/*.csv"))) == events
     queries.QUERIES["a3_read_drop_records"](spark, "/root/testdata/sf0.001")
     assert 0 < len([p for p in (tmp_path / "drops").rglob("part-*")]) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_many_small_recordings_are_few_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([(r, c, i, r + i) for r in range(100) for c in (0, 1) for i in (0, 1, 2, 9, 10)], "r int, c int, i int, v int")
+    paths = [x.path for x in recording.write_recordings(rows, str(tmp_path / "rec"), "r", "c", "i", "v", 2).collect()]
+    scanned = recording.scan_samples(spark, paths, 32, 2, split_bytes=1 << 10)
+    assert scanned.rdd.getNumPartitions() <= 3 and scanned.count() == 100 * 2 * 11
+    assert scanned.agg(F.sum("v")).first()[0] == 2 * sum(r + i for r in range(100) for i in (0, 1, 2, 9, 10))
+    packets = spark.createDataFrame([(r, t, t % 3 + 1, bytes([r, 7])) for r in range(40) for t in range(5)], "r int, t long, k int, p binary")
+    paths = [x.path for x in recording.write_packets(packets, str(tmp_path / "ev"), "r", "t", "k", "p", 12).collect()]
+    found = recording.scan_packets(spark, paths, 8, 12, split_bytes=24)
+    assert found.rdd.getNumPartitions() <= 3
+    assert sorted((r.timestamp, r.packet_id, bytes(r.payload)) for r in found.collect()) == sorted((t, t % 3 + 1, bytes([r, 7, 0, 0, 0, 0])) for r in range(40) for t in range(5))
