@@ -31,8 +31,8 @@ def _a1(spark, sf):
     names = markers(rows)
     wide = sinks.pose_wide(rows, ["event"], "frame", "marker", list(readers.POSE_FIELDS), names)
     ordered = wide.select(*(f"{m}_{f}" for m in names for f in readers.POSE_FIELDS), F.col("frame").alias("fnum"), "event")
-    ordered.write.partitionBy("event").option("header", True).csv(path)
-    back = readers.read_pose3d_csv(spark, path, trailing=1, event_pattern=r"event=(\d+)")
+    ordered.write.option("header", True).csv(path)
+    back = readers.read_pose3d_csv(spark, path, trailing=2, event_column="event")
     return back.where("x is not null").select("event", "marker", "frame", "x", "y", "ncams")
 
 

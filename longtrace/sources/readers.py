@@ -9,18 +9,18 @@ from pyspark.sql import functions as F
 POSE_FIELDS = ("x", "y", "z", "error", "ncams", "score")
 
 
-def read_pose3d_csv(spark: SparkSession, paths: str | list[str], trailing: int = 13, event_pattern: str = r"_e(\d+)") -> DataFrame:
-    """(event, frame, marker, x, y, z, error, ncams, score) from one wide CSV per event.
+def read_pose3d_csv(spark: SparkSession, paths: str | list[str], trailing: int = 13, event_pattern: str = r"_e(\d+)", event_column: str | None = None) -> DataFrame:
+    """(event, frame, marker, x, y, z, error, ncams, score) from one wide CSV per event, or wide CSVs of many events.
 
     A file has the six POSE_FIELDS of every marker as `<marker>_x` and so on, then
     `trailing` columns of metadata, the frame number (`fnum`) among them; the event
-    is the number that event_pattern finds in the file's name.
+    is the number that event_pattern finds in the file's name, or the metadata column event_column.
     """
     wide = spark.read.option("recursiveFileLookup", "true").csv(paths, header=True)
     markers = [c.removesuffix("_error") for c in wide.columns[: len(wide.columns) - trailing] if c.endswith("_error")]
     cell = lambda m, f: F.col(f"`{m}_{f}`").cast("double").alias(f)
     rows = F.array(*(F.struct(F.lit(m).alias("marker"), *(cell(m, f) for f in POSE_FIELDS)) for m in markers))
-    event = F.regexp_extract(F.input_file_name(), event_pattern, 1).cast("int")
+    event = (F.col(event_column) if event_column else F.regexp_extract(F.input_file_name(), event_pattern, 1)).cast("int")
     long = wide.select(event.alias("event"), F.col("fnum").cast("long").alias("frame"), F.inline(rows))
     return long.withColumn("ncams", F.col("ncams").cast("int"))
 
