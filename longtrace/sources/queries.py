@@ -123,7 +123,7 @@ def _b5b(spark, sf):
 @BOOK.add("e17b_written_split", f"WITH {SIGNAL} SELECT channel, i // 1024 AS part, i, v FROM signal")
 def _e17b(spark, sf):
     rows, path = signal(spark, sf), place(spark, "split")
-    sinks.save_subset(rows.select("channel", "i", "v"), path, "channel", None, "i", 1024)
+    sinks.save_subset(rows.select("channel", "i", "v"), path, "channel", None, "i", 1024, folders=False)
     return spark.read.parquet(path).select(F.col("channel").cast("long").alias("channel"), F.col("part").cast("long").alias("part"), "i", "v")
 
 

@@ -75,10 +75,11 @@ def write_matched_points(first: DataFrame, second: DataFrame, path: str, frame:
     sides[0].join(sides[1], frame, "full").select(frame, *columns).write.mode("overwrite").option("header", True).option("nullValue", "NaN").csv(path)
 
 
-def save_subset(df: DataFrame, path: str, channel: str, wanted: list[int] | None, index: str, samples_per_file: int) -> None:
-    """Some channels (None: all), split in parts of samples_per_file, one folder per channel and part."""
+def save_subset(df: DataFrame, path: str, channel: str, wanted: list[int] | None, index: str, samples_per_file: int, folders: bool = True) -> None:
+    """Some channels (None: all), split in parts of samples_per_file: one folder per channel and part, or without folders, for many channels, each part in one piece and in order within a file that holds many."""
     rows = (df if wanted is None else df.where(F.col(channel).isin(wanted))).withColumn("part", F.floor(F.col(index) / samples_per_file))
-    rows.repartition(channel, "part").sortWithinPartitions(channel, "part", index).write.mode("overwrite").partitionBy(channel, "part").parquet(path)
+    writer = rows.repartition(channel, "part").sortWithinPartitions(channel, "part", index).write.mode("overwrite")
+    (writer.partitionBy(channel, "part") if folders else writer).parquet(path)
 
 
 def write_electrodes(df: DataFrame, path: str) -> None:

@@ -127,3 +127,16 @@ def test_many_small_recordings_are_few_tasks(spark, tmp_path):
     found = recording.scan_packets(spark, paths, 8, 12, split_bytes=24)
     assert found.rdd.getNumPartitions() <= 3
     assert sorted((r.timestamp, r.packet_id, bytes(r.payload)) for r in found.collect()) == sorted((t, t % 3 + 1, bytes([r, 7, 0, 0, 0, 0])) for r in range(40) for t in range(5))
+
+
+def test_split_of_many_channels_in_few_files(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(c, i, float(i)) for c in range(50) for i in range(30)], "channel long, i long, v double").repartition(5)
+    sinks.save_subset(rows, str(tmp_path), "channel", None, "i", 10, folders=False)
+    files = list(tmp_path.rglob("*.parquet"))
+    assert len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seen = []
+    for f in files:
+        told = [(r.channel, r.part, r.i) for r in spark.read.parquet(str(f)).collect()]
+        assert told == sorted(told)
+        seen += sorted({x[:2] for x in told})
+    assert len(seen) == 150 == len(set(seen))
