@@ -114,21 +114,46 @@ def prominences(df: DataFrame, peaks: DataFrame, keys: list[str], frame: str, va
     marked = df.select(*keys, frame, F.col(value).cast("double").alias("_x")).join(peaks.select(*keys, frame, F.lit(True).alias("_peak")), [*keys, frame], "left")
     marked = marked.withColumn("_chunk", F.floor(F.col(frame) / chunk))
 
-    def summed(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(frame)
-        x = pdf["_x"].to_numpy(float)
+    def summed(key: tuple, n: np.ndarray, x: np.ndarray, peak: np.ndarray) -> list[tuple]:
         x = np.where(np.isnan(x), np.inf, x)
-        at = np.flatnonzero(pdf["_peak"].notna().to_numpy())
+        at = np.flatnonzero(peak)
         left, right = _lows(x), _lows(x[::-1])[::-1]
         open_left, open_right = np.maximum.accumulate(x) <= x, np.maximum.accumulate(x[::-1])[::-1] <= x
-        n = pdf[frame].to_numpy()
         listed = lambda flag: [{"frame": int(n[p]), "x": float(x[p])} for p in at if flag[p]]
         rows = [(*key, int(n[p]), x[p], left[p], right[p], None, None, None, None, None, None) for p in at]
         rows.append((*key, None, None, None, None, x.max(), x.min(), listed(open_left), listed(open_right), _stairs(x), _stairs(x[::-1])))
-        return pd.DataFrame(rows, columns=[*keys, "_chunk", "frame", "x", "low_left", "low_right", "top", "bottom", "open_left", "open_right", "stairs_end", "stairs_start"])
+        return rows
+
+    columns = [*keys, "_chunk", "frame", "x", "low_left", "low_right", "top", "bottom", "open_left", "open_right", "stairs_end", "stairs_start"]
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows in order, chunk by chunk; the last chunk of a batch waits for the next."""
+
+        def told(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+            n, x, peak = pdf[frame].to_numpy(), pdf["_x"].to_numpy(float), pdf["_peak"].notna().to_numpy()
+            names = list(zip(*(pdf[k].iloc[starts[:-1]].tolist() for k in [*keys, "_chunk"]), strict=True))
+            return pd.DataFrame([r for name, a, b in zip(names, starts[:-1], starts[1:], strict=True) for r in summed(name, n[a:b], x[a:b], peak[a:b])], columns=columns)
+
+        held = []
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            if held and pdf[[*keys, "_chunk"]].iloc[-1].tolist() == held[0][[*keys, "_chunk"]].iloc[0].tolist():
+                held.append(pdf)
+                continue
+            pdf = pd.concat([*held, pdf]) if held else pdf
+            named = pdf[[*keys, "_chunk"]]
+            starts = np.flatnonzero((named != named.shift()).any(axis=1).to_numpy())
+            if len(starts) > 1:
+                yield told(pdf, starts)
+            held = [pdf.iloc[starts[-1] :]]
+        if held:
+            pdf = pd.concat(held)
+            yield told(pdf, np.array([0, len(pdf)]))
 
     schema = f"{named}, _chunk long, frame long, x double, low_left double, low_right double, top double, bottom double, open_left {_OPEN}, open_right {_OPEN}, stairs_end {_STAIRS}, stairs_start {_STAIRS}"
-    parts = written(marked.groupBy(*keys, "_chunk").applyInPandas(summed, schema), "peaks")
+    ordered = marked.select(*keys, "_chunk", frame, "_x", "_peak").repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", frame)
+    parts = written(ordered.mapInPandas(each, schema), "peaks")
     chunks = parts.where("frame is null")
 
     def far(side: str) -> DataFrame:
