@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -35,9 +35,13 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42, block: int =
     else:
         grams, total = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False)), len(words) - shingle + 1
     hashes = map(xxhash.xxh64_intdigest, grams, repeat(seed))
+    return majority((np.fromiter(hashes, np.uint64, min(block, total - start)) for start in range(0, total, block)), total)
+
+
+def majority(blocks: Iterable[np.ndarray], total: int) -> int:
+    """The bits set in over half of all `total` hashes, which come in blocks."""
     set_bits = np.zeros(64, np.int64)
-    for start in range(0, total, block):
-        h = np.fromiter(hashes, np.uint64, min(block, total - start))
+    for h in blocks:
         set_bits += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * set_bits > total, bitorder="little").view(np.uint64)[0])
 

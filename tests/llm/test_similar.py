@@ -76,3 +76,21 @@ def test_large_bands_in_parts(spark, monkeypatch):
 def test_border_is_in_whole_numbers():
     a = similar.shingles(" ".join(f"a{i}" for i in range(13)))
     assert len(a) == 9 and similar.similar(a[:8], a[:9]) and similar.similar(a[:4], a[:5]) and not similar.similar(a[:7], a[:9])
+
+
+def test_fingerprints_link_first(spark):
+    """Edited copies whose fingerprints are two bits apart are found by the trie, before any band."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(5000)]
+    texts = []
+    for _ in range(20):
+        text = rng.choices(words, k=600)
+        texts += [text, [*text[:-1], "x"], rng.choices(words, k=600)]
+    sets = {similar.key_of(s): s for s in (similar.shingles(" ".join(t)) for t in texts)}
+    fps = {k: similar.fingerprint(s) for k, s in sets.items()}
+    for k, s in sets.items():
+        assert fps[k] % 2**64 == sum((2 * sum(int(h) >> b & 1 for h in s) > len(s)) << b for b in range(64))
+    want = {(u, v) for u in sets for v in sets if u < v and ((fps[u] ^ fps[v]) % 2**64).bit_count() <= 2}
+    assert len(want) > 5 and all(similar.similar(sets[u], sets[v]) for u, v in want)
+    nodes = spark.createDataFrame([(k, fp) for k, fp in fps.items()] + [(0, 0)], "key long, fp long")
+    assert {tuple(r) for r in similar.close_fingerprints(nodes).collect()} == want
