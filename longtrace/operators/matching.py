@@ -6,10 +6,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from longtrace.functions.carry import carried
 from longtrace.functions.groups import connected_groups
 from longtrace.operators.joins import best_shift
 from longtrace.operators.sequence import EVENTS, segment_events, segments
 from longtrace.plans.standins import EV, HOUR, Book, events, spikes
+from longtrace.session import written
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
@@ -101,42 +103,101 @@ def _f12b(spark, sf):
     return count_align(from_zero(segments(spark, sf)), from_zero(video), ["unit"], "event", "n", tolerance=1)
 
 
+#: Pairs of times meet in cells of so many reaches a side.
+CELL = 16
+#: A unit's events are walked in stretches of so many reaches.
+STRETCH = 1 << 20
+
+
+def same_trains(df: DataFrame, sorter: str, unit: str, time: str) -> tuple[DataFrame, DataFrame]:
+    """(s, u, t) events of one unit for each train of a sorter, the smallest that has it, and (s, u, unit) of all units; trains are told apart by size, ends and sums of two hashes."""
+    t = F.col(time)
+    sums = [F.sum(F.xxhash64(t, F.lit(k)).cast("decimal(20,0)")).alias(f"_h{k}") for k in range(2)]
+    read = df.groupBy(F.col(sorter).alias("s"), F.col(unit).alias("unit")).agg(F.count("*").alias("_n"), F.count(t).alias("_k"), F.min(t).alias("_min"), F.max(t).alias("_max"), *sums)
+    read = read.where("s is not null and unit is not null")
+    alike = F.struct(*(c for c in read.columns if c not in ("s", "unit")))
+    units = read.select("s", "unit", F.md5(F.to_json(alike)).alias("train"))
+    units = written(units.join(units.groupBy("s", "train").agg(F.min("unit").alias("u")), ["s", "train"]).select("s", "u", "unit"), "units")
+    rows = df.select(F.col(sorter).alias("s"), F.col(unit).alias("u"), t.alias("t"))
+    return written(rows.join(units.where("u = unit").select("s", "u"), ["s", "u"], "left_semi"), "trains"), units
+
+
+def agreeing_trains(rows: DataFrame, most: int, least: float) -> DataFrame:
+    """(sorter_a, a, sorter_b, b, matched, score) of the events (s, u, t); see sorter_agreement.
+
+    Units may agree by so many events that neighbours of a are matched by neighbours of
+    b: of a's n events (m matched, x at most twice `most` behind the one before)
+    3 m - n_a - n_b - 1 - 2 x pairs of neighbours are, as an event that isn't matched
+    spoils two pairs and one of b between others one. Pairs of neighbours meet in cells
+    of both their times; units that share so many pairs have their events brought
+    together. Where least is so low, or a's events so few or so dense, that no pair
+    need be left, events are counted by unit and stretch of time: a's in stretches
+    where b has any, or next to such, bound what can match, and likewise b's.
+    """
+    share = least / (1 + least)
+    named = lambda d, x: d.select(F.col("s").alias(f"sorter_{x}"), F.col("u").alias(x), *[c if c == "k" else F.col(c).alias(f"{c}_{x}") for c in d.columns if c not in ("s", "u")])
+    both = ["sorter_a", "a", "sorter_b", "b"]
+    times = carried(rows.where("t is not null").distinct(), ["s", "u"], "t", STRETCH * (most + 1), lag={"p": F.col("t")})
+    times = written(times, "neighbours")
+    sized = rows.groupBy("s", "u").agg(F.count("*").alias("n")).join(times.groupBy("s", "u").agg(F.count_if(F.col("t") - F.col("p") <= 2 * most).alias("x")), ["s", "u"])
+    # n_b is least * n_a - (1 + least) * x or more, as so many events of b must be matched
+    sized = written(sized.withColumn("sure", (2 * least - 1) * (F.col("n") - F.col("x")) - 2 * (1 + F.col("x")) >= 1e-9), "sizes")
+
+    pairs = times.where("p is not null").join(sized, ["s", "u"])
+    of = lambda c: F.floor(F.col(c) / (CELL * (most + 1)))
+    around = lambda c: F.explode(F.sequence(F.floor((F.col(c) - most) / (CELL * (most + 1))), F.floor((F.col(c) + most) / (CELL * (most + 1)))))
+    left = named(pairs.where("sure").drop("sure"), "a").withColumn("kp", of("p_a")).withColumn("kt", of("t_a"))
+    right = named(pairs.drop("sure", "x"), "b").withColumn("kp", around("p_b")).withColumn("kt", around("t_b"))
+    sizes_allow = share * (F.col("n_a") + F.col("n_b")) <= F.col("n_a") + 1e-9  # no more than n_a can match
+    near = (F.abs(F.col("p_a") - F.col("p_b")) <= most) & (F.abs(F.col("t_a") - F.col("t_b")) <= most)
+    shared = left.join(right, ["kp", "kt"]).where((F.col("sorter_a") < F.col("sorter_b")) & sizes_allow & near).groupBy(*both, "n_a", "n_b", "x_a").agg(F.count("*").alias("_pairs"))
+    possible = shared.where((3 * share - 1) * (F.col("n_a") + F.col("n_b")) - 1 - 2 * F.col("x_a") <= F.col("_pairs") + 1e-9).select(*both, "n_a", "n_b")
+
+    stretch = F.floor(F.col("t") / (most + 1))
+    if not sized.where("not sure").isEmpty():
+        counts = written(rows.groupBy("s", "u", stretch.alias("k")).agg(F.count("*").alias("c")).join(sized.select("s", "u", "n", "sure"), ["s", "u"]), "counts")
+        ring = counts.select("s", "u", "n", "sure", F.explode(F.array(F.col("k") - 1, "k", F.col("k") + 1)).alias("k")).distinct()
+        met = named(counts.where("not sure").drop("sure"), "a").join(named(ring.drop("sure"), "b"), "k").where((F.col("sorter_a") < F.col("sorter_b")) & sizes_allow)
+        bound = met.groupBy(*both, "n_a", "n_b").agg(F.sum("c_a").alias("_m"))
+        # matched / (n_a + n_b - matched) >= least needs so many matches; an event of b may match several of a
+        possible = possible.union(bound.where(F.col("_m") >= share * (F.col("n_a") + F.col("n_b"))).select(*both, "n_a", "n_b"))
+
+    possible = written(possible, "possible")
+    events = rows.select("s", "u", "t", stretch.alias("k"))
+    left = named(events, "a").join(possible, ["sorter_a", "a"])
+    right = named(events, "b").withColumn("k", F.explode(F.array(F.col("k") - 1, "k", F.col("k") + 1)))
+    met = left.join(right, ["sorter_b", "b", "k"]).where(F.abs(F.col("t_a") - F.col("t_b")) <= most)
+    matched = met.groupBy(*both, "n_a", "n_b", "t_a").agg(F.lit(1).alias("_x")).groupBy(*both, "n_a", "n_b").agg(F.count("*").alias("matched"))
+    scored = matched.withColumn("score", F.col("matched") / (F.col("n_a") + F.col("n_b") - F.col("matched")))
+    return scored.where(F.col("score") >= least).select(*both, "matched", "score")
+
+
 def sorter_agreement(df: DataFrame, sorter: str, unit: str, time: str, most: int, least: float) -> DataFrame:
     """(sorter_a, a, sorter_b, b, matched, score): units of two sorters that agree by at least `least`; sorter_a < sorter_b.
 
     matched counts a's events with one of b at most `most` away, score is matched over
-    all events of both. Events are first counted by unit and stretch of time: a's
-    events in stretches where b has any, or next to such, bound what can match, and
-    likewise b's. Only pairs of units whose bounds allow the score have their events
-    brought together.
+    all events of both. Of a sorter's units with the same events one is compared, and
+    its links hold for all.
     """
-    sized = df.groupBy(sorter, unit).agg(F.count("*").alias("n"))
-    stretch = F.floor(F.col(time) / (most + 1))
-    counts = df.groupBy(F.col(sorter).alias("s"), F.col(unit).alias("u"), stretch.alias("k")).agg(F.count("*").alias("n"))
-    around = counts.select("s", "u", F.explode(F.array(F.col("k") - 1, "k", F.col("k") + 1)).alias("k")).distinct()
-    named = lambda d, x: d.select(F.col("s").alias(f"sorter_{x}"), F.col("u").alias(x), *[c for c in d.columns if c not in ("s", "u")])
-    both = ["sorter_a", "a", "sorter_b", "b"]
-    bound = lambda x, y: named(counts, x).join(named(around, y), "k").where("sorter_a < sorter_b").groupBy(*both).agg(F.sum("n").alias(f"_m{x}"))
-    n = lambda x: sized.select(F.col(sorter).alias(f"sorter_{x}"), F.col(unit).alias(x), F.col("n").alias(f"n_{x}"))
-    possible = bound("a", "b").join(bound("b", "a"), both).join(n("a"), ["sorter_a", "a"]).join(n("b"), ["sorter_b", "b"])
-    # matched / (n_a + n_b - matched) >= least needs so many matches; an event of b may match several of a
-    possible = possible.where(F.col("_ma") >= least / (1 + least) * (F.col("n_a") + F.col("n_b"))).select(*both, "n_a", "n_b")
-    rows = df.select(F.col(sorter).alias("s"), F.col(unit).alias("u"), F.col(time).alias("t"), stretch.alias("k"))
-    left = named(rows, "a").join(possible, ["sorter_a", "a"])
-    right = named(rows, "b").select("sorter_b", "b", F.col("t").alias("_t"), F.explode(F.array(F.col("k") - 1, "k", F.col("k") + 1)).alias("k"))
-    met = left.join(right, ["sorter_b", "b", "k"]).where(F.abs(F.col("t") - F.col("_t")) <= most)
-    matched = met.groupBy(*both, "n_a", "n_b", "t").agg(F.lit(1).alias("_x")).groupBy(*both, "n_a", "n_b").agg(F.count("*").alias("matched"))
-    scored = matched.withColumn("score", F.col("matched") / (F.col("n_a") + F.col("n_b") - F.col("matched")))
-    return scored.where(F.col("score") >= least).select(*both, "matched", "score")
+    rows, units = same_trains(df, sorter, unit, time)
+    links = written(agreeing_trains(rows, most, least), "links")
+    for x in ("a", "b"):
+        links = links.join(units.select(F.col("s").alias(f"sorter_{x}"), F.col("u").alias(x), F.col("unit").alias(f"_{x}")), [f"sorter_{x}", x])
+    return links.select("sorter_a", F.col("_a").alias("a"), "sorter_b", F.col("_b").alias("b"), "matched", "score")
 
 
 def consensus_units(df: DataFrame, sorter: str, unit: str, time: str, most: int, least: float = 0.5, sorters: int = 2) -> DataFrame:
-    """(sorter, unit, group_sorter, group_unit, n): units in connected groups of agreeing units that hold at least `sorters` sorters; a group is named by its smallest (sorter, unit)."""
-    links = sorter_agreement(df, sorter, unit, time, most, least)
+    """(sorter, unit, group_sorter, group_unit, n): units in connected groups of agreeing units that hold at least `sorters` sorters; a group is named by its smallest (sorter, unit).
+
+    Of a sorter's units with the same events the smallest is linked; the others follow it.
+    """
+    rows, units = same_trains(df, sorter, unit, time)
+    links = agreeing_trains(rows, most, least)
     node = lambda x: F.struct(F.col(f"sorter_{x}").alias("sorter"), F.col(x).alias("unit"))
     groups = connected_groups(links.select(node("a").alias("x"), node("b").alias("y")), "x", "y")
     n = groups.groupBy("root").agg(F.count_distinct("node.sorter").alias("n")).where(F.col("n") >= sorters)
-    return groups.join(n, "root").select("node.sorter", "node.unit", F.col("root.sorter").alias("group_sorter"), F.col("root.unit").alias("group_unit"), "n")
+    named = groups.join(n, "root").select(F.col("node.sorter").alias("s"), F.col("node.unit").alias("u"), F.col("root.sorter").alias("group_sorter"), F.col("root.unit").alias("group_unit"), "n")
+    return named.join(units, ["s", "u"]).select(F.col("s").alias("sorter"), "unit", "group_sorter", "group_unit", "n")
 
 
 #: Three sorters of the same trains: loud events, quiet events, and all of them a second late; units of the third are named from 1000000 on.

@@ -58,3 +58,47 @@ def test_groups_need_enough_sorters(spark):
     assert links == {("abcd"[i], 10 * u + i, "abcd"[j], 10 * u + j) for u in range(5) for i in range(2 + u % 3) for j in range(i + 1, 2 + u % 3)}
     got = {(r.sorter, r.unit, r.group_unit, r.n) for r in matching.consensus_units(df, "s", "u", "t", 8, 0.6, 3).collect()}
     assert got == {("abcd"[k], 10 * u + k, 10 * u, 2 + u % 3) for u in range(5) if u % 3 for k in range(2 + u % 3)}
+
+
+def slow_agreement(rows, most, least):
+    """All pairs of units of two sorters, every event against every other."""
+    trains = {}
+    for s, u, t in rows:
+        trains.setdefault((s, u), []).append(t)
+    out = set()
+    for a, x in trains.items():
+        for b, y in trains.items():
+            m = len({t for t in x if any(abs(t - v) <= most for v in y)}) if a[0] < b[0] else 0
+            if m and m / (len(x) + len(y) - m) >= least:
+                out.add((*a, *b, m, round(m / (len(x) + len(y) - m), 9)))
+    return out
+
+
+def test_agreement_equals_all_pairs(spark):
+    """Trains of differing length and density, with bursts, repeated times and equal trains, at several thresholds."""
+    rng = random.Random(11)
+    rows = []
+    for unit in range(40):
+        train = sorted(rng.sample(range(0, 4000 if unit % 4 else 400), rng.choice([1, 2, 3, 5, 9, 30, 60])))
+        for k, sorter in enumerate("abc"):
+            for copy in range(1 + unit % 3 // 2):
+                jitter = 0 if unit % 5 == 0 else 4
+                rows += [(sorter, 100 * unit + 10 * k + copy, t + rng.randint(-jitter, jitter)) for t in train if rng.random() < 0.95 or unit % 5 == 0]
+    rows += [("a", 9000, 5), ("a", 9000, 5), ("b", 9001, 6), ("c", 9002, 4000), ("c", 9003, 4003)]
+    df = spark.createDataFrame(rows, "s string, u long, t long")
+    for most, least in ((4, 0.75), (4, 0.6), (8, 0.5), (2, 0.3), (4, 0.95)):
+        got = [(r.sorter_a, r.a, r.sorter_b, r.b, r.matched, round(r.score, 9)) for r in matching.sorter_agreement(df, "s", "u", "t", most, least).collect()]
+        assert len(got) == len(set(got)) and set(got) == slow_agreement(rows, most, least)
+
+
+def test_few_pairs_are_proposed(spark, monkeypatch):
+    """Units active in the same stretches aren't all brought together, and equal trains once."""
+    rng = random.Random(2)
+    rows = [(s, u, t) for s in "ab" for u in range(60) for t in rng.sample(range(0, 20_000, 20), 100)]
+    rows += [("a", 100 + k, t) for k in range(5) for t in range(7, 20_000, 200)] + [("b", 200 + k, t) for k in range(5) for t in range(9, 20_000, 200)]
+    seen, kept = {}, matching.written
+    monkeypatch.setattr(matching, "written", lambda df, name: seen.setdefault(name, kept(df, name)))
+    df = spark.createDataFrame(rows, "s string, u long, t long")
+    got = {(r.a, r.b) for r in matching.sorter_agreement(df, "s", "u", "t", 4, 0.75).collect()}
+    assert got == {(100 + i, 200 + j) for i in range(5) for j in range(5)}
+    assert [tuple(r) for r in seen["possible"].select("a", "b").collect()] == [(100, 200)]
