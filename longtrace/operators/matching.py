@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from longtrace.functions.carry import carried
 from longtrace.functions.groups import connected_groups
-from longtrace.operators.joins import best_shift
 from longtrace.operators.sequence import EVENTS, segment_events, segments
 from longtrace.plans.standins import EV, HOUR, Book, events, spikes
 from longtrace.session import written
@@ -46,34 +46,45 @@ def walked(pulses: list[int], video: list[int], tolerance: float, share: float |
     return [place.get(i) for i in range(len(pulses))]
 
 
+def least_shift(pulses: np.ndarray, counts: np.ndarray, video: np.ndarray, others: np.ndarray, most: int) -> int:
+    """The shift 0..most of the numbers of pulses along those of video (sorted) with the least sum of absolute differences of counts, of equal ones the smallest; a number that video lacks counts 0."""
+    costs = []
+    for shift in range(most + 1):
+        at = np.minimum(np.searchsorted(video, pulses + shift), len(video) - 1)
+        costs.append(np.abs(counts - np.where(video[at] == pulses + shift, others[at], 0)).sum())
+    return int(np.argmin(costs))
+
+
 def count_align(pulses: DataFrame, video: DataFrame, keys: list[str], number: str, count: str, tolerance: float = 10, free: Column | None = None, share: float = 0.2, reach: int = 10, most: int = 64) -> DataFrame:
     """(keys, number, video): the video event of each pulse event, NULL where the pulse is dropped.
 
     Events of a key are taken in order of number. With fewer pulses than video events
-    all pulses are moved by the shift of least cost (best_shift, up to `most`); else
+    all pulses are moved by the shift of least cost (least_shift, up to `most`); else
     the lists are walked (walked). free: rows of keys in free runs, whose tolerance is
     `share` of the video count. A key's list holds a count for each event, not samples,
     and is one group.
     """
     flag = F.lit(False) if free is None else F.coalesce(free, F.lit(False))
-    n = lambda df, name: df.groupBy(*keys).agg(F.count("*").alias(name))
-    sizes = n(pulses, "_p").join(n(video, "_v"), keys)
-    few, enough = sizes.where("_p < _v").select(*keys), sizes.where("_p >= _v").select(*keys)
     kinds = {f.name: f.dataType.simpleString() for f in pulses.schema}
-    left = pulses.join(enough, keys, "left_semi").select(*keys, F.col(number).alias("_i"), F.col(count).cast("long").alias("_c"), flag.alias("_free"))
-    right = video.join(enough, keys, "left_semi").select(*keys, F.col(number).alias("_i"), F.col(count).cast("long").alias("_c"))
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    left = pulses.where(known).select(*keys, F.col(number).cast("long").alias("_i"), F.col(count).cast("long").alias("_c"), flag.alias("_free"))
+    right = video.where(known).select(*keys, F.col(number).cast("long").alias("_i"), F.col(count).cast("long").alias("_c"))
 
     def run(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        names = dict(zip(keys, key, strict=True))
+        if a.empty or b.empty:
+            return pd.DataFrame({**dict.fromkeys(keys, []), number: [], "video": []})
         a, b = a.sort_values("_i"), b.sort_values("_i")
+        if len(a) < len(b):
+            return pd.DataFrame({**names, number: a["_i"], "video": a["_i"] + least_shift(a["_i"].to_numpy(), a["_c"].to_numpy(), b["_i"].to_numpy(), b["_c"].to_numpy(), most)})
         at = walked(a["_c"].tolist(), b["_c"].tolist(), tolerance, share if a["_free"].any() else None, reach)
-        names = b["_i"].tolist()
-        return pd.DataFrame({**dict(zip(keys, key, strict=True)), number: a["_i"], "video": pd.array([None if k is None else names[k] for k in at], "Int64")})
+        found = b["_i"].tolist()
+        return pd.DataFrame({**names, number: a["_i"], "video": pd.array([None if k is None else found[k] for k in at], "Int64")})
 
     schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + f", {number} long, video long"
-    aligned = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
-    shifts = best_shift(pulses.join(few, keys, "left_semi"), video.join(few, keys, "left_semi"), keys, number, count, most)
-    moved = pulses.join(shifts, keys).select(*keys, F.col(number).cast("long").alias(number), (F.col(number) + F.col("shift")).cast("long").alias("video"))
-    return aligned.unionByName(moved)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
 
 
 #: Pulses: the segments of all events; video: those of the events above 20, so that counts differ and some segments are lost.

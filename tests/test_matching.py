@@ -102,3 +102,16 @@ def test_few_pairs_are_proposed(spark, monkeypatch):
     got = {(r.a, r.b) for r in matching.sorter_agreement(df, "s", "u", "t", 4, 0.75).collect()}
     assert got == {(100 + i, 200 + j) for i in range(5) for j in range(5)}
     assert [tuple(r) for r in seen["possible"].select("a", "b").collect()] == [(100, 200)]
+
+
+def test_shifts_are_not_rows(spark):
+    """Shifts are tried within a key's list, holes in the numbers included; no row is made of each."""
+    rng = random.Random(8)
+    video = {k: rng.randint(1, 9) for k in range(3, 90) if k % 7}
+    pulses = {k: rng.randint(1, 9) for k in range(0, 60) if k % 5}
+    cost = [sum(abs(c - video.get(k + s, 0)) for k, c in pulses.items()) for s in range(31)]
+    p = spark.createDataFrame([(1, k, c) for k, c in pulses.items()] + [(2, 0, 1), (None, 0, 1)], "k long, n long, c long")
+    v = spark.createDataFrame([(1, k, c) for k, c in video.items()] + [(3, 0, 1), (None, 0, 1), (None, 1, 1)], "k long, n long, c long")
+    got = matching.count_align(p, v, ["k"], "n", "c", most=30)
+    assert {(r.k, r.n): r.video for r in got.collect()} == {(1, k): k + cost.index(min(cost)) for k in pulses}
+    assert "Generate" not in got._jdf.queryExecution().toString()
