@@ -15,8 +15,10 @@ from longtrace.session import written
 
 BOOK = Book()
 QUERIES, SQL = BOOK.queries, BOOK.sql
-#: So many numbers of templates, or of classified points, are sent to every task at once; more go block by block.
+#: So many numbers of templates are sent to every task at once; more go block by block.
 BLOCK_NUMBERS = 1 << 20
+#: The same for classified points; distances from some points to all of a block are a table of at most so many numbers.
+NEIGHBOUR_NUMBERS = TABLE = 1 << 22
 
 
 def against(points: DataFrame, classes: DataFrame, key: str, numbers: int, found: Callable[[Column], Column], block: int = BLOCK_NUMBERS) -> DataFrame:
@@ -130,46 +132,67 @@ def _told(best: DataFrame, name: str) -> DataFrame:
     return best.select(*(c for c in best.columns if c != "best"), F.col("best.label").alias("cluster"), F.col(f"best.{name}").alias(name))
 
 
-def by_neighbours(points: DataFrame, vector: str, classified: DataFrame, label: str, class_vector: str, k: int, k_min: int, sdnum: float, block: int = BLOCK_NUMBERS) -> DataFrame:
+def by_neighbours(points: DataFrame, vector: str, classified: DataFrame, label: str, class_vector: str, k: int, k_min: int, sdnum: float, block: int = NEIGHBOUR_NUMBERS) -> DataFrame:
     """points with `cluster`: the commonest class (of equally common ones the smallest) of the k nearest classified points, if k_min of these have it, else NULL; `votes` are those that have it.
 
     Neighbours lie within sdnum times the spread of all classified points (the root of
-    their items' variances together). Classified points are taken in blocks of at most
+    their items' variances together). Points with equal vectors are judged once, and of
+    equal classified points k at most are kept. These are taken in blocks of at most
     `block` numbers, each sent to all tasks; a point carries its k nearest from block to
-    block, so nothing is shuffled and no task holds more than a block.
+    block, so no task holds more than a block.
     """
     kind = classified.schema[label].dataType.simpleString()
     rows = classified.select(F.col(label).alias("label"), F.col(class_vector).cast("array<double>").alias("v")).where("label is not null and v is not null")
-    moments = rows.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.var_pop("x").alias("var"), F.count("*").alias("n")).agg(F.sum("var").alias("var"), F.count("*").alias("d"), F.max("n").alias("n")).first()
+    moments = rows.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.var_pop("x").alias("var"), F.count("*").alias("n")).agg(F.sum("var").alias("var"), F.count("*").alias("d")).first()
     radius = sdnum * float(np.sqrt(moments["var"] or 0.0))
-    n = max(1, -(-(moments["n"] or 0) * (moments["d"] or 1) // block))
-    numbered = written(rows.withColumn("_b", F.pmod(F.xxhash64("v", "label", F.monotonically_increasing_id()), F.lit(n))), "classified")
-    state = points.withColumn("_near", F.array().cast(f"array<struct<d:double,label:{kind}>>"))
+    distinct = written(rows.groupBy("label", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("times")), "classified")
+    n = max(1, -(-distinct.count() * (moments["d"] or 1) // block))
+    numbered = written(distinct.withColumn("_b", F.pmod(F.xxhash64("v", "label"), F.lit(n))), "blocks")
+    state = points.select(F.col(vector).cast("array<double>").alias("_v")).distinct().withColumn("_near", F.array().cast(f"array<struct<d:double,label:{kind}>>"))
 
-    def nearer(names: list, x: np.ndarray) -> Callable:
+    def nearer(names: list, times: list, x: np.ndarray) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # [v, 1] [-2 x, |x|^2] is the squared distance but for |v|^2, up to a rounding far below `slack`
+            norms = (x**2).sum(1)
+            wide = np.concatenate([-2 * x, norms[:, None]], 1).T
             for b in batches:
-                at, near = b.schema.get_field_index(vector), b.schema.get_field_index("_near")
-                held, out = b.column(near).to_pylist(), []
-                for p, old in zip(b.column(at).to_pylist(), held, strict=True):
-                    if p is None or not len(x):
-                        out.append(old)
-                        continue
-                    far = np.sqrt(((x - np.asarray(p, float)) ** 2).sum(1))
-                    part = np.argpartition(far, k - 1)[:k] if len(far) > k else np.arange(len(far))
-                    ties = np.flatnonzero(far <= far[part].max())
-                    new = [{"d": float(far[i]), "label": names[i]} for i in ties if far[i] < radius]
-                    out.append(sorted([*old, *new], key=lambda r: (r["d"], r["label"]))[:k])
-                yield b.set_column(near, "_near", pa.array(out, b.schema.field(near).type))
+                old = b.column(1).to_pylist()
+                held = np.flatnonzero(b.column(0).is_valid()).tolist()
+                if not held:
+                    yield b
+                    continue
+                points = np.array(b.column(0).take(pa.array(held, pa.int64())).flatten(), float).reshape(len(held), -1)
+                step = max(1, TABLE // len(x))
+                for start in range(0, len(held), step):
+                    p = points[start : start + step]
+                    size = (p**2).sum(1)
+                    slack = 1e-10 * (size + norms.max())
+                    worst = np.array([min(radius, old[i][-1]["d"] if len(old[i]) == k else radius) for i in held[start : start + step]])
+                    far = np.concatenate([p, np.ones((len(p), 1))], 1) @ wide
+                    limit = worst**2 - size + slack
+                    if far.shape[1] > k:
+                        limit = np.minimum(limit, np.partition(far, k - 1, axis=1)[:, k - 1] + 2 * slack)
+                    row, col = np.nonzero(far <= limit[:, None])
+                    ends = np.searchsorted(row, np.arange(len(p) + 1))
+                    for j in np.unique(row).tolist():
+                        near = col[ends[j] : ends[j + 1]]
+                        exact = np.sqrt(((x[near] - p[j]) ** 2).sum(1))
+                        new = [{"d": float(d), "label": names[c]} for c, d in zip(near.tolist(), exact.tolist(), strict=True) if d < radius for _ in range(times[c])]
+                        i = held[start + j]
+                        old[i] = sorted([*old[i], *new], key=lambda r: (r["d"], r["label"]))[:k]
+                yield b.set_column(1, "_near", pa.array(old, b.schema.field(1).type))
 
         return run
 
     for i in range(n):
-        part = numbered.where(F.col("_b") == i).select("label", "v").toArrow()
-        names, x = part.column("label").to_pylist(), np.array(part.column("v").to_pylist(), float).reshape(part.num_rows, -1)
-        state = state.mapInArrow(nearer(names, x), state.schema)
+        part = numbered.where(F.col("_b") == i).select("label", "times", "v").toArrow()
+        if not part.num_rows:
+            continue
+        x = np.array(part.column("v").combine_chunks().flatten(), float).reshape(part.num_rows, -1)
+        state = state.mapInArrow(nearer(part.column("label").to_pylist(), part.column("times").to_pylist(), x), state.schema)
         if i % 8 == 7:
             state = written(state, "neighbours")
+    state = points.join(state, F.col(vector).cast("array<double>").eqNullSafe(F.col("_v")), "left")
     labels = F.transform("_near", lambda r: r["label"])
     counts = F.transform(F.array_sort(F.array_distinct(labels)), lambda c: F.struct((-F.size(F.filter(labels, lambda y: y == c))).alias("n"), c.alias("label")))
     best = F.array_min(counts)

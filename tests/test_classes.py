@@ -71,6 +71,24 @@ def test_blocks_dont_matter(points, block):
         assert got["nn"][k] == (votes[0][1] if votes and -votes[0][0] >= 4 else None)
 
 
+@pytest.mark.parametrize("block", [9, 1 << 20])
+def test_equal_points_are_compared_once(spark, monkeypatch, block):
+    rnd = np.random.default_rng(4)
+    vectors = rnd.normal(0, 1, (12, D)).tolist()
+    rows = [(k, "abc"[k % 3] if k % 4 else None, vectors[k % 12]) for k in range(600)] + [(900, "a", None), (901, None, None)]
+    df = spark.createDataFrame(rows, "k long, label string, x array<double>")
+    seen, kept = {}, classes.written
+    monkeypatch.setattr(classes, "written", lambda df, name: seen.setdefault(name, kept(df, name)) if name == "classified" else kept(df, name))
+    got = {r.k: (r.cluster, r.votes) for r in classes.by_neighbours(df, "x", df, "label", "x", 60, 30, 1.5, block).collect()}
+    x, names = np.array([v for _, v in known(rows)]), [n for n, _ in known(rows)]
+    spread = np.sqrt(x.var(0).sum())
+    for k, _, v in rows:
+        near = sorted((d, m) for d, m in zip(np.linalg.norm(x - np.array(v), axis=1).round(9), names, strict=True) if d < 1.5 * spread)[:60] if v else []
+        n, best = min(((-c, m) for m, c in Counter(m for _, m in near).items()), default=(0, None))
+        assert got[k] == (best if -n >= 30 else None, -n)
+    assert len(got) == len(rows) and seen["classified"].count() == len({(m, tuple(v)) for _, m, v in rows if m and v})
+
+
 def test_planted_drift_is_recovered(spark):
     rnd = np.random.default_rng(7)
     shape = rnd.gamma(1, 2, (40, 6)) * (rnd.random((40, 6)) < 0.4)
