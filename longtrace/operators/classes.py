@@ -148,7 +148,8 @@ def by_neighbours(points: DataFrame, vector: str, classified: DataFrame, label:
     distinct = written(rows.groupBy("label", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("times")), "classified")
     n = max(1, -(-distinct.count() * (moments["d"] or 1) // block))
     numbered = written(distinct.withColumn("_b", F.pmod(F.xxhash64("v", "label"), F.lit(n))), "blocks")
-    state = points.select(F.col(vector).cast("array<double>").alias("_v")).distinct().withColumn("_near", F.array().cast(f"array<struct<d:double,label:{kind}>>"))
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number: few bytes are much work here
+    state = points.select(F.col(vector).cast("array<double>").alias("_v")).repartition(tasks, "_v").distinct().withColumn("_near", F.array().cast(f"array<struct<d:double,label:{kind}>>"))
 
     def nearer(names: list, times: list, x: np.ndarray) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,8 +171,9 @@ def by_neighbours(points: DataFrame, vector: str, classified: DataFrame, label:
                     worst = np.array([min(radius, old[i][-1]["d"] if len(old[i]) == k else radius) for i in held[start : start + step]])
                     far = np.concatenate([p, np.ones((len(p), 1))], 1) @ wide
                     limit = worst**2 - size + slack
-                    if far.shape[1] > k:
-                        limit = np.minimum(limit, np.partition(far, k - 1, axis=1)[:, k - 1] + 2 * slack)
+                    if len(x) > k:  # the k nearest of some are no nearer than those of all
+                        some = far[:, : max(k, len(x) // 16)]
+                        limit = np.minimum(limit, np.partition(some, k - 1, axis=1)[:, k - 1] + 2 * slack)
                     row, col = np.nonzero(far <= limit[:, None])
                     ends = np.searchsorted(row, np.arange(len(p) + 1))
                     for j in np.unique(row).tolist():
